@@ -38,10 +38,10 @@ def _rewrite_round(sql: str) -> str:
 
 
 def _load() -> dict[str, str]:
-    from oracle import reports
+    from oracle import cleaning, reports
 
     merged: dict[str, str] = {}
-    for module in (reports,):
+    for module in (reports, cleaning):
         merged.update(module.Q)
     return {k: _rewrite_round(v) for k, v in merged.items()}
 

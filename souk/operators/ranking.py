@@ -50,29 +50,38 @@ def prefix_counts(
     weight: str,
     descending: bool = False,
     buckets: int = DEFAULT_BUCKETS,
+    group: str | None = None,
 ) -> DataFrame:
-    """For one row per distinct non-NULL ``value`` with multiplicity ``weight``, add
-    ``_before``: the total weight of all values strictly ahead of it in the order."""
+    """For one row per distinct non-NULL ``value`` (per ``group`` when given) with
+    multiplicity ``weight``, add ``_before``: the total weight of all values strictly ahead
+    of it in the order (within its group).
+
+    With ``group``, the groups must be few (e.g. column names): their range boundaries form
+    a table of one row per group, broadcast to the counts.
+    """
     qs = [i / buckets for i in range(1, buckets)]
-    bounds = counts.agg(F.percentile_approx(value, qs, 10_000)).scalar()
     v = F.col(value)
-    tagged = counts.withColumn("_bucket", _bucket_of(v, bounds, len(qs), descending))
-    sizes = tagged.groupBy("_bucket").agg(F.sum(weight).alias("_bucket_weight"))
-    # At most `buckets` rows: an un-partitioned window is bounded here.
+    if group is None:
+        bounds = counts.agg(F.percentile_approx(value, qs, 10_000)).scalar()
+        tagged = counts.withColumn("_bucket", _bucket_of(v, bounds, len(qs), descending))
+        keys: list[str] = []
+    else:
+        per_group = counts.groupBy(group).agg(F.percentile_approx(value, qs, 10_000).alias("_bounds"))
+        tagged = counts.join(F.broadcast(per_group), group).withColumn(
+            "_bucket", _bucket_of(v, F.col("_bounds"), len(qs), descending)
+        ).drop("_bounds")
+        keys = [group]
+    sizes = tagged.groupBy(*keys, "_bucket").agg(F.sum(weight).alias("_bucket_weight"))
+    # At most `buckets` rows per group: this window's partitions are bounded.
+    before_bucket = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "_bucket",
-        F.coalesce(
-            F.sum("_bucket_weight").over(
-                Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_offset"),
+        *keys, "_bucket", F.coalesce(F.sum("_bucket_weight").over(before_bucket), F.lit(0)).alias("_offset")
     )
     ordered = v.desc() if descending else v.asc()
-    within = Window.partitionBy("_bucket").orderBy(ordered).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*keys, "_bucket").orderBy(ordered).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(within), F.lit(0)))
     return (
-        local.join(F.broadcast(offsets), "_bucket")
+        local.join(F.broadcast(offsets), [*keys, "_bucket"])
         .withColumn("_before", (F.col("_offset") + F.col("_local")).cast("bigint"))
         .drop("_bucket", "_offset", "_local")
     )

@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.plans import reports
+from souk.plans import cleaning, reports
 from souk.sources.fixtures import load_retail
+from souk.sources.raw import load_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +39,16 @@ for _name, _fn in [
     ("q_top_products", reports.top_products),
 ]:
     _register(_name, _fn)
+
+
+# Cleaning pipelines over the raw (text, faulty) tables derived from the driver data.
+def _clean_query(table: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = load_raw(spark, sf_dir)[table]
+        return cleaning.CLEANERS[table](cleaning.normalize_read(raw))
+
+    return build
+
+
+for _table in cleaning.CLEANERS:
+    QUERIES[f"clean_{_table}"] = _clean_query(_table)
