@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 16
 
 
 def _col(c: Column | str) -> Column:

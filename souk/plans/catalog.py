@@ -1,7 +1,8 @@
 """Registry of named queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver tables in ``sf_dir`` through the retail views, so its work
-grows with the data.
+Every query reads the driver tables in ``sf_dir`` (through the retail views, the raw text
+tables derived from them, or the cleaned / mart layers Spark materializes from those), so
+its work grows with the data.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.plans import cleaning, reports
+from souk.plans import cleaning, kpis, layers, marts, reports
 from souk.sources.fixtures import load_retail
 from souk.sources.raw import load_raw
 
@@ -18,11 +19,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _register(name: str, build: Callable[..., DataFrame], source: Callable = load_retail) -> None:
-    QUERIES[name] = lambda spark, sf_dir: build(source(spark, sf_dir))
+def register(name: str, build: Callable[[SparkSession, str], DataFrame]) -> None:
+    QUERIES[name] = build
+
+
+# --------------------------------------------------------------------- SQL report pack
+def _report(fn) -> Query:
+    return lambda spark, sf_dir: fn(load_retail(spark, sf_dir))
 
 
-# SQL report pack over the retail views.
 for _name, _fn in [
     ("q_average_order_value", reports.average_order_value),
     ("q_customer_analytics", reports.customer_analytics),
@@ -38,10 +43,10 @@ for _name, _fn in [
     ("q_top_customers", reports.top_customers),
     ("q_top_products", reports.top_products),
 ]:
-    _register(_name, _fn)
+    register(_name, _report(_fn))
 
 
-# Cleaning pipelines over the raw (text, faulty) tables derived from the driver data.
+# --------------------------------------------------------------------- cleaning pipelines
 def _clean_query(table: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = load_raw(spark, sf_dir)[table]
@@ -51,4 +56,46 @@ def _clean_query(table: str) -> Query:
 
 
 for _table in cleaning.CLEANERS:
-    QUERIES[f"clean_{_table}"] = _clean_query(_table)
+    register(f"clean_{_table}", _clean_query(_table))
+
+
+# --------------------------------------------------------------------- feature marts
+def _mart_query(name: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = getattr(layers.mart_layer(spark, sf_dir), name)
+        return df.orderBy("order_month") if name == "monthly_revenue" else df
+
+    return build
+
+
+for _mart in ("fact_orders", "fact_order_items", "dim_customers", "dim_products", "dim_sellers",
+              "monthly_revenue", "customer_kpis"):
+    register(_mart, _mart_query(_mart))
+
+
+# --------------------------------------------------------------------- KPIs
+def _kpi(fn, bundle_fn=None) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        b = layers.mart_layer(spark, sf_dir)
+        return fn(bundle_fn(b) if bundle_fn else b)
+
+    return build
+
+
+def _without_cost(b: marts.FeatureBundle) -> marts.FeatureBundle:
+    items = b.fact_order_items.drop(*[c for c in marts.COST_COLUMNS if c in b.fact_order_items.columns])
+    return marts.FeatureBundle(**{**b.as_dict(), "fact_order_items": items})
+
+
+register("kpi_total_revenue", _kpi(kpis.total_revenue))
+register("kpi_total_orders", _kpi(kpis.total_orders))
+register("kpi_average_order_value", _kpi(kpis.average_order_value))
+register("kpi_profit_margin", _kpi(kpis.profit_margin, _without_cost))
+register("kpi_profit_margin_with_cost", _kpi(kpis.profit_margin))
+register("kpi_top_categories", _kpi(kpis.top_categories))
+register("kpi_top_sellers", _kpi(kpis.top_sellers))
+register("kpi_monthly_growth", _kpi(kpis.monthly_growth))
+register("kpi_repeat_customers", _kpi(kpis.repeat_customers))
+register("kpi_customer_retention", _kpi(kpis.customer_retention))
+register("kpi_revenue_by_state", _kpi(kpis.revenue_by_state))
+register("kpi_revenue_by_category", _kpi(kpis.revenue_by_category))
