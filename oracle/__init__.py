@@ -38,10 +38,10 @@ def _rewrite_round(sql: str) -> str:
 
 
 def _load() -> dict[str, str]:
-    from oracle import cleaning, kpis, marts, reports
+    from oracle import cleaning, dashboards, kpis, marts, profiles, reports
 
     merged: dict[str, str] = {}
-    for module in (reports, cleaning, marts, kpis):
+    for module in (reports, cleaning, marts, kpis, dashboards, profiles):
         merged.update(module.Q)
     return {k: _rewrite_round(v) for k, v in merged.items()}
 

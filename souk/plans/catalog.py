@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.plans import cleaning, kpis, layers, marts, reports
+from souk.plans import cleaning, eda, kpis, layers, marts, measures, quality, reports
 from souk.sources.fixtures import load_retail
 from souk.sources.raw import load_raw
 
@@ -99,3 +99,52 @@ register("kpi_repeat_customers", _kpi(kpis.repeat_customers))
 register("kpi_customer_retention", _kpi(kpis.customer_retention))
 register("kpi_revenue_by_state", _kpi(kpis.revenue_by_state))
 register("kpi_revenue_by_category", _kpi(kpis.revenue_by_category))
+
+
+# --------------------------------------------------------------------- BI measures
+def _on_marts(fn) -> Query:
+    return lambda spark, sf_dir: fn(layers.mart_layer(spark, sf_dir))
+
+
+def _on_marts_and_clean(fn) -> Query:
+    return lambda spark, sf_dir: fn(layers.mart_layer(spark, sf_dir), layers.cleaned_layer(spark, sf_dir))
+
+
+register("bi_measures", _on_marts(measures.bi_measures))
+register("bi_measures_delivered_view", _on_marts(lambda b: measures.bi_measures(b, measures.Slicers(status_mode="delivered"))))
+register("bi_measures_by_state", _on_marts(lambda b: measures.bi_measures_by(b, "customer_state")))
+register("bi_measures_sliced", _on_marts(lambda b: measures.bi_measures_by(
+    b, "customer_state",
+    measures.Slicers(date_from="1996-01-01", date_to="2000-01-01", status_mode="exclude_cancelled",
+                     categories=["standard goods", "small goods"], customer_segment="repeat"))))
+register("bi_month_to_date", _on_marts(measures.bi_month_to_date))
+register("bi_month_over_month", _on_marts(measures.bi_month_over_month))
+
+# --------------------------------------------------------------------- dashboard data sets
+register("ds_cohort_matrix", _report(measures.ds_cohort_matrix))
+for _name in ("ds_repeat_share", "ds_category_delay", "ds_category_share", "ds_seller_scorecard",
+              "ds_seller_geography", "ds_delivery_trend", "ds_late_rate_by_state", "ds_weekday_month_heatmap",
+              "ds_growth_waterfall", "ds_exceptions", "ds_state_matrix", "ds_state_leaders", "ds_drilldown_rollup"):
+    register(_name, _on_marts(getattr(measures, _name)))
+
+# --------------------------------------------------------------------- EDA profiles
+register("eda_overview", _on_marts_and_clean(lambda b, c: eda.overview(eda.profile_tables(b, c))))
+register("eda_missing", _on_marts_and_clean(lambda b, c: eda.missing_values(eda.profile_tables(b, c))))
+register("eda_hist_order_value", _on_marts(lambda b: eda.histogram(b.fact_orders, "order_value")))
+register("eda_hist_freight", _on_marts(lambda b: eda.histogram(b.fact_order_items, "freight_value")))
+register("eda_hist_weight", _on_marts(lambda b: eda.histogram(b.dim_products, "product_weight_g")))
+register("eda_hist_customer_revenue", _on_marts(lambda b: eda.histogram(eda.customer_metrics(b), "revenue")))
+register("eda_review_counts", lambda spark, d: eda.value_counts(layers.cleaned_layer(spark, d)["order_reviews"],
+                                                                "review_score"))
+register("eda_weekday_counts", _on_marts(eda.weekday_counts))
+register("eda_monthly_trend", _on_marts(eda.monthly_trend))
+register("eda_correlation", _on_marts(lambda b: eda.correlation({"orders": b.fact_orders, "products": b.dim_products})))
+register("eda_top_states", _on_marts(eda.top_states))
+register("eda_customer_metrics", _on_marts(eda.top_customers))
+register("eda_repeat_counts", _on_marts(eda.repeat_counts))
+register("eda_top_categories_15", _on_marts_and_clean(eda.top_categories))
+register("eda_headlines", _on_marts_and_clean(eda.headlines))
+
+# --------------------------------------------------------------------- data quality
+register("dq_table_health", lambda spark, d: quality.table_health(layers.cleaned_layer(spark, d)))
+register("dq_reconcile_revenue", _on_marts_and_clean(quality.reconcile_monthly_revenue))
