@@ -37,13 +37,34 @@ def _rewrite_round(sql: str) -> str:
         i = k
 
 
+def _rewrite_avg(sql: str) -> str:
+    """``AVG(x)`` -> exact decimal sum / count as DOUBLE (the Spark side's ``exact_avg``)."""
+    import re
+
+    out, i = [], 0
+    pattern = re.compile(r"(?<![A-Za-z_])AVG\(")
+    while True:
+        m = pattern.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:m.start()])
+        depth, k = 1, m.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = _rewrite_avg(sql[m.end(): k - 1])
+        out.append(f"(CAST(SUM(CAST({inner} AS DECIMAL(38,9))) AS DOUBLE) / NULLIF(CAST(COUNT({inner}) AS DOUBLE), 0))")
+        i = k
+
+
 def _load() -> dict[str, str]:
     from oracle import cleaning, dashboards, kpis, marts, profiles, reports
 
     merged: dict[str, str] = {}
     for module in (reports, cleaning, marts, kpis, dashboards, profiles):
         merged.update(module.Q)
-    return {k: _rewrite_round(v) for k, v in merged.items()}
+    return {k: _rewrite_round(_rewrite_avg(v)) for k, v in merged.items()}
 
 
 ORACLE_SQL: dict[str, str] = _load()

@@ -46,10 +46,22 @@ def ratio(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(to_double(num), to_double(den))
 
 
-def avg4(col: Column | str) -> Column:
-    """Average of the non-NULL values, rounded to 4 places (aggregate)."""
+EXACT_SUM = "decimal(38,9)"
+
+
+def exact_avg(col: Column | str) -> Column:
+    """Average of the non-NULL values from an exact decimal sum (aggregate).
+
+    A plain double average depends on the order partitions are combined in; summing the
+    values as decimals makes the result a function of the data only.
+    """
     c = _c(col)
-    return round4(F.try_divide(F.sum(c).cast("double"), F.count(c)))
+    return F.try_divide(F.sum(c.cast(EXACT_SUM)).cast("double"), F.count(c).cast("double"))
+
+
+def avg4(col: Column | str) -> Column:
+    """Exact average of the non-NULL values, rounded to 4 places (aggregate)."""
+    return round4(exact_avg(col))
 
 
 def half_even_long(col: Column | str) -> Column:

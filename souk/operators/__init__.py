@@ -1,0 +1 @@
+"""Reusable DataFrame operators: cleaning steps, exact distributed rank / median."""

@@ -49,7 +49,7 @@ for _name, _fn in [
 # --------------------------------------------------------------------- cleaning pipelines
 def _clean_query(table: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = load_raw(spark, sf_dir)[table]
+        raw = layers.raw_layer(spark, sf_dir)[table]
         return cleaning.CLEANERS[table](cleaning.normalize_read(raw))
 
     return build

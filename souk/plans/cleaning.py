@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.numeric import exact_avg
 from souk.operators import clean as op
 
 ORDER_COL = "source_row_order"
@@ -83,8 +84,8 @@ def clean_geolocation(df: DataFrame) -> DataFrame:
     df = op.normalize_zip(df, zip_col)
     df = _finish(df).distinct()
     coords = df.groupBy(zip_col).agg(
-        F.avg("geolocation_lat").alias("geolocation_lat"),
-        F.avg("geolocation_lng").alias("geolocation_lng"),
+        exact_avg("geolocation_lat").alias("geolocation_lat"),
+        exact_avg("geolocation_lng").alias("geolocation_lng"),
     )
     city = _mode_per_key(df, zip_col, "geolocation_city")
     state = _mode_per_key(df, zip_col, "geolocation_state")

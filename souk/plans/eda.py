@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.functions.numeric import round_to
+from souk.functions.numeric import exact_avg, round_to
 from souk.plans.marts import SUM_TYPE, FeatureBundle
 
 
@@ -160,6 +160,9 @@ def monthly_trend(b: FeatureBundle) -> DataFrame:
     )
 
 
+CORR_CHUNK = 32
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
@@ -173,13 +176,17 @@ def correlation(tables: dict[str, DataFrame]) -> DataFrame:
         pairs = [(a, c) for i, a in enumerate(cols) for c in cols[i + 1:]]
         if not pairs:
             continue
-        aggs = [F.corr(F.col(a).cast("double"), F.col(c).cast("double")).alias(f"p{i}") for i, (a, c) in enumerate(pairs)]
-        row = df.agg(*aggs)
-        structs = [
-            F.struct(F.lit(a).alias("column_a"), F.lit(c).alias("column_b"), F.col(f"p{i}").alias("r"))
-            for i, (a, c) in enumerate(pairs)
-        ]
-        parts.append(row.select(F.lit(name).alias("table"), F.inline(F.array(*structs))))
+        # Pairs are evaluated in chunks: one aggregate with hundreds of correlation buffers
+        # produces generated code too large to compile efficiently. Each chunk reads only
+        # its own columns from the columnar table.
+        for start in range(0, len(pairs), CORR_CHUNK):
+            chunk = list(enumerate(pairs))[start:start + CORR_CHUNK]
+            row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(c).cast("double")).alias(f"p{i}") for i, (a, c) in chunk])
+            structs = [
+                F.struct(F.lit(a).alias("column_a"), F.lit(c).alias("column_b"), F.col(f"p{i}").alias("r"))
+                for i, (a, c) in chunk
+            ]
+            parts.append(row.select(F.lit(name).alias("table"), F.inline(F.array(*structs))))
     out = reduce(DataFrame.unionByName, parts)
     r = F.col("r")
     return out.select(
@@ -247,7 +254,7 @@ def headlines(b: FeatureBundle, cleaned: dict[str, DataFrame]) -> DataFrame:
     """Total revenue, top state, top category and repeat-customer share in one row."""
     m = customer_metrics(b)
     total = m.agg(F.sum(F.col("revenue").cast(SUM_TYPE)).cast("double")).scalar()
-    share = m.agg(F.avg(F.col("repeat_customer").cast("double"))).scalar()
+    share = m.agg(exact_avg(F.col("repeat_customer").cast("double"))).scalar()
 
     def leader(df: DataFrame, key: str) -> Column:
         return df.agg(F.min(F.struct((-F.col("revenue")).alias("k"), F.col(key).alias("s")))["s"]).scalar()

@@ -24,25 +24,48 @@ from souk.sources.raw import load_raw
 _LAYERS: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
-def _materialize(spark: SparkSession, frames: dict[str, DataFrame], layer: str) -> dict[str, DataFrame]:
+def _materialize(
+    spark: SparkSession, frames: dict[str, DataFrame], layer: str, spread: bool = False
+) -> dict[str, DataFrame]:
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-{layer}-{uuid.uuid4().hex[:12]}"
     out = {}
     for name, df in frames.items():
+        if spread:
+            df = spread_if_narrow(df)
         path = f"{base}/{name}"
         df.write.mode("overwrite").parquet(path)
         out[name] = spark.read.parquet(path)
     return out
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin an ingest whose source arrived in fewer splits than the cluster has
+    cores (e.g. one unsplittable file), so later stages read it in parallel. Inputs that are
+    already split are written as they are — no shuffle at scale."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def _key(spark: SparkSession, sf_dir: str, layer: str) -> tuple[str, str, str]:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), layer)
 
 
+def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nine raw text tables, ingested once to Parquet (the 'convert the CSV export once'
+    step): cleaning then reads splittable, column-pruned files instead of re-deriving text."""
+    key = _key(spark, sf_dir, "raw")
+    if key not in _LAYERS:
+        _LAYERS[key] = _materialize(spark, load_raw(spark, sf_dir), "raw", spread=True)
+    return _LAYERS[key]
+
+
 def cleaned_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine cleaned tables over the raw tables derived from ``sf_dir`` (written once)."""
+    """The nine cleaned tables over the raw layer (written once)."""
     key = _key(spark, sf_dir, "clean")
     if key not in _LAYERS:
-        _LAYERS[key] = _materialize(spark, cleaning.clean_all(load_raw(spark, sf_dir)), "clean")
+        _LAYERS[key] = _materialize(spark, cleaning.clean_all(raw_layer(spark, sf_dir)), "clean")
     return _LAYERS[key]
 
 

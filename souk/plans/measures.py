@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.dates import days_between, month_key
-from souk.functions.numeric import round4
+from souk.functions.numeric import avg4, round4
 from souk.plans import kpis, reports
 from souk.plans.marts import CATEGORY_COLUMNS, SUM_TYPE, FeatureBundle, exact_mean
 from souk.operators import clean as op
@@ -27,7 +27,7 @@ def _money(c: Column) -> Column:
 
 
 def _avg4(c: Column) -> Column:
-    return round4(F.avg(c))
+    return avg4(c)
 
 
 # ----------------------------------------------------------------------------- slicers (X11, X12)

@@ -334,7 +334,7 @@ def product_analytics(t: RetailTables) -> DataFrame:
             F.sum("units_sold").alias("units_sold"),
             to_double(F.sum("revenue_dec")).alias("product_revenue"),
             to_double(F.sum("freight_dec")).alias("freight_revenue"),
-            round_to(F.avg("average_item_price_raw"), 4).alias("average_item_price"),
+            avg4("average_item_price_raw").alias("average_item_price"),
         )
         .orderBy(F.col("product_revenue").desc_nulls_last(), F.col("units_sold").desc_nulls_last())
     )

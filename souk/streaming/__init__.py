@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this library re-expresses are whole-batch: the workflow reloads its sources and
+recomputes every layer; there is no event stream, watermark, window or state store and
+"late deliveries" is a business flag, not late data. No streaming operator is provided, on
+purpose — inventing one would add behaviour the workflow does not have. A batch refresh is
+``souk.plans.layers`` (raw -> cleaned -> marts, each written once).
+"""
