@@ -33,7 +33,7 @@ def _rewrite_round(sql: str) -> str:
             expr = _rewrite_round(sql[j + len(key): comma])
             digits = int(sql[comma + 1: k - 1].strip())
             scale = f"{10 ** digits}.0::DOUBLE"
-            out.append(f"(ROUND(CAST({expr} AS DOUBLE) * {scale}) / {scale})")
+            out.append(f"(ROUND(CAST({expr} AS DOUBLE) * {scale}) / {scale} + 0.0::DOUBLE)")
         i = k
 
 

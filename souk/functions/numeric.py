@@ -34,7 +34,8 @@ def round_to(col: Column | str, digits: int) -> Column:
     the double) so that every engine computes the same bits from the same double.
     """
     scale = float(10**digits)
-    return F.round(to_double(col) * F.lit(scale), 0) / F.lit(scale)
+    # "+ 0.0" turns a rounded negative zero into 0.0 (engines differ in keeping the sign).
+    return F.round(to_double(col) * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
 
 
 def round4(col: Column | str) -> Column:

@@ -160,8 +160,9 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column name with its most frequent non-NULL value as text; ties go to
     the smallest value. Counting is a distributed aggregate per (name, value)."""
     counts = _long_form(df, columns, "string").groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.groupBy("name").agg(F.max("_n").alias("_n"))
-    return counts.join(top, ["name", "_n"]).groupBy("name").agg(F.min("value").alias("mode"))
+    # Highest count first, then the smallest value: the minimum of (-count, value).
+    best = F.min(F.struct((-F.col("_n")).alias("k"), F.col("value").alias("v")))
+    return counts.groupBy("name").agg(best["v"].alias("mode"))
 
 
 def _stats_row(stats: DataFrame, key: str, columns: Sequence[str]) -> Column:

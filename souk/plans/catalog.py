@@ -25,7 +25,7 @@ def register(name: str, build: Callable[[SparkSession, str], DataFrame]) -> None
 
 # --------------------------------------------------------------------- SQL report pack
 def _report(fn) -> Query:
-    return lambda spark, sf_dir: fn(load_retail(spark, sf_dir))
+    return lambda spark, sf_dir: fn(layers.retail_layer(spark, sf_dir))
 
 
 for _name, _fn in [

@@ -102,8 +102,8 @@ def _mode_per_key(df: DataFrame, key: str, col: str) -> DataFrame:
     """Most frequent non-NULL ``col`` per ``key`` (ties -> smallest), as a distributed
     count per (key, value) rather than a per-group value map."""
     counts = df.where(F.col(col).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n"))
-    best = counts.groupBy(key).agg(F.max("_n").alias("_n"))
-    return counts.join(best, [key, "_n"]).groupBy(key).agg(F.min(col).alias(col))
+    best = F.min(F.struct((-F.col("_n")).alias("k"), F.col(col).alias("v")))
+    return counts.groupBy(key).agg(best["v"].alias(col))
 
 
 def clean_order_items(df: DataFrame) -> DataFrame:

@@ -61,24 +61,21 @@ def order_item_summary(order_items: DataFrame) -> DataFrame:
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:
-    sums = payments.groupBy("order_id").agg(
-        exact_sum("payment_value").alias("total_payment_value"),
-        F.sum("payment_installments").alias("total_installments"),
-        F.count_distinct("payment_type").alias("payment_method_count"),
+    """Order grain: payment total, installments, distinct types and the most frequent type
+    (ties -> smallest, none -> 'Unknown'). Two aggregates, no join: (order, type) first,
+    then order — so the mode needs no per-order value map."""
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.sum(F.col("payment_value").cast(SUM_TYPE)).alias("_value"),
+        F.sum("payment_installments").alias("_installments"),
+        F.count(F.lit(1)).alias("_n"),
     )
-    # Most frequent payment type per order (ties -> smallest, none -> 'Unknown'), counted
-    # per (order, type) instead of holding a value map per order.
-    counts = (
-        payments.where(F.col("payment_type").isNotNull())
-        .groupBy("order_id", "payment_type")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    best = counts.groupBy("order_id").agg(F.max("_n").alias("_n"))
-    mode = counts.join(best, ["order_id", "_n"]).groupBy("order_id").agg(
-        F.min("payment_type").alias("dominant_payment_type")
-    )
-    return sums.join(mode, "order_id", "left").withColumn(
-        "dominant_payment_type", F.coalesce("dominant_payment_type", F.lit("Unknown"))
+    typed = F.col("payment_type").isNotNull()
+    best = F.min(F.when(typed, F.struct((-F.col("_n")).alias("k"), F.col("payment_type").alias("v"))))
+    return per_type.groupBy("order_id").agg(
+        F.sum("_value").cast("double").alias("total_payment_value"),
+        F.sum("_installments").alias("total_installments"),
+        F.count("payment_type").alias("payment_method_count"),
+        F.coalesce(best["v"], F.lit("Unknown")).alias("dominant_payment_type"),
     )
 
 
