@@ -160,33 +160,38 @@ def monthly_trend(b: FeatureBundle) -> DataFrame:
     )
 
 
-CORR_CHUNK = 32
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
 def correlation(tables: dict[str, DataFrame]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of the numeric columns within each table,
-    all pairs of a table in one aggregate; NULL where a column has no spread."""
+    """Pairwise-complete Pearson correlation of the numeric columns within each table;
+    NULL where a column has no spread.
+
+    Each row emits one (pair, x, y) record per column pair, consumed in the same stage by a
+    grouped ``corr`` whose partial aggregate keeps one small buffer per pair — a single
+    scan per table, one compact generated aggregate, and only pairs-many rows shuffled. (A
+    wide aggregate with hundreds of ``corr`` buffers exceeds the code generator's field
+    limit and runs interpreted.)"""
     parts = []
     for name, df in tables.items():
         cols = numeric_columns(df)
         pairs = [(a, c) for i, a in enumerate(cols) for c in cols[i + 1:]]
         if not pairs:
             continue
-        # Pairs are evaluated in chunks: one aggregate with hundreds of correlation buffers
-        # produces generated code too large to compile efficiently. Each chunk reads only
-        # its own columns from the columnar table.
-        for start in range(0, len(pairs), CORR_CHUNK):
-            chunk = list(enumerate(pairs))[start:start + CORR_CHUNK]
-            row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(c).cast("double")).alias(f"p{i}") for i, (a, c) in chunk])
-            structs = [
-                F.struct(F.lit(a).alias("column_a"), F.lit(c).alias("column_b"), F.col(f"p{i}").alias("r"))
-                for i, (a, c) in chunk
-            ]
-            parts.append(row.select(F.lit(name).alias("table"), F.inline(F.array(*structs))))
+        records = F.array(*[
+            F.struct(
+                F.lit(a).alias("column_a"), F.lit(c).alias("column_b"),
+                F.col(a).cast("double").alias("x"), F.col(c).cast("double").alias("y"),
+            )
+            for a, c in pairs
+        ])
+        parts.append(
+            df.select(F.inline(records))
+            .groupBy("column_a", "column_b")
+            .agg(F.corr("x", "y").alias("r"))
+            .select(F.lit(name).alias("table"), "column_a", "column_b", "r")
+        )
     out = reduce(DataFrame.unionByName, parts)
     r = F.col("r")
     return out.select(

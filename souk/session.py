@@ -13,6 +13,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalescing keeps partitions of at least this size; small enough that modest tables
+    # still spread over the cores, irrelevant for large shuffles (sized by the advisory size).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Broadcast only what Spark has measured to be small (static estimate or AQE runtime stats).
