@@ -179,18 +179,20 @@ def correlation(tables: dict[str, DataFrame]) -> DataFrame:
         pairs = [(a, c) for i, a in enumerate(cols) for c in cols[i + 1:]]
         if not pairs:
             continue
-        records = F.array(*[
-            F.struct(
-                F.lit(a).alias("column_a"), F.lit(c).alias("column_b"),
-                F.col(a).cast("double").alias("x"), F.col(c).cast("double").alias("y"),
-            )
-            for a, c in pairs
-        ])
+        # stack() emits the (pair index, x, y) records without building an array per row.
+        args = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{c}` AS DOUBLE)" for i, (a, c) in enumerate(pairs))
+        records = df.selectExpr(f"stack({len(pairs)}, {args}) AS (pair, x, y)")
+        names_a = F.array(*[F.lit(a) for a, _ in pairs])
+        names_b = F.array(*[F.lit(c) for _, c in pairs])
         parts.append(
-            df.select(F.inline(records))
-            .groupBy("column_a", "column_b")
+            records.groupBy("pair")
             .agg(F.corr("x", "y").alias("r"))
-            .select(F.lit(name).alias("table"), "column_a", "column_b", "r")
+            .select(
+                F.lit(name).alias("table"),
+                F.element_at(names_a, F.col("pair") + 1).alias("column_a"),
+                F.element_at(names_b, F.col("pair") + 1).alias("column_b"),
+                "r",
+            )
         )
     out = reduce(DataFrame.unionByName, parts)
     r = F.col("r")
