@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.session import ensure_checkpoint_dir
+
 DEFAULT_BUCKETS = 16
 
 
@@ -96,12 +98,16 @@ def global_rank(
 ) -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY value [DESC] NULLS LAST)`` as column ``out``."""
     v = F.col(value)
-    present = df.where(v.isNotNull())
-    counts = present.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(v.isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    # The distinct-value table feeds several small steps (quantile bounds, range sizes,
+    # running counts, the NULL rank); a reliable checkpoint (under spark.checkpoint.dir)
+    # computes it from the input once instead of once per step.
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
     ranks = prefix_counts(counts, value, "_n", descending, buckets).select(
         value, (F.col("_before") + 1).alias(out)
     )
-    null_rank = present.agg((F.count(F.lit(1)) + 1).alias("r")).scalar()
+    null_rank = counts.agg((F.coalesce(F.sum("_n"), F.lit(0)) + 1).alias("r")).scalar()
     return df.join(ranks, value, "left").withColumn(
         out, F.when(v.isNull(), null_rank).otherwise(F.col(out)).cast("int")
     )
