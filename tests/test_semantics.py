@@ -134,3 +134,25 @@ def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(0.2,)] * 10, "x double")
     total = df.agg(F.sum(F.col("x").cast("decimal(22,4)")).cast("double")).first()[0]
     assert total == 3.0
+
+
+def test_hot_key_dedupe_and_mode_stay_exact(spark):
+    # One key holds 40% of the rows: keep-first and the grouped mode must not depend on
+    # how the hot key's rows are spread over partitions.
+    rows = [("hot" if i % 5 < 2 else f"k{i}", i, "b" if i % 3 else "a") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, pos long, v string").repartition(16)
+    first = {r.k: r.pos for r in op.dedupe_first(df, ["k"], ["pos"]).collect()}
+    assert first["hot"] == 0 and len(first) == 1 + sum(1 for i in range(3000) if i % 5 >= 2)
+    from souk.plans.cleaning import _mode_per_key
+
+    modes = {r.k: r.v for r in _mode_per_key(df, "k", "v").collect()}
+    hot = [v for k, _, v in rows if k == "hot"]
+    assert modes["hot"] == max(sorted(set(hot)), key=hot.count)
+
+
+def test_hot_value_rank_is_exact(spark):
+    values = [7.0] * 1000 + [float(i) for i in range(2000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double").repartition(8)
+    ranks = {r.id: r.rk for r in ranking.global_rank(df, "v", "rk", descending=True).collect()}
+    greater_than_7 = sum(1 for v in values if v > 7.0)
+    assert {ranks[i] for i in range(1000)} == {greater_than_7 + 1}
