@@ -189,3 +189,31 @@ LEFT JOIN (SELECT customer_id AS cid, customer_state FROM m_dim_customers) c ON
 GROUP BY ROLLUP (c.customer_state, i.{_CAT}, i.seller_id)""")
 
 _ = with_ctes  # re-exported helper kept for symmetry with other oracle modules
+
+Q["ds_top_categories_by_units"] = mart_sql(f"""
+SELECT {_CAT} AS category, COUNT(order_item_id) AS units_sold, {msum('revenue')} AS revenue,
+       COUNT(DISTINCT order_id) AS orders
+FROM m_fact_order_items WHERE {_CAT} IS NOT NULL GROUP BY 1
+ORDER BY units_sold DESC, revenue DESC NULLS LAST, category LIMIT 10""")
+
+Q["ds_customer_points"] = mart_sql("""
+SELECT customer_id, total_orders, order_frequency_days, customer_revenue FROM m_dim_customers WHERE total_orders > 0""")
+
+Q["ds_city_volume"] = mart_sql(f"""
+SELECT c.customer_state, c.customer_city, COUNT(DISTINCT f.order_id) AS orders,
+       {msum('COALESCE(f.order_value, 0.0)')} AS revenue
+FROM m_fact_orders f JOIN (SELECT customer_id AS cid, customer_state, customer_city FROM m_dim_customers) c
+  ON f.customer_id = c.cid
+GROUP BY c.customer_state, c.customer_city HAVING COUNT(DISTINCT f.order_id) >= 20
+ORDER BY revenue DESC, c.customer_state, c.customer_city""")
+
+Q["ds_seller_concentration"] = mart_sql(f"""
+, s AS (SELECT seller_id, SUM(CAST(revenue AS {DEC})) AS rev FROM m_fact_order_items
+        WHERE seller_id IS NOT NULL GROUP BY seller_id),
+t AS (SELECT SUM(rev) AS total FROM s)
+SELECT seller_id, CAST(rev AS DOUBLE) AS revenue,
+       ROUND(CAST(rev AS DOUBLE) / NULLIF(CAST(t.total AS DOUBLE), 0), 4) AS revenue_share,
+       ROUND(CAST(SUM(rev) OVER (ORDER BY rev DESC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             AS DOUBLE) / NULLIF(CAST(t.total AS DOUBLE), 0), 4) AS cumulative_share,
+       CAST(RANK() OVER (ORDER BY CAST(rev AS DOUBLE) DESC NULLS LAST) AS INTEGER) AS revenue_rank
+FROM s, t""")

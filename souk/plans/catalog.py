@@ -148,3 +148,9 @@ register("eda_headlines", _on_marts_and_clean(eda.headlines))
 # --------------------------------------------------------------------- data quality
 register("dq_table_health", lambda spark, d: quality.table_health(layers.cleaned_layer(spark, d)))
 register("dq_reconcile_revenue", _on_marts_and_clean(quality.reconcile_monthly_revenue))
+
+# --------------------------------------------------------------------- more dashboard data sets
+register("ds_top_categories_by_units", _on_marts(measures.ds_top_categories_by_units))
+register("ds_customer_points", _on_marts(measures.ds_customer_points))
+register("ds_city_volume", _on_marts(measures.ds_city_volume))
+register("ds_seller_concentration", _on_marts(measures.ds_seller_concentration))

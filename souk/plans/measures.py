@@ -430,3 +430,66 @@ def ds_drilldown_rollup(b: FeatureBundle) -> DataFrame:
         F.count("order_item_id").alias("items"),
         F.grouping_id().alias("grouping_level"),
     )
+
+
+def ds_top_categories_by_units(b: FeatureBundle, n: int = 10) -> DataFrame:
+    """Top-n categories by units sold (ties: revenue, then name)."""
+    items = b.fact_order_items
+    key = _category(items)
+    g = items.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("category")).agg(
+        F.count("order_item_id").alias("units_sold"),
+        _money(F.col("revenue")).alias("revenue"),
+        F.count_distinct("order_id").alias("orders"),
+    )
+    order = [F.col("units_sold").desc(), F.col("revenue").desc_nulls_last(), F.col("category")]
+    return g.orderBy(*order).limit(n)
+
+
+def ds_customer_points(b: FeatureBundle) -> DataFrame:
+    """Order frequency vs revenue, one point per customer with orders (all of them)."""
+    return b.dim_customers.where(F.col("total_orders") > 0).select(
+        "customer_id", "total_orders", "order_frequency_days", "customer_revenue"
+    )
+
+
+def ds_city_volume(b: FeatureBundle, min_orders: int = 20) -> DataFrame:
+    """Revenue by customer city, hiding cities below ``min_orders`` orders (a HAVING)."""
+    cities = b.dim_customers.select("customer_id", "customer_state", "customer_city")
+    return (
+        b.fact_orders.join(cities, "customer_id", "inner")
+        .groupBy("customer_state", "customer_city")
+        .agg(
+            F.count_distinct("order_id").alias("orders"),
+            _money(F.coalesce(F.col("order_value"), F.lit(0.0))).alias("revenue"),
+        )
+        .where(F.col("orders") >= min_orders)
+        .orderBy(F.col("revenue").desc(), "customer_state", "customer_city")
+    )
+
+
+def ds_seller_concentration(b: FeatureBundle) -> DataFrame:
+    """Seller revenue share and concentration: each seller's share of item revenue and the
+    share held by all sellers with at least its revenue, plus its revenue rank.
+
+    The cumulative share is a running total over sellers in revenue order, computed with
+    the value-range prefix sums of ``souk.operators.ranking`` (no single-partition window
+    over sellers); ties share one cumulative value.
+    """
+    from souk.operators.ranking import global_rank, prefix_counts
+
+    per_seller = b.fact_order_items.where(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
+        F.sum(F.col("revenue").cast(SUM_TYPE)).alias("rev")
+    )
+    by_value = per_seller.groupBy("rev").agg(F.sum("rev").alias("_w"))
+    placed = prefix_counts(by_value, "rev", "_w", descending=True).select(
+        "rev", (F.col("_before") + F.col("_w")).alias("_cum")
+    )
+    total = per_seller.agg(F.sum("rev")).scalar()
+    ranked = global_rank(per_seller.withColumn("revenue", F.col("rev").cast("double")), "revenue", "revenue_rank")
+    return ranked.join(placed, "rev", "left").select(
+        "seller_id",
+        "revenue",
+        round4(F.try_divide(F.col("rev").cast("double"), total.cast("double"))).alias("revenue_share"),
+        round4(F.try_divide(F.col("_cum").cast("double"), total.cast("double"))).alias("cumulative_share"),
+        "revenue_rank",
+    )
