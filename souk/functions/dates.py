@@ -18,8 +18,13 @@ def _c(col: Column | str) -> Column:
 
 
 def month_start(ts: Column | str) -> Column:
-    """First instant of the month, kept zone-less (SQL ``DATE_TRUNC('month', ts)``)."""
-    return F.date_trunc("month", _c(ts)).cast("timestamp_ntz")
+    """First instant of the month, kept zone-less (SQL ``DATE_TRUNC('month', ts)``).
+
+    Built from the calendar fields, so the result does not depend on the session time zone.
+    """
+    t = _c(ts)
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.lit(1), zero, zero, zero)
 
 
 def month_key(ts: Column | str) -> Column:
@@ -27,8 +32,18 @@ def month_key(ts: Column | str) -> Column:
     return F.date_format(_c(ts), "yyyy-MM")
 
 
+def _time_of_day_micros(t: Column) -> Column:
+    whole = F.hour(t).cast("bigint") * 3_600_000_000 + F.minute(t).cast("bigint") * 60_000_000
+    return whole + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+
+
 def _micros(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    """Microseconds from ``start`` to ``end`` on the wall clock of zone-less timestamps:
+    whole calendar days plus the time-of-day difference, independent of the session time
+    zone (a zone-aware difference would shift by an hour across daylight-saving changes)."""
+    a, b = _c(start), _c(end)
+    days = F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
+    return days * _MICROS_PER_DAY + (_time_of_day_micros(b) - _time_of_day_micros(a))
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

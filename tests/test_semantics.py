@@ -156,3 +156,17 @@ def test_hot_value_rank_is_exact(spark):
     ranks = {r.id: r.rk for r in ranking.global_rank(df, "v", "rk", descending=True).collect()}
     greater_than_7 = sum(1 for v in values if v > 7.0)
     assert {ranks[i] for i in range(1000)} == {greater_than_7 + 1}
+
+
+def test_day_spans_ignore_session_time_zone(spark):
+    # Brazil moved clocks forward at midnight on 2018-11-04; zone-less spans must not notice.
+    df = spark.createDataFrame(
+        [(dt.datetime(2018, 11, 3, 12, 0), dt.datetime(2018, 11, 4, 12, 0))], "a timestamp_ntz, b timestamp_ntz"
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        r = df.select(dates.days_between("a", "b").alias("d"), dates.month_start("b").alias("m")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.d == 1.0 and r.m == dt.datetime(2018, 11, 1)
