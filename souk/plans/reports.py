@@ -46,10 +46,6 @@ def order_item_totals(order_items: DataFrame) -> DataFrame:
     )
 
 
-def _double(col: str) -> F.Column:
-    return to_double(col).alias(col)
-
-
 # --------------------------------------------------------------------------------------
 # Q1 average order value by month
 # --------------------------------------------------------------------------------------

@@ -1,7 +1,6 @@
 """One small in-memory case per semantics rule the engine relies on."""
 
 import datetime as dt
-import math
 import random
 
 import numpy as np
