@@ -148,3 +148,16 @@ def test_csv_export_round_trip_cleans_like_the_raw_table(spark, tmp_dir):
     assert sorted(tuple(r) for r in from_csv.select(*key).collect()) == sorted(
         tuple(r) for r in from_raw.select(*key).collect()
     )
+
+
+def test_layers_are_written_under_the_checkpoint_dir(spark):
+    from souk.plans import layers
+    from souk.session import ensure_checkpoint_dir
+
+    def plain(p):
+        return p.replace("file:", "").lstrip("/")
+
+    base = plain(ensure_checkpoint_dir(spark))
+    retail = layers.retail_layer(spark, "/root/testdata/sf0.001")
+    paths = retail.orders.inputFiles()
+    assert paths and all(plain(p).startswith(base) for p in paths)
