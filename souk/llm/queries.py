@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from souk.llm import decontaminate, exact_dedup, url_filter
+from souk.llm import decontaminate, exact_dedup, near_dedup, packing, quality, url_filter
 from souk.llm.common import read_table
 from souk.llm.sql import ORACLE_SQL
 
@@ -24,13 +26,30 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs, hash_all=True)
 
 
+def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_classes(docs)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    result = quality.scored(docs, quality.fit(docs)).select("doc_id", "score")
+    return result.withColumn("kept", F.col("score") >= quality.MIN_SCORE)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_decontaminate, op4_exact_dedup, op7_url_filter)
+    f.__name__: f
+    for f in (op3_decontaminate, op4_exact_dedup, op6_best_fit_pack, op7_url_filter, op8_dart_minhash, op10_quality)
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
