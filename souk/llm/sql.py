@@ -67,7 +67,19 @@ SELECT p.page_id, host, path, rule,
 FROM p LEFT JOIN fits USING (page_id)
 """
 
+_OP2 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+),
+g AS (SELECT body, max(page_id) AS holder FROM p WHERE n >= 1000 GROUP BY body)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.body) AS payload_digest,
+       CASE WHEN page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM p LEFT JOIN g ON p.body = g.body AND n >= 1000
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_zip": _OP2,
     "op3_decontaminate": _OP3,
     "op4_exact_dedup": _OP4,
     "op7_url_filter": _OP7,
