@@ -75,6 +75,8 @@ def map_rows(df: DataFrame, fn, schema: T.StructType | str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield fn(batch)
+            out = fn(batch)
+            if len(out):  # an empty frame's columns have no usable type
+                yield out
 
     return df.mapInPandas(run, schema)

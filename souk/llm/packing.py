@@ -162,8 +162,9 @@ def _tightest_two(left: np.ndarray, room: int) -> tuple[int, int]:
     return (int(a[best]), int(b[best])) if total[best] else (0, 0)
 
 
-def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Patterns (lengths in a sequence) with their multiplicity."""
+def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY, replace: bool = True) -> list[tuple[list[int], int]]:
+    """Patterns (lengths in a sequence) with their multiplicity; ``replace=False`` leaves out the
+    replacement of the smallest."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -175,7 +176,7 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
             pattern.append(fit)
             left[fit] -= 1
             gap -= fit
-        if gap and len(pattern) > 1:
+        if replace and gap and len(pattern) > 1:
             smallest = pattern[-1]
             a, b = _tightest_two(left, gap + smallest)
             if a + b > smallest:
@@ -193,9 +194,13 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
 
 
 def plan_of(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    # On a few hundred documents tight early sequences can cost one at the end: the plan without
+    # replacements is taken if it is smaller.
+    plans = [best_two_fit(counts, capacity, replace) for replace in (True, False)]
+    chosen = min(plans, key=lambda p: sum(times for _, times in p))
     runs: dict[int, list[tuple[int, int, int]]] = {}
     sequences = 0
-    for pattern, times in best_two_fit(counts, capacity):
+    for pattern, times in chosen:
         at = 0
         for length in pattern:
             runs.setdefault(length, []).append((times, sequences, at))
