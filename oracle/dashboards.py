@@ -78,14 +78,12 @@ SELECT m.order_month, m.monthly_revenue, p.previous_month_revenue,
        (m.monthly_revenue - p.previous_month_revenue) / NULLIF(p.previous_month_revenue, 0) AS monthly_growth_rate
 FROM m_monthly_revenue m LEFT JOIN prev p ON m.order_month = p.order_month ORDER BY m.order_month""")
 
-# Cohort matrix: the cohort retention report pivoted by month number.
-_q3 = REPORTS["q_customer_retention"]
-_q3_body_at = _q3.rindex("\nSELECT r.cohort_month")
-Q["ds_cohort_matrix"] = (
-    _q3[:_q3_body_at] + ", q3 AS (" + _q3[_q3_body_at:].replace("ORDER BY r.cohort_month, r.month_number", "") + ")\n"
-    + "PIVOT (SELECT cohort_month, cohort_size, month_number, retention_rate FROM q3) "
-      "ON month_number USING first(retention_rate) GROUP BY cohort_month, cohort_size"
-)
+# Cohort matrix: one column per month of the calendar years of the driver's order dates, 1992-1998.
+COHORT_MONTHS = 84
+_RATES = ", ".join(f'MAX(retention_rate) FILTER (WHERE month_number = {i}) AS "{i}"' for i in range(COHORT_MONTHS))
+Q["ds_cohort_matrix"] = f"""
+SELECT cohort_month, cohort_size, {_RATES}
+FROM ({REPORTS["q_customer_retention"]}) AS retention GROUP BY cohort_month, cohort_size"""
 
 Q["ds_repeat_share"] = mart_sql(f"""
 , g AS (SELECT COALESCE(repeat_customer, FALSE) AS rc, COUNT(*) AS customers,

@@ -29,7 +29,7 @@ RETAIL_VIEWS: dict[str, str] = {
                o.o_orderdate + (20 + o.o_orderkey % 40) * INTERVAL '1' DAY AS order_estimated_delivery_date
         FROM orders o""",
     "r_customers": """
-        SELECT c_custkey AS customer_id, c_custkey % 1000 AS customer_unique_id,
+        SELECT c_custkey AS customer_id, CAST(FLOOR(c_custkey / 2.0) AS BIGINT) AS customer_unique_id,
                CAST(c_nationkey AS VARCHAR) AS customer_zip_code_prefix,
                n_name AS customer_city, r_name AS customer_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -52,9 +52,8 @@ RETAIL_VIEWS: dict[str, str] = {
                CAST(p_retailprice AS DECIMAL(18,2)) AS unit_cost
         FROM part""",
     "r_category_translation": """
-        SELECT * FROM (VALUES ('STANDARD','standard goods'), ('SMALL','small goods'),
-            ('MEDIUM','medium goods'), ('LARGE','large goods'), ('ECONOMY','economy goods'))
-            AS t(product_category_name, product_category_name_english)""",
+        SELECT DISTINCT p_type AS product_category_name, lower(p_type) || ' goods' AS product_category_name_english
+        FROM part WHERE p_type <> 'PROMO'""",
     "r_order_payments": """
         SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential, l_returnflag AS payment_type,
                CAST(1 + l_quantity % 10 AS INT) AS payment_installments,

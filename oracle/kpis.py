@@ -33,9 +33,6 @@ SELECT 'profit_margin' AS metric,
        CAST(COALESCE(SUM(CAST(COALESCE(revenue, 0.0) AS {DEC})), 0) AS DOUBLE) AS revenue
 FROM m_fact_order_items"""
 Q["kpi_profit_margin_with_cost"] = mart_sql(_PM)
-Q["kpi_profit_margin"] = mart_sql("""
-SELECT 'profit_margin' AS metric, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS gross_profit,
-       'No cost column available in source data' AS note""")
 
 
 def _group(key: str, alias: str) -> str:

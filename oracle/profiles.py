@@ -72,7 +72,7 @@ Q["eda_hist_weight"] = _histogram("SELECT CAST(product_weight_g AS DOUBLE) AS v
 Q["eda_hist_customer_revenue"] = _histogram(f"SELECT revenue AS v FROM ({CUSTOMER_METRICS})")
 
 Q["eda_review_counts"] = mart_sql("""
-SELECT review_score, COUNT(*) AS count FROM c_order_reviews GROUP BY review_score ORDER BY count DESC, review_score""")
+SELECT review_score, COUNT(*) AS count FROM c_order_reviews WHERE review_score IS NOT NULL GROUP BY review_score ORDER BY count DESC, review_score""")
 
 Q["eda_weekday_counts"] = mart_sql("""
 , days AS (SELECT * FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'), (4, 'Friday'),
@@ -85,7 +85,7 @@ Q["eda_monthly_trend"] = mart_sql(f"""
 SELECT order_month, COUNT(DISTINCT order_id) AS orders, CAST(SUM(CAST(order_value AS {DEC})) AS DOUBLE) AS revenue
 FROM m_fact_orders WHERE order_month IS NOT NULL GROUP BY order_month ORDER BY order_month""")
 
-# Numeric columns of the two correlated marts, in schema order.
+# Numeric columns of the correlated tables, in schema order; reviews have only one.
 CORR_COLUMNS = {
     "orders": ("m_fact_orders", [
         "total_items", "unique_products", "unique_sellers", "gross_item_value", "gross_freight_value",
@@ -95,6 +95,12 @@ CORR_COLUMNS = {
         "delivery_time_days", "approval_time_hours", "delivery_delay_days", "month", "quarter", "year",
         "monthly_revenue",
     ]),
+    "order_items": ("m_fact_order_items", [
+        "order_item_id", "price", "freight_value", "item_total_value", "freight_share", "product_name_length",
+        "product_description_length", "product_photos_qty", "product_weight_g", "product_length_cm",
+        "product_height_cm", "product_width_cm", "product_volume_cm3", "product_density_g_per_cm3", "seller_items",
+        "seller_unique_orders", "seller_revenue", "seller_freight", "revenue", "profit_margin",
+    ]),
     "products": ("m_dim_products", [
         "product_name_length", "product_description_length", "product_photos_qty", "product_weight_g",
         "product_length_cm", "product_height_cm", "product_width_cm", "product_volume_cm3",

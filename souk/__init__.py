@@ -7,7 +7,6 @@ Layers (all lazy DataFrames, planned by Catalyst):
 * ``souk.operators`` — cleaning steps, exact distributed rank/median, profiling operators
 * ``souk.plans``     — cleaning pipelines, feature marts, KPIs, SQL-pack reports,
                        BI measures, dashboard data sets and EDA summaries
-* ``souk.streaming`` — incremental refresh of the marts with Structured Streaming
 """
 
 __version__ = "0.1.0"

@@ -1,9 +1,8 @@
 """Reusable cleaning steps: names, checks, typed parsing, fills, de-duplication, zips.
 
 Everything is a DataFrame -> DataFrame function built from built-in expressions. Fill
-statistics (medians, modes) are computed in one distributed pass per table and enter the
-row expressions as a scalar subquery, so no statistic is collected to the driver and no
-one-row cross join is needed.
+statistics (medians, modes) come from one written table of value counts and enter the row
+expressions as scalar subqueries of one row.
 """
 
 from __future__ import annotations
@@ -11,12 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk.functions.numeric import half_even_long
-from souk.operators.ranking import prefix_counts
+from souk.operators.ranking import write_ranges
 
 
 class ValidationError(RuntimeError):
@@ -32,9 +31,8 @@ NA_TOKENS = (
 
 # ----------------------------------------------------------------------------- names (P1-P3)
 def snake_case(name: str) -> str:
-    """Lower snake_case: trim, lower, non-alphanumerics to '_', collapse and strip '_'."""
-    s = re.sub(r"[^0-9a-zA-Z]+", "_", name.strip().lower())
-    return re.sub(r"_+", "_", s).strip("_")
+    """The ASCII letter and digit runs of a name, lower-cased, joined by single underscores."""
+    return "_".join(re.findall(r"[0-9a-z]+", name.lower()))
 
 
 def standardize_names(df: DataFrame) -> DataFrame:
@@ -61,15 +59,14 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 def require_columns(df: DataFrame, columns: Iterable[str], table: str | None = None) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        where = f" in table '{table}'" if table else ""
-        raise ValidationError(f"Missing required columns{where}: {', '.join(missing)}")
+        raise ValidationError(f"{table or 'table'} lacks the columns {missing}")
     return df
 
 
 def require_tables(tables: dict, names: Iterable[str]) -> None:
     missing = sorted(set(names) - set(tables))
     if missing:
-        raise ValidationError(f"Missing expected tables: {', '.join(missing)}")
+        raise ValidationError(f"these tables were not given: {missing}")
 
 
 def first_present(columns: Iterable[str], candidates: Sequence[str]) -> str | None:
@@ -88,13 +85,24 @@ def nullify_na_tokens(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
+#: Decimal and exponent notation; excludes the type suffixes and hexadecimal that the engine's
+#: own cast would take.
+NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def parse_number(text: Column) -> Column:
+    """Text to DOUBLE; NULL unless it is written as a plain number."""
+    bare = F.trim(text)
+    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
+
+
 def coerce_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Numeric parse; values that do not parse become NULL. Missing columns are skipped."""
     out = {}
     for c in columns:
         if c not in df.columns:
             continue
-        out[c] = F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)") if _is_string(df, c) else F.col(c).cast("double")
+        out[c] = parse_number(F.col(c)) if _is_string(df, c) else F.col(c).cast("double")
     return df.withColumns(out) if out else df
 
 
@@ -115,85 +123,91 @@ def to_half_even_long(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: half_even_long(c) for c in columns if c in df.columns})
 
 
+def zip_prefix(c: Column) -> Column:
+    """Zip prefix as text: without a trailing '.0' left by numeric parsing, NULL -> '00000'."""
+    return F.coalesce(F.regexp_replace(c.cast("string"), r"\.0$", ""), F.lit("00000"))
+
+
 def normalize_zip(df: DataFrame, column: str) -> DataFrame:
-    """Zip prefix as text: drop a trailing '.0' left by numeric parsing, NULL -> '00000'."""
-    if column not in df.columns:
-        return df
-    z = F.regexp_replace(F.col(column).cast("string"), r"\.0$", "")
-    return df.withColumn(column, F.coalesce(z, F.lit("00000")))
+    return df.withColumn(column, zip_prefix(F.col(column))) if column in df.columns else df
 
 
 # ----------------------------------------------------------------------------- statistics
-def _long_form(df: DataFrame, columns: Sequence[str], value_type: str) -> DataFrame:
-    """(column name, value) pairs for the non-NULL values of ``columns``."""
+def value_counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str] = ()) -> DataFrame:
+    """The distinct non-NULL values of the columns with how often each occurs, counted in one
+    scan with map-side sums and written once in ranges of (name, number): ``name``, ``number`` or
+    ``text``, ``n``, ``range``. A range is a contiguous slice of a column's values; their number
+    is that of the shuffle's partitions."""
     # stack() emits the records without materialising an array per input row.
-    args = ", ".join(f"'{c}', CAST(`{c}` AS {value_type.upper()})" for c in columns)
-    return df.selectExpr(f"stack({len(columns)}, {args}) AS (name, value)").where(F.col("value").isNotNull())
+    records = [f"'{c}', CAST(`{c}` AS DOUBLE), CAST(NULL AS STRING)" for c in numbers]
+    records += [f"'{c}', CAST(NULL AS DOUBLE), CAST(`{c}` AS STRING)" for c in texts]
+    long = df.selectExpr(f"stack({len(records)}, {', '.join(records)}) AS (name, number, text)")
+    long = long.where("number IS NOT NULL OR text IS NOT NULL")
+    counts = long.groupBy("name", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+    return write_ranges(counts, "name", "number")
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column name with the interpolated median of its non-NULL values.
-
-    One pass for all columns: values are stacked into (name, value), collapsed to counts per
-    distinct value (partial aggregation absorbs hot values), and each column's middle
-    position is found from exact running counts over value ranges.
-    """
-    counts = _long_form(df, columns, "double").groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.groupBy("name").agg(F.sum("_n").alias("_total"))
-    placed = prefix_counts(counts, "value", "_n", descending=False, group="name").join(
-        F.broadcast(totals), "name"
-    )
-    lo = F.floor((F.col("_total") - 1) / 2)
-    hi = F.ceil((F.col("_total") - 1) / 2)
-    start, stop = F.col("_before"), F.col("_before") + F.col("_n")
-
-    def covers(pos: Column) -> Column:
-        return (start <= pos) & (stop > pos)
-
-    picked = placed.where(covers(lo) | covers(hi)).groupBy("name").agg(
-        F.min(F.when(covers(lo), F.col("value"))).alias("_lo"),
-        F.max(F.when(covers(hi), F.col("value"))).alias("_hi"),
-    )
-    return picked.select("name", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)).alias("median"))
-
-
-def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column name with its most frequent non-NULL value as text; ties go to
-    the smallest value. Counting is a distributed aggregate per (name, value)."""
-    counts = _long_form(df, columns, "string").groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    # Highest count first, then the smallest value: the minimum of (-count, value).
-    best = F.min(F.struct((-F.col("_n")).alias("k"), F.col("value").alias("v")))
-    return counts.groupBy("name").agg(best["v"].alias("mode"))
+    """One row per column name with the interpolated median of its non-NULL values."""
+    return medians_of(value_counts(df, columns))
+
+
+def medians_of(counts: DataFrame) -> DataFrame:
+    """The medians from written value counts. Sums per range tell which range holds a column's
+    middle; only that range's values are put in order."""
+    numbers = counts.where("number IS NOT NULL")
+    sizes = numbers.groupBy("name", "range").agg(F.sum("n").alias("size"))
+    whole = Window.partitionBy("name")  # a row per range
+    sizes = sizes.withColumn("total", F.sum("size").over(whole))
+    before = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    lo, hi = F.floor((F.col("total") - 1) / 2), F.ceil((F.col("total") - 1) / 2)
+    middle = sizes.where((F.col("start") <= hi) & (F.col("start") + F.col("size") > lo))
+    rows = numbers.join(middle.select("name", "range", "start", "total"), ["name", "range"])
+    inside = Window.partitionBy("name", "range").orderBy("number")
+    stop = F.col("start") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("stop", stop).withColumn("first", F.col("stop") - F.col("n"))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("first") <= place) & (F.col("stop") > place), F.col("number")))
+
+    both = rows.groupBy("name").agg(at(lo).alias("a"), at(hi).alias("b"))
+    return both.select("name", (F.col("a") + (F.col("b") - F.col("a")) * F.lit(0.5)).alias("median"))
+
+
+def modes_of(counts: DataFrame) -> DataFrame:
+    """The most frequent text per column name from written value counts; ties: the smallest."""
+    best = F.min(F.struct((-F.col("n")).alias("k"), F.col("text").alias("v")))
+    return counts.where("text IS NOT NULL").groupBy("name").agg(best["v"].alias("mode"))
+
+
+def fill_missing(df: DataFrame, medians: Sequence[str], modes: dict[str, str]) -> DataFrame:
+    """NULL -> the column's median (0 without values), or its most frequent text (the given
+    default without values). All statistics come from one scan."""
+    if not medians and not modes:
+        return df
+    counts = value_counts(df, medians, list(modes))
+    fills: dict[str, Column] = {}
+    if medians:
+        row = _one_row(medians_of(counts), "median", medians)
+        fills |= {c: F.coalesce(F.col(c), row.getField(c), F.lit(0.0)) for c in medians}
+    if modes:
+        row = _one_row(modes_of(counts), "mode", list(modes))
+        fills |= {c: F.coalesce(F.col(c).cast("string"), row.getField(c), F.lit(d)) for c, d in modes.items()}
+    return df.withColumns(fills)
 
 
-def _stats_row(stats: DataFrame, key: str, columns: Sequence[str]) -> Column:
-    """The (name -> statistic) rows as one struct scalar subquery."""
-    fields = [F.max(F.when(F.col("name") == c, F.col(key))).alias(c) for c in columns]
-    return stats.agg(F.struct(*fields)).scalar()
+def _one_row(stats: DataFrame, key: str, columns: Sequence[str]) -> Column:
+    """(name, statistic) rows as one struct, a scalar subquery."""
+    return stats.agg(F.struct(*[F.max(F.when(F.col("name") == c, F.col(key))).alias(c) for c in columns])).scalar()
 
 
 def fill_numeric_median(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """NULL -> column median (0 when the column has no value)."""
-    cols = [c for c in columns if c in df.columns]
-    if not cols:
-        return df
-    med = _stats_row(column_medians(df, cols), "median", cols)
-    return df.withColumns({c: F.coalesce(F.col(c), med.getField(c), F.lit(0.0)) for c in cols})
+    return fill_missing(df, [c for c in columns if c in df.columns], {})
 
 
 def fill_categorical_mode(df: DataFrame, columns: Iterable[str], default: str = "Unknown") -> DataFrame:
-    """NULL -> most frequent value of the column (``default`` when it has none); text type."""
-    cols = [c for c in columns if c in df.columns]
-    if not cols:
-        return df
-    mode = _stats_row(column_modes(df, cols), "mode", cols)
-    return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("string"), mode.getField(c), F.lit(default)) for c in cols}
-    )
-
-
-def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items() if c in df.columns})
+    return fill_missing(df, [], {c: default for c in columns if c in df.columns})
 
 
 # ----------------------------------------------------------------------------- rows (X1, X8, X9)

@@ -1,32 +1,18 @@
-"""Exact global rank, top-n and median without a single-partition window.
+"""Exact global rank, running sums and top-n without a single-partition window.
 
-A window with ``ORDER BY`` and no ``PARTITION BY`` sends every row to one task. Here the
-global order is split into value ranges instead:
-
-1. rows are collapsed to one row per distinct value with its multiplicity (a partial
-   aggregate, so a value held by a third of all rows becomes one row);
-2. approximate quantiles of the distinct values (a scalar subquery returning ``buckets - 1``
-   boundaries) cut the value axis into ``buckets`` ranges; equal values always share a range;
-3. each range computes running counts locally (window partitioned by range), and the sizes
-   of the ranges before it (a ``buckets``-row table, broadcast) give the global offset.
-
-The result is exact — quantiles only balance the work, they never decide a value.
+A window with ``ORDER BY`` and no ``PARTITION BY`` sends every row to one task. Here rows are
+first collapsed to one per distinct value (a partial aggregate, so a value held by a third of
+all rows becomes one row), and these are written once in value order, cut into as many ranges
+as the shuffle has partitions. Running sums are taken within each range, and the sums of the
+ranges before it, one row each, give the rest.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.session import ensure_checkpoint_dir
-
-DEFAULT_BUCKETS = 16
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from souk.session import written
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
@@ -34,101 +20,38 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _bucket_of(value: Column, bounds: Column, n_bounds: int, descending: bool) -> Column:
-    """Index of the value range holding ``value`` (0 = first range in the order)."""
-    if n_bounds == 0:
-        return F.lit(0)
-    terms = []
-    for i in range(1, n_bounds + 1):
-        b = F.element_at(bounds, i)
-        passed = (b > value) if descending else (b < value)
-        terms.append(F.when(passed, 1).otherwise(0))
-    return reduce(lambda a, b: a + b, terms)
+def write_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` written in ``order``, with the number of its range in the new column ``range``.
+    Range boundaries are sampled, so what follows reads the written rows only."""
+    ranged = df.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    return written(ranged, "ranges")
 
 
-def prefix_counts(
-    counts: DataFrame,
-    value: str,
-    weight: str,
-    descending: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
-    group: str | None = None,
-) -> DataFrame:
-    """For one row per distinct non-NULL ``value`` (per ``group`` when given) with
-    multiplicity ``weight``, add ``_before``: the total weight of all values strictly ahead
-    of it in the order (within its group).
+def running_sums(counts: DataFrame, value: str, weight: str, descending: bool = False) -> DataFrame:
+    """For one row per distinct non-NULL ``value`` with its ``weight``, add ``_before``: the
+    weight of all values strictly ahead of it in the order."""
+    rows = write_ranges(counts, value)
 
-    With ``group``, the groups must be few (e.g. column names): their range boundaries form
-    a table of one row per group, broadcast to the counts.
-    """
-    qs = [i / buckets for i in range(1, buckets)]
-    v = F.col(value)
-    if group is None:
-        bounds = counts.agg(F.percentile_approx(value, qs, 10_000)).scalar()
-        tagged = counts.withColumn("_bucket", _bucket_of(v, bounds, len(qs), descending))
-        keys: list[str] = []
-    else:
-        per_group = counts.groupBy(group).agg(F.percentile_approx(value, qs, 10_000).alias("_bounds"))
-        tagged = counts.join(F.broadcast(per_group), group).withColumn(
-            "_bucket", _bucket_of(v, F.col("_bounds"), len(qs), descending)
-        ).drop("_bounds")
-        keys = [group]
-    sizes = tagged.groupBy(*keys, "_bucket").agg(F.sum(weight).alias("_bucket_weight"))
-    # At most `buckets` rows per group: this window's partitions are bounded.
-    before_bucket = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_bucket_weight").over(before_bucket), F.lit(0)).alias("_offset")
-    )
-    ordered = v.desc() if descending else v.asc()
-    within = Window.partitionBy(*keys, "_bucket").orderBy(ordered).rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(within), F.lit(0)))
-    return (
-        local.join(F.broadcast(offsets), [*keys, "_bucket"])
-        .withColumn("_before", (F.col("_offset") + F.col("_local")).cast("bigint"))
-        .drop("_bucket", "_offset", "_local")
-    )
+    def ahead(window) -> Window:
+        return window.rowsBetween(Window.unboundedPreceding, -1)
 
+    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    sizes = rows.groupBy("range").agg(F.sum(weight).alias("_size"))
+    # A row per range: this window has no more rows than the shuffle has partitions.
+    offset = F.coalesce(F.sum("_size").over(ahead(Window.orderBy(direction("range")))), F.lit(0))
+    offsets = sizes.select("range", offset.alias("_offset"))
+    inside = F.sum(weight).over(ahead(Window.partitionBy("range").orderBy(direction(value))))
+    placed = rows.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(offsets), "range")
+    return placed.withColumn("_before", F.col("_offset") + F.col("_inside")).drop("range", "_offset", "_inside")
 
-def global_rank(
-    df: DataFrame,
-    value: str,
-    out: str,
-    descending: bool = True,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """SQL ``RANK() OVER (ORDER BY value [DESC] NULLS LAST)`` as column ``out``."""
+
+def global_rank(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
+    """SQL ``RANK() OVER (ORDER BY value [DESC] NULLS LAST)`` as column ``out``. ``df`` is used
+    three times; give it written if it is not a cheap scan."""
     v = F.col(value)
     counts = df.where(v.isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    # The distinct-value table feeds several small steps (quantile bounds, range sizes,
-    # running counts, the NULL rank); a reliable checkpoint (under spark.checkpoint.dir)
-    # computes it from the input once instead of once per step.
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = counts.checkpoint(eager=True)
-    ranks = prefix_counts(counts, value, "_n", descending, buckets).select(
-        value, (F.col("_before") + 1).alias(out)
-    )
-    null_rank = counts.agg((F.coalesce(F.sum("_n"), F.lit(0)) + 1).alias("r")).scalar()
+    ranks = running_sums(counts, value, "_n", descending).select(value, (F.col("_before") + 1).alias(out))
+    null_rank = df.agg(F.count(value) + 1).scalar()
     return df.join(ranks, value, "left").withColumn(
         out, F.when(v.isNull(), null_rank).otherwise(F.col(out)).cast("int")
     )
-
-
-def exact_median(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One-row DataFrame with the interpolated median of the non-NULL values (NULL if none).
-
-    Equal to ``percentile(value, 0.5)``, but memory per task is bounded by the number of
-    distinct values in one value range rather than all distinct values in one task.
-    """
-    v = F.col(value)
-    counts = df.where(v.isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    n = counts.agg(F.sum("_n")).scalar()
-    lo = F.floor((n - 1) / 2)
-    hi = F.ceil((n - 1) / 2)
-    placed = prefix_counts(counts, value, "_n", False, buckets)
-    start, stop = F.col("_before"), F.col("_before") + F.col("_n")
-    covers = lambda pos: (start <= pos) & (stop > pos)
-    picked = placed.where(covers(lo) | covers(hi)).agg(
-        F.min(F.when(covers(lo), v)).cast("double").alias("_lo"),
-        F.max(F.when(covers(hi), v)).cast("double").alias("_hi"),
-    )
-    return picked.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)).alias("median"))

@@ -11,9 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.plans import cleaning, eda, kpis, layers, marts, measures, quality, reports
-from souk.sources.fixtures import load_retail
-from souk.sources.raw import load_raw
+from souk.plans import cleaning, eda, kpis, layers, measures, quality, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,14 +46,10 @@ for _name, _fn in [
 
 # --------------------------------------------------------------------- cleaning pipelines
 def _clean_query(table: str) -> Query:
-    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = layers.raw_layer(spark, sf_dir)[table]
-        return cleaning.CLEANERS[table](cleaning.normalize_read(raw))
-
-    return build
+    return lambda spark, sf_dir: layers.cleaned_layer(spark, sf_dir)[table]
 
 
-for _table in cleaning.CLEANERS:
+for _table in cleaning.SPECS:
     register(f"clean_{_table}", _clean_query(_table))
 
 
@@ -74,23 +68,13 @@ for _mart in ("fact_orders", "fact_order_items", "dim_customers", "dim_products"
 
 
 # --------------------------------------------------------------------- KPIs
-def _kpi(fn, bundle_fn=None) -> Query:
-    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        b = layers.mart_layer(spark, sf_dir)
-        return fn(bundle_fn(b) if bundle_fn else b)
-
-    return build
-
-
-def _without_cost(b: marts.FeatureBundle) -> marts.FeatureBundle:
-    items = b.fact_order_items.drop(*[c for c in marts.COST_COLUMNS if c in b.fact_order_items.columns])
-    return marts.FeatureBundle(**{**b.as_dict(), "fact_order_items": items})
+def _kpi(fn) -> Query:
+    return lambda spark, sf_dir: fn(layers.mart_layer(spark, sf_dir))
 
 
 register("kpi_total_revenue", _kpi(kpis.total_revenue))
 register("kpi_total_orders", _kpi(kpis.total_orders))
 register("kpi_average_order_value", _kpi(kpis.average_order_value))
-register("kpi_profit_margin", _kpi(kpis.profit_margin, _without_cost))
 register("kpi_profit_margin_with_cost", _kpi(kpis.profit_margin))
 register("kpi_top_categories", _kpi(kpis.top_categories))
 register("kpi_top_sellers", _kpi(kpis.top_sellers))
@@ -138,7 +122,7 @@ register("eda_review_counts", lambda spark, d: eda.value_counts(layers.cleaned_l
                                                                 "review_score"))
 register("eda_weekday_counts", _on_marts(eda.weekday_counts))
 register("eda_monthly_trend", _on_marts(eda.monthly_trend))
-register("eda_correlation", _on_marts(lambda b: eda.correlation({"orders": b.fact_orders, "products": b.dim_products})))
+register("eda_correlation", _on_marts_and_clean(lambda b, c: eda.correlation(eda.correlation_tables(b, c))))
 register("eda_top_states", _on_marts(eda.top_states))
 register("eda_customer_metrics", _on_marts(eda.top_customers))
 register("eda_repeat_counts", _on_marts(eda.repeat_counts))

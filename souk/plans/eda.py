@@ -8,8 +8,11 @@ with ``unionByName``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,7 +131,7 @@ def customer_metrics(b: FeatureBundle) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), column)
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), column)
 
 
 # Calendar order of weekday names.
@@ -164,42 +167,69 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def correlation_tables(b: FeatureBundle, cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "orders": b.fact_orders,
+        "order_items": b.fact_order_items,
+        "products": b.dim_products,
+        "reviews": cleaned["order_reviews"],
+    }
+
+
+def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column pair the sums over the rows where both have a value: n, x, y, xx, yy, xy, of
+    values taken relative to the column's minimum. Each task reduces its batches with matrix
+    products and emits one row per pair."""
+    n = len(cols)
+    first, second = np.triu_indices(n, 1)
+    base = df.agg(F.array(*[F.min(F.col(c).cast("double")) for c in cols])).scalar()
+
+    def reduce_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(first)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            has = np.isfinite(x).astype(float)
+            x = np.where(has > 0, x, 0.0)
+            sums = (has.T @ has, x.T @ has, (x * x).T @ has, x.T @ x)
+            parts = (sums[0], sums[1], sums[1].T, sums[2], sums[2].T, sums[3])
+            total += np.array([p[first, second] for p in parts])
+        names = ["n", "x", "y", "xx", "yy", "xy"]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(first))), *map(pa.array, total)], names=["pair", *names]
+        )
+
+    shifted = df.select(*[(F.col(c).cast("double") - base[i]).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = shifted.mapInArrow(reduce_batches, "pair long, n double, x double, y double, xx double, yy double, xy double")
+    return rows.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+
 def correlation(tables: dict[str, DataFrame]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of the numeric columns within each table;
-    NULL where a column has no spread.
-
-    Each row emits one (pair, x, y) record per column pair, consumed in the same stage by a
-    grouped ``corr`` whose partial aggregate keeps one small buffer per pair — a single
-    scan per table, one compact generated aggregate, and only pairs-many rows shuffled. (A
-    wide aggregate with hundreds of ``corr`` buffers exceeds the code generator's field
-    limit and runs interpreted.)"""
+    """Pairwise-complete Pearson correlation of the numeric columns within each table; NULL
+    where a column has no spread. A table is read twice: for the columns' minima, and for sums
+    of products that one task reduces to a row per column pair."""
     parts = []
     for name, df in tables.items():
         cols = numeric_columns(df)
         pairs = [(a, c) for i, a in enumerate(cols) for c in cols[i + 1:]]
         if not pairs:
             continue
-        # stack() emits the (pair index, x, y) records without building an array per row.
-        args = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{c}` AS DOUBLE)" for i, (a, c) in enumerate(pairs))
-        records = df.selectExpr(f"stack({len(pairs)}, {args}) AS (pair, x, y)")
-        names_a = F.array(*[F.lit(a) for a, _ in pairs])
-        names_b = F.array(*[F.lit(c) for _, c in pairs])
+        n = F.col("n")
+        spread_x, spread_y = n * F.col("xx") - F.col("x") * F.col("x"), n * F.col("yy") - F.col("y") * F.col("y")
+        # Rounding leaves a trace of spread where there is none.
+        some = (spread_x > n * F.col("xx") * 1e-13) & (spread_y > n * F.col("yy") * 1e-13)
+        r = F.when(some, (n * F.col("xy") - F.col("x") * F.col("y")) / (F.sqrt(spread_x) * F.sqrt(spread_y)))
+        names_a, names_b = (F.array(*[F.lit(p[k]) for p in pairs]) for k in (0, 1))
         parts.append(
-            records.groupBy("pair")
-            .agg(F.corr("x", "y").alias("r"))
-            .select(
+            _moments(df, cols).select(
                 F.lit(name).alias("table"),
-                F.element_at(names_a, F.col("pair") + 1).alias("column_a"),
-                F.element_at(names_b, F.col("pair") + 1).alias("column_b"),
-                "r",
+                F.get(names_a, F.col("pair")).alias("column_a"),
+                F.get(names_b, F.col("pair")).alias("column_b"),
+                _round(r, 4).alias("correlation"),
             )
         )
-    out = reduce(DataFrame.unionByName, parts)
-    r = F.col("r")
-    return out.select(
-        "table", "column_a", "column_b",
-        F.when(~F.isnan(r), _round(r, 4)).alias("correlation"),
-    ).orderBy("table", "column_a", "column_b")
+    return reduce(DataFrame.unionByName, parts).orderBy("table", "column_a", "column_b")
 
 
 def _state_summary(b: FeatureBundle) -> DataFrame:

@@ -39,8 +39,8 @@ def total_revenue(b: FeatureBundle) -> DataFrame:
 def total_orders(b: FeatureBundle) -> DataFrame:
     return b.fact_orders.agg(
         F.lit("total_orders").alias("metric"),
-        F.count_distinct("order_id").alias("value"),
-        F.count_distinct(F.when(F.col("order_status") == "delivered", F.col("order_id"))).alias("delivered_orders"),
+        F.count("order_id").alias("value"),  # one fact row per order
+        F.count_if((F.col("order_status") == "delivered") & F.col("order_id").isNotNull()).alias("delivered_orders"),
     )
 
 
@@ -83,7 +83,7 @@ def profit_margin(b: FeatureBundle) -> DataFrame:
 def _category_column(df: DataFrame) -> str:
     c = op.first_present(df.columns, CATEGORY_COLUMNS)
     if c is None:
-        raise KPIError("No category column found in fact_order_items.")
+        raise KPIError(f"fact_order_items has none of {CATEGORY_COLUMNS}")
     return c
 
 

@@ -1,96 +1,110 @@
-"""Materialized layers: cleaned tables and feature marts written once per session.
-
-The workflow has natural persistence points — cleaned tables and marts are written and
-then re-read by the next layer. Here each layer is written as Parquet under the session's
-reliable checkpoint directory (``spark.checkpoint.dir``, a shared folder on a cluster) and
-read back, which
-
-* cuts the lineage, so downstream plans do not re-run cleaning statistics per reference
-  and a lost executor only recomputes from the written files;
-* gives later scans column pruning, filter pushdown and real size statistics (AQE and the
-  broadcast threshold see actual sizes).
+"""Layers: retail views, raw text tables, cleaned tables and feature marts.
+
+Retail and raw tables are views over the driver's Parquet files; reports plan straight over
+them, so a report reads the columns of the tables it needs and nothing is copied. Cleaned tables
+and marts are the workflow's own persistence points. Each is written as Parquet under the
+session's shared checkpoint folder the first time a query asks for it, after those it is built
+from, and read back: statistics and joins run once, lineage ends there, and later plans see
+real sizes.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from souk.plans import cleaning, marts
-from souk.session import ensure_checkpoint_dir
+from souk.session import written
 from souk.sources.fixtures import RetailTables, load_retail
 from souk.sources.raw import raw_from_retail
 
-_LAYERS: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+_TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _materialize(
-    spark: SparkSession, frames: dict[str, DataFrame], layer: str, spread: bool = False
-) -> dict[str, DataFrame]:
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-{layer}-{uuid.uuid4().hex[:12]}"
-    out = {}
-    for name, df in frames.items():
-        if spread:
-            df = spread_if_narrow(df)
-        path = f"{base}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return out
+class Layer(Mapping):
+    """Tables by name, each built and written when it is first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, layer: str, builders: dict[str, Callable[[], DataFrame]]):
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        self._done = _TABLES.setdefault(key, {})
+        self._layer = layer
+        self._builders = builders
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin an ingest whose source arrived in fewer splits than the cluster has
-    cores (e.g. one unsplittable file), so later stages read it in parallel. Inputs that are
-    already split are written as they are — no shuffle at scale."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    def __getitem__(self, name: str) -> DataFrame:
+        build = self._builders[name]
+        label = f"{self._layer}-{name}"
+        if label not in self._done:
+            self._done[label] = written(build(), label)
+        return self._done[label]
 
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
 
-def _key(spark: SparkSession, sf_dir: str, layer: str) -> tuple[str, str, str]:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), layer)
+    def __len__(self) -> int:
+        return len(list(iter(self)))
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
 
-def retail_layer(spark: SparkSession, sf_dir: str) -> RetailTables:
-    """The nine retail tables loaded once (what the SQL report pack queries): the views
-    over the driver tables are written as Parquet, so every report scans loaded tables
-    in parallel with column pruning instead of re-deriving them."""
-    key = _key(spark, sf_dir, "retail")
-    if key not in _LAYERS:
-        _LAYERS[key] = _materialize(spark, load_retail(spark, sf_dir).as_dict(), "retail", spread=True)
-    return RetailTables(**_LAYERS[key])
 
+class MartLayer(Layer):
+    """The marts, also by attribute like a ``FeatureBundle``; tables that only serve others are
+    not listed."""
 
-def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine raw text tables, ingested once to Parquet (the 'convert the CSV export once'
-    step): cleaning then reads splittable, column-pruned files instead of re-deriving text."""
-    key = _key(spark, sf_dir, "raw")
-    if key not in _LAYERS:
-        _LAYERS[key] = _materialize(spark, raw_from_retail(retail_layer(spark, sf_dir)), "raw", spread=True)
-    return _LAYERS[key]
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        return self[name]
 
+    def __iter__(self) -> Iterator[str]:
+        return (f.name for f in fields(marts.FeatureBundle))
 
-def cleaned_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine cleaned tables over the raw layer (written once)."""
-    key = _key(spark, sf_dir, "clean")
-    if key not in _LAYERS:
-        _LAYERS[key] = _materialize(spark, cleaning.clean_all(raw_layer(spark, sf_dir)), "clean")
-    return _LAYERS[key]
+    def as_dict(self) -> dict[str, DataFrame]:
+        return dict(self)
 
 
-def mart_layer(spark: SparkSession, sf_dir: str) -> marts.FeatureBundle:
-    """The seven marts over the cleaned layer (written once)."""
-    key = _key(spark, sf_dir, "marts")
-    if key not in _LAYERS:
-        bundle = marts.build_feature_bundle(cleaned_layer(spark, sf_dir))
-        _LAYERS[key] = _materialize(spark, bundle.as_dict(), "marts")
-    return marts.FeatureBundle(**_LAYERS[key])
+def retail_layer(spark: SparkSession, sf_dir: str) -> RetailTables:
+    return load_retail(spark, sf_dir)
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return raw_from_retail(load_retail(spark, sf_dir))
+
+
+def cleaned_layer(spark: SparkSession, sf_dir: str) -> Layer:
+    raw = raw_layer(spark, sf_dir)
+    return Layer(spark, sf_dir, "clean", {name: (lambda n=name: cleaning.clean_table(n, raw[n])) for name in cleaning.SPECS})
+
+
+def mart_layer(spark: SparkSession, sf_dir: str) -> MartLayer:
+    """Order-grain sums are written once and serve fact_orders, dim_customers and
+    monthly_revenue; products' features and dim_sellers serve fact_order_items."""
+    c = cleaned_layer(spark, sf_dir)
+    builders: dict[str, Callable[[], DataFrame]] = {}
+    m = MartLayer(spark, sf_dir, "mart", builders)
+    builders |= {
+        "order_base": lambda: marts.order_base(
+            c["orders"], c["order_items"], c["order_payments"], c["order_reviews"]
+        ),
+        "customer_base": lambda: marts.customer_base(m["order_base"]),
+        "product_base": lambda: marts.product_features(c["products"], c["category_translation"]),
+        "fact_orders": lambda: marts.fact_orders_from(m["order_base"], m["customer_base"], m["monthly_revenue"]),
+        "fact_order_items": lambda: marts.fact_order_items_from(
+            c["order_items"], c["orders"], m["product_base"], m["dim_sellers"]
+        ),
+        "dim_customers": lambda: marts.dim_customers_from(c["customers"], m["customer_base"]),
+        "dim_products": lambda: marts.dim_products_from(m["product_base"], c["order_items"]),
+        "dim_sellers": lambda: marts.build_dim_sellers(c["sellers"], c["order_items"]),
+        "monthly_revenue": lambda: marts.build_monthly_revenue(m["order_base"]),
+        "customer_kpis": lambda: marts.build_customer_kpis(m["dim_customers"]),
+    }
+    return m
 
 
 def drop_layers(spark: SparkSession | None = None) -> None:
-    """Forget materialized layers (all, or those of one session)."""
-    for key in list(_LAYERS):
+    """Forget written tables (all, or those of one session)."""
+    for key in list(_TABLES):
         if spark is None or key[0] == spark.sparkContext.applicationId:
-            del _LAYERS[key]
+            del _TABLES[key]

@@ -52,8 +52,9 @@ def zero_if_null(c: Column) -> Column:
 def order_item_summary(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("total_items"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("seller_id").alias("unique_sellers"),
+        # Sets of one order's few items; two distinct counts would expand every item row.
+        F.size(F.collect_set("product_id")).cast("bigint").alias("unique_products"),
+        F.size(F.collect_set("seller_id")).cast("bigint").alias("unique_sellers"),
         exact_sum("price").alias("gross_item_value"),
         exact_sum("freight_value").alias("gross_freight_value"),
         exact_mean("price").alias("average_item_price"),
@@ -88,51 +89,18 @@ def review_summary(reviews: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- customer-grain parts
-def customer_order_values(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """One row per order with its customer and item price sum (NULL without items)."""
-    prices = order_items.groupBy("order_id").agg(F.sum(F.col("price").cast(SUM_TYPE)).alias("order_value"))
-    # Cleaned orders are keyed by order_id, so this is one row per order.
-    return orders.select("order_id", "customer_id").join(prices, "order_id", "left")
-
-
-def customer_summary(orders: DataFrame, order_items: DataFrame, payments: DataFrame | None) -> DataFrame:
-    """customer_id -> first/last order, total_orders, span days, customer_revenue.
-
-    customer_revenue is the item price total of the customer's orders; with ``payments``
-    given, a customer whose orders have no item rows at all falls back to the payment
-    total (0 when there is none either).
-    """
-    values = customer_order_values(orders, order_items)
-    if payments is not None:
-        paid = payments.groupBy("order_id").agg(F.sum(F.col("payment_value").cast(SUM_TYPE)).alias("paid"))
-        values = values.join(paid, "order_id", "left")
-    else:
-        values = values.withColumn("paid", F.lit(None).cast(SUM_TYPE))
-    timing = orders.groupBy("customer_id").agg(
+def customer_base(order_base: DataFrame) -> DataFrame:
+    """customer_id -> first/last order, total_orders, whole days between, and the exact item and
+    payment totals of the customer's orders (NULL where no order has such rows)."""
+    per_customer = order_base.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.min("order_purchase_timestamp").alias("first_order_date"),
         F.max("order_purchase_timestamp").alias("last_order_date"),
-        F.count("order_id").alias("total_orders"),  # orders keyed by order_id: count = distinct count
-    )
-    revenue = values.groupBy("customer_id").agg(
-        F.sum("order_value").alias("_items"),
-        F.sum("paid").alias("_paid"),
-    )
-    if payments is not None:
-        customer_revenue = F.coalesce(F.col("_items"), F.col("_paid"), F.lit(0))
-    else:
-        customer_revenue = F.coalesce(F.col("_items"), F.lit(0))
-    return (
-        timing.where(F.col("customer_id").isNotNull())
-        .join(revenue, "customer_id", "left")
-        .select(
-            "customer_id",
-            "first_order_date",
-            "last_order_date",
-            "total_orders",
-            whole_days_floor("first_order_date", "last_order_date").alias("customer_span_days"),
-            customer_revenue.cast("double").alias("customer_revenue"),
-        )
+        F.count("order_id").alias("total_orders"),  # one row per order
+        F.sum(F.col("gross_item_value").cast(SUM_TYPE)).alias("item_total"),
+        F.sum(F.col("total_payment_value").cast(SUM_TYPE)).alias("payment_total"),
     )
+    span = whole_days_floor("first_order_date", "last_order_date")
+    return per_customer.withColumn("customer_span_days", span)
 
 
 # ----------------------------------------------------------------------------- product / seller parts
@@ -178,28 +146,28 @@ def profit_margin(df: DataFrame, price: str = "price") -> Column:
 
 
 # ----------------------------------------------------------------------------- marts
-def build_fact_orders(orders, order_items, payments, reviews) -> DataFrame:
-    context = customer_summary(orders, order_items, None).withColumn(
-        "average_order_value_customer",
-        F.when(F.col("total_orders") > 0, F.col("customer_revenue") / F.col("total_orders")),
-    ).withColumn("total_orders_by_customer", F.col("total_orders"))
+ORDER_DERIVED = (
+    "order_value", "average_order_value", "delivery_time_days", "approval_time_hours", "delivery_delay_days",
+    "order_month", "month", "quarter", "year", "weekday", "is_weekend_order", "late_deliveries", "monthly_revenue",
+)
+
+
+def order_base(orders, order_items, payments, reviews) -> DataFrame:
+    """One row per order with its item, payment and review sums and all that depends on the
+    order alone."""
     df = (
         orders.join(order_item_summary(order_items), "order_id", "left")
         .join(payment_summary(payments), "order_id", "left")
         .join(review_summary(reviews), "order_id", "left")
-        .join(context, "customer_id", "left")
     )
     ts = F.col("order_purchase_timestamp")
-    by_customer = F.col("total_orders_by_customer")
-    df = df.withColumns({
+    delay = days_between("order_estimated_delivery_date", "order_delivered_customer_date")
+    return df.withColumns({
         "order_value": zero_if_null(F.col("gross_item_value")) + zero_if_null(F.col("gross_freight_value")),
-    })
-    df = df.withColumns({
-        "average_order_value": F.when(by_customer > 0, F.col("customer_revenue") / by_customer)
-        .otherwise(F.col("order_value")),
         "delivery_time_days": days_between("order_purchase_timestamp", "order_delivered_customer_date"),
         "approval_time_hours": hours_between("order_purchase_timestamp", "order_approved_at"),
-        "delivery_delay_days": days_between("order_estimated_delivery_date", "order_delivered_customer_date"),
+        "delivery_delay_days": delay,
+        "late_deliveries": delay > 0,
         "order_month": month_key(ts),
         "month": F.month(ts).cast("bigint"),
         "quarter": F.quarter(ts).cast("bigint"),
@@ -207,30 +175,46 @@ def build_fact_orders(orders, order_items, payments, reviews) -> DataFrame:
         "weekday": weekday_name(ts),
         "is_weekend_order": is_weekend(ts),
     })
-    df = df.withColumn("late_deliveries", F.col("delivery_delay_days") > 0)
-    # Month totals are few rows; they are joined back on the month key (no window over
-    # the fact table, whose month partitions would be large and skewed).
-    monthly = (
-        df.where(F.col("order_month").isNotNull())
-        .groupBy("order_month")
-        .agg(F.sum(F.col("order_value").cast(SUM_TYPE)).cast("double").alias("monthly_revenue"))
+
+
+def fact_orders_from(base: DataFrame, customers: DataFrame, monthly: DataFrame) -> DataFrame:
+    """The order rows with their customer's history and their month's revenue. Months are few
+    rows and joined on the month key: a window over months would sort the fact table."""
+    revenue = F.coalesce("item_total", F.lit(0)).cast("double")
+    context = customers.select(
+        "customer_id", "first_order_date", "last_order_date", "total_orders", "customer_span_days",
+        revenue.alias("customer_revenue"),
+        F.when(F.col("total_orders") > 0, revenue / F.col("total_orders")).alias("average_order_value_customer"),
+        F.col("total_orders").alias("total_orders_by_customer"),
     )
-    return df.join(F.broadcast(monthly), "order_month", "left")
+    months = monthly.where(F.col("order_month").isNotNull()).select("order_month", "monthly_revenue")
+    df = base.join(context, "customer_id", "left").join(F.broadcast(months), "order_month", "left")
+    by_customer = F.col("total_orders_by_customer")
+    df = df.withColumn(
+        "average_order_value",
+        F.when(by_customer > 0, F.col("customer_revenue") / by_customer).otherwise(F.col("order_value")),
+    )
+    first = [c for c in (*base.columns, *context.columns[1:]) if c not in ORDER_DERIVED]
+    return df.select(*first, *ORDER_DERIVED)
+
+
+def build_fact_orders(orders, order_items, payments, reviews) -> DataFrame:
+    base = order_base(orders, order_items, payments, reviews)
+    return fact_orders_from(base, customer_base(base), build_monthly_revenue(base))
 
 
-def build_fact_order_items(order_items, orders, products, sellers, category_translation) -> DataFrame:
+def fact_order_items_from(order_items, orders, product_base, dim_sellers) -> DataFrame:
+    """Item rows with their order, their product's features and their seller's sums."""
     price, freight = F.col("price"), F.col("freight_value")
     df = order_items.withColumn("item_total_value", zero_if_null(price) + zero_if_null(freight))
     df = df.withColumn(
         "freight_share", F.when(F.col("item_total_value") != 0, freight / F.col("item_total_value"))
     ).withColumn("high_freight_flag", F.coalesce(freight > price, F.lit(False)))
-    seller_features = op.lower_trim_names(sellers).join(seller_metrics(order_items), "seller_id", "left")
+    order_part = orders.select("order_id", "customer_id", "order_purchase_timestamp", "order_status")
     df = (
-        df.join(
-            orders.select("order_id", "customer_id", "order_purchase_timestamp", "order_status"), "order_id", "left"
-        )
-        .join(product_features(products, category_translation), "product_id", "left")
-        .join(seller_features, "seller_id", "left")
+        df.join(order_part, "order_id", "left")
+        .join(product_base, "product_id", "left")
+        .join(dim_sellers, "seller_id", "left")
     )
     df = df.withColumn("revenue", F.col("item_total_value")).withColumn(
         "weekend_order", is_weekend("order_purchase_timestamp")
@@ -238,8 +222,13 @@ def build_fact_order_items(order_items, orders, products, sellers, category_tran
     return df.withColumn("profit_margin", profit_margin(df))
 
 
-def build_dim_customers(customers, orders, order_items, payments) -> DataFrame:
-    summary = customer_summary(orders, order_items, payments)
+def dim_customers_from(customers: DataFrame, base: DataFrame) -> DataFrame:
+    """Every customer with their orders; revenue falls back to payments without item rows."""
+    revenue = F.coalesce("item_total", "payment_total", F.lit(0)).cast("double")
+    summary = base.select(
+        "customer_id", "first_order_date", "last_order_date", "total_orders", "customer_span_days",
+        revenue.alias("customer_revenue"),
+    )
     df = customers.join(summary, "customer_id", "left")
     n = F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint")
     df = df.withColumn("total_orders", n)
@@ -251,13 +240,18 @@ def build_dim_customers(customers, orders, order_items, payments) -> DataFrame:
     }).withColumn("customer_lifetime_value", F.col("clv_approx"))
 
 
-def build_dim_products(products, order_items, category_translation) -> DataFrame:
+def build_dim_customers(customers, orders, order_items, payments) -> DataFrame:
+    base = orders.join(order_item_summary(order_items), "order_id", "left")
+    return dim_customers_from(customers, customer_base(base.join(payment_summary(payments), "order_id", "left")))
+
+
+def dim_products_from(product_base: DataFrame, order_items: DataFrame) -> DataFrame:
     metrics = order_items.groupBy("product_id").agg(
         F.count("order_id").alias("product_units_sold"),
         exact_sum("price").alias("product_revenue"),
         exact_sum("freight_value").alias("product_freight"),
     )
-    return product_features(products, category_translation).join(metrics, "product_id", "left")
+    return product_base.join(metrics, "product_id", "left")
 
 
 def build_dim_sellers(sellers, order_items) -> DataFrame:
@@ -303,19 +297,22 @@ class FeatureBundle:
 
 
 def build_feature_bundle(cleaned: dict[str, DataFrame]) -> FeatureBundle:
-    """All seven marts as lazy DataFrames over the cleaned tables."""
+    """All seven marts as lazy DataFrames over the cleaned tables. ``plans.layers`` builds them
+    from written intermediate tables instead."""
     op.require_tables(cleaned, REQUIRED_TABLES)
     c = cleaned
-    fact_orders = build_fact_orders(c["orders"], c["order_items"], c["order_payments"], c["order_reviews"])
-    dim_customers = build_dim_customers(c["customers"], c["orders"], c["order_items"], c["order_payments"])
+    base = order_base(c["orders"], c["order_items"], c["order_payments"], c["order_reviews"])
+    by_customer = customer_base(base)
+    monthly = build_monthly_revenue(base)
+    products = product_features(c["products"], c["category_translation"])
+    dim_sellers = build_dim_sellers(c["sellers"], c["order_items"])
+    dim_customers = dim_customers_from(c["customers"], by_customer)
     return FeatureBundle(
-        fact_orders=fact_orders,
-        fact_order_items=build_fact_order_items(
-            c["order_items"], c["orders"], c["products"], c["sellers"], c["category_translation"]
-        ),
+        fact_orders=fact_orders_from(base, by_customer, monthly),
+        fact_order_items=fact_order_items_from(c["order_items"], c["orders"], products, dim_sellers),
         dim_customers=dim_customers,
-        dim_products=build_dim_products(c["products"], c["order_items"], c["category_translation"]),
-        dim_sellers=build_dim_sellers(c["sellers"], c["order_items"]),
-        monthly_revenue=build_monthly_revenue(fact_orders),
+        dim_products=dim_products_from(products, c["order_items"]),
+        dim_sellers=dim_sellers,
+        monthly_revenue=monthly,
         customer_kpis=build_customer_kpis(dim_customers),
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from souk.functions.dates import days_between, month_key
 from souk.functions.numeric import avg4, round4
 from souk.plans import kpis, reports
+from souk.session import written
 from souk.plans.marts import CATEGORY_COLUMNS, SUM_TYPE, FeatureBundle, exact_mean
 from souk.operators import clean as op
 from souk.sources.fixtures import RetailTables
@@ -94,7 +95,7 @@ def slice_orders(b: FeatureBundle, s: Slicers) -> DataFrame:
 def _category(items: DataFrame) -> str:
     c = op.first_present(items.columns, CATEGORY_COLUMNS)
     if c is None:
-        raise kpis.KPIError("No category column found in fact_order_items.")
+        raise kpis.KPIError(f"fact_order_items has none of {CATEGORY_COLUMNS}")
     return c
 
 
@@ -210,9 +211,17 @@ def bi_month_over_month(b: FeatureBundle) -> DataFrame:
 
 # ----------------------------------------------------------------------------- data sets (G*)
 def ds_cohort_matrix(t: RetailTables) -> DataFrame:
-    """Cohort x month-number retention matrix (pivot of the cohort retention report)."""
-    r = reports.customer_retention(t)
-    return r.groupBy("cohort_month", "cohort_size").pivot("month_number").agg(F.first("retention_rate"))
+    """Cohort x month-number retention matrix. The long report is written once; its columns run
+    over the months of the calendar years from its own first to its own last month."""
+    long = written(reports.customer_retention(t), "cohort-retention")
+    last = F.max(F.add_months("cohort_month", F.col("month_number").cast("int")))
+    years = F.year(last) - F.year(F.min("cohort_month")) + 1
+    span = long.agg((years * 12).alias("span")).first()["span"]
+    rates = [
+        F.max(F.when(F.col("month_number") == i, F.col("retention_rate"))).alias(str(i))
+        for i in range(span or 1)
+    ]
+    return long.groupBy("cohort_month", "cohort_size").agg(*rates)
 
 
 def ds_repeat_share(b: FeatureBundle) -> DataFrame:
@@ -475,13 +484,14 @@ def ds_seller_concentration(b: FeatureBundle) -> DataFrame:
     the value-range prefix sums of ``souk.operators.ranking`` (no single-partition window
     over sellers); ties share one cumulative value.
     """
-    from souk.operators.ranking import global_rank, prefix_counts
+    from souk.operators.ranking import global_rank, running_sums
 
     per_seller = b.fact_order_items.where(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
         F.sum(F.col("revenue").cast(SUM_TYPE)).alias("rev")
     )
+    per_seller = written(per_seller, "seller-revenue")
     by_value = per_seller.groupBy("rev").agg(F.sum("rev").alias("_w"))
-    placed = prefix_counts(by_value, "rev", "_w", descending=True).select(
+    placed = running_sums(by_value, "rev", "_w", descending=True).select(
         "rev", (F.col("_before") + F.col("_w")).alias("_cum")
     )
     total = per_seller.agg(F.sum("rev")).scalar()

@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.numeric import round_to
-from souk.plans.cleaning import TABLE_SPECS
+from souk.plans.cleaning import SPECS
 from souk.plans.marts import SUM_TYPE, FeatureBundle
 
 # Key columns that must be unique and non-NULL after cleaning.
-CLEAN_KEYS = {name: spec["dedupe"] for name, spec in TABLE_SPECS.items() if spec["dedupe"]}
-CLEAN_KEYS["category_translation"] = ("product_category_name",)
+CLEAN_KEYS = {name: spec.keys for name, spec in SPECS.items() if spec.keys}
 CLEAN_KEYS["geolocation"] = ("geolocation_zip_code_prefix",)
 
 

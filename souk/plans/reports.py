@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from souk.functions.dates import days_between, month_start, month_index_between, whole_days_trunc
 from souk.functions.numeric import avg4, ratio, round_to, to_double
 from souk.operators.ranking import global_rank, top_n
+from souk.session import written
 from souk.sources.fixtures import RetailTables
 
 # Order statuses the SQL pack counts as live business.
@@ -455,7 +456,7 @@ def seller_analytics(t: RetailTables) -> DataFrame:
         to_double("freight_dec").alias("freight_revenue"),
         "avg_order_revenue",
     )
-    ranked = global_rank(result, "gross_revenue", "revenue_rank", descending=True)
+    ranked = global_rank(written(result, "seller-report"), "gross_revenue", "revenue_rank", descending=True)
     return ranked.orderBy(F.col("gross_revenue").desc_nulls_last(), F.col("total_items_sold").desc_nulls_last())
 
 

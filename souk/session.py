@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library relies on. Session time zone must be UTC:
 # the retail timestamps carry no zone and month truncation returns a zoned timestamp.
@@ -52,6 +53,14 @@ def build_session(
     return spark
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-{label}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting a local one only when unset.
 

@@ -105,7 +105,7 @@ def _geo(dim: DataFrame, nation: DataFrame, region: DataFrame, nation_key: str)
 def customers_view(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     base = _geo(customer, nation, region, "c_nationkey").select(
         F.col("c_custkey").alias("customer_id"),
-        (F.col("c_custkey") % 1000).alias("customer_unique_id"),
+        F.floor(F.col("c_custkey") / F.lit(2.0)).cast("bigint").alias("customer_unique_id"),
         F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
         F.col("n_name").alias("customer_city"),
         F.col("r_name").alias("customer_state"),
@@ -151,20 +151,15 @@ def products_view(part: DataFrame) -> DataFrame:
     )
 
 
-# The category lookup used with the driver tables (code -> English name).
-CATEGORY_TRANSLATION_ROWS = [
-    ("STANDARD", "standard goods"),
-    ("SMALL", "small goods"),
-    ("MEDIUM", "medium goods"),
-    ("LARGE", "large goods"),
-    ("ECONOMY", "economy goods"),
-]
-
-
-def category_translation_view(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CATEGORY_TRANSLATION_ROWS,
-        "product_category_name string, product_category_name_english string",
+def category_translation_view(part: DataFrame) -> DataFrame:
+    """The categories that occur among the products, with an English name; promotional goods
+    have no entry, so the lookup misses them."""
+    code = F.col("p_type")
+    return (
+        part.where(code != "PROMO")
+        .select(code.alias("product_category_name"))
+        .distinct()
+        .withColumn("product_category_name_english", F.concat(F.lower("product_category_name"), F.lit(" goods")))
     )
 
 
@@ -218,7 +213,7 @@ def load_retail(spark: SparkSession, sf_dir: str, register: bool = False) -> Ret
         sellers=sellers_view(t["supplier"], t["nation"], t["region"]),
         order_payments=order_payments_view(t["lineitem"], t["orders"]),
         order_reviews=order_reviews_view(t["events"]),
-        category_translation=category_translation_view(spark),
+        category_translation=category_translation_view(t["part"]),
         geolocation=geolocation_view(t["customer"], t["nation"], t["region"]),
     )
     if register:

@@ -66,6 +66,7 @@ RAW_SPECS: dict[str, RawSpec] = {
             "CAST(seller_id AS STRING) AS seller_id",
             "CASE WHEN order_id % 23 = 0 THEN 'bad' ELSE CAST(shipping_limit_date AS STRING) END AS shipping_limit_date",
             "CASE WHEN order_id % 17 = 0 THEN NULL WHEN order_id % 19 = 0 THEN 'abc' "
+            "WHEN order_id % 71 = 0 THEN '1.5d' WHEN order_id % 73 = 0 THEN '2f' "
             "ELSE CAST(price AS STRING) END AS price",
             "CASE WHEN order_id % 43 = 0 THEN 'n/a' ELSE CAST(freight_value AS STRING) END AS freight_value",
         ),
@@ -119,6 +120,7 @@ RAW_SPECS: dict[str, RawSpec] = {
             "CAST(LENGTH(product_category_name) * 10 AS STRING) AS product_description_lenght",
             "CAST(product_id % 4 AS STRING) AS product_photos_qty",
             "CASE WHEN product_id % 13 = 0 THEN 'n/a' WHEN product_id % 17 = 0 THEN NULL "
+            "WHEN product_id % 19 = 0 THEN '0x1p3' "
             "ELSE CAST(product_weight_g AS STRING) END AS product_weight_g",
             "CAST(product_length_cm AS STRING) AS product_length_cm",
             "CAST(product_height_cm AS STRING) AS product_height_cm",

@@ -125,11 +125,11 @@ def test_clean_customers_keeps_first_duplicate_then_fills(spark):
         "customer_id string, customer_city string, customer_state string, customer_zip_code_prefix string, "
         "source_row_order long",
     )
-    out = {r.customer_id: r for r in cleaning.clean_customers(raw).collect()}
+    out = {r.customer_id: r for r in cleaning.clean_table("customers", raw).collect()}
     assert out["1"].customer_city == "SAO PAULO" and out["1"].customer_zip_code_prefix == "1037"
     assert out["2"].customer_city == "SAO PAULO" and out["2"].customer_zip_code_prefix == "00000"
     assert out["3"].customer_zip_code_prefix == "01037"
-    assert "source_row_order" not in cleaning.clean_customers(raw).columns
+    assert "source_row_order" not in cleaning.clean_table("customers", raw).columns
 
 
 def test_csv_export_round_trip_cleans_like_the_raw_table(spark, tmp_dir):
@@ -142,8 +142,8 @@ def test_csv_export_round_trip_cleans_like_the_raw_table(spark, tmp_dir):
     ordered = raw.orderBy("source_row_order", "customer_id")
     out = os.path.join(tmp_dir, "export")
     io.write_table(ordered.drop("source_row_order").coalesce(1), out, fmt="csv")
-    from_csv = cleaning.clean_customers(io.read_csv(spark, out))
-    from_raw = cleaning.clean_customers(cleaning.normalize_read(raw))
+    from_csv = cleaning.clean_table("customers", io.read_csv(spark, out))
+    from_raw = cleaning.clean_table("customers", raw)
     key = ["customer_id", "customer_city", "customer_state", "customer_zip_code_prefix", "customer_unique_id"]
     assert sorted(tuple(r) for r in from_csv.select(*key).collect()) == sorted(
         tuple(r) for r in from_raw.select(*key).collect()
@@ -158,6 +158,5 @@ def test_layers_are_written_under_the_checkpoint_dir(spark):
         return p.replace("file:", "").lstrip("/")
 
     base = plain(ensure_checkpoint_dir(spark))
-    retail = layers.retail_layer(spark, "/root/testdata/sf0.001")
-    paths = retail.orders.inputFiles()
+    paths = layers.cleaned_layer(spark, "/root/testdata/sf0.001")["orders"].inputFiles()
     assert paths and all(plain(p).startswith(base) for p in paths)

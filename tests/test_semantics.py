@@ -35,7 +35,7 @@ def test_exact_median_matches_numpy(spark, n):
     rnd = random.Random(n)
     values = [float(rnd.randint(-50, 50)) / 4 for _ in range(n)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-    got = ranking.exact_median(df, "v").collect()[0][0]
+    got = op.column_medians(df, ["v"]).collect()[0].median
     assert got == pytest.approx(float(np.median(values)))
 
 
@@ -53,7 +53,7 @@ def test_global_rank_matches_min_rank_with_nulls_last(spark):
     rnd = random.Random(11)
     values = [None if rnd.random() < 0.1 else float(rnd.randint(0, 30)) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
-    got = {r.id: r.rk for r in ranking.global_rank(df, "v", "rk", descending=True, buckets=8).collect()}
+    got = {r.id: r.rk for r in ranking.global_rank(df, "v", "rk", descending=True).collect()}
     present = [v for v in values if v is not None]
     for i, v in enumerate(values):
         expected = len(present) + 1 if v is None else 1 + sum(1 for w in present if w > v)
@@ -142,9 +142,9 @@ def test_hot_key_dedupe_and_mode_stay_exact(spark):
     df = spark.createDataFrame(rows, "k string, pos long, v string").repartition(16)
     first = {r.k: r.pos for r in op.dedupe_first(df, ["k"], ["pos"]).collect()}
     assert first["hot"] == 0 and len(first) == 1 + sum(1 for i in range(3000) if i % 5 >= 2)
-    from souk.plans.cleaning import _mode_per_key
+    from souk.plans.cleaning import mode_per_key
 
-    modes = {r.k: r.v for r in _mode_per_key(df, "k", "v").collect()}
+    modes = {r.k: r.v for r in mode_per_key(df, "k", "v").collect()}
     hot = [v for k, _, v in rows if k == "hot"]
     assert modes["hot"] == max(sorted(set(hot)), key=hot.count)
 
