@@ -23,45 +23,95 @@ ORDER_MEASURES = f"""
     ROUND(AVG(delivery_time_days), 4) AS average_delivery_time_days,
     ROUND(AVG(approval_time_hours), 4) AS average_approval_time_hours"""
 
-SCALARS = f"""
-    (SELECT {msum('freight_value')} / NULLIF({msum('item_total_value')}, 0) FROM m_fact_order_items) AS freight_share,
-    (SELECT CAST(COUNT(DISTINCT CASE WHEN total_orders > 1 THEN customer_id END) AS DOUBLE)
-            / NULLIF(CAST(COUNT(DISTINCT customer_id) AS DOUBLE), 0) FROM m_dim_customers) AS repeat_customer_rate,
-    (SELECT ROUND(AVG(customer_lifetime_value), 4) FROM m_dim_customers) AS customer_lifetime_value_avg,
-    (SELECT CAST(COUNT(*) FILTER (WHERE repeat_customer) AS DOUBLE)
-            / NULLIF(CAST(COUNT(DISTINCT customer_id) AS DOUBLE), 0) FROM m_dim_customers) AS customer_retention_rate,
-    (SELECT MAX(product_revenue) FROM m_dim_products) AS top_category_revenue,
-    (SELECT CAST(MAX(r) AS DOUBLE) FROM (SELECT SUM(CAST(product_revenue AS {DEC})) AS r FROM m_dim_products
-        WHERE product_category_name_english IS NOT NULL GROUP BY product_category_name_english)) AS top_category_revenue_by_category,
-    (SELECT MAX(seller_revenue) FROM m_dim_sellers) AS top_seller_revenue,
-    (SELECT CASE WHEN SUM(CAST(COALESCE(revenue, 0.0) AS {DEC})) <> 0
-            THEN CAST(SUM(CAST(COALESCE(revenue, 0.0) - COALESCE(TRY_CAST(unit_cost AS DOUBLE), 0.0) AS {DEC})) AS DOUBLE)
-                 / CAST(SUM(CAST(COALESCE(revenue, 0.0) AS {DEC})) AS DOUBLE) END FROM m_fact_order_items) AS profit_margin"""
-
-Q["bi_measures"] = mart_sql(f"SELECT {ORDER_MEASURES}, {SCALARS} FROM m_fact_orders")
-Q["bi_measures_delivered_view"] = mart_sql(
-    f"SELECT {ORDER_MEASURES}, {SCALARS} FROM m_fact_orders WHERE order_status = 'delivered'")
-Q["bi_measures_by_state"] = mart_sql(f"""
-SELECT c.customer_state, {ORDER_MEASURES}
-FROM m_fact_orders f LEFT JOIN (SELECT customer_id AS cid, customer_state FROM m_dim_customers) c ON f.customer_id = c.cid
-WHERE c.customer_state IS NOT NULL GROUP BY c.customer_state""")
-Q["bi_measures_sliced"] = mart_sql(f"""
-SELECT c.customer_state, {ORDER_MEASURES}
-FROM m_fact_orders f LEFT JOIN (SELECT customer_id AS cid, customer_state FROM m_dim_customers) c ON f.customer_id = c.cid
-WHERE c.customer_state IS NOT NULL
-  AND f.order_purchase_timestamp >= TIMESTAMP '1996-01-01' AND f.order_purchase_timestamp < TIMESTAMP '2000-01-01'
-  AND f.order_status <> 'canceled'
-  AND f.customer_id IN (SELECT customer_id FROM m_dim_customers WHERE repeat_customer = TRUE)
-  AND f.order_id IN (SELECT order_id FROM m_fact_order_items
-                     WHERE product_category_name_english IN ('standard goods', 'small goods'))
-GROUP BY c.customer_state""")
+ITEM_MEASURES = f"""
+    {msum('freight_value')} / NULLIF({msum('item_total_value')}, 0) AS freight_share,
+    {msum('COALESCE(revenue, 0.0) - COALESCE(TRY_CAST(unit_cost AS DOUBLE), 0.0)')}
+        / NULLIF({msum('COALESCE(revenue, 0.0)')}, 0) AS profit_margin"""
+
+NOT_CANCELLED = "order_status <> 'canceled'"
+
+
+def sliced(body: str, orders: str = NOT_CANCELLED, customers: str = "", items: str = "", products: str = "",
+           sellers: str = "") -> str:
+    """``body`` over x_orders, x_items, x_customers, x_products and x_sellers: each mart under its
+    own condition, orders also by their customers and items, items by their orders."""
+    by_customer = "AND customer_id IN (SELECT customer_id FROM x_customers)" if customers else ""
+    by_item = "AND order_id IN (SELECT order_id FROM x_matching)" if items else ""
+    everything = orders == "TRUE" and not (by_customer or by_item)
+    by_order = "" if everything else "WHERE order_id IN (SELECT order_id FROM x_orders)"
+    return mart_sql(f"""
+, x_customers AS (SELECT * FROM m_dim_customers WHERE {customers or 'TRUE'}),
+x_products AS (SELECT * FROM m_dim_products WHERE {products or 'TRUE'}),
+x_sellers AS (SELECT * FROM m_dim_sellers WHERE {sellers or 'TRUE'}),
+x_matching AS (SELECT * FROM m_fact_order_items WHERE {items or 'TRUE'}),
+x_orders AS (SELECT * FROM m_fact_orders WHERE {orders} {by_customer} {by_item}),
+x_items AS (SELECT * FROM x_matching {by_order}){body}""")
+
+
+ALL_MEASURES = f"""
+SELECT * FROM (SELECT {ORDER_MEASURES} FROM x_orders) CROSS JOIN (SELECT {ITEM_MEASURES} FROM x_items) CROSS JOIN (
+    SELECT CAST(SUM(CASE WHEN total_orders > 1 THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)
+               AS repeat_customer_rate,
+           ROUND(AVG(customer_lifetime_value), 4) AS customer_lifetime_value_avg,
+           CAST(SUM(CASE WHEN repeat_customer THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)
+               AS customer_retention_rate
+    FROM x_customers) CROSS JOIN (
+    SELECT MAX(product_revenue) AS top_category_revenue FROM x_products) CROSS JOIN (
+    SELECT CAST(MAX(r) AS DOUBLE) AS top_category_revenue_by_category FROM (
+        SELECT SUM(CAST(product_revenue AS {DEC})) AS r FROM x_products
+        WHERE product_category_name_english IS NOT NULL GROUP BY product_category_name_english)) CROSS JOIN (
+    SELECT MAX(seller_revenue) AS top_seller_revenue FROM x_sellers)"""
+
+_TWO_CATEGORIES = "product_category_name_english IN ('standard goods', 'small goods')"
+_FIVE_SELLERS = "seller_id IN ('1', '2', '3', '5', '8')"
+Q["bi_measures"] = sliced(ALL_MEASURES)
+Q["bi_measures_delivered_view"] = sliced(ALL_MEASURES, orders="order_status = 'delivered'")
+Q["bi_measures_all_orders"] = sliced(ALL_MEASURES, orders="TRUE")
+Q["bi_measures_slice_state"] = sliced(ALL_MEASURES, customers="customer_state IN ('EUROPE', 'ASIA')")
+Q["bi_measures_slice_category"] = sliced(ALL_MEASURES, items=_TWO_CATEGORIES, products=_TWO_CATEGORIES)
+Q["bi_measures_slice_seller"] = sliced(ALL_MEASURES, items=_FIVE_SELLERS, sellers=_FIVE_SELLERS)
+Q["bi_measures_slice_payment"] = sliced(ALL_MEASURES, orders="dominant_payment_type IN ('A', 'voucher')")
+Q["bi_measures_slice_late"] = sliced(
+    ALL_MEASURES, orders=f"{NOT_CANCELLED} AND late_deliveries", customers="repeat_customer")
+
+
+def by_axis(axis: str, order_axis: str, item_axis: str) -> str:
+    """Order measures joined with item measures per axis value; the arguments select (order_id,
+    axis) pairs for either."""
+    return f"""
+, po AS (SELECT DISTINCT order_id AS oid, axis FROM ({order_axis}) WHERE axis IS NOT NULL),
+o AS (SELECT axis, {ORDER_MEASURES} FROM x_orders JOIN po ON order_id = oid GROUP BY axis),
+i AS (SELECT axis, {ITEM_MEASURES} FROM ({item_axis}) WHERE axis IS NOT NULL GROUP BY axis)
+SELECT o.axis AS {axis}, o.* EXCLUDE (axis), i.freight_share, i.profit_margin FROM o LEFT JOIN i ON o.axis = i.axis"""
+
+
+def by_order_axis(axis: str, expression: str, source: str = "x_orders") -> str:
+    pairs = f"SELECT order_id, {expression} AS axis FROM {source}"
+    return by_axis(axis, pairs, f"SELECT x.*, p.axis FROM x_items x JOIN ({pairs}) p ON x.order_id = p.order_id")
+
+
+_STATE_OF = "(SELECT f.order_id, c.customer_state FROM x_orders f JOIN x_customers c ON f.customer_id = c.customer_id)"
+_BY_STATE = by_order_axis("customer_state", "customer_state", _STATE_OF)
+Q["bi_measures_by_state"] = sliced(_BY_STATE)
+Q["bi_measures_sliced"] = sliced(
+    _BY_STATE,
+    orders=f"{NOT_CANCELLED} AND order_purchase_timestamp >= TIMESTAMP '1996-01-01' "
+           "AND order_purchase_timestamp < TIMESTAMP '2000-01-01'",
+    customers="repeat_customer", items=_TWO_CATEGORIES)
+Q["bi_measures_by_payment_type"] = sliced(by_order_axis("dominant_payment_type", "dominant_payment_type"))
+Q["bi_measures_by_delivery_status"] = sliced(by_order_axis(
+    "delivery_status",
+    "CASE late_deliveries WHEN TRUE THEN 'late' WHEN FALSE THEN 'on_time' ELSE 'undelivered' END"))
+Q["bi_measures_by_category"] = sliced(by_axis(
+    "category", "SELECT order_id, product_category_name_english AS axis FROM x_items",
+    "SELECT *, product_category_name_english AS axis FROM x_items"))
 
 _PREV_MONTH = "strftime(CAST(order_month || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m')"
 
-Q["bi_month_to_date"] = mart_sql(f"""
+_MONTH_TO_DATE = f"""
 , daily AS (SELECT CAST(order_purchase_timestamp AS DATE) AS order_date,
                    SUM(CAST(COALESCE(order_value, 0.0) AS {DEC})) AS rev
-            FROM m_fact_orders WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1),
+            FROM x_orders WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1),
 d2 AS (SELECT *, strftime(order_date, '%Y-%m') AS order_month FROM daily),
 monthly AS (SELECT order_month, SUM(rev) AS month_rev FROM d2 GROUP BY order_month),
 prev AS (SELECT {_PREV_MONTH} AS order_month, month_rev AS prev_rev FROM monthly),
@@ -69,14 +119,19 @@ mtd AS (SELECT *, SUM(rev) OVER (PARTITION BY order_month ORDER BY order_date RO
 SELECT m.order_date, m.order_month, CAST(m.rev AS DOUBLE) AS daily_revenue, CAST(m.mtd AS DOUBLE) AS month_to_date_revenue,
        CAST(p.prev_rev AS DOUBLE) AS previous_month_revenue,
        CAST(m.mtd - p.prev_rev AS DOUBLE) / NULLIF(CAST(p.prev_rev AS DOUBLE), 0) AS monthly_growth_rate
-FROM mtd m LEFT JOIN prev p ON m.order_month = p.order_month ORDER BY m.order_date""")
-
-Q["bi_month_over_month"] = mart_sql(f"""
-, prev AS (SELECT {_PREV_MONTH} AS order_month, monthly_revenue AS previous_month_revenue FROM m_monthly_revenue)
+FROM mtd m LEFT JOIN prev p ON m.order_month = p.order_month ORDER BY m.order_date"""
+Q["bi_month_to_date"] = sliced(_MONTH_TO_DATE)
+Q["bi_month_to_date_sliced"] = sliced(
+    _MONTH_TO_DATE, orders="order_status = 'delivered'", customers="customer_state = 'EUROPE'")
+
+Q["bi_month_over_month"] = sliced(f"""
+, mon AS (SELECT order_month, {msum('order_value')} AS monthly_revenue FROM x_orders
+          WHERE order_month IS NOT NULL GROUP BY order_month),
+prev AS (SELECT {_PREV_MONTH} AS order_month, monthly_revenue AS previous_month_revenue FROM mon)
 SELECT m.order_month, m.monthly_revenue, p.previous_month_revenue,
        m.monthly_revenue - p.previous_month_revenue AS growth_amount,
        (m.monthly_revenue - p.previous_month_revenue) / NULLIF(p.previous_month_revenue, 0) AS monthly_growth_rate
-FROM m_monthly_revenue m LEFT JOIN prev p ON m.order_month = p.order_month ORDER BY m.order_month""")
+FROM mon m LEFT JOIN prev p ON m.order_month = p.order_month ORDER BY m.order_month""")
 
 # Cohort matrix: one column per month of the calendar years of the driver's order dates, 1992-1998.
 COHORT_MONTHS = 84

@@ -94,14 +94,32 @@ def _on_marts_and_clean(fn) -> Query:
     return lambda spark, sf_dir: fn(layers.mart_layer(spark, sf_dir), layers.cleaned_layer(spark, sf_dir))
 
 
-register("bi_measures", _on_marts(measures.bi_measures))
-register("bi_measures_delivered_view", _on_marts(lambda b: measures.bi_measures(b, measures.Slicers(status_mode="delivered"))))
-register("bi_measures_by_state", _on_marts(lambda b: measures.bi_measures_by(b, "customer_state")))
+SLICES = {
+    "bi_measures": measures.DEFAULT_VIEW,
+    "bi_measures_delivered_view": measures.Slicers(status_mode="delivered"),
+    "bi_measures_all_orders": measures.Slicers(status_mode="all"),
+    "bi_measures_slice_state": measures.Slicers(states=("EUROPE", "ASIA")),
+    "bi_measures_slice_category": measures.Slicers(categories=("standard goods", "small goods")),
+    "bi_measures_slice_seller": measures.Slicers(sellers=("1", "2", "3", "5", "8")),
+    "bi_measures_slice_payment": measures.Slicers(payment_types=("A", "voucher"), status_mode="all"),
+    "bi_measures_slice_late": measures.Slicers(delivery_status="late", customer_segment="repeat"),
+}
+for _name, _slicers in SLICES.items():
+    register(_name, _on_marts(lambda b, s=_slicers: measures.bi_measures(b, s)))
+for _name, _axis in (
+    ("bi_measures_by_state", "customer_state"),
+    ("bi_measures_by_category", "category"),
+    ("bi_measures_by_payment_type", "dominant_payment_type"),
+    ("bi_measures_by_delivery_status", "delivery_status"),
+):
+    register(_name, _on_marts(lambda b, a=_axis: measures.bi_measures_by(b, a)))
 register("bi_measures_sliced", _on_marts(lambda b: measures.bi_measures_by(
     b, "customer_state",
-    measures.Slicers(date_from="1996-01-01", date_to="2000-01-01", status_mode="exclude_cancelled",
+    measures.Slicers(date_from="1996-01-01", date_to="2000-01-01",
                      categories=["standard goods", "small goods"], customer_segment="repeat"))))
 register("bi_month_to_date", _on_marts(measures.bi_month_to_date))
+register("bi_month_to_date_sliced", _on_marts(lambda b: measures.bi_month_to_date(
+    b, measures.Slicers(states=("EUROPE",), status_mode="delivered"))))
 register("bi_month_over_month", _on_marts(measures.bi_month_over_month))
 
 # --------------------------------------------------------------------- dashboard data sets

@@ -18,7 +18,7 @@ from souk.functions.dates import days_between, month_key
 from souk.functions.numeric import avg4, round4
 from souk.plans import kpis, reports
 from souk.session import written
-from souk.plans.marts import CATEGORY_COLUMNS, SUM_TYPE, FeatureBundle, exact_mean
+from souk.plans.marts import CATEGORY_COLUMNS, COST_COLUMNS, SUM_TYPE, FeatureBundle, exact_mean
 from souk.operators import clean as op
 from souk.sources.fixtures import RetailTables
 
@@ -32,7 +32,7 @@ def _avg4(c: Column) -> Column:
 
 
 # ----------------------------------------------------------------------------- slicers (X11, X12)
-@dataclass
+@dataclass(frozen=True)
 class Slicers:
     """Dashboard filters. ``status_mode``: 'exclude_cancelled' (default view),
     'delivered' (leadership view) or 'all'."""
@@ -47,49 +47,65 @@ class Slicers:
     payment_types: Sequence[str] | None = None
     delivery_status: str | None = None        # 'late' | 'on_time' | 'undelivered'
     customer_segment: str | None = None       # 'repeat' | 'one_time'
-    status_mode: str = "all"
+    status_mode: str = "exclude_cancelled"
 
 
-def slice_orders(b: FeatureBundle, s: Slicers) -> DataFrame:
-    """fact_orders restricted by the slicers (order-grain filters; item-grain slicers keep
-    orders having at least one matching item, via a semi join)."""
-    f = b.fact_orders
-    ts = F.col("order_purchase_timestamp")
-    if s.date_from:
-        f = f.where(ts >= F.lit(s.date_from).cast("timestamp_ntz"))
-    if s.date_to:
-        f = f.where(ts < F.lit(s.date_to).cast("timestamp_ntz"))
+DEFAULT_VIEW = Slicers()
+
+
+def _delivery_status() -> Column:
+    late = F.col("late_deliveries")
+    return F.when(late.isNull(), "undelivered").when(late, "late").otherwise("on_time")
+
+
+@dataclass
+class Slice:
+    """The marts under a set of slicers. A filter runs along the model's relations: customer
+    attributes to orders, orders to items, category and seller to items and to the orders that
+    have such an item. Dimensions are filtered by their own attributes only."""
+
+    orders: DataFrame
+    items: DataFrame
+    customers: DataFrame
+    products: DataFrame
+    sellers: DataFrame
+
+
+def slice_bundle(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> Slice:
+    def chosen(df: DataFrame, column: str, values: Sequence[str] | None) -> DataFrame:
+        return df.where(F.col(column).isin(*values)) if values else df
+
+    customers = chosen(chosen(b.dim_customers, "customer_state", s.states), "customer_city", s.cities)
+    if s.customer_segment:
+        customers = customers.where(F.col("repeat_customer") == (s.customer_segment == "repeat"))
+    items, products, sellers = b.fact_order_items, b.dim_products, chosen(b.dim_sellers, "seller_id", s.sellers)
+    if s.categories:
+        items = chosen(items, _category(items), s.categories)
+        products = chosen(products, _category(products), s.categories)
+    items = chosen(items, "seller_id", s.sellers)
+
+    orders = chosen(b.fact_orders, "order_status", s.statuses)
     if s.status_mode == "exclude_cancelled":
-        f = f.where(F.col("order_status") != "canceled")
+        orders = orders.where(F.col("order_status") != "canceled")
     elif s.status_mode == "delivered":
-        f = f.where(F.col("order_status") == "delivered")
-    if s.statuses:
-        f = f.where(F.col("order_status").isin(*s.statuses))
-    if s.payment_types:
-        f = f.where(F.col("dominant_payment_type").isin(*s.payment_types))
-    if s.delivery_status == "late":
-        f = f.where(F.col("late_deliveries"))
-    elif s.delivery_status == "on_time":
-        f = f.where(~F.col("late_deliveries"))
-    elif s.delivery_status == "undelivered":
-        f = f.where(F.col("late_deliveries").isNull())
+        orders = orders.where(F.col("order_status") == "delivered")
+    elif s.status_mode != "all":
+        raise ValueError(f"unknown status mode {s.status_mode!r}")
+    orders = chosen(orders, "dominant_payment_type", s.payment_types)
+    bought = F.col("order_purchase_timestamp")
+    if s.date_from:
+        orders = orders.where(bought >= F.lit(s.date_from).cast("timestamp_ntz"))
+    if s.date_to:
+        orders = orders.where(bought < F.lit(s.date_to).cast("timestamp_ntz"))
+    if s.delivery_status:
+        orders = orders.where(_delivery_status() == s.delivery_status)
     if s.states or s.cities or s.customer_segment:
-        c = b.dim_customers
-        if s.states:
-            c = c.where(F.col("customer_state").isin(*s.states))
-        if s.cities:
-            c = c.where(F.col("customer_city").isin(*s.cities))
-        if s.customer_segment:
-            c = c.where(F.col("repeat_customer") == (s.customer_segment == "repeat"))
-        f = f.join(c.select("customer_id"), "customer_id", "left_semi")
+        orders = orders.join(customers.select("customer_id"), "customer_id", "left_semi")
     if s.categories or s.sellers:
-        items = b.fact_order_items
-        if s.categories:
-            items = items.where(F.col(_category(items)).isin(*s.categories))
-        if s.sellers:
-            items = items.where(F.col("seller_id").isin(*s.sellers))
-        f = f.join(items.select("order_id"), "order_id", "left_semi")
-    return f
+        orders = orders.join(items.select("order_id"), "order_id", "left_semi")
+    if s != Slicers(status_mode="all"):
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
+    return Slice(orders, items, customers, products, sellers)
 
 
 def _category(items: DataFrame) -> str:
@@ -101,9 +117,9 @@ def _category(items: DataFrame) -> str:
 
 # ----------------------------------------------------------------------------- measures (B1-B17)
 def order_measures() -> list[Column]:
-    """Measures over fact_orders rows (usable in any groupBy)."""
+    """Measures over fact_orders rows, one per order (usable in any groupBy)."""
     revenue = _money(F.coalesce(F.col("order_value"), F.lit(0.0)))
-    orders = F.count_distinct("order_id")
+    orders = F.count("order_id")
     return [
         revenue.alias("total_revenue"),
         orders.alias("total_orders"),
@@ -117,54 +133,85 @@ def order_measures() -> list[Column]:
     ]
 
 
-def bi_measures(b: FeatureBundle, s: Slicers | None = None) -> DataFrame:
-    facts = slice_orders(b, s) if s else b.fact_orders
-    items, cust = b.fact_order_items, b.dim_customers
-    spark = facts.sparkSession
-    ids = F.count_distinct("customer_id").cast("double")
+def item_measures(items: DataFrame) -> list[Column]:
+    """Measures over fact_order_items rows."""
+    revenue = F.coalesce(F.col("revenue"), F.lit(0.0))
+    cost_col = op.first_present(items.columns, COST_COLUMNS)
+    margin = F.lit(None).cast("double")
+    if cost_col:
+        cost = F.coalesce(F.col(cost_col).try_cast("double"), F.lit(0.0))
+        margin = F.try_divide(_money(revenue - cost), _money(revenue))
+    return [
+        F.try_divide(_money(F.col("freight_value")), _money(F.col("item_total_value"))).alias("freight_share"),
+        margin.alias("profit_margin"),
+    ]
+
+
+def customer_measures() -> list[Column]:
+    """Measures over dim_customers rows, one per customer."""
+    customers = F.count("customer_id").cast("double")
+    return [
+        F.try_divide(F.count_if(F.col("total_orders") > 1).cast("double"), customers).alias("repeat_customer_rate"),
+        _avg4(F.col("customer_lifetime_value")).alias("customer_lifetime_value_avg"),
+        F.try_divide(F.count_if(F.col("repeat_customer")).cast("double"), customers).alias("customer_retention_rate"),
+    ]
+
+
+def bi_measures(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> DataFrame:
+    """All measures in one row under the slicers: one aggregate per mart."""
+    x = slice_bundle(b, s)
     category_totals = (
-        b.dim_products.where(F.col("product_category_name_english").isNotNull())
+        x.products.where(F.col("product_category_name_english").isNotNull())
         .groupBy("product_category_name_english")
         .agg(F.sum(F.col("product_revenue").cast(SUM_TYPE)).alias("r"))
     )
-    scalars = {
-        "freight_share": items.agg(
-            F.try_divide(_money(F.col("freight_value")), _money(F.col("item_total_value")))
-        ).scalar(),
-        "repeat_customer_rate": cust.agg(
-            F.try_divide(F.count_distinct(F.when(F.col("total_orders") > 1, F.col("customer_id"))).cast("double"), ids)
-        ).scalar(),
-        "customer_lifetime_value_avg": cust.agg(_avg4(F.col("customer_lifetime_value"))).scalar(),
-        "customer_retention_rate": cust.agg(
-            F.try_divide(F.count_if(F.col("repeat_customer")).cast("double"), ids)
-        ).scalar(),
-        "top_category_revenue": b.dim_products.agg(F.max("product_revenue")).scalar(),
-        "top_category_revenue_by_category": category_totals.agg(F.max("r").cast("double")).scalar(),
-        "top_seller_revenue": b.dim_sellers.agg(F.max("seller_revenue")).scalar(),
-        "profit_margin": kpis.profit_margin(b).select("value").scalar(),
-    }
-    core = facts.agg(*order_measures())
-    return core.select("*", *[v.alias(k) for k, v in scalars.items()])
-
-
-def bi_measures_by(b: FeatureBundle, key: str = "customer_state", s: Slicers | None = None) -> DataFrame:
-    """The order measures grouped by a customer attribute (one slicer axis)."""
-    facts = slice_orders(b, s) if s else b.fact_orders
-    dims = b.dim_customers.select("customer_id", key)
-    return (
-        facts.join(dims, "customer_id", "left")
-        .where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*order_measures())
-    )
-
-
-def bi_month_to_date(b: FeatureBundle) -> DataFrame:
+    parts: list[tuple[DataFrame, list[Column]]] = [
+        (x.items, item_measures(x.items)),
+        (x.customers, customer_measures()),
+        (x.products, [F.max("product_revenue").alias("top_category_revenue")]),
+        (category_totals, [F.max("r").cast("double").alias("top_category_revenue_by_category")]),
+        (x.sellers, [F.max("seller_revenue").alias("top_seller_revenue")]),
+    ]
+    values = []
+    for frame, columns in parts:
+        row = frame.agg(*columns)
+        one = row.select(F.struct("*").alias("row")).scalar()
+        values += [one.getField(name).alias(name) for name in row.columns]
+    return x.orders.agg(*order_measures()).select("*", *values)
+
+
+CUSTOMER_AXES = ("customer_state", "customer_city", "repeat_customer")
+ITEM_AXES = ("category", "seller_id")
+
+
+def bi_measures_by(b: FeatureBundle, axis: str = "customer_state", s: Slicers = DEFAULT_VIEW) -> DataFrame:
+    """Order and item measures per value of one slicer axis: a customer attribute, 'category',
+    'seller_id', 'delivery_status' or any column of fact_orders. An order counts for every
+    category or seller that it has an item of."""
+    x = slice_bundle(b, s)
+    orders, items = x.orders, x.items
+    if axis in ITEM_AXES:
+        items = items.withColumn(axis, F.col(_category(items))) if axis == "category" else items
+        pairs = items.select("order_id", axis).where(F.col(axis).isNotNull()).distinct()
+        orders = orders.join(pairs, "order_id")
+    else:
+        if axis in CUSTOMER_AXES:
+            orders = orders.join(x.customers.select("customer_id", axis), "customer_id")
+        elif axis == "delivery_status":
+            orders = orders.withColumn(axis, _delivery_status())
+        items = items.drop(axis).join(orders.select("order_id", axis), "order_id")
+    by_orders = orders.where(F.col(axis).isNotNull()).groupBy(axis).agg(*order_measures())
+    by_items = items.where(F.col(axis).isNotNull()).groupBy(axis).agg(*item_measures(items))
+    return by_orders.join(by_items, axis, "left")
+
+
+def bi_month_to_date(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> DataFrame:
     """Day grain: revenue, month-to-date revenue, previous calendar month's revenue and the
     month-to-date growth against it (DAX month-to-date / previous-month measures)."""
     ts = F.col("order_purchase_timestamp")
     daily = (
-        b.fact_orders.where(ts.isNotNull())
+        slice_bundle(b, s)
+        .orders.where(ts.isNotNull())
         .groupBy(F.to_date(ts).alias("order_date"))
         .agg(F.sum(F.coalesce(F.col("order_value"), F.lit(0.0)).cast(SUM_TYPE)).alias("rev"))
         .withColumn("order_month", month_key("order_date"))
@@ -189,10 +236,11 @@ def bi_month_to_date(b: FeatureBundle) -> DataFrame:
     ).orderBy("order_date")
 
 
-def bi_month_over_month(b: FeatureBundle) -> DataFrame:
+def bi_month_over_month(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> DataFrame:
     """Month grain: revenue, previous calendar month revenue (NULL when that month has no
     orders), growth amount and rate."""
-    monthly = b.monthly_revenue.select("order_month", "monthly_revenue")
+    orders = slice_bundle(b, s).orders.where(F.col("order_month").isNotNull())
+    monthly = orders.groupBy("order_month").agg(_money(F.col("order_value")).alias("monthly_revenue"))
     previous = monthly.select(
         month_key(F.add_months(F.to_date(F.concat(F.col("order_month"), F.lit("-01"))), 1)).alias("order_month"),
         F.col("monthly_revenue").alias("previous_month_revenue"),
