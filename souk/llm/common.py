@@ -50,11 +50,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+#: Narrow rows in a file, where the number of rows is known.
+FILE_ROWS = 200_000
+
+
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: the lineage ends there,
-    a lost executor costs only re-reading, and later plans see real sizes."""
+    a lost executor costs only re-reading, and later plans see real sizes. ``rows``: a bound on
+    the rows of a narrow table that is cheap to make; it is written in files of ``FILE_ROWS``."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if rows is not None:
+        df = df.coalesce(rows // FILE_ROWS + 1)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

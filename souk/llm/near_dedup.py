@@ -12,11 +12,13 @@ document's weight); a document with an empty coordinate is thrown again up to tw
 Two signatures agree in a coordinate with probability equal to the weighted Jaccard similarity.
 
 Joining. Equal word sequences are one node. Nodes sharing a band of ``ROWS`` coordinates meet in
-a bucket. Large buckets are never expanded into pairs: pivots are compared with the bucket's
-other nodes, verified links merge classes, and only nodes of different classes are compared
-further, with new pivots, until the pairs of different classes left in all buckets are no more
-than ``REST`` times the buckets' rows; those are compared outright. So every pair of nodes that
-share a bucket is either compared or already in one class.
+a bucket. Large buckets are never expanded into pairs. A bucket's smallest document, its pivot, is
+compared with the others, and verified links merge classes. In buckets that still hold several
+classes, a prefix filter on what documents have beside the pivot (see ``_beside_pivots``) makes
+new buckets of those that can still be linked. They are worked off with further pivots until the
+pairs of different classes left are no more than ``REST`` times the first buckets' rows; those
+are compared outright. So every pair of nodes that share a bucket is compared, already in one
+class, or proved less similar.
 
 A pair at similarity 0.8 shares none of the ``BANDS`` bands with probability 6e-5; more similar
 ones with less.
@@ -36,7 +38,7 @@ from array import array
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.llm.common import map_rows, words, written
@@ -221,20 +223,22 @@ def verified(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (node, cls) after merging the classes that ``links`` connect."""
-    if links.isEmpty():
+    found = links.count()
+    if not found:
         return labels
     ends = links.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b")
-    roots = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    roots = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), 2 * found)
     new = labels.join(roots.toDF("cls", "root"), "cls", "left")
-    return written(new.select("node", F.coalesce("root", "cls").alias("cls")), "near-labels")
+    new = new.select("node", F.coalesce("root", "cls").alias("cls"))
+    return written(new, "near-labels", labels.count())
 
 
-def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(band, node, cls) of the buckets that still hold more than one class."""
-    rows = buckets.select("band", "node").join(labels, "node")
+def _open(buckets: DataFrame, labels: DataFrame, total: int) -> DataFrame:
+    """(band, node, n, cls) of the buckets that still hold more than one class."""
+    rows = buckets.select("band", "node", "n").join(labels, "node")
     several = rows.groupBy("band").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
     several = several.where("lo <> hi").select("band")
-    return written(rows.join(several, "band").select("band", "node", "cls"), "near-open")
+    return written(rows.join(several, "band").select("band", "node", "n", "cls"), "near-open", total)
 
 
 def _pairs_left(rows: DataFrame) -> int:
@@ -244,28 +248,87 @@ def _pairs_left(rows: DataFrame) -> int:
     return int(per_band.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0)
 
 
+def _pivots(rows: DataFrame) -> DataFrame:
+    """Per bucket its smallest document (ties: smallest id) as ``pivot`` and ``n_pivot``."""
+    least = rows.groupBy("band").agg(F.min(F.struct("n", "node")).alias("p"))
+    return least.select("band", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot"))
+
+
+def _beside_pivots(rows: DataFrame, table: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """New, much smaller buckets (band, node, n) in place of ``rows``, whose pivots have met all
+    other classes of their buckets.
+
+    Let x, y be in a bucket with pivot p, in different classes and linked. One of them, say x, is
+    not in p's class, so it shares less than s (n_x + n_p) cells with p, s = similarity / (1 +
+    similarity). As n_y >= n_p, they share at least need = s (n_x + n_p) - common(x, p) cells
+    that p lacks. Only cells that documents of different classes have beside p can be among
+    these. So x and y meet in one of their rarest such cells, by one order, if x drops its
+    need - 1 commonest ones and members of p's class drop none. What a whole bucket has in
+    common, such as a passage, makes no new bucket.
+    """
+    share = similarity / (1 + similarity)
+    met = rows.join(_pivots(rows), "band").where("node <> pivot")
+    classes = labels.toDF("pivot", "pivot_cls")
+    met = met.select("node", "n", "cls", "pivot", "n_pivot").distinct().join(classes, "pivot")
+    met = met.join(table, "node").join(table.toDF("pivot", "pivot_cells"), "pivot")
+
+    def beside(cells_x: pd.Series, cells_p: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                np.setdiff1d(np.frombuffer(x, _U), np.frombuffer(p, _U), assume_unique=True).view(np.int64)
+                for x, p in zip(cells_x, cells_p, strict=True)
+            ]
+        )
+
+    added = F.pandas_udf(beside, "array<long>")("cells", "pivot_cells")
+    apart = (F.col("cls") != F.col("pivot_cls")).alias("apart")
+    met = met.select("node", "n", "cls", "pivot", "n_pivot", apart, added.alias("added"))
+    common = F.col("n") - F.size("added")
+    need = F.ceil(F.lit(share) * (F.col("n") + F.col("n_pivot")) - 1e-6) - common
+    need = F.when(F.col("apart"), F.greatest(need, F.lit(1))).otherwise(F.lit(1)).alias("need")
+    met = met.select("node", "n", "cls", "pivot", "added", need).where("need <= size(added)")
+    each = written(met, "near-beside").select("node", "n", "cls", "pivot", "need", F.explode("added").alias("cell"))
+    cells_of = each.groupBy("pivot", "cell").agg(
+        F.count(F.lit(1)).alias("f"), F.min("cls").alias("lo"), F.max("cls").alias("hi")
+    )
+    shared = each.join(cells_of.where("lo <> hi").select("pivot", "cell", "f"), ["pivot", "cell"])
+    own = Window.partitionBy("pivot", "node")  # at most a document's cells
+    shared = shared.withColumn("all", F.count(F.lit(1)).over(own))
+    shared = shared.withColumn("at", F.row_number().over(own.orderBy("f", "cell")))
+    shared = shared.where("at <= all - need + 1")
+    return shared.select(F.xxhash64("pivot", "cell").alias("band"), "node", "n").distinct()
+
+
 def _merged(buckets: DataFrame, table: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    # One pair a node: the smallest first member over all its buckets. This merges most of a
-    # large group of near copies at one comparison each.
-    first = buckets.groupBy("band").agg(F.min("node").alias("a"))
-    mine = buckets.join(first, "band").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
-    labels = _relabelled(labels, verified(mine.where("a <> b").select("a", "b"), table, similarity))
-    rows, pivots, total = _open(buckets, labels), 1, buckets.count()
+    # One pair a node: the smallest pivot over all its buckets. This merges most of a large group
+    # of near copies at one comparison each.
+    mine = buckets.join(_pivots(buckets), "band").groupBy(F.col("node").alias("b"))
+    mine = mine.agg(F.min(F.struct("n_pivot", "pivot")).alias("p")).select(F.col("p.pivot").alias("a"), "b")
+    labels = _relabelled(labels, verified(mine.where("a <> b"), table, similarity))
+    total = buckets.count()
+    rows = _open(buckets, labels, total)
+    classes = labels.toDF("pivot", "x")
+    stars = rows.join(_pivots(rows), "band").join(classes, "pivot").where("cls <> x")
+    stars = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    labels = _relabelled(labels, verified(stars, table, similarity))
+    rows = _open(rows.drop("cls"), labels, total)
+    rows = _open(_beside_pivots(rows, table, labels, similarity), labels, total)
+    pivots = 1
     while left := _pairs_left(rows):
         if left <= REST * total:
-            x, y = rows.toDF("band", "a", "x"), rows.toDF("band", "b", "y")
+            x, y = rows.select("band", F.col("node").alias("a"), F.col("cls").alias("x")), rows.select("band", F.col("node").alias("b"), F.col("cls").alias("y"))
             pairs = x.join(y, "band").where("a < b and x <> y").select("a", "b").distinct()
             return _relabelled(labels, verified(pairs, table, similarity))
         salt = F.pmod(F.xxhash64("node"), F.lit(pivots))
         chosen = rows.withColumn("_salt", salt).groupBy("band", "_salt").agg(F.min("node").alias("a"))
-        chosen = written(chosen.select("band", "a"), "near-pivots")
+        chosen = written(chosen.select("band", "a"), "near-pivots", total)
         classes = labels.toDF("a", "x")
         against = rows.join(chosen.join(classes, "a"), "band").where("cls <> x")
         pairs = against.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         labels = _relabelled(labels, verified(pairs, table, similarity))
         # A pivot has met all others of its bucket.
         rest = rows.join(chosen.toDF("band", "node"), ["band", "node"], "left_anti")
-        rows, pivots = _open(rest, labels), min(pivots * 4, 64)
+        rows, pivots = _open(rest, labels, total), min(pivots * 4, 64)
     return labels
 
 
@@ -278,8 +341,9 @@ def near_classes(
     able = rows.where("doc_id is not null and n_words > 0")
     nodes = written(able.groupBy("print").agg(F.min("doc_id").alias("node")), "near-nodes")
     own = F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands")
-    member = written(able.join(nodes, "print").select("doc_id", "node", own), "near-members")
-    in_band = member.where("bands is not null").select(F.explode("bands").alias("band"), "node")
+    n = F.greatest(F.col("n_words") - SHINGLE + 1, F.lit(1)).alias("n")
+    member = written(able.join(nodes, "print").select("doc_id", "node", n, own), "near-members")
+    in_band = member.where("bands is not null").select(F.explode("bands").alias("band"), "node", "n")
     several = in_band.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     buckets = written(in_band.join(several.select("band"), "band").distinct(), "near-buckets")
     meeting = written(buckets.select("node").distinct(), "near-meeting")
@@ -301,7 +365,15 @@ def near_classes(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all its columns, with one document of each class: that with the smallest id."""
-    verdict = near_classes(docs, id_col, text_col)
-    gone = verdict.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """``docs``, all its columns, with one document of each class: that with the smallest id. Of
+    repeated rows of it one stays."""
+    verdict = near_classes(docs, id_col, text_col).where("class_id is not null")
+    ids = verdict.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    apart = written(ids.where("not kept or n > 1"), "near-apart")
+    # Most documents are in neither list and pass as they are.
+    plain = docs.join(apart, docs[id_col] == apart["doc_id"], "left_anti")
+    once = apart.where("kept")
+    again = docs.join(once, docs[id_col] == once["doc_id"], "left_semi")
+    again = again.select(F.col(id_col).alias("_id"), F.struct("*").alias("_row"))
+    again = again.groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*")
+    return plain.unionByName(again)
