@@ -233,3 +233,4 @@ def cleaned_ctes(*tables: str) -> list[tuple[str, str]]:
 Q = {}
 for _t in CLEAN_CTES:
     Q[f"clean_{_t}"] = with_ctes(f"SELECT * FROM c_{_t}", *cleaned_ctes(_t))
+    Q[f"io_csv_{_t}"] = Q[f"clean_{_t}"]

@@ -144,3 +144,4 @@ Q = {
     "monthly_revenue": mart_sql("SELECT * FROM m_monthly_revenue ORDER BY order_month"),
     "customer_kpis": mart_sql("SELECT * FROM m_customer_kpis"),
 }
+Q["io_save_marts"] = Q["fact_orders"]

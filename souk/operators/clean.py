@@ -233,5 +233,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def with_source_order(df: DataFrame, column: str = "source_row_order") -> DataFrame:
-    """Row position straight after a scan (file order), for keep-first de-duplication."""
-    return df.withColumn(column, F.monotonically_increasing_id())
+    """Row position straight after a file scan, for keep-first de-duplication: file name, start
+    of the block within the file, position within the block. Files may be packed into tasks
+    by size, so a running number alone would not follow their names."""
+    place = (F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return df.withColumn(column, F.struct(*(c.alias(n) for c, n in zip(place, ("file", "block", "row"), strict=True))))

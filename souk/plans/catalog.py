@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from souk.plans import cleaning, eda, kpis, layers, measures, quality, reports
+from souk.session import scratch_path
+from souk.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +55,35 @@ for _table in cleaning.SPECS:
     register(f"clean_{_table}", _clean_query(_table))
 
 
+# --------------------------------------------------------------------- files
+# The driver's own line items repeat some keys.
+REPEATED_KEYS = ("order_items", "order_payments")
+
+
+def _csv_query(table: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, f"csv-{table}")
+        raw = layers.raw_layer(spark, sf_dir)[table]
+        return cleaning.clean_table(table, io.csv_round_trip(raw, path, table in REPEATED_KEYS))
+
+    return build
+
+
+for _table in cleaning.SPECS:
+    register(f"io_csv_{_table}", _csv_query(_table))
+
+
+def _saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts saved with month partitions; the orders read back."""
+    m = layers.mart_layer(spark, sf_dir)
+    folder = scratch_path(spark, "marts")
+    io.save_marts(m.as_dict(), folder)
+    return io.read_mart(spark, folder, "fact_orders", m.fact_orders.schema)
+
+
+register("io_save_marts", _saved_facts)
+
+
 # --------------------------------------------------------------------- feature marts
 def _mart_query(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ def build_session(
     app_name: str = "souk",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    initial_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
@@ -46,6 +47,9 @@ def build_session(
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if initial_partitions:
+        # Before AQE merges small ones: choose so that a partition of the largest shuffle fits.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -53,10 +57,15 @@ def build_session(
     return spark
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-{label}-{uuid.uuid4().hex[:12]}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet under the shared checkpoint folder and read back."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-{label}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
