@@ -222,7 +222,7 @@ class KPIReport:
 
 def build_kpi_report(b: FeatureBundle) -> KPIReport:
     if not isinstance(b, FeatureBundle):
-        raise KPIError("build_kpi_report expects a FeatureBundle")
+        raise KPIError(f"a FeatureBundle is needed, not {type(b).__name__}")
     return KPIReport(
         total_revenue=total_revenue(b),
         total_orders=total_orders(b),

@@ -169,3 +169,111 @@ def test_day_spans_ignore_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.d == 1.0 and r.m == dt.datetime(2018, 11, 1)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 200])
+def test_rank_and_medians_do_not_depend_on_partitions(spark, partitions):
+    rnd = random.Random(5)
+    values = [float(rnd.randint(0, 40)) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double").repartition(partitions)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        ranks = {r.id: r.rk for r in ranking.global_rank(df, "v", "rk").collect()}
+        median = op.column_medians(df, ["v"]).collect()[0].median
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert all(ranks[i] == 1 + sum(w > v for w in values) for i, v in enumerate(values))
+    assert median == float(np.median(values))
+
+
+@pytest.mark.parametrize("text", ["1.5d", "2f", "0x1p3", "1_000", "1,5", "", " ", "--1", "1e", "."])
+def test_numbers_with_engine_suffixes_do_not_parse(spark, text):
+    df = spark.createDataFrame([(text,)], "n string")
+    assert df.select(op.parse_number(F.col("n"))).first()[0] is None
+
+
+@pytest.mark.parametrize(("text", "value"), [(" 1.5 ", 1.5), ("-.5", -0.5), ("+2.", 2.0), ("1e3", 1000.0), ("1E-2", 0.01)])
+def test_plain_numbers_parse(spark, text, value):
+    df = spark.createDataFrame([(text,)], "n string")
+    assert df.select(op.parse_number(F.col("n"))).first()[0] == value
+
+
+def test_declared_types_hold_after_cleaning(spark):
+    from souk.plans import cleaning, layers
+
+    cleaned = layers.cleaned_layer(spark, "/root/testdata/sf0.001")
+    for name in ("orders", "order_items", "customers"):
+        types = {f.name: f.dataType for f in cleaned[name].schema}
+        assert all(types[f.name] == f.dataType for f in cleaning.SPECS[name].schema())
+
+
+def test_value_counts_leave_nulls_out(spark):
+    from souk.plans import eda
+
+    df = spark.createDataFrame([(1,), (1,), (None,)], "s int")
+    assert [tuple(r) for r in eda.value_counts(df, "s").collect()] == [(1, 2)]
+
+
+def test_correlation_matches_numpy_and_skips_constants(spark):
+    from souk.plans import eda
+
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(1e6, 3, 200), rng.normal(0, 1, 200)
+    rows = [(float(a), float(a + b) if i % 5 else None, 7.0) for i, (a, b) in enumerate(zip(x, y, strict=True))]
+    got = {
+        (r.column_a, r.column_b): r.correlation
+        for r in eda.correlation({"t": spark.createDataFrame(rows, "x double, z double, c double").repartition(3)}).collect()
+    }
+    pairs = np.array([(a, b) for a, b, _ in rows if b is not None])
+    assert got["x", "z"] == pytest.approx(np.corrcoef(pairs.T)[0, 1], abs=1e-4)
+    assert got["x", "c"] is None and got["z", "c"] is None
+
+
+def _bundle(spark):
+    """Three orders of two customers: one cancelled, one late."""
+    from types import SimpleNamespace
+
+    day = dt.datetime(2020, 1, 5)
+    orders = [("o1", "c1", "delivered", "card", day, 10.0, True), ("o2", "c1", "canceled", "cash", day, 20.0, None),
+              ("o3", "c2", "shipped", "card", None, 40.0, False)]
+    items = [("o1", "s1", "a", 1.0, 10.0, 10.0, 4.0), ("o2", "s1", "a", 10.0, 20.0, 20.0, 20.0),
+             ("o3", "s2", "b", 4.0, 40.0, 40.0, 10.0), (None, "s2", None, 1.0, 1.0, 1.0, None)]
+    return SimpleNamespace(
+        fact_orders=spark.createDataFrame(
+            orders, "order_id string, customer_id string, order_status string, dominant_payment_type string, "
+            "order_purchase_timestamp timestamp_ntz, order_value double, late_deliveries boolean"
+        ).withColumns({"delivery_time_days": F.lit(1.0), "approval_time_hours": F.lit(None).cast("double")}),
+        fact_order_items=spark.createDataFrame(
+            items, "order_id string, seller_id string, product_category_name_english string, freight_value double, "
+            "item_total_value double, revenue double, unit_cost double"),
+        dim_customers=spark.createDataFrame(
+            [("c1", "SP", "x", 2, True, 30.0), ("c2", None, "y", 1, False, 40.0)],
+            "customer_id string, customer_state string, customer_city string, total_orders long, "
+            "repeat_customer boolean, customer_lifetime_value double"),
+        dim_products=spark.createDataFrame([("a", 30.0), ("b", 40.0)], "product_category_name_english string, product_revenue double"),
+        dim_sellers=spark.createDataFrame([("s1", 30.0), ("s2", 40.0)], "seller_id string, seller_revenue double"),
+    )
+
+
+def test_slicers_reach_items_and_dimensions(spark):
+    from souk.plans import measures as m
+
+    b = _bundle(spark)
+    one = lambda **k: m.bi_measures(b, m.Slicers(**k)).first()
+    usual, delivered, everything = one(), one(status_mode="delivered"), one(status_mode="all")
+    assert (usual.total_orders, delivered.total_orders, everything.total_orders) == (2, 1, 3)
+    assert (usual.freight_share, delivered.freight_share) == (5.0 / 50.0, 1.0 / 10.0)
+    assert everything.freight_share == pytest.approx(16.0 / 71.0)
+    assert (usual.profit_margin, delivered.profit_margin) == (36.0 / 50.0, 6.0 / 10.0)
+    state, category = one(states=["SP"]), one(categories=["b"])
+    assert (state.total_orders, state.freight_share, state.repeat_customer_rate) == (1, 0.1, 1.0)
+    assert (category.total_revenue, category.top_category_revenue) == (40.0, 40.0)
+    assert one(sellers=["s1"]).top_seller_revenue == 30.0
+    assert one(delivery_status="late").total_orders == 1
+    nothing = one(states=["nowhere"])
+    assert nothing.total_orders == 0 and nothing.average_order_value is None and nothing.freight_share is None
+    by = {r.category: r for r in m.bi_measures_by(b, "category", m.Slicers(status_mode="all")).collect()}
+    assert by["a"].total_orders == 2 and by["b"].freight_share == 0.1 and None not in by
+    with pytest.raises(ValueError, match="status mode"):
+        one(status_mode="other")
