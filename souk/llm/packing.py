@@ -17,7 +17,7 @@ one task. Token ids never leave the task that made them, unless asked for.
 
 Tokenising: texts are cut before white space that follows other characters; the byte-level
 pre-tokeniser always breaks there, so the parts' ids put together are the text's ids, and
-frequent parts are looked up in a bounded memo. Special tokens' strings are ordinary text.
+parts seen before are looked up in a bounded memo. Special tokens' strings are ordinary text.
 
 Defined results: null text is empty; an empty document is the end id alone. Longer documents
 are cut into full pieces after a first one that may be shorter. Repeated rows are packed one
@@ -43,9 +43,13 @@ END_ID = 2
 #: Pieces in a salted group that is ranked together, about.
 RANK_GROUP = 20_000
 #: Entries and longest entry of a worker's memo.
-MEMO_SIZE, MEMO_LENGTH = 600_000, 64
+MEMO_SIZE, MEMO_LENGTH = 500_000, 64
+#: Texts encoded together.
+_SLICE = 64
+_MARKS = "\n.,"
 
 _PART = re.compile(r"\s*\S+|\s+")
+_LINE = re.compile(r" ?\S+")
 #: White space to Python but not to the pre-tokeniser; texts with it are encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -63,6 +67,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = dict(zip(_MARKS, self._ids(list(_MARKS)), strict=True))
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -71,24 +77,67 @@ class Encoder:
         return cls._cached[path]
 
     def _ids(self, parts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(parts, add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self._ids([text])[0]
-        parts, memo = _PART.findall(text), self.memo
-        new = list({p for p in parts if p not in memo})
-        if new:
-            if len(memo) + len(new) > MEMO_SIZE:
-                memo.clear()
-                new = list(set(parts))
-            known = dict(zip(new, self._ids(new), strict=True))
-            if len(new) > MEMO_SIZE or max(map(len, new)) > MEMO_LENGTH:
-                memo.update((p, ids) for p, ids in list(known.items())[:MEMO_SIZE] if len(p) <= MEMO_LENGTH)
-                return b"".join([known[p] if p in known else memo[p] for p in parts])
-            memo.update(known)
-        return b"".join(map(memo.__getitem__, parts))
+    def _known(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of each part. Parts without inner white space are encoded as lines of one
+        text: a line end before a letter, mark or single space is a pre-token of its own."""
+        lines = [p for p in parts if _LINE.fullmatch(p)]
+        rest = [p for p in parts if not _LINE.fullmatch(p)]
+        out = dict(zip(rest, self._ids(rest), strict=True)) if rest else {}
+        if lines:
+            data = self._ids(["\n".join(lines)])[0]
+            end = int.from_bytes(self.marks["\n"], "little")
+            ends = (np.flatnonzero(np.frombuffer(data, "<u4") == end) * 4).tolist()
+            if len(ends) != len(lines) - 1:  # not this kind of tokenizer
+                return out | dict(zip(lines, self._ids(lines), strict=True))
+            starts = [0, *(e + 4 for e in ends)]
+            out.update((p, data[a:b]) for p, a, b in zip(lines, starts, [*ends, len(data)], strict=True))
+        return out
+
+    def _learn(self, parts: set[str]) -> None:
+        """Adds the ids of ``parts`` to the memo. A line end before a letter and a full stop or
+        comma after one are pre-tokens of their own, so only what is between is encoded."""
+        memo, older, split, cores = self.memo, self.older, [], set()
+        for part in parts:
+            if part in older:
+                memo[part] = older[part]
+                continue
+            start = part[0] == "\n" and _plain_letter(part[1:2])
+            stop = part[-1] in ".," and _plain_letter(part[-2:-1])
+            core = part[start : len(part) - stop]
+            split.append((part, core, start, stop))
+            if core not in memo:
+                cores.add(core)
+        new = [c for c in cores if c not in older]
+        known = self._known(new)
+        for part, core, start, stop in split:
+            ids = known.get(core) or memo.get(core) or older[core]
+            memo[part] = (self.marks["\n"] if start else b"") + ids + (self.marks[part[-1]] if stop else b"")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = {i: ids for i in range(len(texts)) if _ODD_SPACE.search(texts[i]) for ids in self._ids([texts[i]])}
+        cut_up = [[] if i in odd else _PART.findall(t) for i, t in enumerate(texts)]
+        memo = self.memo
+        new = set().union(*cut_up).difference(memo)
+        if len(memo) + len(new) > MEMO_SIZE:
+            # The memo in use becomes the older one, and what it had for these texts is kept.
+            self.older, self.memo = memo, {}
+            memo = self.memo
+            new = set().union(*cut_up)
+        self._learn(new)
+        get = memo.__getitem__
+        out = [odd[i] if i in odd else b"".join(map(get, parts)) for i, parts in enumerate(cut_up)]
+        for part in new:
+            if len(part) > MEMO_LENGTH:
+                del memo[part]
+        return out
+
+
+def _plain_letter(c: str) -> bool:
+    return c.isalpha() and c < "\u0250"
+
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -111,12 +160,15 @@ def tokenised_pieces(
 
     def pieces(batch: pd.DataFrame) -> pd.DataFrame:
         encoder, out = Encoder.of(tokenizer), []
-        for doc_id, text in zip(batch["doc_id"].array, batch["_text"], strict=True):
-            ids = encoder.encode(text or "") + end
-            for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
-                part = ids[4 * start : 4 * (start + n)]
-                row = (doc_id, k, start, n, zlib.crc32(part))
-                out.append((*row, np.frombuffer(part, "<u4").astype(np.int64)) if with_ids else row)
+        for at in range(0, len(batch), _SLICE):
+            some = batch.iloc[at : at + _SLICE]
+            encoded = encoder.encode([t or "" for t in some["_text"]])
+            for doc_id, ids in zip(some["doc_id"].array, encoded, strict=True):
+                ids += end
+                for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
+                    part = ids[4 * start : 4 * (start + n)]
+                    row = (doc_id, k, start, n, zlib.crc32(part))
+                    out.append((*row, np.frombuffer(part, "<u4").astype(np.int64)) if with_ids else row)
         made = pd.DataFrame(out, columns=columns)
         return made.astype({"doc_id": batch["doc_id"].dtype})
 

@@ -221,9 +221,13 @@ def test_memo_overflow_keeps_ids(monkeypatch):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(TOKENIZER)
-    for text in ("a b c", "a b c d e f g h i", "x" * 200 + " a b", "a\n\n  b\t c ", "  ", "A" + " a" * 20):
-        want = np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        assert encoder.encode(text) == want
+    texts = ["a b c", "a b c d e f g h i", "x" * 200 + " a b", "a\n\n  b\t c ", "  ", "", "A" + " a" * 20]
+    texts += ["End.\nNext, one's it's.\n\nü. é,\n中. 中,a .,b.,", "\n", "\nA.", "a.\n", "1. 2,\n3", "\x1f. a\x1f.", "q\x85.\nr"]
+    want = [
+        np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts
+    ]
+    assert encoder.encode(texts) == want
+    assert [encoder.encode([t])[0] for t in texts] == want
 
 
 # Quality
