@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,11 +76,27 @@ def with_text_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def map_rows(df: DataFrame, fn, schema: T.StructType | str) -> DataFrame:
+#: What Python workers keep between tasks: how to drop it, by owner. Workers outlive an
+#: operator's tasks, so another operator's tasks drop it before they begin.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep_in_worker(owner: str, drop: Callable[[], None]) -> None:
+    _KEPT[owner] = drop
+
+
+def drop_kept(owner: str | None) -> None:
+    """Drops what all owners but this one keep in this worker."""
+    for other in [k for k in _KEPT if k != owner]:
+        _KEPT.pop(other)()
+
+
+def map_rows(df: DataFrame, fn, schema: T.StructType | str, owner: str | None = None) -> DataFrame:
     """``mapInPandas`` over batches; ``fn`` gets a frame and returns a frame. Batches are
     bounded by Spark in rows and bytes, so memory does not grow with a partition."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drop_kept(owner)
         for batch in batches:
             out = fn(batch)
             if len(out):  # an empty frame's columns have no usable type

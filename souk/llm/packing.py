@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import map_rows, written
+from souk.llm.common import keep_in_worker, map_rows, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -74,6 +74,7 @@ class Encoder:
     def of(cls, path: str) -> Encoder:
         if path not in cls._cached:
             cls._cached[path] = cls(path)
+            keep_in_worker("packing", cls._cached.clear)
         return cls._cached[path]
 
     def _ids(self, parts: list[str]) -> list[bytes]:
@@ -179,7 +180,7 @@ def tokenised_pieces(
     rows = docs.select(
         F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("_text")
     )
-    made = map_rows(rows, pieces, schema.replace(f"doc_id {id_type}", "doc_id string"))
+    made = map_rows(rows, pieces, schema.replace(f"doc_id {id_type}", "doc_id string"), "packing")
     return made.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 

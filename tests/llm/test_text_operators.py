@@ -215,6 +215,17 @@ def test_best_two_fit_packs_everything(seed):
     assert used == counts and bins <= -(-int(lengths.sum()) // 100) * 1.02 + 2
 
 
+def test_other_operators_drop_the_memo():
+    encoder = packing.Encoder.of(TOKENIZER)
+    common.drop_kept("packing")
+    assert packing.Encoder.of(TOKENIZER) is encoder
+    common.drop_kept(None)
+    assert not packing.Encoder._cached
+    assert packing.Encoder.of(TOKENIZER) is not encoder
+    common.drop_kept("quality")
+    assert not packing.Encoder._cached
+
+
 def test_memo_overflow_keeps_ids(monkeypatch):
     monkeypatch.setattr(packing, "MEMO_SIZE", 5)
     encoder = packing.Encoder(TOKENIZER)
