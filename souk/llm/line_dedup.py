@@ -1,15 +1,19 @@
 """Line dedup by pairwise alignment.
 
 Lines (trimmed, not blank) and pairs of neighbouring lines are hashed together with their
-occurrence number, so a key stands once in a document and pairing makes common lines rare. The
-earliest document (smallest id) that has a key holds it; every later document with the key is
-linked to the holder. That gives one link per key and document, however many documents share a
-line, and needs no cap on frequency.
+occurrence number, so a key stands once in a document and pairing makes common lines rare. So
+are the shortest runs of lines that reach ``MIN_WORDS`` words, one from each line on and one up
+to each line, and the whole document: every line of a block that can be deleted stands in such a
+run. The earliest document (smallest id) that has a key holds it; every later document with the
+key is linked to the holder, which has the run whole. That gives one link per key and document,
+however many documents share a line, and needs no cap on frequency.
 
 A later document's links are grouped by holder, rarest shared key first. Each pair of documents
 is aligned by patience diff: of the shared keys the longest run whose positions ascend in both
 documents is kept, and matched lines that follow each other in both form blocks. Blocks of at
-least ``MIN_WORDS`` words are deleted from the later document; the holder keeps its lines.
+least ``MIN_WORDS`` words are deleted from the later document; the holder keeps its lines. Lines
+that went by one holder count in the blocks of the next, as the runs of a block can have
+different holders.
 
 Defined results: null and empty texts have no lines and stay as they are. Rows with a null id
 neither give nor lose lines. Rows of one id are one document and do not lose lines to each
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import bisect
 from collections import defaultdict
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -30,10 +35,29 @@ from pyspark.sql import functions as F
 from souk.llm.common import map_rows, with_text_key, words, written
 
 MIN_WORDS = 10
-
-
-def keyed_lines(text: str | None) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Per key: its hash, line position, number of lines (1 or 2), and words of those lines.
+#: Polynomial hashing of runs of lines: modulus and base.
+_MOD, _BASE = (1 << 61) - 1, 1_445_088_963_704_212_871
+
+
+def min_runs(sizes: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(from, to) of the shortest runs of ``min_words`` words from each line on and up to each
+    line, and of all lines; without runs of one or two lines."""
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    n = len(sizes)
+    if n < 3 or total[-1] < min_words:
+        return []
+    ends = np.searchsorted(total, total[:-1] + min_words, "left").tolist()
+    starts = (np.searchsorted(total, total[1:] - min_words, "right") - 1).tolist()
+    runs = {(i, e) for i, e in enumerate(ends) if i + 2 < e <= n}
+    runs.update((s, e) for e, s in enumerate(starts, 1) if 0 <= s < e - 2)
+    runs.add((0, n))
+    return sorted(runs)
+
+
+def keyed_lines(
+    text: str | None, min_words: int = MIN_WORDS
+) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Per key: its hash, line position, number of lines, and words of those lines.
     Positions count the lines that are not blank."""
     lines = [s for x in (text or "").split("\n") if (s := x.strip())]
     plain = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in lines]
@@ -49,14 +73,29 @@ def keyed_lines(text: str | None) -> tuple[list[int], list[int], list[int], list
             out[1].append(i)
             out[2].append(span)
             out[3].append(sum(sizes[i : i + span]))
+    if runs := min_runs(sizes, min_words):
+        # Hashes of prefixes: a run costs the same however many lines without words it holds.
+        prefix, power, total = [0], [1], [0, *accumulate(sizes)]
+        for x in plain:
+            prefix.append((prefix[-1] * _BASE + x) % _MOD)
+            power.append(power[-1] * _BASE % _MOD)
+        seen = defaultdict(int)
+        for i, e in runs:
+            key = (e - i, (prefix[e] - prefix[i] * power[e - i]) % _MOD)
+            seen[key] += 1
+            packed = np.array([key[0], seen[key], key[1]], dtype=np.uint64).tobytes()
+            out[0].append(xxhash.xxh3_64_intdigest(packed) - (1 << 63))
+            out[1].append(i)
+            out[2].append(e - i)
+            out[3].append(total[e] - total[i])
     return out
 
 
-def line_keys(rows: DataFrame) -> DataFrame:
+def line_keys(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, key row) per line key of ``rows`` (_id, _key, _text): _id, _key, line, at, span."""
 
     def explode(batch: pd.DataFrame) -> pd.DataFrame:
-        found = [keyed_lines(t) for t in batch["_text"]]
+        found = [keyed_lines(t, min_words) for t in batch["_text"]]
         n = [len(f[0]) for f in found]
         return pd.DataFrame(
             {
@@ -109,15 +148,25 @@ def common_blocks(matches: set[tuple[int, int]]) -> list[list[int]]:
 def deleted_lines(links: list[dict], sizes: list[int], min_words: int) -> list[int]:
     """The positions to delete from one later document, given its links to all holders."""
     by_holder: dict = defaultdict(lambda: [float("inf"), set()])
-    for link in links:
+    # Overlapping runs of one holder and shift add each match once.
+    reach: dict[tuple, int] = defaultdict(int)
+    for link in sorted(links, key=lambda x: x["at"]):
         entry = by_holder[link["holder"]]
         entry[0] = min(entry[0], link["df"])
-        for k in range(link["span"]):
-            entry[1].add((link["at"] + k, link["held_at"] + k))
+        shift, end = link["held_at"] - link["at"], link["at"] + link["span"]
+        way = (link["holder"], shift)
+        for at in range(max(link["at"], reach[way]), end):
+            entry[1].add((at, at + shift))
+        reach[way] = max(reach[way], end)
     gone: set[int] = set()
     for holder in sorted(by_holder, key=lambda h: (by_holder[h][0], -len(by_holder[h][1]), h)):
-        free = {p for p in by_holder[holder][1] if p[0] not in gone}
-        for block in common_blocks(free):
+        matches = by_holder[holder][1]
+        free = {p for p in matches if p[0] not in gone}
+        if not free:
+            continue
+        tries = [free] if len(free) == len(matches) else [free, matches]
+        blocks = [block for found in tries for block in common_blocks(found)]
+        for block in blocks:
             if sum(sizes[i] for i in block) >= min_words:
                 gone.update(block)
     return sorted(gone)
@@ -144,7 +193,7 @@ def dedup_lines(
     """One row per input row: doc_id, n_lines, n_removed, removed (positions among the lines
     that are not blank), removed_words and clean_text."""
     rows = with_text_key(docs, id_col, text_col)
-    keys = written(line_keys(rows.where("_id is not null")), "line-keys")
+    keys = written(line_keys(rows.where("_id is not null"), min_words), "line-keys")
     links = written(links_to_holders(keys), "line-links").withColumnRenamed("_id", "_lid")
     on = (F.col("r._key") == F.col("l._key")) & (F.col("r._id") == F.col("l._lid"))
     joined = rows.alias("r").join(links.alias("l"), on, "left").select("r._id", "r._text", "l.links")

@@ -69,6 +69,46 @@ def test_moved_blocks_align_once(spark):
     assert got[2].n_removed == 1
 
 
+def test_blocks_of_common_short_lines_go(spark):
+    rng = random.Random(5)
+    texts = [[f"w{x} v{x}" for x in rng.choices(range(60), k=40)] for _ in range(800)]
+    copy, part = texts[700], ["own first line", *texts[650][7:19], "own last line"]
+    rows = [(i, "\n".join(t)) for i, t in enumerate([*texts, copy, part])]
+    got = lines_of(spark, rows)
+    assert got[800].clean_text == "" and got[800].removed_words == 80
+    assert got[801].clean_text == "own first line\nown last line"
+
+
+def test_runs_of_a_block_have_different_holders(spark):
+    short = [f"a{i} b{i}" for i in range(6)]
+    long, *tail = ("x " * 12).strip(), "tail one word", "tail two word"
+    rows = [
+        (1, "\n".join(short[:5])),
+        (2, "\n".join(short[1:])),
+        (3, "\n".join(short)),
+        (11, long),
+        (12, "\n".join(tail)),
+        (13, "\n".join([long, *tail])),
+        (14, "\n".join([long, *tail])),
+    ]
+    got = lines_of(spark, rows)
+    assert got[2].n_removed == 0 and got[3].clean_text == ""
+    assert got[13].clean_text == "\n".join(tail) and got[14].clean_text == ""
+
+
+def test_min_runs_cover_every_line_of_a_block():
+    rng = random.Random(7)
+    for _ in range(200):
+        sizes = rng.choices([0, 1, 2, 3, 6, 12], k=rng.randint(1, 15))
+        runs = line_dedup.min_runs(sizes, 10)
+        runs += [(i, i + k) for k in (1, 2) for i in range(len(sizes) - k + 1) if sum(sizes[i : i + k]) >= 10]
+        for a in range(len(sizes)):
+            for z in range(a + 1, len(sizes) + 1):
+                if sum(sizes[a:z]) >= 10:
+                    inside = [range(i, e) for i, e in runs if a <= i and e <= z]
+                    assert {x for r in inside for x in r} == set(range(a, z))
+
+
 def test_line_dedup_odd_cases(odd, empty):
     got = line_dedup.dedup_lines(odd).collect()
     assert len(got) == odd.count()
