@@ -7,6 +7,10 @@ whatever the corpus size). The posterior of a document's votes is its label, and
 train a hashed linear scorer (logistic regression over hashed trigrams of character classes and
 binned statistics). The scorer decides.
 
+Statistics and features count characters (code points), not bytes, and know the sentence marks of
+all scripts. Where most letters are of scripts without spaces between words, the labellers for
+word length and sentence ends abstain: tokens are no words there.
+
 The scorer is fitted on a sample of about ``TRAIN_ROWS`` documents, chosen by a hash of id and
 text, and never more than twice that; votes are counted and scores given over all rows.
 
@@ -73,6 +77,34 @@ _SHAPE = bytes(
     for b, c in enumerate(_CLASS)
 )
 _BARE = re.compile(rb" [#.]+(?= )")
+#: Bytes that continue a character in UTF-8; all others begin one.
+_CONTINUE = bytes(range(0x80, 0xC0))
+#: Marks that end a sentence beyond ASCII (Unicode's Sentence_Terminal), one or more in a row.
+_ENDS = re.compile(
+    "[\u037e\u0589\u061d-\u061f\u06d4\u0700-\u0702\u07f9\u0837\u0839\u083d\u083e\u0964\u0965\u104a\u104b"
+    "\u1362\u1367\u1368\u166e\u1735\u1736\u17d4\u17d5\u1803\u1809\u1944\u1945\u1aa8-\u1aab\u1b5a\u1b5b"
+    "\u1b5e\u1b5f\u1c3b\u1c3c\u1c7e\u1c7f\u203c\u203d\u2047-\u2049\u2e2e\u2e3c\u3002\ua4ff\ua60e\ua60f"
+    "\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8\ua9c9\uaa5d-\uaa5f\uaaf0\uaaf1\uabeb\ufe52\ufe56"
+    "\ufe57\uff01\uff0e\uff1f\uff61]+"
+)
+#: Characters of scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer and
+#: their neighbours, kana, bopomofo, Han, Yi, Javanese and others.
+_UNSPACED = re.compile(
+    "[\u0e01-\u0e4e\u0e81-\u0edf\u0f00-\u0fbc\u1000-\u109f\u1780-\u17d3\u1950-\u19df\u1a20-\u1aad"
+    "\u1b00-\u1b4c\u3005-\u3007\u3031-\u3035\u3041-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua48c\ua980-\ua9c0\ua9e0-\ua9fe\uaa60-\uaadf\uf900-\ufaff"
+    "\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]+"
+)
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _other_scripts(text: str) -> tuple[bool, int]:
+    """Whether most letters are of scripts without spaces between words, and how many sentence
+    ends have other marks than ASCII's."""
+    ends = len(_ENDS.findall(text))
+    unspaced = sum(map(len, _UNSPACED.findall(text)))
+    # Letters that are left; vowel signs and tone marks of the removed scripts go with them.
+    return unspaced > 0 and unspaced > sum(map(len, _WORD.findall(_UNSPACED.sub(" ", text)))), ends
 
 
 def statistics(text: str | None) -> tuple[float, ...] | None:
@@ -93,15 +125,23 @@ def statistics(text: str | None) -> tuple[float, ...] | None:
     shape = data.translate(_SHAPE)
     ends = shape.count(b". ") + shape.endswith(b".")
     bare = len(_BARE.findall(b" " + shape + b" "))
+    continued = 0 if data.isascii() else len(data) - len(data.translate(None, _CONTINUE))
+    unspaced = False
+    if continued:
+        unspaced, more = _other_scripts(text)
+        ends += more
+    solid -= continued
     return (
         (marks - plain) / solid,
         capitals / letters if letters >= 20 else nan,
         bare / n,
         sum(map(eq, tokens, tokens[1:])) / (n - 1) if n >= 8 else nan,
-        len(zlib.compress(data, 1)) / len(data) if len(data) >= 400 else nan,
+        # By characters, as all of a script's letters begin with the same bytes; one with more than
+        # a byte of news says no more than that it does not repeat.
+        min(len(zlib.compress(data, 1)) / (len(data) - continued), 1.0) if len(data) >= 400 else nan,
         again / len(data) if len(lines) > 3 else nan,
-        solid / n,
-        ends / n if n >= 30 else nan,
+        nan if unspaced else solid / n,
+        nan if unspaced or n < 30 else ends / n,
     )
 
 
@@ -178,7 +218,7 @@ def fit_label_model(counts: dict[tuple[int, ...], int], rounds: int = 100) -> La
 def features(text: str, stats: tuple[float, ...]) -> np.ndarray:
     """Dense hashed features: square roots of trigram shares, one bin per statistic, a constant."""
     out = np.zeros(N_FEATURES, dtype=np.float32)
-    c = np.frombuffer(text.encode("utf-8", "replace").translate(_CLASS), np.uint8).astype(np.uint32)
+    c = np.frombuffer(text.encode("utf-8", "replace").translate(_CLASS, _CONTINUE), np.uint8).astype(np.uint32)
     if len(c) >= 3:
         code = c[:-2] * np.uint32(65_599) + c[1:-1] * np.uint32(2_654_435_761) + c[2:] * np.uint32(40_503)
         code = (code * np.uint32(2_246_822_519)) >> np.uint32(20)

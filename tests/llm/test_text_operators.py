@@ -1,5 +1,7 @@
 """Exact dedup, decontamination, near-dedup, packing, quality: odd cases and brute force."""
 
+import random
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -271,6 +273,50 @@ def test_quality_on_labelled_documents(spark):
     assert np.mean(good) >= 0.99 and np.mean(junk) >= 0.9
 
 
+def clean_texts(script, n, seed=1):
+    """``n`` texts of mixed lengths without any junk."""
+    rng = random.Random(seed)
+    pools = {
+        "hindi": "यह वह लोग समय काम घर पानी दिन साल देश सरकार बात जीवन शहर किताब बच्चे नदी सड़क खेत बारिश सुबह रात में से को का है और",
+        "thai": "ภาษา ไทย ประเทศ บ้าน เมือง น้ำ คน ทำงาน เรียน หนังสือ ครู ตลาด อาหาร ฝน วัน เวลา ที่ และ ของ ใน มี",
+        "chinese": " ".join(chr(rng.randint(0x4E00, 0x9F00)) for _ in range(500)),
+        "japanese": " ".join(map(chr, [*range(0x3041, 0x3094), *range(0x4E00, 0x4E60)])),
+    }
+    between, stop = {"hindi": (" ", "। "), "thai": ("", " ")}.get(script, ("", "。"))
+    words = pools[script].split()
+    sentence = lambda: between.join(rng.choices(words, k=rng.randint(8, 20))) + stop
+    return ["".join(sentence() for _ in range(rng.choice([4, 20, 120]))) for _ in range(n)]
+
+
+SCRIPTS = ["hindi", "thai", "chinese", "japanese"]
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_clean_texts_of_any_script_get_no_bad_vote(script):
+    for text in clean_texts(script, 30):
+        found = quality.votes(quality.statistics(text))
+        assert quality.BAD not in found, dict(zip(quality.STATISTICS, found, strict=True))
+    junk = clean_texts(script, 1)[0][:40] * 200
+    assert quality.BAD in quality.votes(quality.statistics(junk))
+
+
+def test_statistics_count_characters():
+    at = dict(zip(quality.STATISTICS, quality.statistics("größe " * 30), strict=True))
+    assert at["word_length"] == 5 and at["sentence_ends"] == 0
+    greek = quality.statistics("αβγδ " * 29 + "εζ% 中文")
+    assert greek[0] == 1 / (29 * 4 + 5) and greek[6] == (29 * 4 + 5) / 31
+
+
+def test_clean_texts_of_other_scripts_are_kept(spark):
+    docs = common.read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    texts = [t for k in SCRIPTS for t in clean_texts(k, 25, 2)]
+    more = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = quality.fit(docs.unionByName(more.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))))
+    patterns = np.array([quality.votes(quality.statistics(t)) for t in texts])
+    assert (model.labels.posterior(patterns) >= 0.5).all()
+    assert np.mean([model.score(t) >= quality.MIN_SCORE for t in texts]) >= 0.99
+
+
 def test_quality_odd_cases(odd, empty):
     scores = quality.scored(odd.select("doc_id", "text"), quality.fit(odd)).collect()
     assert len(scores) == odd.count()
