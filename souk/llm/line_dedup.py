@@ -13,7 +13,8 @@ is aligned by patience diff: of the shared keys the longest run whose positions
 documents is kept, and matched lines that follow each other in both form blocks. Blocks of at
 least ``MIN_WORDS`` words are deleted from the later document; the holder keeps its lines. Lines
 that went by one holder count in the blocks of the next, as the runs of a block can have
-different holders.
+different holders. Later occurrences of a run of ``MIN_WORDS`` words in the later document go as
+well if the holder has it once: they need no alignment, as the holder has the run whole.
 
 Defined results: null and empty texts have no lines and stay as they are. Rows with a null id
 neither give nor lose lines. Rows of one id are one document and do not lose lines to each
@@ -56,23 +57,30 @@ def min_runs(sizes: list[int], min_words: int) -> list[tuple[int, int]]:
 
 def keyed_lines(
     text: str | None, min_words: int = MIN_WORDS
-) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Per key: its hash, line position, number of lines, and words of those lines.
-    Positions count the lines that are not blank."""
+) -> tuple[list[int], list[int], list[int], list[int], list[bool]]:
+    """Per key: its hash, line position, number of lines, words of those lines, and whether the
+    row repeats the hash of a key's first occurrence for a later one. Positions count the lines
+    that are not blank."""
     lines = [s for x in (text or "").split("\n") if (s := x.strip())]
     plain = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in lines]
     sizes = [len(words(x)) for x in lines]
-    out: tuple[list[int], list[int], list[int], list[int]] = ([], [], [], [])
+    out: tuple[list[int], list[int], list[int], list[int], list[bool]] = ([], [], [], [], [])
+
+    def add(nth: int, at: int, span: int, size: int, key: tuple) -> None:
+        for k in (nth, 1) if nth > 1 and size >= min_words else (nth,):
+            packed = np.array([span, k, *key], dtype=np.uint64).tobytes()
+            out[0].append(xxhash.xxh3_64_intdigest(packed) - (1 << 63))
+            out[1].append(at)
+            out[2].append(span)
+            out[3].append(size)
+            out[4].append(k != nth)
+
     for span in (1, 2):
         seen: dict[tuple, int] = defaultdict(int)
         for i in range(len(lines) - span + 1):
             key = tuple(plain[i : i + span])
             seen[key] += 1
-            packed = np.array([span, seen[key], *key], dtype=np.uint64).tobytes()
-            out[0].append(xxhash.xxh3_64_intdigest(packed) - (1 << 63))
-            out[1].append(i)
-            out[2].append(span)
-            out[3].append(sum(sizes[i : i + span]))
+            add(seen[key], i, span, sum(sizes[i : i + span]), key)
     if runs := min_runs(sizes, min_words):
         # Hashes of prefixes: a run costs the same however many lines without words it holds.
         prefix, power, total = [0], [1], [0, *accumulate(sizes)]
@@ -83,16 +91,13 @@ def keyed_lines(
         for i, e in runs:
             key = (e - i, (prefix[e] - prefix[i] * power[e - i]) % _MOD)
             seen[key] += 1
-            packed = np.array([key[0], seen[key], key[1]], dtype=np.uint64).tobytes()
-            out[0].append(xxhash.xxh3_64_intdigest(packed) - (1 << 63))
-            out[1].append(i)
-            out[2].append(e - i)
-            out[3].append(total[e] - total[i])
+            add(seen[key], i, e - i, total[e] - total[i], key[1:])
     return out
 
 
 def line_keys(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, key row) per line key of ``rows`` (_id, _key, _text): _id, _key, line, at, span."""
+    """(doc, key row) per line key of ``rows`` (_id, _key, _text): _id, _key, line, at, span,
+    repeat."""
 
     def explode(batch: pd.DataFrame) -> pd.DataFrame:
         found = [keyed_lines(t, min_words) for t in batch["_text"]]
@@ -104,12 +109,13 @@ def line_keys(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 "line": np.array([x for f in found for x in f[0]], dtype=np.int64),
                 "at": np.array([x for f in found for x in f[1]], dtype=np.int32),
                 "span": np.array([x for f in found for x in f[2]], dtype=np.int32),
+                "repeat": np.array([x for f in found for x in f[4]], dtype=bool),
             }
         )
 
     kind = rows.schema["_id"].dataType.simpleString()
     text = rows.withColumn("_id", F.col("_id").cast("string"))
-    out = map_rows(text, explode, "_id string, _key long, line long, at int, span int")
+    out = map_rows(text, explode, "_id string, _key long, line long, at int, span int, repeat boolean")
     return out.withColumn("_id", F.col("_id").cast(kind))
 
 
@@ -150,7 +156,7 @@ def deleted_lines(links: list[dict], sizes: list[int], min_words: int) -> list[i
     by_holder: dict = defaultdict(lambda: [float("inf"), set()])
     # Overlapping runs of one holder and shift add each match once.
     reach: dict[tuple, int] = defaultdict(int)
-    for link in sorted(links, key=lambda x: x["at"]):
+    for link in sorted((x for x in links if not x["repeat"]), key=lambda x: x["at"]):
         entry = by_holder[link["holder"]]
         entry[0] = min(entry[0], link["df"])
         shift, end = link["held_at"] - link["at"], link["at"] + link["span"]
@@ -169,6 +175,10 @@ def deleted_lines(links: list[dict], sizes: list[int], min_words: int) -> list[i
         for block in blocks:
             if sum(sizes[i] for i in block) >= min_words:
                 gone.update(block)
+    covered = 0
+    for at, span in sorted((x["at"], x["span"]) for x in links if x["repeat"]):
+        gone.update(range(max(at, covered), at + span))
+        covered = max(covered, at + span)
     return sorted(gone)
 
 
@@ -176,14 +186,14 @@ def links_to_holders(keys: DataFrame) -> DataFrame:
     """Per later document (_id, _key): its links to the holders of its keys."""
     # One row per key and document: its position in the row read first for that id.
     held = keys.where("_id is not null").groupBy("line").agg(
-        F.min("_id").alias("holder"), F.max("_id").alias("_last"), F.count(F.lit(1)).alias("df")
+        F.min("_id").alias("holder"), F.max("_id").alias("_last"), F.count_if(~F.col("repeat")).alias("df")
     )
     held = held.where("holder <> _last").drop("_last")
     linked = keys.join(held, "line")
     own = linked.where(F.col("_id") == F.col("holder")).groupBy("line").agg(F.min("at").alias("held_at"))
     later = linked.where(F.col("_id") > F.col("holder")).join(own, "line")
-    rows = later.select("_id", "_key", "at", "span", "holder", "held_at", "df").distinct()
-    link = F.struct("at", "span", "holder", "held_at", "df")
+    rows = later.select("_id", "_key", "at", "span", "holder", "held_at", "df", "repeat").distinct()
+    link = F.struct("at", "span", "holder", "held_at", "df", "repeat")
     return rows.groupBy("_id", "_key").agg(F.collect_list(link).alias("links"))
 
 

@@ -109,6 +109,18 @@ def test_min_runs_cover_every_line_of_a_block():
                     assert {x for r in inside for x in r} == set(range(a, z))
 
 
+def test_later_occurrences_go_too(spark):
+    long = " ".join(f"z{i}" for i in range(12))
+    rows = [
+        (1, f"{PASSAGE}\nown one\n{long}"),
+        (2, f"{PASSAGE}\nown two\n{PASSAGE}\n{long}\nmore two\n{long}\n{PASSAGE}"),
+        (3, f"unique {long}\nown three\nunique {long}"),
+    ]
+    got = lines_of(spark, rows)
+    assert got[2].clean_text == "own two\nmore two"
+    assert got[1].n_removed == 0 and got[3].n_removed == 0
+
+
 def test_line_dedup_odd_cases(odd, empty):
     got = line_dedup.dedup_lines(odd).collect()
     assert len(got) == odd.count()
