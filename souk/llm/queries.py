@@ -14,6 +14,7 @@ from souk.llm import (
     language_id,
     license_scan,
     line_dedup,
+    merkle,
     near_dedup,
     packing,
     quality,
@@ -83,6 +84,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.withColumn("kept", F.col("score") >= quality.MIN_SCORE)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = read_table(spark, sf_dir, "documents").select(*names)
+    fields = [F.col(c) for c in names]
+    without_breaks = merkle.leaf_hash(*fields[:-1], F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(docs, merkle.leaf_hash(*fields), F.when(even, without_breaks))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -96,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op8_dart_minhash,
         op9_language_id,
         op10_quality,
+        op12_merkle,
     )
 }
 

