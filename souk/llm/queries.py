@@ -19,6 +19,7 @@ from souk.llm import (
     packing,
     quality,
     url_filter,
+    vector_codes,
     warc_zip,
 )
 from souk.llm.common import read_table
@@ -93,6 +94,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, merkle.leaf_hash(*fields), F.when(even, without_breaks))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_quality,
         op12_merkle,
+        op13_vector_codes,
     )
 }
 

@@ -135,10 +135,53 @@ SELECT doc_id, leaf, subroot, root, sha256(tops.proof) AS proof_sha256, tops.fol
 FROM d JOIN ends USING (row_id) JOIN tops USING (row_id)
 """
 
+_OP13_PARTS = """
+v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS MATERIALIZED (
+  SELECT r, part, list_slice(e, part * len(e) // 4 + 1, (part + 1) * len(e) // 4) AS x
+  FROM v, range(4) AS t(part)
+),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 256)"""
+_OP13_NEAREST = """
+a{0} AS MATERIALIZED (
+  SELECT r, part, min({{'d': d, 'entry': entry}}) AS best
+  FROM (SELECT r, p.part, entry, list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS d
+        FROM p JOIN b{0} USING (part)) GROUP BY r, part
+)"""
+_OP13_MOVED = """
+b{1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m, c) AS c FROM b{0} LEFT JOIN (
+    SELECT part, entry, list(s ORDER BY k) AS m FROM (
+      SELECT part, best.entry AS entry, k, floor(sum(x[k + 1]) / count(*)) AS s
+      FROM a{0} JOIN p USING (r, part), range((SELECT max(len(x)) FROM p)) AS t(k) GROUP BY ALL) GROUP BY part, entry
+  ) USING (part, entry)
+)"""
+_OP13 = f"""
+WITH {_OP13_PARTS},
+{",".join(_OP13_NEAREST.format(k) + "," + _OP13_MOVED.format(k, k + 1) for k in range(4))},
+{_OP13_NEAREST.format(4)},
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, k)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(c) AS x, generate_subscripts(c, 1) AS k FROM b4)
+),
+coded AS (
+  SELECT r, string_agg(printf('%02x', CAST(best.entry AS INT)), '' ORDER BY part) AS code,
+         CAST(sum(best.d) AS BIGINT) AS error FROM a4 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN coded USING (r), books
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_zip": _OP2,
     "op3_decontaminate": _OP3,
     "op4_exact_dedup": _OP4,
     "op7_url_filter": _OP7,
     "op12_merkle": _OP12,
+    "op13_vector_codes": _OP13,
 }

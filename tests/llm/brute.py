@@ -189,3 +189,41 @@ def merkle_manifest(rows):
             sides = h(*(x for a, b in proof for x in a + b))
             out.append((row[0], leaf, trees[s][-1][0], top[-1][0], sides, folded, folded == top[-1][0]))
     return out
+
+
+def vector_codes(rows, entries=256, rounds=4):
+    """rows: (vec_id, vector, label) -> per kept row (vec_id, code, error, label_error, digest)."""
+    import math
+
+    import numpy as np
+
+    kept = [r for r in rows if r[1] and len(r[1]) % 4 == 0 and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    kept = [r for r in kept if len(r[1]) == len(kept[0][1])]
+    if not kept:
+        return []
+    whole = np.array([[math.floor(1024 * x) for x in r[1]] for r in kept], dtype=object)
+    parts = [whole[:, k * whole.shape[1] // 4 : (k + 1) * whole.shape[1] // 4] for k in range(4)]
+    books = [p[:entries].copy() for p in parts]
+
+    def nearest(k):
+        out = []
+        for x in parts[k]:
+            d = [int(((x - c) ** 2).sum()) for c in books[k]]
+            out.append((min(d), d.index(min(d))))
+        return out
+
+    for _ in range(rounds):
+        for k in range(4):
+            at = [i for _, i in nearest(k)]
+            for e in set(at):
+                own = parts[k][[i for i, a in enumerate(at) if a == e]]
+                books[k][e] = own.sum(axis=0) // len(own)
+    found = [nearest(k) for k in range(4)]
+    codes = ["".join(f"{found[k][i][1]:02x}" for k in range(4)) for i in range(len(kept))]
+    errors = [sum(found[k][i][0] for k in range(4)) for i in range(len(kept))]
+    total = Counter()
+    for r, e in zip(kept, errors, strict=True):
+        total[r[2]] += e
+    sha = hashlib.sha256(",".join(str(x) for b in books for x in b.ravel()).encode()).hexdigest()
+    return [(r[0], c, e, total[r[2]], sha) for r, c, e in zip(kept, codes, errors, strict=True)]

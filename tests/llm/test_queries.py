@@ -23,7 +23,7 @@ SF = os.environ.get("SOUK_TEST_SF_DIR", "/root/testdata/sf0.001")
 def test_query(spark, key):
     frame = QUERIES[key](spark, SF)
     rows = [tuple(r) for r in frame.collect()]
-    table = "pages" if key in ("op2_warc_zip", "op7_url_filter") else "documents"
+    table = {"op2_warc_zip": "pages", "op7_url_filter": "pages", "op13_vector_codes": "embeddings"}.get(key, "documents")
     total = common.read_table(spark, SF, table).count()
     assert len(rows) >= total if key == "op6_best_fit_pack" else len(rows) == total
     if key in ORACLE_SQL:
