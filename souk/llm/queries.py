@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from souk.llm import (
     decontaminate,
     exact_dedup,
+    fingerprints,
     language_id,
     license_scan,
     line_dedup,
@@ -85,6 +86,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.withColumn("kept", F.col("score") >= quality.MIN_SCORE)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints.compare_edited(docs)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("doc_id", "source", "lang", "n_chars", "text")
     docs = read_table(spark, sf_dir, "documents").select(*names)
@@ -111,6 +117,7 @@ QUERIES: dict[str, Query] = {
         op8_dart_minhash,
         op9_language_id,
         op10_quality,
+        op11_fingerprints,
         op12_merkle,
         op13_vector_codes,
     )

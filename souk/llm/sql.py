@@ -78,6 +78,52 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.body) AS payload_dige
 FROM p LEFT JOIN g ON p.body = g.body AND n >= 1000
 """
 
+_OP11_MERGED = "list_slice(list_sort(list_distinct(list_concat({0}, {1}))), 1, 128)"
+_OP11_BOTH = f"len(list_intersect(list_intersect({{0}}, {{1}}), {_OP11_MERGED}))"
+_OP11_NEAR = f"""CASE WHEN len({{0}}) + len({{1}}) = 0 THEN 1.0
+  ELSE CAST({_OP11_BOTH} AS DOUBLE) / greatest(len({_OP11_MERGED}), 1) END"""
+_OP11 = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+ids AS (SELECT doc_id, min(sha256(text)) AS sha FROM t GROUP BY doc_id),
+nx AS (
+  SELECT doc_id, coalesce(lead(s) OVER w, first_value(s) OVER w) AS nxt
+  FROM (SELECT doc_id, struct_pack(id := doc_id, sha := sha) AS s FROM ids) WINDOW w AS (
+    ORDER BY doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+),
+e AS (
+  SELECT row_number() OVER () AS r, t.doc_id, t.text, n.text AS next_text,
+         left(t.text, length(t.text) - length(t.text) // 2) || left(n.text, length(t.text) // 2) AS edited
+  FROM t JOIN nx ON t.doc_id IS NOT DISTINCT FROM nx.doc_id
+  JOIN (SELECT DISTINCT doc_id, text, sha256(text) AS sha FROM t) n
+    ON n.doc_id IS NOT DISTINCT FROM nx.nxt.id AND n.sha = nx.nxt.sha
+),
+w AS (
+  SELECT r, k, {_WORDS} AS ws
+  FROM (SELECT r, 'own' AS k, text FROM e UNION ALL SELECT r, 'other', edited FROM e UNION ALL SELECT r, 'after', next_text FROM e)
+),
+wd AS (SELECT r, k, len(ws) AS n, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w),
+sh AS (
+  SELECT DISTINCT r, k, substr(md5(concat_ws(' ', x, a, b, c, d)), 1, 16) AS h
+  FROM (SELECT *, lead(x, 1) OVER o AS a, lead(x, 2) OVER o AS b, lead(x, 3) OVER o AS c, lead(x, 4) OVER o AS d
+        FROM wd WINDOW o AS (PARTITION BY r, k ORDER BY p)) WHERE p <= greatest(n - 4, 1)
+),
+found AS (
+  SELECT r, list_slice(list(h ORDER BY h) FILTER (k = 'own'), 1, 128) AS own,
+         list_slice(list(h ORDER BY h) FILTER (k = 'other'), 1, 128) AS other,
+         list_slice(list(h ORDER BY h) FILTER (k = 'after'), 1, 128) AS after
+  FROM sh GROUP BY r
+),
+s AS (SELECT r, coalesce(own, []) AS own, coalesce(other, []) AS other, coalesce(after, []) AS after FROM e LEFT JOIN found USING (r))
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(own, '') AS fingerprint, array_to_string(other, '') AS edited_fingerprint,
+       {_OP11_NEAR.format("own", "other")} AS near_edited, {_OP11_NEAR.format("own", "after")} AS near_next,
+       CASE WHEN len(own) < 128 THEN CAST(len(own) AS DOUBLE)
+            ELSE CAST(127 * 4503599627370496 AS DOUBLE) / (CAST(('0x' || substr(own[128], 1, 13)) AS BIGINT) + 1.0::DOUBLE) END AS n_shingles,
+       CASE WHEN len(own) = 0 THEN 1.0 ELSE coalesce(CAST({_OP11_BOTH.format("own", "other")} AS DOUBLE)
+            / nullif(len(list_intersect(own, {_OP11_MERGED.format("own", "other")})), 0), 0.0) END AS in_edited
+FROM e JOIN s USING (r)
+"""
+
 #: The CRC-32 polynomial (reflected) and its start.
 _CRC32 = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split({0}, ''), lambda c: CAST(ord(c) AS BIGINT)),
   lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
@@ -182,6 +228,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": _OP3,
     "op4_exact_dedup": _OP4,
     "op7_url_filter": _OP7,
+    "op11_fingerprints": _OP11,
     "op12_merkle": _OP12,
     "op13_vector_codes": _OP13,
 }
