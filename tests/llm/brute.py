@@ -227,3 +227,33 @@ def vector_codes(rows, entries=256, rounds=4):
         total[r[2]] += e
     sha = hashlib.sha256(",".join(str(x) for b in books for x in b.ravel()).encode()).hexdigest()
     return [(r[0], c, e, total[r[2]], sha) for r, c, e in zip(kept, codes, errors, strict=True)]
+
+
+def sketch(text, k=128):
+    ws = words(text)
+    runs = {" ".join(ws[i : i + 5]) for i in range(max(len(ws) - 4, min(len(ws), 1)))}
+    return sorted({hashlib.md5(r.encode()).hexdigest()[:16] for r in runs})[:k]
+
+
+def compared_fingerprints(rows):
+    """rows: (doc_id, text) -> (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next) per row."""
+
+    def near(a, b):
+        both = sorted({*a, *b})[:128]
+        return sum(h in a and h in b for h in both) / len(both) if both else 1.0
+
+    first = {}
+    for i, t in rows:
+        sha = hashlib.sha256((t or "").encode()).hexdigest()
+        first[i] = min(first.get(i, (sha, t or "")), (sha, t or ""))
+    order = sorted(first, key=lambda i: (i is not None, i or 0))
+    after = {a: first[b][1] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+    out = []
+    for i, t in rows:
+        t, nxt = t or "", after[i]
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        own, other = sketch(t), sketch(edited)
+        sha = hashlib.sha256(edited.encode()).hexdigest()
+        out.append((i, len(t), sha, "".join(own), "".join(other), near(own, other), near(own, sketch(nxt))))
+    return out
