@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from souk.plans import cleaning, marts
 from souk.session import written
-from souk.sources.fixtures import RetailTables, load_retail
+from souk.sources.fixtures import LazyTables, RetailTables, forget_retail, load_retail
 from souk.sources.raw import raw_from_retail
 
 _TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -69,7 +69,7 @@ def retail_layer(spark: SparkSession, sf_dir: str) -> RetailTables:
     return load_retail(spark, sf_dir)
 
 
-def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_layer(spark: SparkSession, sf_dir: str) -> LazyTables:
     return raw_from_retail(load_retail(spark, sf_dir))
 
 
@@ -108,3 +108,4 @@ def drop_layers(spark: SparkSession | None = None) -> None:
     for key in list(_TABLES):
         if spark is None or key[0] == spark.sparkContext.applicationId:
             del _TABLES[key]
+    forget_retail(spark and spark.sparkContext.applicationId)

@@ -10,7 +10,7 @@ The same definitions exist as SQL text for the DuckDB oracle (``oracle/fixtures.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,30 +22,43 @@ DRIVER_TABLES = (
 )
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+class LazyTables(Mapping):
+    """Tables by name, each planned when it is first asked for and kept. Planning a Parquet scan
+    reads a footer, so a report that needs two tables should not pay for nine."""
 
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
 
-@dataclass
-class RetailTables:
-    """The nine retail tables as lazy DataFrames."""
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
 
-    orders: DataFrame
-    order_items: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    category_translation: DataFrame
-    geolocation: DataFrame
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
+
+class RetailTables(LazyTables):
+    """The nine retail tables as lazy DataFrames, also by attribute."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        return self[name]
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return dict(self)
 
     def register(self) -> None:
         """Expose the tables as temp views (the lookup also under its SQL name)."""
-        for name, df in self.as_dict().items():
+        for name, df in self.items():
             df.createOrReplaceTempView(name)
         self.category_translation.createOrReplaceTempView("product_category_name_translation")
 
@@ -202,20 +215,41 @@ def geolocation_view(customer: DataFrame, nation: DataFrame, region: DataFrame)
     )
 
 
+def driver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    folder = sf_dir.rstrip("/")
+    return LazyTables({n: (lambda n=n: spark.read.parquet(f"{folder}/{n}.parquet")) for n in DRIVER_TABLES})
+
+
+#: Which driver tables each retail view is built from, and how.
+VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "orders": (orders_view, ("orders",)),
+    "order_items": (order_items_view, ("lineitem",)),
+    "customers": (customers_view, ("customer", "nation", "region")),
+    "products": (products_view, ("part",)),
+    "sellers": (sellers_view, ("supplier", "nation", "region")),
+    "order_payments": (order_payments_view, ("lineitem", "orders")),
+    "order_reviews": (order_reviews_view, ("events",)),
+    "category_translation": (category_translation_view, ("part",)),
+    "geolocation": (geolocation_view, ("customer", "nation", "region")),
+}
+
+_LOADED: dict[tuple[str, str], RetailTables] = {}
+
+
 def load_retail(spark: SparkSession, sf_dir: str, register: bool = False) -> RetailTables:
-    """Build the nine retail tables over the driver tables in ``sf_dir``."""
-    t = {name: read_driver_table(spark, sf_dir, name) for name in DRIVER_TABLES}
-    tables = RetailTables(
-        orders=orders_view(t["orders"]),
-        order_items=order_items_view(t["lineitem"]),
-        customers=customers_view(t["customer"], t["nation"], t["region"]),
-        products=products_view(t["part"]),
-        sellers=sellers_view(t["supplier"], t["nation"], t["region"]),
-        order_payments=order_payments_view(t["lineitem"], t["orders"]),
-        order_reviews=order_reviews_view(t["events"]),
-        category_translation=category_translation_view(t["part"]),
-        geolocation=geolocation_view(t["customer"], t["nation"], t["region"]),
-    )
+    """The nine retail tables over the driver tables in ``sf_dir``, kept per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LOADED:
+        t = driver_tables(spark, sf_dir)
+        _LOADED[key] = RetailTables({n: (lambda f=f, of=of: f(*[t[x] for x in of])) for n, (f, of) in VIEWS.items()})
+    tables = _LOADED[key]
     if register:
         tables.register()
     return tables
+
+
+def forget_retail(application: str | None = None) -> None:
+    """Forget the tables of all applications, or of one."""
+    for key in list(_LOADED):
+        if application in (None, key[0]):
+            del _LOADED[key]

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.sources.fixtures import RetailTables, load_retail
+from souk.sources.fixtures import LazyTables, RetailTables, load_retail
 
 
 @dataclass(frozen=True)
@@ -178,18 +178,19 @@ def raw_sql(name: str, view_prefix: str = "r_") -> str:
     return sql
 
 
-def raw_from_retail(tables: RetailTables) -> dict[str, DataFrame]:
-    out = {}
-    views = tables.as_dict()
-    for name, spec in RAW_SPECS.items():
-        src = views[spec.source]
-        df = src.selectExpr(*raw_select(spec, False))
-        if spec.dup_where:
-            df = df.unionByName(src.where(spec.dup_where).selectExpr(*raw_select(spec, True)))
-        out[name] = df
-    return out
+def raw_table(tables: RetailTables, name: str) -> DataFrame:
+    spec = RAW_SPECS[name]
+    src = tables[spec.source]
+    df = src.selectExpr(*raw_select(spec, False))
+    if spec.dup_where:
+        df = df.unionByName(src.where(spec.dup_where).selectExpr(*raw_select(spec, True)))
+    return df
+
+
+def raw_from_retail(tables: RetailTables) -> LazyTables:
+    return LazyTables({name: (lambda name=name: raw_table(tables, name)) for name in RAW_SPECS})
 
 
-def load_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def load_raw(spark: SparkSession, sf_dir: str) -> LazyTables:
     """The nine raw tables over the driver data in ``sf_dir``."""
     return raw_from_retail(load_retail(spark, sf_dir))
