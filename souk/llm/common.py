@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,30 +79,30 @@ def with_text_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-#: What Python workers keep between tasks: how to drop it, by owner. Workers outlive an
-#: operator's tasks, so another operator's tasks drop it before they begin.
-_KEPT: dict[str, Callable[[], None]] = {}
+def release_memory() -> None:
+    """Gives freed memory back to the system. Workers live on between tasks, and what a task's
+    batches took would else stay with them beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
 
 
-def keep_in_worker(owner: str, drop: Callable[[], None]) -> None:
-    _KEPT[owner] = drop
+#: Rows that a function gets at once, so that what it makes stays small beside the batch.
+SLICE_ROWS = 1024
 
 
-def drop_kept(owner: str | None) -> None:
-    """Drops what all owners but this one keep in this worker."""
-    for other in [k for k in _KEPT if k != owner]:
-        _KEPT.pop(other)()
-
-
-def map_rows(df: DataFrame, fn, schema: T.StructType | str, owner: str | None = None) -> DataFrame:
+def map_rows(df: DataFrame, fn, schema: T.StructType | str) -> DataFrame:
     """``mapInPandas`` over batches; ``fn`` gets a frame and returns a frame. Batches are
     bounded by Spark in rows and bytes, so memory does not grow with a partition."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        drop_kept(owner)
-        for batch in batches:
-            out = fn(batch)
-            if len(out):  # an empty frame's columns have no usable type
-                yield out
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), SLICE_ROWS):
+                    out = fn(batch.iloc[at : at + SLICE_ROWS])
+                    if len(out):  # an empty frame's columns have no usable type
+                        yield out
+        finally:
+            release_memory()
 
     return df.mapInPandas(run, schema)

@@ -15,9 +15,12 @@ is the only thing that is broadcast. Pieces find their place by their rank withi
 ranked in salted groups, so that neither a frequent length nor a large group of copies meets in
 one task. Token ids never leave the task that made them, unless asked for.
 
-Tokenising: texts are cut before white space that follows other characters; the byte-level
-pre-tokeniser always breaks there, so the parts' ids put together are the text's ids, and
-parts seen before are looked up in a bounded memo. Special tokens' strings are ordinary text.
+Tokenising: ids are those of ``tokenizers`` with ``add_special_tokens=False``; a special token's string
+inside a text is that token. Where a tokenizer file is a byte-level BPE whose ids ascend in merge
+order and whose every token encodes to itself, any two neighbours that make up a token are that
+token's own merge, so merging by id, as ``tiktoken`` does, takes the same steps; it is used for such
+files because it is faster. For all others ``tokenizers`` itself encodes. Nothing is remembered
+between texts.
 
 Defined results: null text is empty; an empty document is the end id alone. Longer documents
 are cut into full pieces after a first one that may be shorter. Repeated rows are packed one
@@ -26,8 +29,8 @@ by one. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -36,22 +39,62 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import keep_in_worker, map_rows, written
+from souk.llm.common import map_rows, written
 
 CAPACITY = 1024
 END_ID = 2
 #: Pieces in a salted group that is ranked together, about.
 RANK_GROUP = 20_000
-#: Entries and longest entry of a worker's memo.
-MEMO_SIZE, MEMO_LENGTH = 500_000, 64
 #: Texts encoded together.
 _SLICE = 64
-_MARKS = "\n.,"
 
-_PART = re.compile(r"\s*\S+|\s+")
-_LINE = re.compile(r" ?\S+")
-#: White space to Python but not to the pre-tokeniser; texts with it are encoded whole.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Fixed value: how a byte-level pre-tokeniser splits a text.
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The byte behind each character of a byte-level vocabulary: printable bytes of Latin-1 are
+    themselves, the others follow each other from code point 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def _is_plain(spec: dict, key: str, **values) -> bool:
+    part = spec.get(key) or {}
+    return all(part.get(k, v) == v for k, v in values.items())
+
+
+def by_merge_order(path: str, tokenizer):
+    """A ``tiktoken`` encoding with the ids of the tokenizer file, or None where merging by id is
+    not the same (see above)."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocab, added = spec["model"].get("vocab"), spec.get("added_tokens") or []
+    same = (
+        spec["model"].get("type") == "BPE"
+        and not spec.get("normalizer")
+        and _is_plain(spec, "pre_tokenizer", type="ByteLevel", add_prefix_space=False, use_regex=True)
+        and _is_plain(
+            spec, "model", dropout=None, continuing_subword_prefix=None, end_of_word_suffix=None, ignore_merges=False
+        )
+        and not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    )
+    if not same:
+        return None
+    alphabet, special = byte_alphabet(), {t["content"]: t["id"] for t in added}
+    tokens = {t: i for t, i in vocab.items() if t not in special}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    made = [tokens.get(a + b, -1) for a, b in merges]
+    bytes_first = all(len(t) == 1 for t, i in tokens.items() if i < 256) and sum(len(t) == 1 for t in tokens) == 256
+    if not bytes_first or made != sorted(set(made)) or len(made) + 256 != len(tokens):
+        return None
+    if any([x.id for x in tokenizer.model.tokenize(t)] != [i] for t, i in tokens.items()):
+        return None
+    ranks = {bytes(map(alphabet.__getitem__, t)): i for t, i in tokens.items()}
+    return tiktoken.Encoding(path, pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
 class Encoder:
@@ -65,80 +108,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(_MARKS, self._ids(list(_MARKS)), strict=True))
+        self.fast = by_merge_order(path, self.tokenizer)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
         if path not in cls._cached:
             cls._cached[path] = cls(path)
-            keep_in_worker("packing", cls._cached.clear)
         return cls._cached[path]
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    def _known(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of each part. Parts without inner white space are encoded as lines of one
-        text: a line end before a letter, mark or single space is a pre-token of its own."""
-        lines = [p for p in parts if _LINE.fullmatch(p)]
-        rest = [p for p in parts if not _LINE.fullmatch(p)]
-        out = dict(zip(rest, self._ids(rest), strict=True)) if rest else {}
-        if lines:
-            data = self._ids(["\n".join(lines)])[0]
-            end = int.from_bytes(self.marks["\n"], "little")
-            ends = (np.flatnonzero(np.frombuffer(data, "<u4") == end) * 4).tolist()
-            if len(ends) != len(lines) - 1:  # not this kind of tokenizer
-                return out | dict(zip(lines, self._ids(lines), strict=True))
-            starts = [0, *(e + 4 for e in ends)]
-            out.update((p, data[a:b]) for p, a, b in zip(lines, starts, [*ends, len(data)], strict=True))
-        return out
-
-    def _learn(self, parts: set[str]) -> None:
-        """Adds the ids of ``parts`` to the memo. A line end before a letter and a full stop or
-        comma after one are pre-tokens of their own, so only what is between is encoded."""
-        memo, older, split, cores = self.memo, self.older, [], set()
-        for part in parts:
-            if part in older:
-                memo[part] = older[part]
-                continue
-            start = part[0] == "\n" and _plain_letter(part[1:2])
-            stop = part[-1] in ".," and _plain_letter(part[-2:-1])
-            core = part[start : len(part) - stop]
-            split.append((part, core, start, stop))
-            if core not in memo:
-                cores.add(core)
-        new = [c for c in cores if c not in older]
-        known = self._known(new)
-        for part, core, start, stop in split:
-            ids = known.get(core) or memo.get(core) or older[core]
-            memo[part] = (self.marks["\n"] if start else b"") + ids + (self.marks[part[-1]] if stop else b"")
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        odd = {i: ids for i in range(len(texts)) if _ODD_SPACE.search(texts[i]) for ids in self._ids([texts[i]])}
-        cut_up = [[] if i in odd else _PART.findall(t) for i, t in enumerate(texts)]
-        memo = self.memo
-        new = set().union(*cut_up).difference(memo)
-        if len(memo) + len(new) > MEMO_SIZE:
-            # The memo in use becomes the older one, and what it had for these texts is kept.
-            self.older, self.memo = memo, {}
-            memo = self.memo
-            new = set().union(*cut_up)
-        self._learn(new)
-        get = memo.__getitem__
-        out = [odd[i] if i in odd else b"".join(map(get, parts)) for i, parts in enumerate(cut_up)]
-        for part in new:
-            if len(part) > MEMO_LENGTH:
-                del memo[part]
-        return out
-
-
-def _plain_letter(c: str) -> bool:
-    return c.isalpha() and c < "\u0250"
-
+        if self.fast:
+            found = (self.fast.encode_to_numpy(t, allowed_special="all") for t in texts)
+        else:
+            found = (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        return [np.asarray(ids, dtype="<u4").tobytes() for ids in found]
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -180,7 +163,7 @@ def tokenised_pieces(
     rows = docs.select(
         F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("_text")
     )
-    made = map_rows(rows, pieces, schema.replace(f"doc_id {id_type}", "doc_id string"), "packing")
+    made = map_rows(rows, pieces, schema.replace(f"doc_id {id_type}", "doc_id string"))
     return made.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
@@ -202,7 +185,8 @@ def _longest_upto(left: np.ndarray) -> np.ndarray:
 
 
 def _tightest_two(left: np.ndarray, room: int) -> tuple[int, int]:
-    """The two unpacked lengths whose sum comes nearest to ``room`` from below (0, 0: none)."""
+    """The two unpacked lengths whose sum comes nearest to ``room`` from below (0, 0: none); of
+    equally tight pairs the one with the longest, as long ones are hardest to place later."""
     upto = _longest_upto(left)
     a = np.flatnonzero(left[: max(room, 1)])
     a = a[a > 0]
@@ -211,13 +195,12 @@ def _tightest_two(left: np.ndarray, room: int) -> tuple[int, int]:
     b = upto[np.minimum(room - a, a)]
     b = np.where((b == a) & (left[a] < 2), upto[a - 1], b)
     total = np.where(b > 0, a + b, 0)
-    best = int(total.argmax())
+    best = len(total) - 1 - int(total[::-1].argmax())
     return (int(a[best]), int(b[best])) if total[best] else (0, 0)
 
 
-def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY, replace: bool = True) -> list[tuple[list[int], int]]:
-    """Patterns (lengths in a sequence) with their multiplicity; ``replace=False`` leaves out the
-    replacement of the smallest."""
+def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+    """Patterns (lengths in a sequence) with their multiplicity."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -229,7 +212,7 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY, replace: bool
             pattern.append(fit)
             left[fit] -= 1
             gap -= fit
-        if replace and gap and len(pattern) > 1:
+        if gap and len(pattern) > 1:
             smallest = pattern[-1]
             a, b = _tightest_two(left, gap + smallest)
             if a + b > smallest:
@@ -247,13 +230,9 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY, replace: bool
 
 
 def plan_of(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    # On a few hundred documents tight early sequences can cost one at the end: the plan without
-    # replacements is taken if it is smaller.
-    plans = [best_two_fit(counts, capacity, replace) for replace in (True, False)]
-    chosen = min(plans, key=lambda p: sum(times for _, times in p))
     runs: dict[int, list[tuple[int, int, int]]] = {}
     sequences = 0
-    for pattern, times in chosen:
+    for pattern, times in best_two_fit(counts, capacity):
         at = 0
         for length in pattern:
             runs.setdefault(length, []).append((times, sequences, at))
@@ -267,13 +246,14 @@ def plan_of(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
-    """Adds ``rank``, 0, 1, ... within each length, over salted groups of pieces."""
+    """Adds ``rank``, 0, 1, ... within each length, over salted groups of pieces. Salts come from a
+    piece's ``place`` in the written table, so repeated rows spread as well."""
     salts = -(-max(total, 1) // RANK_GROUP)
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("place"), F.lit(salts)))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32", "place")
     numbered = salted.withColumn("_row", F.row_number().over(inside) - 1)
     return numbered.join(starts, ["length", "_salt"]).withColumn("rank", F.col("_row") + F.col("_start"))
 
@@ -288,7 +268,8 @@ def pack(
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     spark = docs.sparkSession
-    pieces = written(tokenised_pieces(docs, tokenizer, id_col, text_col, capacity, with_ids), "pack-pieces")
+    made = tokenised_pieces(docs, tokenizer, id_col, text_col, capacity, with_ids)
+    pieces = written(made.withColumn("place", F.monotonically_increasing_id()), "pack-pieces")
     # At most `capacity` rows.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.sparkContext.broadcast(plan_of(counts, capacity))

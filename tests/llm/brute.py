@@ -119,7 +119,6 @@ def check_packing(rows, packed, tokenizer_path, capacity=1024):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path)
-    t.encode_special_tokens = True
     want = Counter()
     for doc_id, text in rows:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")

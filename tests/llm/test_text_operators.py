@@ -217,30 +217,70 @@ def test_best_two_fit_packs_everything(seed):
     assert used == counts and bins <= -(-int(lengths.sum()) // 100) * 1.02 + 2
 
 
-def test_other_operators_drop_the_memo():
-    encoder = packing.Encoder.of(TOKENIZER)
-    common.drop_kept("packing")
-    assert packing.Encoder.of(TOKENIZER) is encoder
-    common.drop_kept(None)
-    assert not packing.Encoder._cached
-    assert packing.Encoder.of(TOKENIZER) is not encoder
-    common.drop_kept("quality")
-    assert not packing.Encoder._cached
-
-
-def test_memo_overflow_keeps_ids(monkeypatch):
-    monkeypatch.setattr(packing, "MEMO_SIZE", 5)
-    encoder = packing.Encoder(TOKENIZER)
+ODD_TEXTS = [
+    "a b c", "x" * 3000 + " a b", "a\n\n  b\t c ", "  ", "", "A" + " a" * 20, "End.\nNext, one's it's.\n\nü. é,",
+    "中. 中,a .b.,", "\n", "\nA.", "1. 2,\n3", "\x1f. a\x1f.", "q\x85.\nr", "<|endoftext|>", "hello <|endoftext|> world",
+    "<|endoftext|><|endoftext|>", "<|endoftext", "\u3000\u00a0 \u2028x", "\U0001f600\u200d\U0001f525", "'s 'LL don't",
+]
+
+
+def plain_ids(path, text):
+    from tokenizers import Tokenizer
+
+    return np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_tokenizers(file):
+    path = public_tokenizers.path(file)
+    encoder = packing.Encoder(path)
+    assert encoder.encode(ODD_TEXTS) == [plain_ids(path, t) for t in ODD_TEXTS]
+    assert [encoder.encode([t])[0] for t in ODD_TEXTS] == encoder.encode(ODD_TEXTS)
+
+
+def test_fast_ids_on_random_texts():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(TOKENIZER)
-    texts = ["a b c", "a b c d e f g h i", "x" * 200 + " a b", "a\n\n  b\t c ", "  ", "", "A" + " a" * 20]
-    texts += ["End.\nNext, one's it's.\n\nü. é,\n中. 中,a .,b.,", "\n", "\nA.", "a.\n", "1. 2,\n3", "\x1f. a\x1f.", "q\x85.\nr"]
-    want = [
-        np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts
-    ]
-    assert encoder.encode(texts) == want
-    assert [encoder.encode([t])[0] for t in texts] == want
+    encoder, plain = packing.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    assert encoder.fast is not None
+    pieces = st.sampled_from([*plain.get_vocab(), " ", "\n", "<|endoftext|>", "the", "tion"])
+
+    @settings(max_examples=400, deadline=None, derandomize=True)
+    @given(st.one_of(st.text(max_size=200), st.lists(pieces, max_size=40).map("".join)))
+    def same(text):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids
+
+    same()
+
+
+def test_other_merge_orders_are_left_to_tokenizers(tmp_path):
+    """Where a token does not encode to itself, merging by id would take other steps."""
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["model"]["merges"] = spec["model"]["merges"][1:] + spec["model"]["merges"][:1]
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    encoder = packing.Encoder(path)
+    assert encoder.fast is None
+    assert encoder.encode(ODD_TEXTS) == [plain_ids(path, t) for t in ODD_TEXTS]
+
+
+def test_repeated_rows_spread_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_GROUP", 10)
+    rows = [(1, "same text")] * 200 + [(None, None)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    packed = packing.pack(docs, TOKENIZER)
+    brute.check_packing(rows, packed.collect(), TOKENIZER)
+    pieces = common.written(
+        packing.tokenised_pieces(docs, TOKENIZER).withColumn("place", F.monotonically_increasing_id()), "test-pieces"
+    )
+    assert packing.ranked(pieces, 240).where("length > 1").select("_salt").distinct().count() > 5
 
 
 # Quality
