@@ -68,6 +68,10 @@ Q["bi_measures"] = sliced(ALL_MEASURES)
 Q["bi_measures_delivered_view"] = sliced(ALL_MEASURES, orders="order_status = 'delivered'")
 Q["bi_measures_all_orders"] = sliced(ALL_MEASURES, orders="TRUE")
 Q["bi_measures_slice_state"] = sliced(ALL_MEASURES, customers="customer_state IN ('EUROPE', 'ASIA')")
+Q["bi_measures_slice_city"] = sliced(ALL_MEASURES, customers="customer_city IN ('NATION_3', 'NATION_7', 'NATION_19')")
+Q["bi_measures_slice_dates"] = sliced(
+    ALL_MEASURES, orders=f"{NOT_CANCELLED} AND order_purchase_timestamp >= TIMESTAMP '1995-03-15' "
+    "AND order_purchase_timestamp < TIMESTAMP '1997-07-02'")
 Q["bi_measures_slice_category"] = sliced(ALL_MEASURES, items=_TWO_CATEGORIES, products=_TWO_CATEGORIES)
 Q["bi_measures_slice_seller"] = sliced(ALL_MEASURES, items=_FIVE_SELLERS, sellers=_FIVE_SELLERS)
 Q["bi_measures_slice_payment"] = sliced(ALL_MEASURES, orders="dominant_payment_type IN ('A', 'voucher')")
@@ -252,6 +256,12 @@ ORDER BY units_sold DESC, revenue DESC NULLS LAST, category LIMIT 10""")
 Q["ds_customer_points"] = mart_sql("""
 SELECT customer_id, total_orders, order_frequency_days, customer_revenue FROM m_dim_customers WHERE total_orders > 0""")
 
+Q["ds_customer_points_sample"] = mart_sql("""
+SELECT * FROM (SELECT customer_id, total_orders, order_frequency_days, customer_revenue,
+                      CASE WHEN total_orders > 1 THEN 'repeat' ELSE 'one_time' END AS segment
+               FROM m_dim_customers WHERE total_orders > 0)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY segment ORDER BY md5(customer_id), customer_id) <= 200""")
+
 Q["ds_city_volume"] = mart_sql(f"""
 SELECT c.customer_state, c.customer_city, COUNT(DISTINCT f.order_id) AS orders,
        {msum('COALESCE(f.order_value, 0.0)')} AS revenue

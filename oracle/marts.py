@@ -144,4 +144,6 @@ Q = {
     "monthly_revenue": mart_sql("SELECT * FROM m_monthly_revenue ORDER BY order_month"),
     "customer_kpis": mart_sql("SELECT * FROM m_customer_kpis"),
 }
-Q["io_save_marts"] = Q["fact_orders"]
+Q["io_save_marts"] = Q["io_refreshed_month"] = Q["fact_orders"]
+for _mart in ("fact_order_items", "dim_customers", "dim_products", "dim_sellers", "monthly_revenue", "customer_kpis"):
+    Q[f"io_published_{_mart}"] = Q[_mart]

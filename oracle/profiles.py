@@ -208,3 +208,108 @@ SELECT order_month, mart_revenue, recomputed_revenue,
        ROUND(COALESCE(mart_revenue, 0.0) - COALESCE(recomputed_revenue, 0.0), 2) AS difference,
        ROUND(COALESCE(mart_revenue, 0.0) - COALESCE(recomputed_revenue, 0.0), 2) = 0 AS matches
 FROM j ORDER BY order_month""")
+
+# Profiles of the raw exports ------------------------------------------------------------------
+# Raw tables with missing-value tokens as NULL are the second step of each cleaning chain.
+RAW = {"orders": "orders", "order_items": "order_items", "customers": "customers", "products": "products",
+       "sellers": "sellers", "payments": "order_payments", "reviews": "order_reviews",
+       "categories": "category_translation"}
+
+
+def raw_sql_over(body: str) -> str:
+    from oracle.cleaning import CLEAN_CTES, retail_ctes_for
+    from oracle.fixtures import with_ctes
+
+    ctes = retail_ctes_for(RAW.values())
+    for name, table in RAW.items():
+        ctes += CLEAN_CTES[table][:2]
+        ctes.append((f"w_{name}", f"SELECT * EXCLUDE (source_row_order) FROM {CLEAN_CTES[table][1][0]}"))
+    number = "TRY_CAST(trim({0}) AS DOUBLE)".format
+    when = "TRY_CAST(trim(order_purchase_timestamp) AS TIMESTAMP)"
+    ctes += [
+        ("e_items", f"SELECT order_id, product_id, {number('price')} AS price, {number('freight_value')} AS freight_value "
+                    "FROM w_order_items"),
+        ("e_totals", f"SELECT order_id, COALESCE(CAST(SUM(CAST(price AS {DEC})) AS DOUBLE), 0.0) AS order_value "
+                     "FROM e_items GROUP BY order_id"),
+        ("e_orders", f"""SELECT o.order_id, customer_id, order_value, strftime({when}, '%Y-%m') AS order_month,
+                     dayname({when}) AS weekday FROM w_orders o LEFT JOIN e_totals t ON o.order_id = t.order_id"""),
+        ("e_customers", f"""SELECT customer_id, COUNT(DISTINCT order_id) AS total_orders,
+                     COALESCE(CAST(SUM(CAST(order_value AS {DEC})) AS DOUBLE), 0.0) AS revenue
+                     FROM e_orders GROUP BY customer_id"""),
+        ("e_metrics", """SELECT e.customer_id, total_orders, revenue, customer_unique_id, total_orders > 1 AS repeat_customer
+                     FROM e_customers e LEFT JOIN w_customers c ON e.customer_id = c.customer_id"""),
+        ("e_states", f"""SELECT customer_state, COALESCE(CAST(SUM(CAST(order_value AS {DEC})) AS DOUBLE), 0.0) AS revenue,
+                     COUNT(DISTINCT order_id) AS orders
+                     FROM e_orders e LEFT JOIN w_customers c ON e.customer_id = c.customer_id
+                     WHERE customer_state IS NOT NULL GROUP BY customer_state"""),
+        ("e_categories", f"""SELECT product_category_name_english,
+                     CAST(SUM(CAST(COALESCE(price, 0.0) + COALESCE(freight_value, 0.0) AS {DEC})) AS DOUBLE) AS revenue,
+                     COUNT(DISTINCT order_id) AS orders, COUNT(i.product_id) AS units_sold
+                     FROM e_items i LEFT JOIN w_products p ON i.product_id = p.product_id
+                     LEFT JOIN w_categories t ON p.product_category_name = t.product_category_name
+                     WHERE product_category_name_english IS NOT NULL GROUP BY ALL"""),
+    ]
+    return with_ctes(body, *ctes)
+
+
+def _raw_histogram(values_sql: str) -> str:
+    chain = _histogram(values_sql)
+    return raw_sql_over("SELECT * FROM (WITH" + chain[chain.index(", vals AS")+ 1:] + ")")
+
+
+Q["eda_raw_overview"] = raw_sql_over("SELECT * FROM (WITH " + _null_profile_ctes({n: f"w_{n}" for n in RAW})[1:] + """
+SELECT r.tbl AS "table", r.rows, CAST(COUNT(n.col) AS BIGINT) AS columns, CAST(SUM(n.n) AS BIGINT) AS missing_cells,
+       ROUND(CAST(SUM(n.n) AS DOUBLE) / CAST(GREATEST(r.rows * COUNT(n.col), 1) AS DOUBLE) * 100, 2) AS missing_pct
+FROM all_rows r JOIN all_nulls n ON r.tbl = n.tbl GROUP BY r.tbl, r.rows)""")
+Q["eda_raw_hist_order_value"] = _raw_histogram("SELECT order_value AS v FROM e_orders")
+Q["eda_raw_hist_freight"] = _raw_histogram("SELECT freight_value AS v FROM e_items")
+Q["eda_raw_hist_weight"] = _raw_histogram("SELECT TRY_CAST(trim(product_weight_g) AS DOUBLE) AS v FROM w_products")
+Q["eda_raw_review_counts"] = raw_sql_over("""
+SELECT TRY_CAST(trim(review_score) AS DOUBLE) AS review_score, COUNT(*) AS count FROM w_reviews
+WHERE TRY_CAST(trim(review_score) AS DOUBLE) IS NOT NULL GROUP BY 1""")
+Q["eda_raw_weekday_counts"] = raw_sql_over("""
+SELECT d.weekday_index, d.weekday, COUNT(e.order_id) AS orders
+FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'), (4, 'Friday'), (5, 'Saturday'),
+             (6, 'Sunday')) AS d(weekday_index, weekday)
+LEFT JOIN e_orders e ON e.weekday = d.weekday GROUP BY ALL""")
+Q["eda_raw_monthly_trend"] = raw_sql_over(f"""
+SELECT order_month, COUNT(DISTINCT order_id) AS orders,
+       COALESCE(CAST(SUM(CAST(order_value AS {DEC})) AS DOUBLE), 0.0) AS revenue
+FROM e_orders WHERE order_month IS NOT NULL GROUP BY order_month""")
+Q["eda_raw_top_states"] = raw_sql_over("SELECT * FROM e_states ORDER BY revenue DESC, customer_state LIMIT 15")
+Q["eda_raw_customer_metrics"] = raw_sql_over("SELECT * FROM e_metrics ORDER BY revenue DESC, customer_id LIMIT 10")
+Q["eda_raw_top_categories_15"] = raw_sql_over(
+    "SELECT * FROM e_categories ORDER BY revenue DESC, product_category_name_english LIMIT 15")
+Q["eda_raw_headlines"] = raw_sql_over(f"""
+SELECT (SELECT CAST(SUM(CAST(revenue AS {DEC})) AS DOUBLE) FROM e_metrics) AS total_revenue,
+       (SELECT customer_state FROM e_states ORDER BY revenue DESC, customer_state LIMIT 1) AS top_state,
+       (SELECT product_category_name_english FROM e_categories ORDER BY revenue DESC, 1 LIMIT 1) AS top_category,
+       (SELECT ROUND(AVG(CAST(repeat_customer AS DOUBLE)), 4) FROM e_metrics) AS repeat_customer_share""")
+
+# Marts against the SQL pack -------------------------------------------------------------------
+_LIVE = "order_status IN ('delivered', 'shipped', 'invoiced', 'processing', 'approved')"
+Q["dq_reconcile_pack"] = mart_sql(f"""
+, mart AS (
+  SELECT order_month AS k, CAST(SUM(CAST(order_value AS {DEC})) AS DOUBLE) AS monthly_revenue, COUNT(*) AS orders_in_month,
+         CAST(SUM(CAST(order_value AS {DEC})) AS DOUBLE) / CAST(COUNT(order_value) AS DOUBLE) AS average_order_value
+  FROM m_fact_orders WHERE {_LIVE} AND order_purchase_timestamp IS NOT NULL GROUP BY 1),
+sums AS (SELECT order_id, SUM(CAST(price AS DECIMAL(18,4)) + CAST(freight_value AS DECIMAL(18,4))) AS gross
+         FROM c_order_items GROUP BY order_id),
+pack AS (
+  SELECT strftime(order_purchase_timestamp, '%Y-%m') AS k, COUNT(*) AS orders, CAST(SUM(gross) AS DOUBLE) AS revenue,
+         CAST(SUM(COALESCE(gross, 0)) AS DOUBLE) AS gross_revenue, ROUND(AVG(COALESCE(gross, 0)), 4) AS aov
+  FROM c_orders o LEFT JOIN sums s ON o.order_id = s.order_id
+  WHERE {_LIVE} AND order_purchase_timestamp IS NOT NULL GROUP BY 1),
+both_sides AS (SELECT COALESCE(mart.k, pack.k) AS order_month, mart.k AS lk, pack.k AS rk, mart.* EXCLUDE (k), pack.* EXCLUDE (k)
+               FROM mart FULL OUTER JOIN pack ON mart.k = pack.k),
+entries AS (
+  SELECT order_month, lk, rk, 'revenue_analysis' AS report, 'monthly_revenue' AS "column", monthly_revenue AS l, gross_revenue AS r FROM both_sides
+  UNION ALL SELECT order_month, lk, rk, 'revenue_analysis', 'orders_in_month', orders_in_month, orders FROM both_sides
+  UNION ALL SELECT order_month, lk, rk, 'revenue_analysis', 'average_order_value', average_order_value, aov FROM both_sides
+  UNION ALL SELECT order_month, lk, rk, 'growth_rate', 'monthly_revenue', monthly_revenue, revenue FROM both_sides
+  UNION ALL SELECT order_month, lk, rk, 'growth_rate', 'orders_in_month', orders_in_month, orders FROM both_sides)
+SELECT order_month, report, "column", CAST(l AS DOUBLE) AS left_value, CAST(r AS DOUBLE) AS right_value,
+       CAST(l AS DOUBLE) - CAST(r AS DOUBLE) AS difference,
+       CASE WHEN lk IS NULL THEN 'only_right' WHEN rk IS NULL THEN 'only_left'
+            WHEN (l IS NULL AND r IS NULL) OR abs(l - r) <= 0.005 THEN 'match' ELSE 'differs' END AS verdict
+FROM entries""")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from souk.functions.numeric import half_even_long
 from souk.operators.ranking import write_ranges
+from souk.session import written
 
 
 class ValidationError(RuntimeError):
@@ -123,28 +124,46 @@ def to_half_even_long(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: half_even_long(c) for c in columns if c in df.columns})
 
 
-def zip_prefix(c: Column) -> Column:
-    """Zip prefix as text: without a trailing '.0' left by numeric parsing, NULL -> '00000'."""
-    return F.coalesce(F.regexp_replace(c.cast("string"), r"\.0$", ""), F.lit("00000"))
+def zip_prefix(c: Column, legacy_zip: bool = False) -> Column:
+    """Zip prefix as text: without a trailing '.0' left by numeric parsing, NULL -> '00000'. With
+    ``legacy_zip`` also without leading zeros, as an export read with inferred types has it."""
+    bare = F.regexp_replace(c.cast("string"), r"\.0$", "")
+    if legacy_zip:
+        bare = F.regexp_replace(bare, r"^0+(?=[0-9]+$)", "")
+    return F.coalesce(bare, F.lit("00000"))
 
 
-def normalize_zip(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, zip_prefix(F.col(column))) if column in df.columns else df
+def normalize_zip(df: DataFrame, column: str, legacy_zip: bool = False) -> DataFrame:
+    return df.withColumn(column, zip_prefix(F.col(column), legacy_zip)) if column in df.columns else df
 
 
 # ----------------------------------------------------------------------------- statistics
+#: Texts up to this length stand for themselves while values are counted, longer ones as a hash.
+SHORT_TEXT = 64
+_DIGEST = "sha2(CAST({0} AS BINARY), 256)"
+
+
 def value_counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str] = ()) -> DataFrame:
     """The distinct non-NULL values of the columns with how often each occurs, counted in one
-    scan with map-side sums and written once in ranges of (name, number): ``name``, ``number`` or
-    ``text``, ``n``, ``range``. A range is a contiguous slice of a column's values; their number
-    is that of the shuffle's partitions."""
+    scan with map-side sums and written once: ``name``, ``number``, ``text`` or ``long_text`` (the
+    hash of a text beyond SHORT_TEXT characters), ``n``. Values are spread by hash, so the distinct
+    texts of one column do not meet in one task, and long ones are not shuffled."""
+
+    def record(c: str, number: str, short: str, long: str) -> str:
+        return f"'{c}', CAST({number} AS DOUBLE), CAST({short} AS STRING), CAST({long} AS STRING)"
+
     # stack() emits the records without materialising an array per input row.
-    records = [f"'{c}', CAST(`{c}` AS DOUBLE), CAST(NULL AS STRING)" for c in numbers]
-    records += [f"'{c}', CAST(NULL AS DOUBLE), CAST(`{c}` AS STRING)" for c in texts]
-    long = df.selectExpr(f"stack({len(records)}, {', '.join(records)}) AS (name, number, text)")
-    long = long.where("number IS NOT NULL OR text IS NOT NULL")
-    counts = long.groupBy("name", "number", "text").agg(F.count(F.lit(1)).alias("n"))
-    return write_ranges(counts, "name", "number")
+    records = [record(c, f"`{c}`", "NULL", "NULL") for c in numbers]
+    for c in texts:
+        is_long = f"length(CAST(`{c}` AS STRING)) > {SHORT_TEXT}"
+        short, long = (f"CASE WHEN {x} THEN {v} END" for x, v in (
+            (f"NOT {is_long}", f"`{c}`"), (is_long, _DIGEST.format(f"CAST(`{c}` AS STRING)"))
+        ))
+        records.append(record(c, "NULL", short, long))
+    long = df.selectExpr(f"stack({len(records)}, {', '.join(records)}) AS (name, number, text, long_text)")
+    long = long.where("number IS NOT NULL OR text IS NOT NULL OR long_text IS NOT NULL")
+    counts = long.groupBy("name", "number", "text", "long_text").agg(F.count(F.lit(1)).alias("n"))
+    return written(counts, "value-counts")
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -153,9 +172,10 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def medians_of(counts: DataFrame) -> DataFrame:
-    """The medians from written value counts. Sums per range tell which range holds a column's
-    middle; only that range's values are put in order."""
-    numbers = counts.where("number IS NOT NULL")
+    """The medians from written value counts: these are written again in ranges of (name, number),
+    a range being a contiguous slice of a column's values. Sums per range tell which range holds a
+    column's middle; only that range's values are put in order."""
+    numbers = write_ranges(counts.where("number IS NOT NULL").select("name", "number", "n"), "name", "number")
     sizes = numbers.groupBy("name", "range").agg(F.sum("n").alias("size"))
     whole = Window.partitionBy("name")  # a row per range
     sizes = sizes.withColumn("total", F.sum("size").over(whole))
@@ -175,26 +195,42 @@ def medians_of(counts: DataFrame) -> DataFrame:
     return both.select("name", (F.col("a") + (F.col("b") - F.col("a")) * F.lit(0.5)).alias("median"))
 
 
-def modes_of(counts: DataFrame) -> DataFrame:
-    """The most frequent text per column name from written value counts; ties: the smallest."""
-    best = F.min(F.struct((-F.col("n")).alias("k"), F.col("text").alias("v")))
-    return counts.where("text IS NOT NULL").groupBy("name").agg(best["v"].alias("mode"))
-
-
-def fill_missing(df: DataFrame, medians: Sequence[str], modes: dict[str, str]) -> DataFrame:
+def modes_of(counts: DataFrame, df: DataFrame | None = None) -> DataFrame:
+    """The most frequent text per column name from written value counts; ties: the smallest. Only
+    where a hash of a long text is among a column's most frequent are its texts looked up in
+    ``df``, those of these hashes alone."""
+    texts = counts.where("text IS NOT NULL OR long_text IS NOT NULL")
+    most = texts.groupBy("name").agg(F.max("n").alias("n"))  # a row per column
+    leaders = texts.join(F.broadcast(most), ["name", "n"])
+    named = leaders.where("text IS NOT NULL").select("name", "text")
+    hashes = leaders.where("long_text IS NOT NULL").select("name", "long_text")
+    columns = [r["name"] for r in hashes.select("name").distinct().collect()]
+    if columns:
+        records = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+        rows = df.selectExpr(f"stack({len(columns)}, {records}) AS (name, text)").where(F.length("text") > SHORT_TEXT)
+        rows = rows.withColumn("long_text", F.expr(_DIGEST.format("text")))
+        named = named.unionByName(rows.join(hashes, ["name", "long_text"], "left_semi").select("name", "text"))
+    return named.groupBy("name").agg(F.min("text").alias("mode"))
+
+
+def fill_missing(df: DataFrame, medians: Sequence[str], modes: dict[str, str], strategy: str = "mode") -> DataFrame:
     """NULL -> the column's median (0 without values), or its most frequent text (the given
-    default without values). All statistics come from one scan."""
-    if not medians and not modes:
-        return df
-    counts = value_counts(df, medians, list(modes))
+    default without values). With ``strategy="constant"`` texts take the default throughout. All
+    values are counted in one scan."""
+    if strategy not in ("mode", "constant"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     fills: dict[str, Column] = {}
+    if strategy == "constant":
+        fills, modes = {c: F.coalesce(F.col(c).cast("string"), F.lit(d)) for c, d in modes.items()}, {}
+    if medians or modes:
+        counts = value_counts(df, medians, list(modes))
     if medians:
         row = _one_row(medians_of(counts), "median", medians)
         fills |= {c: F.coalesce(F.col(c), row.getField(c), F.lit(0.0)) for c in medians}
     if modes:
-        row = _one_row(modes_of(counts), "mode", list(modes))
+        row = _one_row(modes_of(counts, df), "mode", list(modes))
         fills |= {c: F.coalesce(F.col(c).cast("string"), row.getField(c), F.lit(d)) for c, d in modes.items()}
-    return df.withColumns(fills)
+    return df.withColumns(fills) if fills else df
 
 
 def _one_row(stats: DataFrame, key: str, columns: Sequence[str]) -> Column:
@@ -206,8 +242,10 @@ def fill_numeric_median(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return fill_missing(df, [c for c in columns if c in df.columns], {})
 
 
-def fill_categorical_mode(df: DataFrame, columns: Iterable[str], default: str = "Unknown") -> DataFrame:
-    return fill_missing(df, [], {c: default for c in columns if c in df.columns})
+def fill_categorical_mode(
+    df: DataFrame, columns: Iterable[str], default: str = "Unknown", strategy: str = "mode"
+) -> DataFrame:
+    return fill_missing(df, [], {c: default for c in columns if c in df.columns}, strategy)
 
 
 # ----------------------------------------------------------------------------- rows (X1, X8, X9)

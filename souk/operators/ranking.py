@@ -45,13 +45,22 @@ def running_sums(counts: DataFrame, value: str, weight: str, descending: bool =
     return placed.withColumn("_before", F.col("_offset") + F.col("_inside")).drop("range", "_offset", "_inside")
 
 
-def global_rank(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
-    """SQL ``RANK() OVER (ORDER BY value [DESC] NULLS LAST)`` as column ``out``. ``df`` is used
-    three times; give it written if it is not a cheap scan."""
+def descending(column: str, nulls: str = "last") -> Column:
+    """``column DESC`` with NULLs last, or first as PostgreSQL has them by default."""
+    if nulls not in ("first", "last"):
+        raise ValueError(f"nulls are 'first' or 'last', not {nulls!r}")
+    return F.col(column).desc_nulls_first() if nulls == "first" else F.col(column).desc_nulls_last()
+
+
+def global_rank(df: DataFrame, value: str, out: str, descending: bool = True, nulls: str = "last") -> DataFrame:
+    """SQL ``RANK() OVER (ORDER BY value [DESC] NULLS LAST)`` as column ``out``, or ``NULLS FIRST``.
+    ``df`` is used three times; give it written if it is not a cheap scan."""
     v = F.col(value)
     counts = df.where(v.isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_sums(counts, value, "_n", descending).select(value, (F.col("_before") + 1).alias(out))
-    null_rank = df.agg(F.count(value) + 1).scalar()
+    first = nulls == "first"
+    null_rank = F.lit(1) if first else df.agg(F.count(value) + 1).scalar()
+    ahead = df.agg(F.count_if(F.col(value).isNull())).scalar() if first else F.lit(0)
     return df.join(ranks, value, "left").withColumn(
-        out, F.when(v.isNull(), null_rank).otherwise(F.col(out)).cast("int")
+        out, F.when(v.isNull(), null_rank).otherwise(F.col(out) + ahead).cast("int")
     )

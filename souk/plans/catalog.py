@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from souk.plans import cleaning, eda, kpis, layers, measures, quality, reports
+from souk.plans import cleaning, eda, kpis, layers, measures, quality, reconcile, reports, sources_eda
+from souk.plans.stats import stats_of
 from souk.session import scratch_path
-from souk.sources import io
+from souk.sources import io, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +48,10 @@ for _name, _fn in [
     register(_name, _report(_fn))
 
 
+register("q_seller_analytics_nulls_first", _report(lambda t: reports.seller_analytics(t, nulls="first")))
+register("q_top_customers_nulls_first", _report(lambda t: reports.top_customers(t, nulls="first")))
+
+
 # --------------------------------------------------------------------- cleaning pipelines
 def _clean_query(table: str) -> Query:
     return lambda spark, sf_dir: layers.cleaned_layer(spark, sf_dir)[table]
@@ -84,6 +90,38 @@ def _saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("io_save_marts", _saved_facts)
 
 
+def _published(name: str) -> Query:
+    """A mart published as a version and read back."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = scratch_path(spark, f"published-{name}")
+        versions.publish(getattr(layers.mart_layer(spark, sf_dir), name), table)
+        return versions.read_published(spark, table)
+
+    return build
+
+
+for _mart in ("fact_order_items", "dim_customers", "dim_products", "dim_sellers", "monthly_revenue", "customer_kpis"):
+    register(f"io_published_{_mart}", _published(_mart))
+
+
+def _refreshed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published by month with the amounts of one month doubled, then that month (the one
+    with the most orders) refreshed from the mart: the table as it should be."""
+    orders = layers.mart_layer(spark, sf_dir).fact_orders
+    table = scratch_path(spark, "refreshed-orders")
+    months = orders.where("order_month IS NOT NULL").groupBy("order_month").agg(F.count(F.lit(1)).alias("n"))
+    busiest = months.orderBy(F.desc("n"), "order_month").first()
+    month = busiest["order_month"] if busiest else None
+    wrong = F.when(F.col("order_month") == month, F.col("order_value") * 2).otherwise(F.col("order_value"))
+    versions.publish(orders.withColumn("order_value", wrong), table, "order_month")
+    versions.refresh(orders, table, [month])
+    return versions.read_published(spark, table)
+
+
+register("io_refreshed_month", _refreshed_facts)
+
+
 # --------------------------------------------------------------------- feature marts
 def _mart_query(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +168,8 @@ SLICES = {
     "bi_measures_delivered_view": measures.Slicers(status_mode="delivered"),
     "bi_measures_all_orders": measures.Slicers(status_mode="all"),
     "bi_measures_slice_state": measures.Slicers(states=("EUROPE", "ASIA")),
+    "bi_measures_slice_city": measures.Slicers(cities=("NATION_3", "NATION_7", "NATION_19")),
+    "bi_measures_slice_dates": measures.Slicers(date_from="1995-03-15", date_to="1997-07-02"),
     "bi_measures_slice_category": measures.Slicers(categories=("standard goods", "small goods")),
     "bi_measures_slice_seller": measures.Slicers(sellers=("1", "2", "3", "5", "8")),
     "bi_measures_slice_payment": measures.Slicers(payment_types=("A", "voucher"), status_mode="all"),
@@ -163,10 +203,10 @@ for _name in ("ds_repeat_share", "ds_category_delay", "ds_category_share", "ds_s
 # --------------------------------------------------------------------- EDA profiles
 register("eda_overview", _on_marts_and_clean(lambda b, c: eda.overview(eda.profile_tables(b, c))))
 register("eda_missing", _on_marts_and_clean(lambda b, c: eda.missing_values(eda.profile_tables(b, c))))
-register("eda_hist_order_value", _on_marts(lambda b: eda.histogram(b.fact_orders, "order_value")))
-register("eda_hist_freight", _on_marts(lambda b: eda.histogram(b.fact_order_items, "freight_value")))
-register("eda_hist_weight", _on_marts(lambda b: eda.histogram(b.dim_products, "product_weight_g")))
-register("eda_hist_customer_revenue", _on_marts(lambda b: eda.histogram(eda.customer_metrics(b), "revenue")))
+register("eda_hist_order_value", _on_marts(lambda b: eda.histogram(eda.profiled(b, "fact_orders"), "order_value")))
+register("eda_hist_freight", _on_marts(lambda b: eda.histogram(eda.profiled(b, "fact_order_items"), "freight_value")))
+register("eda_hist_weight", _on_marts(lambda b: eda.histogram(eda.profiled(b, "dim_products"), "product_weight_g")))
+register("eda_hist_customer_revenue", _on_marts(lambda b: eda.histogram(eda.profiled(b, "customer_metrics"), "revenue")))
 register("eda_review_counts", lambda spark, d: eda.value_counts(layers.cleaned_layer(spark, d)["order_reviews"],
                                                                 "review_score"))
 register("eda_weekday_counts", _on_marts(eda.weekday_counts))
@@ -178,12 +218,36 @@ register("eda_repeat_counts", _on_marts(eda.repeat_counts))
 register("eda_top_categories_15", _on_marts_and_clean(eda.top_categories))
 register("eda_headlines", _on_marts_and_clean(eda.headlines))
 
+
+
+def _on_raw(fn) -> Query:
+    """A profile of the raw exports: no mart or cleaned table is built."""
+    return lambda spark, sf_dir: fn(sources_eda.from_raw(layers.raw_layer(spark, sf_dir)))
+
+
+def _on_resolved(fn) -> Query:
+    return _on_raw(lambda tables: fn(sources_eda.resolved(tables)))
+
+
+register("eda_raw_overview", _on_raw(lambda t: eda.overview({n: eda.Profiled(df, stats_of(df)) for n, df in t.items()})))
+register("eda_raw_hist_order_value", _on_resolved(lambda r: eda.histogram(r.fact_orders, "order_value")))
+register("eda_raw_hist_freight", _on_resolved(lambda r: eda.histogram(r.fact_order_items, "freight_value")))
+register("eda_raw_hist_weight", _on_resolved(lambda r: eda.histogram(r.dim_products, "product_weight_g")))
+register("eda_raw_review_counts", _on_resolved(lambda r: eda.value_counts(r.reviews, "review_score")))
+for _name, _fn in (("weekday_counts", eda.weekday_counts), ("monthly_trend", eda.monthly_trend),
+                   ("top_states", eda.top_states), ("customer_metrics", eda.top_customers)):
+    register(f"eda_raw_{_name}", _on_resolved(_fn))
+register("eda_raw_top_categories_15", _on_resolved(lambda r: eda.top_categories(r, r.cleaned)))
+register("eda_raw_headlines", _on_resolved(lambda r: eda.headlines(r, r.cleaned)))
+
 # --------------------------------------------------------------------- data quality
 register("dq_table_health", lambda spark, d: quality.table_health(layers.cleaned_layer(spark, d)))
 register("dq_reconcile_revenue", _on_marts_and_clean(quality.reconcile_monthly_revenue))
+register("dq_reconcile_pack", _on_marts_and_clean(reconcile.reconcile_pack))
 
 # --------------------------------------------------------------------- more dashboard data sets
 register("ds_top_categories_by_units", _on_marts(measures.ds_top_categories_by_units))
 register("ds_customer_points", _on_marts(measures.ds_customer_points))
+register("ds_customer_points_sample", _on_marts(measures.ds_customer_points_sample))
 register("ds_city_volume", _on_marts(measures.ds_city_volume))
 register("ds_seller_concentration", _on_marts(measures.ds_seller_concentration))

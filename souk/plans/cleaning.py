@@ -4,8 +4,8 @@ A ``Table`` names its columns with their kinds (text, number, whole number, date
 what replaces a missing value; ``clean_table`` turns that into
 
 1. one parse projection: names, missing-value tokens and typed parsing of every column at once,
-2. one statistics pass: the distinct values of all columns to be filled with their counts, written
-   in value order; medians and modes come from that small table alone,
+2. one statistics pass: the distinct values of all columns to be filled with their counts; medians
+   and modes come from that table alone (texts too long to be counted by value are looked up),
 3. one fill-and-filter projection, then keep-first de-duplication.
 
 So the input is read twice, however many columns are filled. The order of steps is part of a
@@ -179,7 +179,7 @@ def normalize_read(df: DataFrame) -> DataFrame:
     return op.nullify_na_tokens(df, df.columns)
 
 
-def parsed(df: DataFrame, spec: Table) -> DataFrame:
+def parsed(df: DataFrame, spec: Table, legacy_zip: bool = False) -> DataFrame:
     """Every known column in its kind, in one projection; other columns stay as they are."""
     df = op.require_columns(normalize_read(df), spec.required, spec.name)
     kinds = {c.name: c.kind for c in spec.columns}
@@ -191,7 +191,7 @@ def parsed(df: DataFrame, spec: Table) -> DataFrame:
             return op.parse_number(c) if is_text else c.cast("double")
         if kind == DATE:
             return F.trim(c).try_cast("timestamp_ntz") if is_text else c.cast("timestamp_ntz")
-        return op.zip_prefix(c) if kind == ZIP else c
+        return op.zip_prefix(c, legacy_zip) if kind == ZIP else c
 
     return df.select(*[typed(c).alias(c) for c in df.columns])
 
@@ -201,17 +201,19 @@ def _first_rows(df: DataFrame, spec: Table) -> DataFrame:
     return op.dedupe_first(df, spec.keys, order) if spec.keys else df
 
 
-def clean_table(name: str, raw: DataFrame) -> DataFrame:
+def clean_table(name: str, raw: DataFrame, strategy: str = "mode", legacy_zip: bool = False) -> DataFrame:
     """One raw table cleaned by its specification. Writes the table of values to be counted
-    (see ``op.value_counts``) when it is called; the rest is lazy."""
+    (see ``op.value_counts``) when it is called; the rest is lazy. ``strategy="constant"`` fills
+    texts with their defaults instead of the most frequent value; ``legacy_zip`` strips the zeros
+    that zip codes lose when an export is read with inferred types."""
     spec = SPECS[name]
-    df = parsed(raw, spec)
+    df = parsed(raw, spec, legacy_zip)
     if spec.dedupe_first:
         df = _first_rows(df, spec)
     present = [c for c in spec.columns if c.name in df.columns]
     medians = [c.name for c in present if c.median]
     modes = {c.name: c.mode for c in present if c.mode is not None}
-    df = op.fill_missing(df, medians, modes)
+    df = op.fill_missing(df, medians, modes, strategy)
     whole = [c.name for c in present if c.kind == WHOLE]
     if spec.not_null:
         df = op.drop_null_keys(df, spec.not_null)

@@ -2,117 +2,100 @@
 correlations, trends and headline figures.
 
 Everything is computed in Spark and returned as small result tables; nothing is drawn.
-Per-table profiles are one aggregate per table (all columns in a single pass) stacked
-with ``unionByName``.
+Row counts, NULL counts and column ranges are figures of a table that its write has counted
+(``plans.stats``); tables that no layer has written are counted in one aggregate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk.functions.numeric import exact_avg, round_to
-from souk.plans.marts import SUM_TYPE, FeatureBundle
+from souk.plans.marts import SUM_TYPE, FeatureBundle, exact_sum, zero_if_null
+from souk.plans.stats import TableStats, stats_of
 
 
 def _round(c: Column, d: int) -> Column:
     return round_to(c, d)
 
 
-def profile_tables(b: FeatureBundle, cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def profile_tables(b: FeatureBundle, cleaned: Mapping[str, DataFrame]) -> dict[str, Profiled]:
     """The eight tables the EDA looks at (marts where they exist, cleaned tables otherwise)."""
-    return {
-        "orders": b.fact_orders,
-        "order_items": b.fact_order_items,
-        "customers": b.dim_customers,
-        "products": b.dim_products,
-        "sellers": b.dim_sellers,
-        "payments": cleaned["order_payments"],
-        "reviews": cleaned["order_reviews"],
-        "categories": cleaned["category_translation"],
-    }
+    marts = {"orders": "fact_orders", "order_items": "fact_order_items", "customers": "dim_customers",
+             "products": "dim_products", "sellers": "dim_sellers"}
+    others = {"payments": "order_payments", "reviews": "order_reviews", "categories": "category_translation"}
+    sources = [(name, b, mart) for name, mart in marts.items()] + [(name, cleaned, t) for name, t in others.items()]
+    return {name: profiled(source, table) for name, source, table in sources}
 
 
-def _null_counts(df: DataFrame) -> DataFrame:
-    """One row: row count and NULL count per column (one pass over the table)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns],
-    )
+@dataclass(frozen=True)
+class Profiled:
+    """A table and its figures, which a written layer knows without a scan."""
 
+    frame: DataFrame
+    stats: TableStats
 
-def overview(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = []
-    for name, df in tables.items():
-        n_cols = len(df.columns)
-        counts = _null_counts(df)
-        missing = reduce(lambda a, c: a + F.col(c), df.columns[1:], F.col(df.columns[0])) if df.columns else F.lit(0)
-        parts.append(
-            counts.select(
-                F.lit(name).alias("table"),
-                F.col("_rows").alias("rows"),
-                F.lit(n_cols).cast("bigint").alias("columns"),
-                missing.cast("bigint").alias("missing_cells"),
-                _round(
-                    F.try_divide(missing.cast("double"), F.greatest(F.col("_rows") * n_cols, F.lit(1)).cast("double"))
-                    * 100,
-                    2,
-                ).alias("missing_pct"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts).orderBy(F.col("rows").desc(), "table")
 
+def profiled(source, table: str) -> Profiled:
+    """A table of a layer with what its write has counted; of other sources, counted now."""
+    frame = source[table] if isinstance(source, Mapping) else getattr(source, table)
+    return Profiled(frame, source.stats(table) if hasattr(source, "stats") else stats_of(frame))
 
-def missing_values(tables: dict[str, DataFrame], per_table: int = 8) -> DataFrame:
-    """Columns with missing values: percentage per column, the top ``per_table`` per table."""
-    parts = []
-    for name, df in tables.items():
-        counts = _null_counts(df)
-        stacked = counts.select(
-            F.lit(name).alias("table"),
-            F.col("_rows"),
-            F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in df.columns])),
-        )
-        parts.append(stacked)
-    long = reduce(DataFrame.unionByName, parts).where(F.col("n") > 0)
-    long = long.select(
-        "table", "column",
-        _round(F.col("n").cast("double") / F.col("_rows").cast("double") * 100, 2).alias("missing_pct"),
-        (F.col("n").cast("double") / F.col("_rows").cast("double")).alias("_exact"),
-    )
-    # At most one row per (table, column): bounded by the schema width.
-    w = Window.partitionBy("table").orderBy(F.col("_exact").desc(), F.col("column"))
-    return (
-        long.withColumn("_rank", F.row_number().over(w))
-        .where(F.col("_rank") <= per_table)
-        .drop("_rank", "_exact")
-        .orderBy(F.col("missing_pct").desc(), "table", "column")
-    )
 
+def overview(tables: dict[str, Profiled]) -> DataFrame:
+    """Rows, columns, missing cells and their share per table, from the tables' figures."""
+    spark = next(iter(tables.values())).frame.sparkSession
+    rows = [(n, p.stats.rows, len(p.stats.nulls), sum(p.stats.nulls.values())) for n, p in tables.items()]
+    df = spark.createDataFrame(rows, "table string, rows bigint, columns bigint, missing_cells bigint")
+    cells = F.greatest(F.col("rows") * F.col("columns"), F.lit(1)).cast("double")
+    share = _round(F.try_divide(F.col("missing_cells").cast("double"), cells) * 100, 2)
+    return df.withColumn("missing_pct", share).orderBy(F.col("rows").desc(), "table")
 
-def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
-    """Equal-width histogram over [min, max] (last bin closed), every bin listed."""
+
+def missing_values(tables: dict[str, Profiled], per_table: int = 8) -> DataFrame:
+    """Columns with missing values: percentage per column, the top ``per_table`` per table."""
+    spark = next(iter(tables.values())).frame.sparkSession
+    rows = [
+        (name, column, n, p.stats.rows)
+        for name, p in tables.items()
+        for column, n in sorted(p.stats.nulls.items(), key=lambda x: (-x[1], x[0]))[:per_table]
+        if n
+    ]
+    df = spark.createDataFrame(rows, "table string, column string, n bigint, rows bigint")
+    share = _round(F.col("n").cast("double") / F.col("rows").cast("double") * 100, 2)
+    df = df.select("table", "column", share.alias("missing_pct"))
+    return df.orderBy(F.col("missing_pct").desc(), "table", "column")
+
+
+def histogram(of: Profiled | DataFrame, column: str, bins: int = 40) -> DataFrame:
+    """Equal-width histogram over [min, max] (last bin closed), every bin listed. The range comes
+    from the table's figures where they are known, so the table is read once."""
+    of = of if isinstance(of, Profiled) else Profiled(of, stats_of(of.select(column)))
+    df, lo, hi = of.frame, of.stats.low.get(column), of.stats.high.get(column)
+    spark = df.sparkSession
+    schema = "bin bigint, bin_start double, bin_end double, count bigint"
+    if lo is None:
+        return spark.createDataFrame([], schema)
     v = F.col(column).cast("double")
     vals = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    bounds = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    width = F.when(hi > lo, (hi - lo) / bins).otherwise(F.lit(1.0))
-    idx = F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1)).cast("bigint")
+    width = (hi - lo) / bins if hi > lo else 1.0
+    idx = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
     counts = vals.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    grid = spark.range(bins).select(F.col("id").alias("bin"))
     return (
-        grid.join(counts, "bin", "left")
-        .where(lo.isNotNull())
+        grid.join(F.broadcast(counts), "bin", "left")  # a row per bin
         .select(
             "bin",
-            (lo + F.col("bin") * width).alias("bin_start"),
-            (lo + (F.col("bin") + 1) * width).alias("bin_end"),
+            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
+            (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
             F.coalesce(F.col("count"), F.lit(0)).alias("count"),
         )
         .orderBy("bin")
@@ -123,7 +106,7 @@ def customer_metrics(b: FeatureBundle) -> DataFrame:
     """Orders and revenue per customer id, with the person key and repeat flag."""
     per = b.fact_orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum(F.col("order_value").cast(SUM_TYPE)).cast("double").alias("revenue"),
+        zero_if_null(exact_sum("order_value")).alias("revenue"),
     )
     return per.join(b.dim_customers.select("customer_id", "customer_unique_id"), "customer_id", "left").withColumn(
         "repeat_customer", F.col("total_orders") > 1
@@ -157,7 +140,7 @@ def monthly_trend(b: FeatureBundle) -> DataFrame:
         .groupBy("order_month")
         .agg(
             F.count_distinct("order_id").alias("orders"),
-            F.sum(F.col("order_value").cast(SUM_TYPE)).cast("double").alias("revenue"),
+            zero_if_null(exact_sum("order_value")).alias("revenue"),
         )
         .orderBy("order_month")
     )
@@ -167,22 +150,21 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def correlation_tables(b: FeatureBundle, cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def correlation_tables(b: FeatureBundle, cleaned: Mapping[str, DataFrame]) -> dict[str, Profiled]:
     return {
-        "orders": b.fact_orders,
-        "order_items": b.fact_order_items,
-        "products": b.dim_products,
-        "reviews": cleaned["order_reviews"],
+        "orders": profiled(b, "fact_orders"),
+        "order_items": profiled(b, "fact_order_items"),
+        "products": profiled(b, "dim_products"),
+        "reviews": profiled(cleaned, "order_reviews"),
     }
 
 
-def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
+def _moments(df: DataFrame, cols: list[str], base: list[float]) -> DataFrame:
     """Per column pair the sums over the rows where both have a value: n, x, y, xx, yy, xy, of
-    values taken relative to the column's minimum. Each task reduces its batches with matrix
+    values taken relative to ``base``, the columns' minima. Each task reduces its batches with matrix
     products and emits one row per pair."""
     n = len(cols)
     first, second = np.triu_indices(n, 1)
-    base = df.agg(F.array(*[F.min(F.col(c).cast("double")) for c in cols])).scalar()
 
     def reduce_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((6, len(first)))
@@ -200,17 +182,19 @@ def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
             [pa.array(np.arange(len(first))), *map(pa.array, total)], names=["pair", *names]
         )
 
-    shifted = df.select(*[(F.col(c).cast("double") - base[i]).alias(f"c{i}") for i, c in enumerate(cols)])
+    shifted = df.select(*[(F.col(c).cast("double") - F.lit(base[i])).alias(f"c{i}") for i, c in enumerate(cols)])
     rows = shifted.mapInArrow(reduce_batches, "pair long, n double, x double, y double, xx double, yy double, xy double")
     return rows.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
 
 
-def correlation(tables: dict[str, DataFrame]) -> DataFrame:
+def correlation(tables: dict[str, Profiled | DataFrame]) -> DataFrame:
     """Pairwise-complete Pearson correlation of the numeric columns within each table; NULL
-    where a column has no spread. A table is read twice: for the columns' minima, and for sums
-    of products that one task reduces to a row per column pair."""
+    where a column has no spread. A table is read once, for sums of products that each task
+    reduces to a row per column pair; the columns' minima are among its figures."""
     parts = []
-    for name, df in tables.items():
+    for name, of in tables.items():
+        of = of if isinstance(of, Profiled) else Profiled(of, stats_of(of))
+        df = of.frame
         cols = numeric_columns(df)
         pairs = [(a, c) for i, a in enumerate(cols) for c in cols[i + 1:]]
         if not pairs:
@@ -222,7 +206,7 @@ def correlation(tables: dict[str, DataFrame]) -> DataFrame:
         r = F.when(some, (n * F.col("xy") - F.col("x") * F.col("y")) / (F.sqrt(spread_x) * F.sqrt(spread_y)))
         names_a, names_b = (F.array(*[F.lit(p[k]) for p in pairs]) for k in (0, 1))
         parts.append(
-            _moments(df, cols).select(
+            _moments(df, cols, [of.stats.low.get(c, 0.0) for c in cols]).select(
                 F.lit(name).alias("table"),
                 F.get(names_a, F.col("pair")).alias("column_a"),
                 F.get(names_b, F.col("pair")).alias("column_b"),
@@ -237,7 +221,7 @@ def _state_summary(b: FeatureBundle) -> DataFrame:
         b.fact_orders.join(b.dim_customers.select("customer_id", "customer_state"), "customer_id", "left")
         .groupBy("customer_state")
         .agg(
-            F.sum(F.col("order_value").cast(SUM_TYPE)).cast("double").alias("revenue"),
+            zero_if_null(exact_sum("order_value")).alias("revenue"),
             F.count_distinct("order_id").alias("orders"),
         )
         .where(F.col("customer_state").isNotNull())

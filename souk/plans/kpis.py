@@ -221,8 +221,11 @@ class KPIReport:
 
 
 def build_kpi_report(b: FeatureBundle) -> KPIReport:
-    if not isinstance(b, FeatureBundle):
-        raise KPIError(f"a FeatureBundle is needed, not {type(b).__name__}")
+    """All KPIs of a bundle of marts, or of anything that has the marts as attributes (a written
+    layer, saved marts)."""
+    missing = [f.name for f in fields(FeatureBundle) if not isinstance(getattr(b, f.name, None), DataFrame)]
+    if missing:
+        raise KPIError(f"{type(b).__name__} lacks the marts {missing}")
     return KPIReport(
         total_revenue=total_revenue(b),
         total_orders=total_orders(b),

@@ -10,35 +10,60 @@ real sizes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.plans import cleaning, marts
+from souk.plans import cleaning, eda, marts, quality
+from souk.plans.stats import TableStats, observed
 from souk.session import written
 from souk.sources.fixtures import LazyTables, RetailTables, forget_retail, load_retail
 from souk.sources.raw import raw_from_retail
 
 _TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STATS: dict[tuple[str, str], dict[str, TableStats]] = {}
 
+#: Tables written in a folder per purchase month, so that date slicers pick folders.
+MONTHLY = {"mart-fact_orders": "order_month"}
 
-class Layer(Mapping):
-    """Tables by name, each built and written when it is first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, layer: str, builders: dict[str, Callable[[], DataFrame]]):
+class Layer(Mapping):
+    """Tables by name, each built and written when it is first asked for. The write counts the
+    table's figures (see ``stats``) on its way."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        layer: str,
+        builders: dict[str, Callable[[], DataFrame]],
+        keys: Mapping[str, Sequence[str]] | None = None,
+    ):
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         self._done = _TABLES.setdefault(key, {})
+        self._stats = _STATS.setdefault(key, {})
         self._layer = layer
         self._builders = builders
+        self._keys = keys or {}
 
     def __getitem__(self, name: str) -> DataFrame:
         build = self._builders[name]
         label = f"{self._layer}-{name}"
         if label not in self._done:
-            self._done[label] = written(build(), label)
+            df, month = build(), MONTHLY.get(label)
+            # Rows of one month meet in few tasks; a large month is split again by size.
+            df = df.hint("rebalance", month) if month else df
+            counted, figures = observed(df, self._keys.get(name, ()))
+            self._done[label] = written(counted, label, month)
+            self._stats[label] = figures()
         return self._done[label]
 
+    def stats(self, name: str) -> TableStats:
+        """What the table's write has counted; no further read."""
+        self[name]
+        return self._stats[f"{self._layer}-{name}"]
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 
@@ -75,7 +100,8 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> LazyTables:
 
 def cleaned_layer(spark: SparkSession, sf_dir: str) -> Layer:
     raw = raw_layer(spark, sf_dir)
-    return Layer(spark, sf_dir, "clean", {name: (lambda n=name: cleaning.clean_table(n, raw[n])) for name in cleaning.SPECS})
+    builders = {name: (lambda n=name: cleaning.clean_table(n, raw[n])) for name in cleaning.SPECS}
+    return Layer(spark, sf_dir, "clean", builders, quality.CLEAN_KEYS)
 
 
 def mart_layer(spark: SparkSession, sf_dir: str) -> MartLayer:
@@ -99,6 +125,7 @@ def mart_layer(spark: SparkSession, sf_dir: str) -> MartLayer:
         "dim_sellers": lambda: marts.build_dim_sellers(c["sellers"], c["order_items"]),
         "monthly_revenue": lambda: marts.build_monthly_revenue(m["order_base"]),
         "customer_kpis": lambda: marts.build_customer_kpis(m["dim_customers"]),
+        "customer_metrics": lambda: eda.customer_metrics(m),
     }
     return m
 
@@ -108,4 +135,5 @@ def drop_layers(spark: SparkSession | None = None) -> None:
     for key in list(_TABLES):
         if spark is None or key[0] == spark.sparkContext.applicationId:
             del _TABLES[key]
+            _STATS.pop(key, None)
     forget_retail(spark and spark.sparkContext.applicationId)

@@ -50,15 +50,32 @@ def zero_if_null(c: Column) -> Column:
 
 # ----------------------------------------------------------------------------- order-grain parts
 def order_item_summary(order_items: DataFrame) -> DataFrame:
-    return order_items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("total_items"),
-        # Sets of one order's few items; two distinct counts would expand every item row.
-        F.size(F.collect_set("product_id")).cast("bigint").alias("unique_products"),
-        F.size(F.collect_set("seller_id")).cast("bigint").alias("unique_sellers"),
-        exact_sum("price").alias("gross_item_value"),
-        exact_sum("freight_value").alias("gross_freight_value"),
-        exact_mean("price").alias("average_item_price"),
+    """Order grain: item counts and sums, distinct products and sellers. Items are first summed by
+    (order, product, seller), with map-side sums; what follows counts those rows, so no task
+    gathers the products of a large order."""
+    number = "decimal(38,4)"
+    lines = order_items.groupBy("order_id", "product_id", "seller_id").agg(
+        F.count("order_item_id").alias("items"),
+        F.sum(F.col("price").cast(SUM_TYPE)).cast(number).alias("price"),
+        F.count("price").alias("prices"),
+        F.sum(F.col("freight_value").cast(SUM_TYPE)).cast(number).alias("freight"),
     )
+    by_product = lines.groupBy("order_id", "product_id").agg(
+        *[F.sum(c).cast(number if c in ("price", "freight") else "bigint").alias(c) for c in ("items", "price", "prices", "freight")]
+    )
+    per_order = by_product.groupBy("order_id").agg(
+        F.sum("items").alias("total_items"),
+        F.count("product_id").alias("unique_products"),
+        F.sum("price").cast("double").alias("gross_item_value"),
+        F.sum("freight").cast("double").alias("gross_freight_value"),
+        F.try_divide(F.sum("price").cast("double"), F.sum("prices").cast("double")).alias("average_item_price"),
+    )
+    sellers = lines.select("order_id", "seller_id").where("seller_id IS NOT NULL").distinct()
+    sellers = sellers.groupBy("order_id").agg(F.count(F.lit(1)).alias("unique_sellers"))
+    return per_order.join(sellers, "order_id", "left").select(
+        "order_id", "total_items", "unique_products", F.coalesce("unique_sellers", F.lit(0)).alias("unique_sellers"),
+        "gross_item_value", "gross_freight_value", "average_item_price",
+    )
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:

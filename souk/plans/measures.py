@@ -20,6 +20,7 @@ from souk.plans import kpis, reports
 from souk.session import written
 from souk.plans.marts import CATEGORY_COLUMNS, COST_COLUMNS, SUM_TYPE, FeatureBundle, exact_mean
 from souk.operators import clean as op
+from souk.operators import sampling
 from souk.sources.fixtures import RetailTables
 
 
@@ -93,6 +94,11 @@ def slice_bundle(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> Slice:
         raise ValueError(f"unknown status mode {s.status_mode!r}")
     orders = chosen(orders, "dominant_payment_type", s.payment_types)
     bought = F.col("order_purchase_timestamp")
+    if "order_month" in orders.columns:
+        # The months of the range, so that only their folders are read.
+        month = F.col("order_month")
+        orders = orders.where(month >= s.date_from[:7]) if s.date_from else orders
+        orders = orders.where(month <= s.date_to[:7]) if s.date_to else orders
     if s.date_from:
         orders = orders.where(bought >= F.lit(s.date_from).cast("timestamp_ntz"))
     if s.date_to:
@@ -479,12 +485,13 @@ def ds_drilldown_rollup(b: FeatureBundle) -> DataFrame:
     items = b.fact_order_items
     key = _category(items)
     states = b.dim_customers.select("customer_id", "customer_state")
-    df = items.join(states, "customer_id", "left").select(
-        "customer_state", F.col(key).alias("category"), "seller_id", "revenue", "order_item_id"
-    )
-    return df.rollup("customer_state", "category", "seller_id").agg(
-        _money(F.col("revenue")).alias("revenue"),
-        F.count("order_item_id").alias("items"),
+    finest = items.join(states, "customer_id", "left").groupBy(
+        "customer_state", F.col(key).alias("category"), "seller_id"
+    ).agg(F.sum(F.col("revenue").cast(SUM_TYPE)).alias("revenue"), F.count("order_item_id").alias("items"))
+    # Items are summed once, at the finest grain; the upper levels add up these rows.
+    return finest.rollup("customer_state", "category", "seller_id").agg(
+        F.sum("revenue").cast("double").alias("revenue"),
+        F.sum("items").alias("items"),
         F.grouping_id().alias("grouping_level"),
     )
 
@@ -509,6 +516,15 @@ def ds_customer_points(b: FeatureBundle) -> DataFrame:
     )
 
 
+def ds_customer_points_sample(b: FeatureBundle, per_segment: int = 200) -> DataFrame:
+    """``ds_customer_points`` for a chart: up to ``per_segment`` customers of each segment, the
+    same ones whenever it is asked."""
+    points = ds_customer_points(b).withColumn(
+        "segment", F.when(F.col("total_orders") > 1, F.lit("repeat")).otherwise(F.lit("one_time"))
+    )
+    return sampling.bottom_k(points, "segment", "customer_id", per_segment)
+
+
 def ds_city_volume(b: FeatureBundle, min_orders: int = 20) -> DataFrame:
     """Revenue by customer city, hiding cities below ``min_orders`` orders (a HAVING)."""
     cities = b.dim_customers.select("customer_id", "customer_state", "customer_city")

@@ -3,6 +3,7 @@ reconciliation of mart revenue against an independent recomputation (SQL-pack st
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,28 +12,28 @@ from pyspark.sql import functions as F
 from souk.functions.numeric import round_to
 from souk.plans.cleaning import SPECS
 from souk.plans.marts import SUM_TYPE, FeatureBundle
+from souk.plans.stats import stats_of
 
 # Key columns that must be unique and non-NULL after cleaning.
 CLEAN_KEYS = {name: spec.keys for name, spec in SPECS.items() if spec.keys}
 CLEAN_KEYS["geolocation"] = ("geolocation_zip_code_prefix",)
 
 
-def table_health(cleaned: dict[str, DataFrame]) -> DataFrame:
-    """Per cleaned table: rows, NULL cells, rows with a NULL key, surplus rows per key."""
+def table_health(cleaned: Mapping[str, DataFrame]) -> DataFrame:
+    """Per cleaned table: rows, NULL cells, rows with a NULL key, surplus rows per key. The figures
+    of written layers come from their writes; only the keys are read again, to be counted."""
     parts = []
     for name, df in cleaned.items():
         keys = list(CLEAN_KEYS.get(name, ()))
-        null_cells = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
-        null_key = F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])) if keys else F.lit(0)
-        stats = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            null_cells.cast("bigint").alias("null_cells"),
-            null_key.cast("bigint").alias("null_key_rows"),
-        )
-        n_keys =df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint")
-        ).scalar() if keys else F.lit(0).cast("bigint")
-        parts.append(stats.select(F.lit(name).alias("table"), "*", n_keys.alias("duplicate_key_rows")))
+        s = cleaned.stats(name) if hasattr(cleaned, "stats") else stats_of(df, keys)
+        surplus = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint")
+        repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(surplus) if keys else None
+        figures = (F.lit(v).cast("bigint").alias(n) for n, v in (
+            ("rows", s.rows), ("null_cells", sum(s.nulls.values())), ("null_key_rows", s.null_keys)
+        ))
+        one = df.sparkSession.range(1) if repeated is None else repeated.toDF("_surplus")
+        duplicates = F.lit(0).cast("bigint") if repeated is None else F.col("_surplus")
+        parts.append(one.select(F.lit(name).alias("table"), *figures, duplicates.alias("duplicate_key_rows")))
     return reduce(DataFrame.unionByName, parts).orderBy("table")
 
 

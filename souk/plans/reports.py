@@ -17,12 +17,12 @@ Money sums are exact decimals and leave as DOUBLE; averages are ``round(sum/coun
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.dates import days_between, month_start, month_index_between, whole_days_trunc
+from souk.functions.dates import days_between, month_start, whole_days_trunc
 from souk.functions.numeric import avg4, ratio, round_to, to_double
-from souk.operators.ranking import global_rank, top_n
+from souk.operators.ranking import descending, global_rank, top_n
 from souk.session import written
 from souk.sources.fixtures import RetailTables
 
@@ -121,27 +121,67 @@ def customer_analytics(t: RetailTables, person_key: str = "customer_unique_id")
 # --------------------------------------------------------------------------------------
 # Q3 monthly cohort retention
 # --------------------------------------------------------------------------------------
+#: A set of months: words of five years each, a bit per month, from January 1970 on.
+FIRST_YEAR, WORD_MONTHS, MONTH_WORDS = 1970, 60, 24
+
+
+def _month_words(ts: str) -> list[Column]:
+    """The month of ``ts`` as a bit in one of the words, 0 in all others."""
+    index = (F.year(ts) - FIRST_YEAR) * 12 + F.month(ts) - 1
+    beyond = F.concat(F.lit("cohort months run from 1970 to 2089, not to "), F.col(ts).cast("string"))
+    held = index.between(0, MONTH_WORDS * WORD_MONTHS - 1) | index.isNull()
+    place = F.when(held, index).otherwise(F.raise_error(beyond).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(WORD_MONTHS)))
+    word = F.floor(place / WORD_MONTHS)
+    return [F.when(word == i, bit).otherwise(F.lit(0).cast("bigint")) for i in range(MONTH_WORDS)]
+
+
+def _month_of(index: Column) -> Column:
+    zero = F.lit(0)
+    year, month = F.floor(index / 12) + FIRST_YEAR, F.pmod(index, F.lit(12)) + 1
+    return F.make_timestamp_ntz(year.cast("int"), month.cast("int"), F.lit(1), zero, zero, zero)
+
+
 def cohort_activity(t: RetailTables, statuses=ACTIVE_STATUSES) -> DataFrame:
     """Distinct (person, cohort month, active month, month number).
 
-    The cohort is the month of a person's first live order. Orders are first reduced to
-    distinct (person, month) pairs — a partial aggregate, so a person with a huge number of
-    orders costs one row per month — and the cohort is the minimum of those months, which
-    equals the month of the minimum timestamp.
+    The cohort is the month of a person's first live order. A person's active months are a set of
+    bits: orders are or-ed to one row per customer with map-side sums and shuffled once, customers'
+    rows are or-ed to their person's, and the months are unfolded from those. Orders without a
+    time give one row without a month.
     """
-    pairs = (
-        active_orders(t.orders, statuses)
-        .select("customer_id", month_start("order_purchase_timestamp").alias("order_month"))
-        .join(t.customers.select("customer_id", "customer_unique_id"), "customer_id", "inner")
-        .select("customer_unique_id", "order_month")
-        .distinct()
-    )
-    cohorts = pairs.groupBy("customer_unique_id").agg(F.min("order_month").alias("cohort_month"))
-    return pairs.join(cohorts, "customer_unique_id").select(
+    words = [f"w{i}" for i in range(MONTH_WORDS)]
+
+    def merged(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key).agg(*[F.bit_or(w).alias(w) for w in words], F.max("undated").alias("undated"))
+
+    ts = "order_purchase_timestamp"
+    orders = active_orders(t.orders, statuses).select(
+        "customer_id", F.col(ts).isNull().alias("undated"),
+        *[c.alias(w) for c, w in zip(_month_words(ts), words, strict=True)],
+    )
+    people = t.customers.select("customer_id", "customer_unique_id")
+    sets = merged(merged(orders, "customer_id").join(people, "customer_id"), "customer_unique_id")
+    lowest = [
+        F.when(F.col(w) != 0, i * WORD_MONTHS + F.bit_count(F.col(w).bitwiseAND(-F.col(w)) - 1))
+        for i, w in enumerate(words)
+    ]
+    sets = sets.withColumn("cohort", F.least(*lowest))
+    bits = F.posexplode(F.array(*words)).alias("word", "bits")
+    used = sets.select("customer_unique_id", "cohort", bits).where("bits <> 0")
+    set_ = F.filter(
+        F.sequence(F.lit(0), F.lit(WORD_MONTHS - 1)),
+        lambda k: F.call_function("shiftright", F.col("bits"), k).bitwiseAND(F.lit(1).cast("bigint")) == 1,
+    )
+    dated = used.select("customer_unique_id", "cohort", "word", F.explode(set_).alias("bit"))
+    index = (F.col("word") * WORD_MONTHS + F.col("bit")).alias("month")
+    dated = dated.select("customer_unique_id", "cohort", index)
+    undated = sets.where("undated").select("customer_unique_id", "cohort", F.lit(None).cast("int").alias("month"))
+    return dated.unionByName(undated).select(
         "customer_unique_id",
-        "cohort_month",
-        "order_month",
-        month_index_between("cohort_month", "order_month").alias("month_number"),
+        _month_of(F.col("cohort")).alias("cohort_month"),
+        _month_of(F.col("month")).alias("order_month"),
+        (F.col("month") - F.col("cohort")).cast("bigint").alias("month_number"),
     )
 
 
@@ -432,7 +472,9 @@ def revenue_analysis(t: RetailTables) -> DataFrame:
 # --------------------------------------------------------------------------------------
 # Q10 seller analytics
 # --------------------------------------------------------------------------------------
-def seller_analytics(t: RetailTables) -> DataFrame:
+def seller_analytics(t: RetailTables, nulls: str = "last") -> DataFrame:
+    """Sellers by revenue. Sellers without sales have none (NULL) and rank last; ``nulls="first"``
+    ranks them ahead of all others, as a database does that sorts NULLs first."""
     per_seller_order = t.order_items.groupBy("seller_id", "order_id").agg(
         F.count(F.lit(1)).alias("items_sold"),
         F.sum("price").alias("seller_revenue"),
@@ -456,14 +498,16 @@ def seller_analytics(t: RetailTables) -> DataFrame:
         to_double("freight_dec").alias("freight_revenue"),
         "avg_order_revenue",
     )
-    ranked = global_rank(written(result, "seller-report"), "gross_revenue", "revenue_rank", descending=True)
-    return ranked.orderBy(F.col("gross_revenue").desc_nulls_last(), F.col("total_items_sold").desc_nulls_last())
+    ranked = global_rank(written(result, "seller-report"), "gross_revenue", "revenue_rank", descending=True, nulls=nulls)
+    return ranked.orderBy(descending("gross_revenue", nulls), descending("total_items_sold", nulls))
 
 
 # --------------------------------------------------------------------------------------
 # Q11 top customers
 # --------------------------------------------------------------------------------------
-def top_customers(t: RetailTables, n: int = 100) -> DataFrame:
+def top_customers(t: RetailTables, n: int = 100, nulls: str = "last") -> DataFrame:
+    """The first ``n`` customers by revenue; those without item rows have none (NULL) and come
+    last, or first with ``nulls="first"``."""
     items = t.order_items.groupBy("order_id").agg(
         F.sum(F.col("price") + F.col("freight_value")).alias("order_revenue")
     )
@@ -490,8 +534,8 @@ def top_customers(t: RetailTables, n: int = 100) -> DataFrame:
         "last_order_date",
     )
     order = [
-        F.col("revenue").desc_nulls_last(),
-        F.col("total_orders").desc_nulls_last(),
+        descending("revenue", nulls),
+        descending("total_orders", nulls),
         F.col("customer_unique_id").asc(),
         F.col("customer_id").asc(),
     ]

@@ -62,12 +62,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet under the shared checkpoint folder and read back."""
+def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back; with
+    ``partition_by`` in a folder per value, so that filters on that column pick folders."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if partition_by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
