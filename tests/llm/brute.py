@@ -256,3 +256,60 @@ def compared_fingerprints(rows):
         sha = hashlib.sha256(edited.encode()).hexdigest()
         out.append((i, len(t), sha, "".join(own), "".join(other), near(own, other), near(own, sketch(nxt))))
     return out
+
+
+def languages(rows, texts):
+    """Training rows (lang, text) and texts -> (lang, score) of each text, word by word with plain
+    dictionaries and the full Viterbi recursion."""
+    import math
+
+    from souk.llm import language_id as lid
+
+    def grams(w):
+        return [int(x) for x in lid.trigrams([w])]
+
+    names = sorted({lang for lang, _ in rows if lang is not None})
+    counts, scripts = {n: Counter() for n in names}, {n: Counter() for n in names}
+    for lang, text in rows:
+        if lang is not None:
+            for w in lid.letters(text):
+                counts[lang].update(grams(w))
+                scripts[lang][lid.script(w)] += 1
+
+    def cost(lang, g):
+        total = sum(counts[lang].values())
+        return math.log((counts[lang][g] + lid.SMOOTHING) / (total + lid.SMOOTHING * lid.BUCKETS))
+
+    def home(lang, script):
+        return scripts[lang][script] >= max(lid.SCRIPT_SHARE * sum(scripts[lang].values()), 1)
+
+    def word(w):
+        s = lid.script(w)
+        if not any(home(n, s) for n in names):
+            return [0.0] * len(names)
+        return [sum(cost(n, g) for g in grams(w)) + (0 if home(n, s) else lid.OUTSIDE) for n in names]
+
+    out, known = [], {}
+    for text in texts:
+        ws = lid.letters(text)
+        if not ws or not names:
+            out.append(("und", 0.0))
+            continue
+        score = [known.setdefault(w, None) or known.update({w: word(w)}) or known[w] for w in ws]
+        value, came = list(score[0]), []
+        for s in score[1:]:
+            top = max(range(len(names)), key=lambda k: value[k])
+            back = [top if value[top] - lid.PENALTY > value[k] else k for k in range(len(names))]
+            value = [max(value[top] - lid.PENALTY, value[k]) + s[k] for k in range(len(names))]
+            came.append(back)
+        k = max(range(len(names)), key=lambda k: value[k])
+        labels = [k]
+        for back in reversed(came):
+            k = back[k]
+            labels.append(k)
+        held = [0] * len(names)
+        for w, k in zip(ws, reversed(labels), strict=True):
+            held[k] += len(w)
+        best = max(range(len(names)), key=lambda k: held[k])
+        out.append((names[best], held[best] / sum(held)))
+    return out

@@ -139,6 +139,19 @@ def test_near_classes_odd_cases(odd, empty):
     assert near_dedup.near_classes(empty).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    """Texts of one id are documents of their own; within a class the smallest id stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (3, a + " more"), (1, b), (4, "more " + c), (1, a.upper()), (None, a), (5, ""), (5, b + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = [(r.doc_id, r.text.lower() if r.text else r.text) for r in near_dedup.drop_near_copies(docs).collect()]
+    assert order(left) == order([(1, a), (1, b), (2, c), (None, a), (5, "")])
+    got = near_dedup.near_classes(docs).collect()
+    assert order((r.doc_id, r.class_id, r.class_size) for r in got) == order(
+        [(1, 1, 3), (1, 1, 3), (3, 1, 3), (1, 1, 3), (1, 1, 3), (5, 1, 3), (2, 2, 2), (4, 2, 2), (None, None, 1), (5, 5, 1)]
+    )
+
+
 def test_near_classes_of_a_large_group_of_variants(spark):
     """Variants of one text, chains of drifting texts and texts that share half: all classes as
     by comparing all pairs, also where buckets are worked off by pivots."""
