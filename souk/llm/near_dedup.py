@@ -11,7 +11,7 @@ K ln K + 2K darts are enumerated per document (those earlier than that number di
 document's weight); a document with an empty coordinate is thrown again up to twice the time.
 Two signatures agree in a coordinate with probability equal to the weighted Jaccard similarity.
 
-Joining. Equal word sequences are one node. Nodes sharing a band of ``ROWS`` coordinates meet in
+Joining. Equal word sequences are one node, known by a hash of the sequence. Nodes sharing a band of ``ROWS`` coordinates meet in
 a bucket. Large buckets are never expanded into pairs. A bucket's smallest document, its pivot, is
 compared with the others, and verified links merge classes. In buckets that still hold several
 classes, a prefix filter on what documents have beside the pivot (see ``_beside_pivots``) makes
@@ -24,9 +24,11 @@ A pair at similarity 0.8 shares none of the ``BANDS`` bands with probability 6e-
 ones with less.
 
 Defined results: documents without words (null, empty) are alone. A document of one to four
-words is one shingle. Repeated rows are copies of each other. An id is taken to name one text:
-if it names several, the one read first stands for it in comparisons. Rows with a null id take
-no part: class null, kept. Extra columns are not touched.
+words is one shingle. Repeated rows are copies of each other. An id may name several texts; each is
+a document of its own, and within a class the smallest id stays (of several texts of that id, the
+one whose hash is smallest). Classes of different texts of one id share its number but not their
+members. Rows with a null id take no part: class null, kept. Extra columns are not touched. Very
+long texts are compared whole; a task holds one cell of eight bytes per word.
 """
 
 from __future__ import annotations
@@ -155,7 +157,8 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: doc_id, n_words, print (of the word sequence) and its band keys."""
+    """Per row: doc_id, key (of id and text), n_words, print (of the word sequence) and its band
+    keys."""
 
     def sign(batch: pd.DataFrame) -> pd.DataFrame:
         n, prints, bands = [], [], [None] * len(batch)
@@ -182,26 +185,35 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     flush()
                     weight = 0
         flush()
-        return pd.DataFrame({"doc_id": batch["doc_id"], "n_words": n, "print": prints, "bands": bands})
+        own = {"doc_id": batch["doc_id"], "key": batch["key"]}
+        return pd.DataFrame(own | {"n_words": n, "print": prints, "bands": bands})
 
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    out = map_rows(rows, sign, "doc_id string, n_words long, print binary, bands array<long>")
+    rows = _texts(docs, id_col, text_col).select(F.col("id").cast("string").alias("doc_id"), "key", "_text")
+    out = map_rows(rows, sign, "doc_id string, key long, n_words long, print binary, bands array<long>")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, key and text of each row."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("_text"))
+
+
 def _cells_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, cells) of the documents named by ``nodes``."""
+    """(node, cells) of the documents that ``nodes`` (node, key) names."""
 
     def cut(batch: pd.DataFrame) -> pd.DataFrame:
-        made = [cells(words(t)).tobytes() for t in batch["_text"]]
-        return pd.DataFrame({"node": batch["node"], "cells": made})
+        out = []
+        for node, text in zip(batch["node"], batch["_text"], strict=True):
+            ws = words(text)
+            if hashlib.blake2b(b" ".join(ws), digest_size=16).digest() == node:  # not only the key
+                out.append((node, cells(ws).tobytes()))
+        return pd.DataFrame(out, columns=["node", "cells"])
 
-    kind = nodes.schema["node"].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("_text"))
-    rows = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("_text").alias("_text"))
-    rows = rows.withColumn("node", F.col("node").cast("string"))
-    return map_rows(rows, cut, "node string, cells binary").withColumn("node", F.col("node").cast(kind))
+    rows = _texts(docs, id_col, text_col).select("key", "_text").join(nodes, "key")
+    rows = rows.groupBy("node").agg(F.first("_text").alias("_text"))
+    return map_rows(rows, cut, "node binary, cells binary")
 
 
 def verified(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
@@ -332,48 +344,63 @@ def _merged(buckets: DataFrame, table: DataFrame, labels: DataFrame, similarity:
     return labels
 
 
-def near_classes(
+def classified(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """One row per input row: doc_id, class_id (the smallest id of its class), class_size (in
-    rows), kept (the row's id is the class id, or the row takes no part)."""
+    """One row per input row: doc_id, key (of id and text), class_id (the smallest id of its
+    class), class_size (in rows), kept (the row is its class's, or takes no part)."""
     rows = written(signed(docs, id_col, text_col), "near-signed")
     able = rows.where("doc_id is not null and n_words > 0")
-    nodes = written(able.groupBy("print").agg(F.min("doc_id").alias("node")), "near-nodes")
-    own = F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands")
+    # The document that stands for a word sequence.
+    nodes = able.groupBy(F.col("print").alias("node")).agg(F.min(F.struct("doc_id", "key")).alias("own"))
+    nodes = written(nodes.select("node", F.col("own.doc_id").alias("own_id"), F.col("own.key").alias("own_key")), "near-nodes")
+    stands = ((F.col("doc_id") == F.col("own_id")) & (F.col("key") == F.col("own_key"))).alias("stands")
     n = F.greatest(F.col("n_words") - SHINGLE + 1, F.lit(1)).alias("n")
-    member = written(able.join(nodes, "print").select("doc_id", "node", n, own), "near-members")
+    member = able.withColumnRenamed("print", "node").join(nodes, "node")
+    member = member.select("doc_id", "key", "node", "own_id", n, stands, F.when(stands, F.col("bands")).alias("bands"))
+    member = written(member, "near-members")
     in_band = member.where("bands is not null").select(F.explode("bands").alias("band"), "node", "n")
     several = in_band.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     buckets = written(in_band.join(several.select("band"), "band").distinct(), "near-buckets")
     meeting = written(buckets.select("node").distinct(), "near-meeting")
-    table = written(_cells_of(docs, meeting, id_col, text_col), "near-cells")
+    named = meeting.join(nodes, "node").select("node", F.col("own_key").alias("key"))
+    table = written(_cells_of(docs, named, id_col, text_col), "near-cells")
     labels = _merged(buckets, table, meeting.withColumn("cls", F.col("node")), similarity)
-    smallest = labels.groupBy("cls").agg(F.min("node").alias("class_id"))
-    named = labels.join(smallest, "cls").select("node", "class_id")
-    placed = member.select("doc_id", "node").join(named, "node", "left")
-    placed = placed.select("doc_id", F.coalesce("class_id", "node").alias("class_id"))
-    alone = rows.where("doc_id is null or n_words <= 0").select("doc_id", F.col("doc_id").alias("class_id"))
-    result = written(placed.unionByName(alone), "near-classes")
-    sizes = result.where("class_id is not null").groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    return result.join(sizes, "class_id", "left").select(
-        "doc_id",
-        "class_id",
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"),
+    best = labels.join(nodes, "node").groupBy("cls").agg(F.min(F.struct("own_id", "node")).alias("best"))
+    merged = labels.join(best, "cls").select(
+        "node", "cls", F.col("best.own_id").alias("first_id"), F.col("best.node").alias("best")
     )
+    # Nodes that met no other are classes of their own.
+    placed = member.select("doc_id", "key", "node", "stands", "own_id").join(merged, "node", "left")
+    placed = placed.select(
+        "doc_id", "key", F.coalesce("cls", "node").alias("cls"), F.coalesce("first_id", "own_id").alias("class_id"),
+        (F.coalesce(F.col("best") == F.col("node"), F.lit(True)) & F.col("stands")).alias("kept"),
+    )
+    result = written(placed, "near-classes")
+    sizes = result.groupBy("cls").agg(F.count(F.lit(1)).alias("class_size"))
+    result = result.join(sizes, "cls").select("doc_id", "key", "class_id", "class_size", "kept")
+    apart = rows.where("doc_id is null or n_words <= 0")
+    one, yes = F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept")
+    return result.unionByName(apart.select("doc_id", "key", F.col("doc_id").alias("class_id"), one, yes))
+
+
+def near_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
+) -> DataFrame:
+    """One row per input row: doc_id, class_id, class_size and kept (see ``classified``)."""
+    return classified(docs, id_col, text_col, similarity).drop("key")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all its columns, with one document of each class: that with the smallest id. Of
     repeated rows of it one stays."""
-    verdict = near_classes(docs, id_col, text_col).where("class_id is not null")
-    ids = verdict.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    apart = written(ids.where("not kept or n > 1"), "near-apart")
+    verdict = classified(docs, id_col, text_col).where("class_id is not null")
+    keys = verdict.groupBy("key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    apart = written(keys.where("not kept or n > 1"), "near-apart")
+    text = F.col(text_col).cast("string")
+    inner = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col(id_col), text).alias("key"))
     # Most documents are in neither list and pass as they are.
-    plain = docs.join(apart, docs[id_col] == apart["doc_id"], "left_anti")
-    once = apart.where("kept")
-    again = docs.join(once, docs[id_col] == once["doc_id"], "left_semi")
-    again = again.select(F.col(id_col).alias("_id"), F.struct("*").alias("_row"))
-    again = again.groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*")
-    return plain.unionByName(again)
+    plain = inner.join(apart, "key", "left_anti").select("_row")
+    again = inner.join(apart.where("kept"), "key", "left_semi")
+    again = again.groupBy("key").agg(F.first("_row").alias("_row")).select("_row")
+    return plain.unionByName(again).select("_row.*")
