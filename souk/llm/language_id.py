@@ -6,14 +6,18 @@ each candidate a log-likelihood. Viterbi over a text's words, with a penalty for
 labels spans. The text's language is the one whose spans hold most letters; the score is their
 share of all letters.
 
-Training counts trigrams and scripts per language over all labelled rows as Spark sums; the model
-is ``BUCKETS`` numbers per language, for at most ``MAX_LANGUAGES`` languages (the most frequent).
+Training counts trigrams and scripts per language over all labelled rows as Spark sums. All
+languages are learnt; the model keeps the buckets that a language has and one number for all it has
+not. More than ``MAX_LANGUAGES`` different labels are refused with an error, as they are no
+languages and their sums would not fit the driver.
 
 Most texts are in one language. Whether any detour through other languages could pay for its
 switches is decided exactly from running sums; only where it could does the word by word
 recursion run.
 
-Defined results: null text or text without letters: ``und``, score 0, no spans. Without any
+Defined results: null text or text without letters: ``und``, score 0, no spans. A numeral inside a
+word ends it (``m²`` holds the word ``m``). Very long texts are scored whole, their distinct words
+in bounded steps. Without any
 labelled row every text is ``und``. Ties fall to the smaller language name. Repeated rows get
 equal results. Extra columns are not touched.
 """
@@ -32,7 +36,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 1000
+MAX_LANGUAGES = 10_000
+#: Numbers that a worker scores at once, about.
+CELLS = 1 << 22
 #: Cost of a switch, in nats.
 PENALTY = 15.0
 #: A language is a candidate in a script that at least this share of its words is written in.
@@ -65,9 +71,11 @@ def script(word: str) -> str:
 
 
 def letters(text: str | None) -> list[str]:
-    """The lower-cased words of a text. Numerals that the pattern lets through are dropped."""
+    """The lower-cased words of a text. Numerals that the pattern lets through end a word."""
     found = _WORD.findall((text or "").lower())
-    return found if all(map(str.isalpha, found)) else [w for w in found if w.isalpha()]
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for part in found for w in "".join(c if c.isalpha() else " " for c in part).split()]
 
 
 def trigrams(ws: list[str]) -> np.ndarray:
@@ -82,18 +90,45 @@ def trigrams(ws: list[str]) -> np.ndarray:
 @dataclass
 class LanguageModel:
     names: list[str]
-    #: log-likelihood per bucket and language
-    logs: np.ndarray
+    #: log-likelihood per language of a bucket it was never seen with
+    unseen: np.ndarray
+    #: the buckets' languages, bucket after bucket: starts, language, what to add to ``unseen``
+    starts: np.ndarray
+    langs: np.ndarray
+    more: np.ndarray
     #: per script the lead (0 or OUTSIDE) of each language
     leads: dict[str, np.ndarray]
 
+    def rows(self, buckets: np.ndarray) -> np.ndarray:
+        """Log-likelihoods of the given buckets, a row each."""
+        out = np.repeat(self.unseen[None, :], len(buckets), axis=0)
+        n = self.starts[buckets + 1] - self.starts[buckets]
+        row = np.repeat(np.arange(len(buckets)), n)
+        at = np.repeat(self.starts[buckets] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out[row, self.langs[at]] += self.more[at]
+        return out
+
     def word_scores(self, ws: list[str]) -> np.ndarray:
-        starts = np.concatenate(([0], np.cumsum([len(w) for w in ws])[:-1]))
-        out = np.add.reduceat(self.logs[trigrams(ws)], starts, axis=0)
-        none = np.zeros(len(self.names), dtype=out.dtype)
+        out = np.empty((len(ws), len(self.names)), dtype=np.float32)
+        sizes = np.array([len(w) for w in ws])
+        ends = np.cumsum(sizes)
+        grams = trigrams(ws)
+        place = np.zeros(BUCKETS, dtype=np.int64)
+        first, room = 0, max(CELLS // max(len(self.names), 1), 1)
+        while first < len(ws):
+            begin = ends[first] - sizes[first]
+            stop = max(int(np.searchsorted(ends, begin + room, side="right")), first + 1)
+            some = grams[begin : ends[stop - 1]]
+            used = np.flatnonzero(np.bincount(some, minlength=BUCKETS))
+            place[used] = np.arange(len(used))
+            out[first:stop] = np.add.reduceat(self.rows(used)[place[some]], (ends - sizes)[first:stop] - begin, axis=0)
+            first = stop
         for i, w in enumerate(ws):
             lead = self.leads.get(script(w))
-            out[i] = none if lead is None else out[i] + lead
+            if lead is None:
+                out[i] = 0
+            else:
+                out[i] += lead
         return out
 
     def spans(self, scores: np.ndarray) -> list[tuple[int, int, int]]:
@@ -142,54 +177,65 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Lang
     """A model from all rows of ``docs`` with a language."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("_text"))
     rows = rows.where("lang is not null")
-    top = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    names = sorted(r["lang"] for r in top.collect())
-    known = set(names)
+    names = sorted(r["lang"] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different languages")
+    number = {name: i for i, name in enumerate(names)}
+    shared = docs.sparkSession.sparkContext.broadcast(number)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams: dict[str, np.ndarray] = {}
         scripts: Counter = Counter()
+
+        def sums() -> Iterator[pd.DataFrame]:
+            for lang, found in grams.items():
+                at = np.flatnonzero(found)
+                yield pd.DataFrame({"lang": shared.value[lang], "script": None, "bucket": at, "n": found[at]})
+            if scripts:
+                pairs, n = zip(*scripts.items(), strict=True)
+                ids = [shared.value[a] for a, _ in pairs]
+                yield pd.DataFrame({"lang": ids, "script": [b for _, b in pairs], "bucket": -1, "n": n})
+            grams.clear()
+            scripts.clear()
+
         for batch in batches:
             for at in range(0, len(batch), _SLICE):
                 seen: dict[str, Counter] = {}
                 for lang, text in batch.iloc[at : at + _SLICE][["lang", "_text"]].itertuples(index=False):
-                    if lang in known:
-                        seen.setdefault(lang, Counter()).update(letters(text))
+                    seen.setdefault(lang, Counter()).update(letters(text))
                 for lang, found in seen.items():
                     ws = list(found)
                     if not ws:
                         continue
                     weight = np.repeat(list(found.values()), [len(w) for w in ws])
-                    sums = np.bincount(trigrams(ws), weights=weight, minlength=BUCKETS)
-                    grams[lang] = grams.get(lang, 0) + sums
+                    total = np.bincount(trigrams(ws), weights=weight, minlength=BUCKETS).astype(np.int64)
+                    grams[lang] = grams.get(lang, 0) + total
                     for w, n in found.items():
                         scripts[lang, script(w)] += n
-        for lang, sums in grams.items():
-            at = np.flatnonzero(sums)
-            yield pd.DataFrame({"lang": lang, "script": None, "bucket": at, "n": sums[at].astype(np.int64)})
-        if scripts:
-            pairs, n = zip(*scripts.items(), strict=True)
-            yield pd.DataFrame({"lang": [a for a, _ in pairs], "script": [b for _, b in pairs], "bucket": -1, "n": n})
-
-    schema = "lang string, script string, bucket long, n long"
-    sums = rows.mapInPandas(count, schema).groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
-    counts = sums.toPandas()  # at most languages x (buckets + scripts) rows
-    table = np.zeros((BUCKETS, len(names)))
-    at = {name: i for i, name in enumerate(names)}
-    grams = counts[counts["bucket"] >= 0]
-    table[grams["bucket"].to_numpy(), grams["lang"].map(at).to_numpy(dtype=int)] = grams["n"].to_numpy()
-    logs = np.log((table + SMOOTHING) / (table.sum(axis=0) + SMOOTHING * BUCKETS))
+                if len(grams) * BUCKETS > 16 * CELLS:  # many languages: pass on what there is
+                    yield from sums()
+        yield from sums()
+
+    counted = rows.mapInPandas(count, "lang int, script string, bucket int, n long")
+    total = counted.groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
+    grams = total.where("bucket >= 0").select("lang", "bucket", "n").toPandas()  # those that occur
+    grams = grams.sort_values(["bucket", "lang"])
+    lang, bucket, n = (grams[c].to_numpy(dtype=np.int64) for c in ("lang", "bucket", "n"))
+    mass = np.bincount(lang, weights=n, minlength=len(names)) + SMOOTHING * BUCKETS
+    unseen = np.log(SMOOTHING / mass)
+    more = np.log((n + SMOOTHING) / mass[lang]) - unseen[lang]
+    starts = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))))
     leads = {}
-    used = counts[counts["bucket"] < 0]
+    used = total.where("bucket < 0").select("lang", "script", "n").toPandas()  # languages x scripts
     totals = used.groupby("lang")["n"].sum()
     for name, part in used.groupby("script"):
         lead = np.full(len(names), OUTSIDE)
-        for lang, n in zip(part["lang"], part["n"], strict=True):
-            if n >= SCRIPT_SHARE * totals[lang]:
-                lead[at[lang]] = 0.0
+        for k, n in zip(part["lang"], part["n"], strict=True):
+            if n >= SCRIPT_SHARE * totals[k]:
+                lead[k] = 0.0
         if (lead == 0).any():
             leads[name] = lead.astype(np.float32)
-    return LanguageModel(names, logs.astype(np.float32), leads)
+    return LanguageModel(names, unseen.astype(np.float32), starts, lang.astype(np.int32), more.astype(np.float32), leads)
 
 
 def label(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
@@ -215,20 +261,23 @@ def label(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, floa
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``spans`` (array of start, end, lang) added,
-    which must not be columns yet."""
+    """``docs`` with ``lang_pred``, ``score`` and ``spans`` (array of start, end, lang) added. Columns
+    of these names that ``docs`` has already give way to the new ones."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(texts: pd.Series) -> pd.DataFrame:
         out = []
-        for at in range(0, len(texts), _SLICE):
-            out += label(shared.value, list(texts.iloc[at : at + _SLICE]))
+        # Fewer texts at once the more languages there are.
+        step = max(1, _SLICE * 16 // max(16, len(shared.value.names)))
+        for at in range(0, len(texts), step):
+            out += label(shared.value, list(texts.iloc[at : at + step]))
         spans = [[{"start": a, "end": b, "lang": x} for a, b, x in s] for *_, s in out]
         return pd.DataFrame({"lang_pred": [x for x, *_ in out], "score": [s for _, s, _ in out], "spans": spans})
 
     schema = "lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>"
     predicted = F.pandas_udf(predict, schema)(F.col(text_col).cast("string"))
-    return docs.withColumn("_p", predicted).select("*", "_p.*").drop("_p")
+    own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "spans", "_p")]
+    return docs.select(*[F.col(f"`{c}`") for c in own], predicted.alias("_p")).select(*[f"`{c}`" for c in own], "_p.*")
 
 
 def fold(id_col: Column) -> Column:

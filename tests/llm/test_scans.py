@@ -342,7 +342,7 @@ def test_viterbi_against_all_labellings():
     rng = np.random.default_rng(2)
     from itertools import product
 
-    model = language_id.LanguageModel(["a", "b", "c"], np.zeros((1, 3)), {})
+    model = language_id.LanguageModel(["a", "b", "c"], *[np.zeros(0)] * 4, {})
     for scale in (3, 12, 30):
         for _ in range(40):
             s = -rng.random((5, 3)) * scale
@@ -386,3 +386,47 @@ def test_language_odd_cases(odd, empty):
     nothing = language_id.fit(empty)
     assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
     assert language_id.identify(empty.select("doc_id", "text"), model).count() == 0
+
+
+def test_language_query_against_brute_force(spark):
+    """The whole registered query: every document, learnt from the other folds."""
+    from souk.llm.queries import QUERIES
+
+    got = {r.doc_id: (r.lang_pred, r.score, r.held_out) for r in QUERIES["op9_language_id"](spark, SF).collect()}
+    docs = [(r.doc_id, r.lang, r.text) for r in common.read_table(spark, SF, "documents").collect()]
+    import zlib
+
+    held_out = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i, _, _ in docs}
+    want = brute.languages([(lang, t) for i, lang, t in docs if not held_out[i]], [t for _, _, t in docs])
+    assert len(got) == len(docs)
+    for (i, _, _), (lang, score) in zip(docs, want, strict=True):
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score) and got[i][2] == held_out[i]
+
+
+def test_numerals_end_words():
+    assert language_id.letters("10 m\u00b2") == ["m"] and language_id.letters("km\u00b2 5") == ["km"]
+    assert language_id.letters("a\u2167b x\u00bd") == ["a", "b", "x"] and language_id.letters("\u00b2 7") == []
+
+
+def test_many_languages_are_all_learnt(spark):
+    """1,200 languages, each with words of its own; steps far smaller than a text."""
+    words = [[f"{a}{b}{c}{d}" for c, d in ("xy", "zw", "kj")] for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst" for _ in range(3)]
+    rows = [(f"l{i:04}", " ".join(w + "qvj"[i % 3] for w in ws) + f" common{'xyz'[i % 3]}") for i, ws in enumerate(words)]
+    model = language_id.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model.names) == 1200 and model.more.nbytes < 1_000_000
+    named = language_id.identify(spark.createDataFrame(rows, "lang string, text string").limit(150), model)
+    assert all(r.lang == r.lang_pred for r in named.collect())
+
+
+def test_language_model_refuses_labels_that_are_no_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    frame = spark.createDataFrame([(str(i), "x") for i in range(4)], "lang string, text string")
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(frame)
+
+
+def test_language_columns_give_way(spark):
+    docs = spark.createDataFrame([("x", "ten m\u00b2", 1)], "score string, text string, spans int")
+    model = language_id.fit(spark.createDataFrame([("en", "ten metres")], "lang string, text string"))
+    [r] = language_id.identify(docs, model).collect()
+    assert (r.lang_pred, r.score, len(r.spans)) == ("en", 1.0, 1)
