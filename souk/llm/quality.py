@@ -1,9 +1,11 @@
 """Quality classifier from weak labels.
 
-Eight overlapping heuristic labellers look at a whole text and vote good, bad or abstain.
-Expectation-maximisation estimates each labeller's accuracy and the share of good documents
-from how often each combination of votes occurs over the whole corpus (at most 3^8 counts,
-whatever the corpus size). The posterior of a document's votes is its label, and these labels
+Nine overlapping heuristic labellers look at a whole text and vote good, bad or abstain.
+Expectation-maximisation estimates how often each labeller votes bad on bad and on good documents,
+and the share of good documents, from how often each combination of votes occurs over the whole
+corpus (at most 3^9 counts, whatever the corpus size). Agreement tells the classes apart: it
+starts from two bad votes or more, and a labeller that keeps voting bad alone comes out with false
+alarms and is outvoted. Each kind of junk should therefore show in two labellers. The posterior of a document's votes is its label, and these labels
 train a hashed linear scorer (logistic regression over hashed trigrams of character classes and
 binned statistics). The scorer decides.
 
@@ -12,11 +14,12 @@ all scripts. Where most letters are of scripts without spaces between words, the
 word length and sentence ends abstain: tokens are no words there.
 
 The scorer is fitted on a sample of about ``TRAIN_ROWS`` documents, chosen by a hash of id and
-text, and never more than twice that; votes are counted and scores given over all rows.
+text, repeated rows once; votes are counted and scores given over all rows.
 
 Defined results: a text without any word (null, empty, separators only) scores 0 and is
 rejected; repeated rows get equal scores; an empty table yields an empty table. Scores depend on
-the text alone. Extra columns are not touched.
+the text alone. Very long texts are measured whole. Extra columns are not touched; one named like
+the score's column gives way to it, unless it is the text.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ BINS = 16
 MIN_SCORE = 0.5
 
 STATISTICS = (
-    "symbols", "capitals", "bare", "stutter", "ratio", "repeated_lines", "word_length", "sentence_ends",
+    "symbols", "capitals", "bare", "stutter", "ratio", "repeated_lines", "word_length", "sentence_ends", "runs",
 )
 N_FEATURES = SHAPES + BINS * len(STATISTICS) + 1
 
@@ -77,6 +80,8 @@ _SHAPE = bytes(
     for b, c in enumerate(_CLASS)
 )
 _BARE = re.compile(rb" [#.]+(?= )")
+#: The same mark twice in a row; full stops, hyphens and underscores make lines and ellipses.
+_RUN = re.compile(rb"([!-,/:-@\[-^`{-~])\1+")
 #: Bytes that continue a character in UTF-8; all others begin one.
 _CONTINUE = bytes(range(0x80, 0xC0))
 #: Marks that end a sentence beyond ASCII (Unicode's Sentence_Terminal), one or more in a row.
@@ -142,6 +147,7 @@ def statistics(text: str | None) -> tuple[float, ...] | None:
         again / len(data) if len(lines) > 3 else nan,
         nan if unspaced else solid / n,
         nan if unspaced or n < 30 else ends / n,
+        len(_RUN.findall(data)) / n,
     )
 
 
@@ -155,11 +161,12 @@ LIMITS = {
     "repeated_lines": (-1.0, 0.0, 0.2, 0.5),
     "word_length": (2.0, 3.0, 10.0, 14.0),
     "sentence_ends": (0.004, 0.02, 0.35, 0.6),
+    "runs": (-1.0, 0.0, 0.02, 0.1),
 }
 GOOD, BAD, ABSTAIN = 1, 0, 2
-#: Assumed of every labeller: at most this share of good documents gets its bad vote. Junk shows
-#: in one or two of the labellers only; without this, EM takes its commonest kind for all of it.
-FALSE_BAD = 0.002
+#: What is assumed of a labeller before any vote: so many votes, so many of them bad, on good and on
+#: bad documents. Some thousand documents overrule it.
+ON_GOOD, ON_BAD = (100, 0.2), (10, 3.0)
 
 
 def votes(stats: tuple[float, ...]) -> tuple[int, ...]:
@@ -175,42 +182,38 @@ def votes(stats: tuple[float, ...]) -> tuple[int, ...]:
 
 @dataclass
 class LabelModel:
-    """Two classes; per labeller and class the chance of a good vote when it votes."""
+    """Two classes; per labeller the chance of a bad vote when it votes, on good and bad documents."""
 
     prior: float = 0.5
-    good: np.ndarray = field(default_factory=lambda: np.full((2, len(STATISTICS)), 0.5))
+    on_good: np.ndarray = field(default_factory=lambda: np.full(len(STATISTICS), 0.5))
+    on_bad: np.ndarray = field(default_factory=lambda: np.full(len(STATISTICS), 0.5))
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         """P(good | votes) per row; abstentions say nothing."""
-        logs = np.log(np.array([1 - self.prior, self.prior]))[:, None].repeat(len(patterns), 1)
-        for c in (0, 1):
-            for j in range(patterns.shape[1]):
-                p = self.good[c, j]
-                logs[c] += np.select([patterns[:, j] == GOOD, patterns[:, j] == BAD], [np.log(p), np.log(1 - p)], 0.0)
-        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-
-
-def fit_label_model(counts: dict[tuple[int, ...], int], rounds: int = 100) -> LabelModel:
-    """EM over vote patterns and how often each occurs, from a start where a bad vote is rarely
-    given to a good document."""
-    model = LabelModel()
+        bad, good = (patterns == BAD).astype(float), (patterns == GOOD).astype(float)
+        for_good = np.log(self.prior) + bad @ np.log(self.on_good) + good @ np.log(1 - self.on_good)
+        for_bad = np.log(1 - self.prior) + bad @ np.log(self.on_bad) + good @ np.log(1 - self.on_bad)
+        return 1 / (1 + np.exp(np.clip(for_bad - for_good, -500, 500)))
+
+
+def fit_label_model(counts: dict[tuple[int, ...], int], rounds: int = 500) -> LabelModel:
+    """EM over vote patterns and how often each occurs. It starts from agreement: two bad votes or
+    more make a bad document, one leaves it open. A labeller that votes bad on bad documents no
+    more than on good ones is taken to say nothing."""
     if not counts:
-        return model
+        return LabelModel()
     patterns, weight = np.array(list(counts)), np.array(list(counts.values()), dtype=float)
-    model = LabelModel(0.8, np.array([[0.6] * len(STATISTICS), [1 - FALSE_BAD] * len(STATISTICS)]))
+    bad, good = (patterns == BAD).astype(float), (patterns == GOOD).astype(float)
+    q = np.select([bad.sum(axis=1) >= 2, bad.sum(axis=1) == 1], [0.05, 0.4], 0.98)
     for _ in range(rounds):
-        q = model.posterior(patterns)
-        old = model.prior
-        model.prior = float(np.clip((weight * q).sum() / weight.sum(), 1e-3, 1 - 1e-3))
-        for c, share in ((1, q), (0, 1 - q)):
+        prior = float(np.clip((weight * q).sum() / weight.sum(), 1e-3, 1 - 1e-3))
+        rates = []
+        for share, (votes_before, bad_before) in ((q, ON_GOOD), (1 - q, ON_BAD)):
             mass = weight * share
-            for j in range(patterns.shape[1]):
-                g, b = mass[patterns[:, j] == GOOD].sum(), mass[patterns[:, j] == BAD].sum()
-                # A weak beta prior keeps the classes apart where a labeller hardly ever votes.
-                a0, b0 = ((19, 1), (4, 6))[1 - c]
-                model.good[c, j] = (g + a0) / (g + b + a0 + b0)
-        model.good[1] = np.maximum(model.good[1], 1 - FALSE_BAD)
-        if abs(model.prior - old) < 1e-9:
+            rates.append((mass @ bad + bad_before) / (mass @ (bad + good) + votes_before))
+        model = LabelModel(prior, rates[0], np.maximum(rates[1], rates[0]))
+        old, q = q, model.posterior(patterns)
+        if np.abs(q - old).max() < 1e-9:
             break
     return model
 
@@ -283,7 +286,7 @@ def vote_counts(docs: DataFrame, text_col: str = "text") -> dict[tuple[int, ...]
 
     text = docs.select(F.col(text_col).cast("string").alias("_text"))
     sums = map_rows(text, count, "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n"))
-    return {tuple(map(int, r["votes"])): r["n"] for r in sums.collect()}  # at most 3^8 rows
+    return {tuple(map(int, r["votes"])): r["n"] for r in sums.collect()}  # at most 3^9 rows
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> QualityModel:
@@ -291,8 +294,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
     labels, total = fit_label_model(counts), sum(counts.values())
     share = min(1.0, train_rows / total) if total else 0.0
     text = F.col(text_col).cast("string")
-    chosen = F.pmod(F.xxhash64(F.col(id_col), text, F.lit("train")), F.lit(1 << 40)) < int(share * (1 << 40))
-    sample = docs.where(chosen).select(text.alias("_text")).limit(2 * train_rows)
+    key = F.xxhash64(F.col(id_col), text, F.lit("train"))
+    rows = docs.select(key.alias("_key"), text.alias("_text"))
+    sample = rows.where(F.pmod("_key", F.lit(1 << 40)) < int(share * (1 << 40)))
+    sample = sample.groupBy("_key").agg(F.first("_text").alias("_text")).select("_text")
 
     def sparse(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -312,7 +317,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
 
 
 def scored(docs: DataFrame, model: QualityModel, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the scorer's estimate, 0 to 1, in the new column ``name``."""
+    """``docs`` with the scorer's estimate, 0 to 1, in the new column ``name``, which must not be that
+    of the text."""
+    if name == text_col:
+        raise ValueError(f"the score needs another column than the text's, {text_col!r}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(texts: pd.Series) -> pd.Series:

@@ -316,6 +316,70 @@ def test_label_model_finds_accuracies():
     assert (answer == good).mean() > 0.98
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_label_model_outvotes_false_alarms(seed):
+    """Labellers that vote bad on 5 to 20 % of good documents are found, and outvoted where they
+    stand alone."""
+    rng = np.random.default_rng(seed)
+    n, j = 20_000, len(quality.STATISTICS)
+    good = rng.random(n) < 0.85
+    on_bad, on_good = rng.uniform(0.3, 0.8, j), np.array([0.002, 0.2, 0.05, 0.001, 0.1, 0.003, 0.15, 0.002, 0.01])
+    bad = rng.random((n, j)) < np.where(good[:, None], on_good, on_bad)
+    seen = np.where(rng.random((n, j)) < 0.1, quality.ABSTAIN, np.where(bad, quality.BAD, quality.GOOD))
+    counts = {}
+    for row in map(tuple, seen.tolist()):
+        counts[row] = counts.get(row, 0) + 1
+    model = quality.fit_label_model(counts)
+    assert abs(model.prior - 0.85) < 0.02
+    assert np.abs(model.on_good - on_good).max() < 0.02 and np.abs(model.on_bad - on_bad).max() < 0.05
+    answer, single = model.posterior(seen) >= 0.5, (seen == quality.BAD).sum(axis=1) == 1
+    assert (answer == good).mean() > 0.98 and answer[single].mean() > 0.9
+
+
+def test_estimates_decide_on_the_documents(spark):
+    """On real documents too: some bad votes that stand alone are outvoted, junk is not."""
+    rows = texts(common.read_table(spark, "/root/testdata/sf0.1", "documents"))
+    stats = [s for _, t in rows if (s := quality.statistics(t)) is not None]
+    counts = {}
+    for s in stats:
+        counts[quality.votes(s)] = counts.get(quality.votes(s), 0) + 1
+    model = quality.fit_label_model(counts)
+    patterns, n = np.array(list(counts)), np.array(list(counts.values()))
+    kept, bad = model.posterior(patterns) >= 0.5, (patterns == quality.BAD).sum(axis=1)
+    assert n[kept & (bad == 1)].sum() > 0 and n[kept & (bad >= 2)].sum() == 0
+    assert n[kept & (bad > 0)].sum() < 0.02 * n[bad > 0].sum()
+    assert (model.on_good < 0.01).all() and model.on_bad.max() > 0.5
+
+
+def test_quality_query_against_brute_force(spark):
+    """The whole registered query; the sample is all documents here."""
+    from souk.llm.queries import QUERIES
+
+    got = {r.doc_id: (r.score, r.kept) for r in QUERIES["op10_quality"](spark, SF).collect()}
+    rows = texts(common.read_table(spark, SF, "documents"))
+    measured = {i: quality.statistics(t) for i, t in rows}
+    counts = {}
+    for s in measured.values():
+        if s is not None:
+            counts[quality.votes(s)] = counts.get(quality.votes(s), 0) + 1
+    model = quality.fit_label_model(counts)
+    used = [(i, t) for i, t in rows if measured[i] is not None]
+    x = [quality.features(t, measured[i]) for i, t in used]
+    target = model.posterior(np.array([quality.votes(measured[i]) for i, _ in used]))
+    sparse = [(np.flatnonzero(v), v[np.flatnonzero(v)]) for v in x]
+    weights = quality.fit_scorer(sparse, target)
+    assert len(got) == len(rows)
+    want = dict.fromkeys(measured, 0.0) | {i: 1 / (1 + np.exp(-(v @ weights))) for (i, _), v in zip(used, x, strict=True)}
+    for i, score in want.items():
+        assert got[i][0] == pytest.approx(score, abs=1e-4) and got[i][1] == (got[i][0] >= quality.MIN_SCORE)
+
+
+def test_repeated_rows_count_once_in_the_sample(spark):
+    docs = spark.createDataFrame([(1, "one line of text. " * 5)] * 500 + [(2, "!!!! $$$$ !!!!")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in quality.scored(docs, quality.fit(docs, train_rows=10)).collect()}
+    assert set(scores) == {1, 2}
+
+
 def test_quality_on_labelled_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (common.read_table(spark, sf, t) for t in ("documents", "labels"))
