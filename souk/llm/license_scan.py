@@ -1,23 +1,27 @@
 """License scan by diagonal voting.
 
-Templates are license phrases and notices. All rolling word 2-gram hashes of all documents are
-joined with the templates' 2-gram positions. A match of document position p with template
-position t votes for diagonal p - t. Votes are summed up per document, template and diagonal as
-bit masks of the template positions.
+Templates are license phrases, sentences and whole notices. All rolling word k-gram hashes of all
+documents are joined with the templates' k-gram positions: k is ``SHORT_K`` for short templates
+(below ``FUZZY_FROM`` words) and ``LONG_K`` for the others. A match of document position p with
+template position t votes for diagonal p - t. Votes are summed up per document, template and
+diagonal as bit masks of the template positions, 64 to a row.
 
-* Short templates (below ``FUZZY_FROM`` words) need every vote of one diagonal.
-* Longer notices may have words inserted or left out: neighbouring diagonals (at most ``SLACK``
-  apart) are merged, and half of the votes make a candidate.
+* Short templates need every vote of one diagonal.
+* Longer ones may have words inserted or left out: neighbouring diagonals (at most ``SLACK``
+  apart) are merged, and a quarter of the votes makes a candidate (a changed word costs k votes).
 
-Candidate spans are verified on the words themselves: short templates word by word, longer ones
-by the share of their words that the span has in the same order, at least ``SIMILARITY``.
+Candidate spans are verified on the words themselves: short templates word by word. For longer
+ones the words that the span has in the template's order are counted, and their share of the
+longer of the two, template or span, must reach ``SIMILARITY``; so words scattered over a longer
+text are no match. A verified span runs from its first matching word to its last.
 
-The templates' 2-grams are broadcast; they are a constant of the code (at most ``MAX_GRAMS``, or
-the join is left to Spark). Votes per document are bounded by its own words, and documents
-without any vote are never looked at again.
+The templates' k-grams are a constant of the code and broadcast (beyond ``MAX_GRAMS`` the join is
+left to Spark). Votes per document are bounded by its own words, and documents without any vote
+are never looked at again.
 
 Defined results: null text is empty; without spans there are no labels and the score is 0. Rows
-equal in id and text get equal results. Extra columns are ignored.
+equal in id and text get equal results. Very long texts are scanned whole, candidate regions in
+windows of a few template lengths. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +36,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk.llm.common import map_rows, with_text_key, words, written
+from souk.llm.license_texts import WHOLE_NOTICES
 
 FUZZY_FROM = 8
+SHORT_K, LONG_K = 2, 3
 SLACK = 2
 SIMILARITY = 0.8
 MAX_GRAMS = 100_000
@@ -70,31 +76,36 @@ NOTICES = (
     ("this source code form is subject to the terms of the mozilla public license", "mpl"),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    *((text, label) for label, text in WHOLE_NOTICES),
 )
 
 Template = tuple[str, str]
 
 
-def gram_hashes(ws: list[bytes]) -> np.ndarray:
-    """One 64-bit hash per pair of neighbouring words, by position."""
-    if len(ws) < 2:
+def gram_hashes(ws: list[bytes], k: int = SHORT_K) -> np.ndarray:
+    """One 64-bit hash per run of ``k`` neighbouring words, by position."""
+    if len(ws) < k:
         return np.zeros(0, dtype=np.int64)
     h = np.frombuffer(array("Q", map(xxhash.xxh3_64_intdigest, ws)), dtype=np.uint64)
-    x = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ (h[1:] >> np.uint64(29)))
-    x ^= x >> np.uint64(32)
+    n = len(ws) - k + 1
+    x = np.full(n, k, dtype=np.uint64)
+    for i in range(k):
+        x = x * np.uint64(0x9E3779B97F4A7C15) + (h[i : i + n] ^ (h[i : i + n] >> np.uint64(29)))
+        x ^= x >> np.uint64(32)
     return (x * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
 
 
 def template_grams(spark: SparkSession, templates: tuple[Template, ...]) -> DataFrame:
-    """(gram, template, t, fuzzy, n_grams) of all templates; each has 2 to 64 words."""
+    """(gram, template, t, fuzzy, n_grams, n_words) of all templates; each has 2 words at least."""
     rows = []
-    for k, (phrase, _) in enumerate(templates):
+    for number, (phrase, _) in enumerate(templates):
         ws = words(phrase)
-        if not 2 <= len(ws) <= 64:
-            raise ValueError(f"a template needs 2 to 64 words: {phrase!r}")
+        if len(ws) < 2:
+            raise ValueError(f"a template needs 2 words at least: {phrase!r}")
         fuzzy = len(ws) >= FUZZY_FROM
-        rows += [(int(g), k, t, fuzzy, len(ws) - 1) for t, g in enumerate(gram_hashes(ws))]
-    frame = spark.createDataFrame(rows, "gram long, template int, t int, fuzzy boolean, n_grams int")
+        grams = gram_hashes(ws, LONG_K if fuzzy else SHORT_K)
+        rows += [(int(g), number, t, fuzzy, len(grams), len(ws)) for t, g in enumerate(grams)]
+    frame = spark.createDataFrame(rows, "gram long, template int, t int, fuzzy boolean, n_grams int, n_words int")
     return F.broadcast(frame) if len(rows) <= MAX_GRAMS else frame
 
 
@@ -102,37 +113,73 @@ def candidate_spans(rows: DataFrame, templates: tuple[Template, ...]) -> DataFra
     """Per voted document (_key): ``spans``, structs of template and word range [start, end)."""
 
     def roll(batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"_key": batch["_key"], "grams": [gram_hashes(words(t)) for t in batch["_text"]]})
-
-    rolled = map_rows(rows.select("_key", "_text"), roll, "_key long, grams array<long>")
-    votes = rolled.select("_key", F.posexplode("grams").alias("p", "gram")).join(
-        template_grams(rows.sparkSession, templates), "gram"
-    )
-    one = F.expr("shiftleft(1L, t)")
-    lines = votes.groupBy("_key", "template", (F.col("p") - F.col("t")).alias("diagonal"), "fuzzy", "n_grams").agg(
-        F.bit_or(one).alias("mask")
-    )
+        short, long = [], []
+        for text in batch["_text"]:
+            ws = words(text)
+            short.append(gram_hashes(ws))
+            long.append(gram_hashes(ws, LONG_K))
+        return pd.DataFrame({"_key": batch["_key"], "short": short, "long": long})
+
+    rolled = map_rows(rows.select("_key", "_text"), roll, "_key long, short array<long>, long array<long>")
+    places = F.posexplode(F.concat("short", "long")).alias("at", "gram")
+    n_short = F.size("short")
+    grams = rolled.select("_key", n_short.alias("n_short"), places)
+    votes = grams.join(template_grams(rows.sparkSession, templates), "gram")
+    # Long grams stand behind the short ones; their hashes start from k, so the two never meet.
+    p = F.when(F.col("fuzzy"), F.col("at") - F.col("n_short")).otherwise(F.col("at"))
+    diagonal = (p - F.col("t")).alias("diagonal")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("t", F.lit(64)))
+    keys = ("_key", "template", "fuzzy", "n_grams", "n_words")
+    lines = votes.groupBy(*keys, diagonal, F.floor(F.col("t") / 64).alias("block")).agg(F.bit_or(bit).alias("mask"))
     exact = lines.where((~F.col("fuzzy")) & (F.bit_count("mask") == F.col("n_grams")))
-    exact = exact.select("_key", "template", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("n_grams") + 1).alias("end"))
+    exact = exact.select("_key", "template", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("n_words")).alias("end"))
     # Neighbouring diagonals: a gap of more than SLACK starts a new bundle.
-    order = Window.partitionBy("_key", "template").orderBy("diagonal")
+    order = Window.partitionBy("_key", "template").orderBy("diagonal", "block")
     gap = F.col("diagonal") - F.lag("diagonal").over(order) > SLACK
     bundled = lines.where("fuzzy").withColumn("_new", F.when(gap, 1).otherwise(0))
     bundled = bundled.withColumn("bundle", F.sum("_new").over(order))
-    near = bundled.groupBy("_key", "template", "bundle", "n_grams").agg(
+    masks = bundled.groupBy("_key", "template", "bundle", "n_grams", "n_words", "block").agg(
         F.bit_or("mask").alias("mask"), F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi")
     )
-    near = near.where(2 * F.bit_count("mask") >= F.col("n_grams")).select(
-        "_key", "template", F.greatest("lo", F.lit(0)).alias("start"), (F.col("hi") + F.col("n_grams") + 1).alias("end")
+    near = masks.groupBy("_key", "template", "bundle", "n_grams", "n_words").agg(
+        F.sum(F.bit_count("mask")).alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    near = near.where(4 * F.col("votes") >= F.col("n_grams")).select(
+        "_key", "template", F.greatest("lo", F.lit(0)).alias("start"), (F.col("hi") + F.col("n_words")).alias("end")
     )
     spans = exact.unionByName(near)
     return spans.groupBy("_key").agg(F.collect_list(F.struct("template", "start", "end")).alias("spans"))
 
 
-def similarity(template: list[bytes], span: list[bytes]) -> float:
-    """The share of the template's words that the span has in the same order."""
-    blocks = SequenceMatcher(None, template, span, autojunk=False).get_matching_blocks()
-    return sum(b.size for b in blocks) / len(template)
+def best_match(template: list[bytes], part: list[bytes]) -> tuple[float, int, int]:
+    """(similarity, start, end) of the stretch of ``part`` that matches best: the words in the
+    template's order, as a share of the longer of template and stretch."""
+    blocks = SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks()[:-1]
+    best = (0.0, 0, 0)
+    for i, first in enumerate(blocks):
+        held = 0
+        for last in blocks[i:]:
+            held += last.size
+            start, end = first.b, last.b + last.size
+            best = max(best, (held / max(len(template), end - start), start, end), key=lambda x: (x[0], -x[1]))
+    return best
+
+
+def fuzzy_matches(template: list[bytes], part: list[bytes]) -> list[tuple[float, int, int]]:
+    """The matches in a candidate region, best first, none overlapping; long regions are looked
+    at in windows that overlap by more than a match can be long."""
+    size = 3 * len(template)
+    step = max(len(template) * 3 // 2, 1)
+    found = []
+    for at in range(0, max(len(part) - size, 0) + step, step):
+        s, a, b = best_match(template, part[at : at + size])
+        if s >= SIMILARITY:
+            found.append((s, at + a, at + b))
+    out: list[tuple[float, int, int]] = []
+    for s, a, b in sorted(set(found), key=lambda x: (-x[0], x[1])):
+        if all(b <= x or a >= y for _, x, y in out):
+            out.append((s, a, b))
+    return out
 
 
 def verify(ws: list[bytes], spans: list, templates: list[list[bytes]]) -> list[tuple[int, int, int, float]]:
@@ -144,9 +191,9 @@ def verify(ws: list[bytes], spans: list, templates: list[list[bytes]]) -> list[t
         if len(template) < FUZZY_FROM:
             if start >= 0 and part == template:
                 out.append((start, end, k, 1.0))
-        elif (s := similarity(template, part)) >= SIMILARITY:
-            out.append((start, min(end, len(ws)), k, s))
-    return sorted(out)
+        else:
+            out += [(start + a, start + b, k, s) for s, a, b in fuzzy_matches(template, part)]
+    return sorted(set(out))
 
 
 def scan_licenses(

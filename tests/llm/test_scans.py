@@ -285,6 +285,78 @@ def test_license_places_and_notices(spark, odd, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+SENTENCE = next(p for p, x in license_scan.NOTICES if x == "mit" and 8 < len(p.split()) < 30)
+WHOLE = {label: text for label, text in license_scan.WHOLE_NOTICES}
+
+
+def test_scattered_words_are_no_notice(spark):
+    """All words in order, but spread over a longer text, or neighbours repeated between fillers."""
+    ws = SENTENCE.split()
+    every_two = " ".join(w + (f" filler{i}" if i % 2 else "") for i, w in enumerate(ws))
+    pairs = " ".join(f"{a} {b} filler{i}" for i, (a, b) in enumerate(zip(ws, ws[1:], strict=False)))
+    docs = spark.createDataFrame([(1, every_two), (2, pairs), (3, "x " * 40 + SENTENCE + " y" * 40)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    assert (got[1].labels, got[2].labels, got[3].labels) == ("", "", "mit")
+    [place] = got[3].places
+    assert (place.start, place.end, place.similarity) == (40, 40 + len(ws), 1.0)
+
+
+def test_whole_notices_with_changes(spark):
+    """Notices with words changed, left out and put in, at the places of the plain ones."""
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for i, (label, text) in enumerate(WHOLE.items()):
+        ws = common.words(text)
+        changed = [w.decode() for w in ws]
+        for at in sorted(rng.choice(len(changed), len(changed) // 20, replace=False), reverse=True):
+            changed[at : at + 1] = [["other"], [], [changed[at], "added"]][int(rng.integers(3))]
+        rows += [(3 * i, text), (3 * i + 1, "before " * 7 + " ".join(changed) + " after" * 9), (3 * i + 2, " ".join(changed[::-1]))]
+        want |= {3 * i: (label, 1.0), 3 * i + 1: (label, 0.85), 3 * i + 2: (None, 0.0)}
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        label, least = want[r.doc_id]
+        places = [p for p in r.places if p.label == label and p.similarity >= least and p.end - p.start > 15]
+        if label is None:
+            assert not [p for p in r.places if p.end - p.start > 15]
+        else:
+            assert places, (label, r.places)
+            assert r.doc_id % 3 == 0 or min(p.start for p in places) >= 6
+
+
+def test_a_notice_repeated_in_a_long_text(spark):
+    text = " ".join(f"{SENTENCE} gap{i} and more words between" for i in range(60))
+    [r] = license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    n = len(SENTENCE.split()) + 5
+    assert sorted(p.start for p in r.places if p.similarity == 1.0) == [i * n for i in range(60)]
+
+
+def brute_notices(text, templates):
+    """Every template against every window of the text, as long as the template allows."""
+    ws, found = common.words(text), set()
+    for phrase, label in templates:
+        t = common.words(phrase)
+        if len(t) < license_scan.FUZZY_FROM:
+            found |= {label for i in range(len(ws) - len(t) + 1) if ws[i : i + len(t)] == t}
+        else:
+            size = 2 * len(t)
+            windows = (ws[i : i + size] for i in range(0, max(len(ws) - size, 0) + 1, max(len(t) // 4, 1)))
+            if any(license_scan.best_match(t, w)[0] >= license_scan.SIMILARITY for w in [*windows, ws[-size:]]):
+                found.add(label)
+    return ",".join(sorted(found))
+
+
+def test_license_query_against_brute_force(spark):
+    """The labels of the whole registered query, every template at every place."""
+    from souk.llm.queries import QUERIES
+
+    got = {r.doc_id: r for r in QUERIES["op5_license_scan"](spark, SF).collect()}
+    docs = {r.doc_id: r.text for r in common.read_table(spark, SF, "documents").collect()}
+    assert set(got) == set(docs)
+    short = [t for t in docs if len(docs[t] or "") < 6000]
+    for i in short:
+        assert got[i].labels == brute_notices(docs[i], (*license_scan.BASE, *license_scan.NOTICES)), docs[i][:200]
+
+
 # URL filter
 
 URLS = [
