@@ -11,14 +11,17 @@ however many documents share a line, and needs no cap on frequency.
 A later document's links are grouped by holder, rarest shared key first. Each pair of documents
 is aligned by patience diff: of the shared keys the longest run whose positions ascend in both
 documents is kept, and matched lines that follow each other in both form blocks. Blocks of at
-least ``MIN_WORDS`` words are deleted from the later document; the holder keeps its lines. Lines
-that went by one holder count in the blocks of the next, as the runs of a block can have
-different holders. Later occurrences of a run of ``MIN_WORDS`` words in the later document go as
-well if the holder has it once: they need no alignment, as the holder has the run whole.
+least ``MIN_WORDS`` words are deleted from the later document; the holder keeps its lines. What is
+left over is aligned with the same holder again, as long as that finds much; common runs of
+lines still left, such as blocks in another order or further copies of one, are aligned each on
+its own. So a line goes exactly if it stands in a run of ``MIN_WORDS`` words or more that an earlier
+document has as well. Lines that went count in later blocks, as the runs of a block can have
+different holders.
 
 Defined results: null and empty texts have no lines and stay as they are. Rows with a null id
 neither give nor lose lines. Rows of one id are one document and do not lose lines to each
 other; rows equal in id and text get equal results. Blank lines stay. Extra columns are ignored.
+Very long texts are cut up whole; a task holds one text's keys and links at a time.
 """
 
 from __future__ import annotations
@@ -151,12 +154,44 @@ def common_blocks(matches: set[tuple[int, int]]) -> list[list[int]]:
     return blocks
 
 
+def common_runs(matches: set[tuple[int, int]]) -> list[list[int]]:
+    """The longest runs of later positions whose matches stay side by side."""
+    runs: list[list[int]] = []
+    last = None
+    for shift, later in sorted((earlier - later, later) for later, earlier in matches):
+        if last == (shift, later - 1):
+            runs[-1].append(later)
+        else:
+            runs.append([later])
+        last = (shift, later)
+    return runs
+
+
+def aligned_lines(matches: set[tuple[int, int]], sizes: list[int], min_words: int) -> set[int]:
+    """The later positions in common blocks of ``min_words`` words, from one pair of documents."""
+    gone: set[int] = set()
+    free = matches
+    while free:
+        blocks = [b for b in common_blocks(free) if sum(sizes[i] for i in b) >= min_words]
+        gone.update(i for block in blocks for i in block)
+        rest = {p for p in free if p[0] not in gone}
+        few = 8 * (len(free) - len(rest)) < len(free)
+        free = rest
+        if few:
+            break
+    if free:
+        for run in common_runs(matches):
+            if sum(sizes[i] for i in run) >= min_words:
+                gone.update(run)
+    return gone
+
+
 def deleted_lines(links: list[dict], sizes: list[int], min_words: int) -> list[int]:
     """The positions to delete from one later document, given its links to all holders."""
     by_holder: dict = defaultdict(lambda: [float("inf"), set()])
     # Overlapping runs of one holder and shift add each match once.
     reach: dict[tuple, int] = defaultdict(int)
-    for link in sorted((x for x in links if not x["repeat"]), key=lambda x: x["at"]):
+    for link in sorted(links, key=lambda x: x["at"]):
         entry = by_holder[link["holder"]]
         entry[0] = min(entry[0], link["df"])
         shift, end = link["held_at"] - link["at"], link["at"] + link["span"]
@@ -167,18 +202,8 @@ def deleted_lines(links: list[dict], sizes: list[int], min_words: int) -> list[i
     gone: set[int] = set()
     for holder in sorted(by_holder, key=lambda h: (by_holder[h][0], -len(by_holder[h][1]), h)):
         matches = by_holder[holder][1]
-        free = {p for p in matches if p[0] not in gone}
-        if not free:
-            continue
-        tries = [free] if len(free) == len(matches) else [free, matches]
-        blocks = [block for found in tries for block in common_blocks(found)]
-        for block in blocks:
-            if sum(sizes[i] for i in block) >= min_words:
-                gone.update(block)
-    covered = 0
-    for at, span in sorted((x["at"], x["span"]) for x in links if x["repeat"]):
-        gone.update(range(max(at, covered), at + span))
-        covered = max(covered, at + span)
+        if any(p[0] not in gone for p in matches):
+            gone |= aligned_lines(matches, sizes, min_words)
     return sorted(gone)
 
 
