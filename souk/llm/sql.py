@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from souk.llm.url_filter import BLOCKED_PATTERNS
+
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -45,7 +47,7 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
 FROM t WINDOW w AS (PARTITION BY sha ORDER BY points DESC, doc_id)
 """
 
-_OP7 = r"""
+_OP7 = rf"""
 WITH p AS (
   SELECT page_id,
          translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
@@ -63,6 +65,7 @@ fits AS (
 SELECT p.page_id, host, path, rule,
        coalesce(fits.verdict, CASE WHEN list_has_any(string_split_regex(host || path, '[./]'),
          ['adserver', 'casino', 'doubleclick', 'poker', 'porn', 'torrent', 'warez', 'xxx'])
+           OR regexp_matches(host || path, '{"|".join(f"(?:{r})" for _, r, _ in BLOCKED_PATTERNS)}')
          THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fits USING (page_id)
 """

@@ -15,10 +15,12 @@ decide (any fitting block pattern blocks); else the URL is allowed.
 
 Defined results: null, empty and malformed URLs are allowed without a rule; repeated rows get
 equal verdicts; ties between base rules of one length fall to ``block``, then the smaller name.
+Very long URLs are split whole. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,27 @@ BASE_RULES = (
 #: Whole host labels or path segments that the method itself blocks.
 BLOCKED_LABELS = ("adserver", "casino", "doubleclick", "poker", "porn", "torrent", "warez", "xxx")
 
+#: Patterns that the method itself blocks: (name, regular expression over host and path, the tokens
+#: that whatever it fits must hold). Each is looked up by its rarest token. No group repeats, as
+#: that would take a stack frame for each segment of a long path.
+BLOCKED_PATTERNS = (
+    ("tracking pixel", r"/(?:pixel|beacon|track)[^/]*/(?:[\s\S]*/)?[^/]*\.gif\z", ("gif",)),
+    ("java session", r";jsessionid=[0-9A-Fa-f]{8,}", ("jsessionid",)),
+    ("php session", r"[/;]phpsessid=[0-9a-z]{8,}", ("phpsessid",)),
+    ("program download", r"/download/(?:[\s\S]*/)?[^/]+\.exe\z", ("download", "exe")),
+    ("package download", r"/download/(?:[\s\S]*/)?[^/]+\.apk\z", ("download", "apk")),
+    ("calendar page", r"/calendar/[0-9]{4}/[0-9]{2}(?:/|\z)", ("calendar",)),
+    ("click counter", r"/click/[0-9a-f]{16,}(?:/|\z)", ("click",)),
+    ("redirect script", r"/cgi-bin/(?:[\s\S]*/)?redirect(?:/|\z)", ("cgi-bin", "redirect")),
+    ("search in path", r"/search/(?:[\s\S]*/)?[a-z]+=[^/]*", ("search",)),
+    ("printer copy", r"/print/(?:[\s\S]*/)?[0-9]+\.html\z", ("print", "html")),
+    ("archive by day", r"/archive/[0-9]{4}/[0-9]{2}/[0-9]{2}(?:/|\z)", ("archive",)),
+)
+
+
+#: What tokens end at.
+TOKEN_ENDS = r"[./;=]"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -55,7 +78,7 @@ def _quoted(literal: str) -> str:
 def base_rule(verdict: str, host: str, path: str) -> Rule:
     """Tokens: the host's labels and those path segments that the rule closes itself."""
     segments = path.split("/")[1:-1]
-    tokens = tuple(t for s in (host, *segments) for t in s.split(".") if t)
+    tokens = tuple(t for s in (host, *segments) for t in re.split(TOKEN_ENDS, s) if t)
     return Rule(host + path, "base", verdict, f"^([^/]*\\.)?{_quoted(host)}{_quoted(path)}", tokens)
 
 
@@ -63,7 +86,15 @@ def label_rule(label: str) -> Rule:
     return Rule(f"*{label}*", "pattern", "block", f"(^|[./]){_quoted(label)}([./]|$)", (label,))
 
 
-DEFAULT_RULES = (*(base_rule(*r) for r in BASE_RULES), *(label_rule(x) for x in BLOCKED_LABELS))
+def pattern_rule(name: str, regex: str, tokens: tuple[str, ...]) -> Rule:
+    return Rule(f"~{name}", "pattern", "block", regex, tokens)
+
+
+DEFAULT_RULES = (
+    *(base_rule(*r) for r in BASE_RULES),
+    *(label_rule(x) for x in BLOCKED_LABELS),
+    *(pattern_rule(*r) for r in BLOCKED_PATTERNS),
+)
 
 
 def host_of(url: Column) -> Column:
@@ -77,8 +108,8 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(place: Column) -> Column:
-    """Distinct host labels and path segments (split at dots too)."""
-    return F.array_distinct(F.filter(F.split(place, r"[./]"), lambda t: t != ""))
+    """Distinct host labels and path segments, split at dots, semicolons and equals signs too."""
+    return F.array_distinct(F.filter(F.split(place, TOKEN_ENDS), lambda t: t != ""))
 
 
 def rules_frame(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
@@ -104,12 +135,24 @@ def index_rules(rules: DataFrame, url_tokens: DataFrame) -> DataFrame:
     return best.select("rule", "kind", "rule_verdict", "regex", F.col("rarest.token").alias("token"))
 
 
-def judge_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Per distinct url of ``urls`` (column ``url``): host, path, rule, pattern, verdict."""
+def fetched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Per distinct url and rule that its tokens fetch: url, rule, and whether the rule's regular
+    expression fits."""
+    index, tokens = _indexed(urls, rules)
+    fits = F.expr("concat(host, path) rlike regex").alias("fits")
+    return tokens.join(index, "token").select("url", "rule", fits)
+
+
+def _indexed(urls: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = urls.where("url is not null").select("url").distinct()
     places = places.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     tokens = places.select("url", "host", "path", F.explode(tokens_of(F.concat("host", "path"))).alias("token"))
-    index = index_rules(rules, tokens)
+    return index_rules(rules, tokens), tokens
+
+
+def judge_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Per distinct url of ``urls`` (column ``url``): host, path, rule, pattern, verdict."""
+    index, tokens = _indexed(urls, rules)
     # The regular expression is part of the join condition: it runs on candidates only.
     fits = tokens.join(index, "token").where(F.expr("concat(host, path) rlike regex"))
     base, pattern = F.col("kind") == "base", F.col("kind") == "pattern"

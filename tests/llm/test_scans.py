@@ -2,6 +2,7 @@
 
 import io
 import random
+import re
 import zipfile
 
 import brute
@@ -424,6 +425,9 @@ URLS = [
     "http://net/es/", "http://a.net/es/1", "http://anet/fr/", "http://b.net/fr", "http://b.net?x=/fr/", "http://b.net#/fr/",
     "a://b://c.com/", "http://é.com/x", "http://xcom/", "http://.com/", "http://casino.org/x", "http://a.org/x/poker.html",
     "http://a.org/casinos", "http://casino.com/", "http://a.net\n/es/", "http://a.net/es/\n",
+    "http://a.org/click/0123456789abcdef", "http://a.org/click/0123456789abcdef\n", "http://a.com/click/0123456789abcdef",
+    "http://a.org/print/1.html?x", "http://a.org/print/" + "long/" * 5000 + "1.html", "http://a.org/x;jsessionid=12345678",
+    "http://a.net/es;x/", "http://a.net/es=1/fr/", "http://a;b=c.net/fr/",
 ]
 
 
@@ -441,7 +445,41 @@ def judged(url):
     if best:
         return host, path, best[0], best[1]
     labels = (host + path).replace("/", ".").split(".")
-    return host, path, None, "block" if set(labels) & set(url_filter.BLOCKED_LABELS) else "allow"
+    blocked = set(labels) & set(url_filter.BLOCKED_LABELS)
+    blocked |= {n for n, r, _ in url_filter.BLOCKED_PATTERNS if re.search(r.replace("\\z", "\\Z"), host + path)}
+    return host, path, None, "block" if blocked else "allow"
+
+
+#: Per pattern a path that it fits, and one whose tokens fetch it but that it rejects.
+PATTERN_PATHS = {
+    "tracking pixel": ("/pixel9/a/b.gif", "/img/pixel.gif"),
+    "java session": ("/x;jsessionid=0A1b2C3d4e", "/x;jsessionid=none"),
+    "php session": ("/x/phpsessid=abcdef0123", "/x;phpsessid=A"),
+    "program download": ("/download/v1/setup.exe", "/exe/download/notes.txt"),
+    "package download": ("/download/app.apk", "/apk/download"),
+    "calendar page": ("/calendar/2024/05", "/calendar/today"),
+    "click counter": ("/click/0123456789abcdef/", "/click/here"),
+    "redirect script": ("/cgi-bin/a/redirect", "/redirect/cgi-bin/x"),
+    "search in path": ("/search/a/q=x", "/search/results"),
+    "printer copy": ("/print/12.html", "/print/about.html"),
+    "archive by day": ("/archive/2001/02/03", "/archive/2001/02"),
+}
+
+
+def test_patterns_decide_after_their_tokens(spark):
+    """Every pattern is fetched by its rarest token for both paths, and rejects one of them."""
+    assert set(PATTERN_PATHS) == {n for n, _, _ in url_filter.BLOCKED_PATTERNS}
+    rows = [(f"{n}:{i}", f"http://a.org{p}") for n, pair in PATTERN_PATHS.items() for i, p in enumerate(pair)]
+    pages = spark.createDataFrame(rows, "page_id string, url string")
+    verdicts = {r.page_id: (r.verdict, r.pattern) for r in url_filter.filter_urls(pages).collect()}
+    rules = url_filter.rules_frame(spark, url_filter.DEFAULT_RULES)
+    urls = dict(rows)
+    fetched = {(r.url, r.rule): r.fits for r in url_filter.fetched_rules(pages, rules).collect()}
+    for n in PATTERN_PATHS:
+        assert verdicts[f"{n}:0"] == ("block", f"~{n}") and verdicts[f"{n}:1"] == ("allow", None)
+        assert fetched[urls[f"{n}:0"], f"~{n}"] is True and fetched[urls[f"{n}:1"], f"~{n}"] is False
+    assert sum(not f for f in fetched.values()) >= len(PATTERN_PATHS)
+    assert len(fetched) < len(rows) * len(url_filter.DEFAULT_RULES) / 4  # few rules run at all
 
 
 def test_url_filter_against_brute_force(spark):
