@@ -79,36 +79,64 @@ Q["bi_measures_slice_late"] = sliced(
     ALL_MEASURES, orders=f"{NOT_CANCELLED} AND late_deliveries", customers="repeat_customer")
 
 
-def by_axis(axis: str, order_axis: str, item_axis: str) -> str:
-    """Order measures joined with item measures per axis value; the arguments select (order_id,
-    axis) pairs for either."""
+CUSTOMER_MEASURES = """CAST(SUM(CASE WHEN total_orders > 1 THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)
+        AS repeat_customer_rate,
+    ROUND(AVG(customer_lifetime_value), 4) AS customer_lifetime_value_avg,
+    CAST(SUM(CASE WHEN repeat_customer THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)
+        AS customer_retention_rate"""
+_TOP_OF_CATEGORIES = f"""SELECT product_category_name_english AS axis, SUM(CAST(product_revenue AS {DEC})) AS r
+    FROM x_products WHERE product_category_name_english IS NOT NULL GROUP BY 1"""
+
+
+def by_axis(axis: str, order_axis: str, item_axis: str, cuts: str = "") -> str:
+    """Order, item and dimension measures per axis value; the arguments select (order_id, axis)
+    pairs for either, ``cuts`` names the dimension that the axis is an attribute of."""
+    def dimension(name: str, measures: str, source: str, column: str) -> str:
+        if cuts != name:
+            return f"CROSS JOIN (SELECT {measures} FROM {source})"
+        grouped = f"SELECT {column} AS axis, {measures} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1"
+        return f"LEFT JOIN ({grouped}) USING (axis)"
+
+    english = "product_category_name_english"
     return f"""
 , po AS (SELECT DISTINCT order_id AS oid, axis FROM ({order_axis}) WHERE axis IS NOT NULL),
 o AS (SELECT axis, {ORDER_MEASURES} FROM x_orders JOIN po ON order_id = oid GROUP BY axis),
-i AS (SELECT axis, {ITEM_MEASURES} FROM ({item_axis}) WHERE axis IS NOT NULL GROUP BY axis)
-SELECT o.axis AS {axis}, o.* EXCLUDE (axis), i.freight_share, i.profit_margin FROM o LEFT JOIN i ON o.axis = i.axis"""
+i AS (SELECT axis, {ITEM_MEASURES} FROM ({item_axis}) WHERE axis IS NOT NULL GROUP BY axis),
+sums AS ({_TOP_OF_CATEGORIES})
+SELECT axis AS {axis}, * EXCLUDE (axis) FROM (SELECT o.*, i.freight_share, i.profit_margin FROM o LEFT JOIN i ON o.axis = i.axis)
+{dimension("customers", CUSTOMER_MEASURES, "x_customers", axis)}
+{dimension("products", "MAX(product_revenue) AS top_category_revenue", "x_products", english)}
+{dimension("products", "CAST(MAX(r) AS DOUBLE) AS top_category_revenue_by_category", "sums", "sums.axis")}
+{dimension("sellers", "MAX(seller_revenue) AS top_seller_revenue", "x_sellers", "seller_id")}"""
 
 
-def by_order_axis(axis: str, expression: str, source: str = "x_orders") -> str:
+def by_order_axis(axis: str, expression: str, source: str = "x_orders", cuts: str = "") -> str:
     pairs = f"SELECT order_id, {expression} AS axis FROM {source}"
-    return by_axis(axis, pairs, f"SELECT x.*, p.axis FROM x_items x JOIN ({pairs}) p ON x.order_id = p.order_id")
+    return by_axis(axis, pairs, f"SELECT x.*, p.axis FROM x_items x JOIN ({pairs}) p ON x.order_id = p.order_id", cuts)
 
 
-_STATE_OF = "(SELECT f.order_id, c.customer_state FROM x_orders f JOIN x_customers c ON f.customer_id = c.customer_id)"
-_BY_STATE = by_order_axis("customer_state", "customer_state", _STATE_OF)
-Q["bi_measures_by_state"] = sliced(_BY_STATE)
+def by_customer(column: str) -> str:
+    source = f"(SELECT f.order_id, c.{column} FROM x_orders f JOIN x_customers c ON f.customer_id = c.customer_id)"
+    return by_order_axis(column, column, source, "customers")
+
+
+def by_item(axis: str, column: str, cuts: str) -> str:
+    return by_axis(axis, f"SELECT order_id, {column} AS axis FROM x_items", f"SELECT *, {column} AS axis FROM x_items", cuts)
+
+
+Q["bi_measures_by_state"] = sliced(by_customer("customer_state"))
+Q["bi_measures_by_city"] = sliced(by_customer("customer_city"))
 Q["bi_measures_sliced"] = sliced(
-    _BY_STATE,
+    by_customer("customer_state"),
     orders=f"{NOT_CANCELLED} AND order_purchase_timestamp >= TIMESTAMP '1996-01-01' "
            "AND order_purchase_timestamp < TIMESTAMP '2000-01-01'",
-    customers="repeat_customer", items=_TWO_CATEGORIES)
+    customers="repeat_customer", items=_TWO_CATEGORIES, products=_TWO_CATEGORIES)
 Q["bi_measures_by_payment_type"] = sliced(by_order_axis("dominant_payment_type", "dominant_payment_type"))
 Q["bi_measures_by_delivery_status"] = sliced(by_order_axis(
     "delivery_status",
     "CASE late_deliveries WHEN TRUE THEN 'late' WHEN FALSE THEN 'on_time' ELSE 'undelivered' END"))
-Q["bi_measures_by_category"] = sliced(by_axis(
-    "category", "SELECT order_id, product_category_name_english AS axis FROM x_items",
-    "SELECT *, product_category_name_english AS axis FROM x_items"))
+Q["bi_measures_by_category"] = sliced(by_item("category", "product_category_name_english", "products"))
+Q["bi_measures_by_seller"] = sliced(by_item("seller_id", "seller_id", "sellers"))
 
 _PREV_MONTH = "strftime(CAST(order_month || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m')"
 

@@ -180,6 +180,8 @@ for _name, _slicers in SLICES.items():
 for _name, _axis in (
     ("bi_measures_by_state", "customer_state"),
     ("bi_measures_by_category", "category"),
+    ("bi_measures_by_city", "customer_city"),
+    ("bi_measures_by_seller", "seller_id"),
     ("bi_measures_by_payment_type", "dominant_payment_type"),
     ("bi_measures_by_delivery_status", "delivery_status"),
 ):

@@ -2,7 +2,7 @@
 
 Measures are one-row aggregates over the marts (each measure a scalar subquery, so every
 one is a distributed partial/final aggregate); slicers are a parametrised ``where`` on the
-marts, and every measure can also be grouped by a slicer column. Data sets aggregate to
+marts, and all measures can also be grouped by a slicer column. Data sets aggregate to
 their display grain first; windows run only on those small group-grain results.
 """
 
@@ -163,37 +163,48 @@ def customer_measures() -> list[Column]:
     ]
 
 
+def _dimension_parts(x: Slice) -> list[tuple[str, DataFrame, list[Column]]]:
+    """Measures over the dimensions: (the axes that cut the dimension, its rows, the measures)."""
+    category = "product_category_name_english"
+    by_category = x.products.where(F.col(category).isNotNull()).groupBy(category).agg(
+        F.sum(F.col("product_revenue").cast(SUM_TYPE)).alias("r")
+    )
+    return [
+        ("customers", x.customers, customer_measures()),
+        ("products", x.products, [F.max("product_revenue").alias("top_category_revenue")]),
+        ("products", by_category, [F.max("r").cast("double").alias("top_category_revenue_by_category")]),
+        ("sellers", x.sellers, [F.max("seller_revenue").alias("top_seller_revenue")]),
+    ]
+
+
+def _scalars(frame: DataFrame, columns: list[Column]) -> list[Column]:
+    """One-row aggregates as columns for another frame."""
+    row = frame.agg(*columns)
+    one = row.select(F.struct("*").alias("row")).scalar()
+    return [one.getField(name).alias(name) for name in row.columns]
+
+
 def bi_measures(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> DataFrame:
     """All measures in one row under the slicers: one aggregate per mart."""
     x = slice_bundle(b, s)
-    category_totals = (
-        x.products.where(F.col("product_category_name_english").isNotNull())
-        .groupBy("product_category_name_english")
-        .agg(F.sum(F.col("product_revenue").cast(SUM_TYPE)).alias("r"))
-    )
-    parts: list[tuple[DataFrame, list[Column]]] = [
-        (x.items, item_measures(x.items)),
-        (x.customers, customer_measures()),
-        (x.products, [F.max("product_revenue").alias("top_category_revenue")]),
-        (category_totals, [F.max("r").cast("double").alias("top_category_revenue_by_category")]),
-        (x.sellers, [F.max("seller_revenue").alias("top_seller_revenue")]),
-    ]
-    values = []
-    for frame, columns in parts:
-        row = frame.agg(*columns)
-        one = row.select(F.struct("*").alias("row")).scalar()
-        values += [one.getField(name).alias(name) for name in row.columns]
+    values = _scalars(x.items, item_measures(x.items))
+    for _, frame, columns in _dimension_parts(x):
+        values += _scalars(frame, columns)
     return x.orders.agg(*order_measures()).select("*", *values)
 
 
 CUSTOMER_AXES = ("customer_state", "customer_city", "repeat_customer")
 ITEM_AXES = ("category", "seller_id")
+#: The dimension that an axis cuts as a slicer on it would.
+CUTS = {**dict.fromkeys(CUSTOMER_AXES, "customers"), "category": "products", "seller_id": "sellers"}
 
 
 def bi_measures_by(b: FeatureBundle, axis: str = "customer_state", s: Slicers = DEFAULT_VIEW) -> DataFrame:
-    """Order and item measures per value of one slicer axis: a customer attribute, 'category',
-    'seller_id', 'delivery_status' or any column of fact_orders. An order counts for every
-    category or seller that it has an item of."""
+    """All measures per value of one slicer axis: a customer attribute, 'category', 'seller_id',
+    'delivery_status' or any column of fact_orders. Each row is what ``bi_measures`` gives with a
+    slicer on that value: an order counts for every category or seller that it has an item of, and
+    a dimension is cut by its own attributes only, so its measures are the same in every row of
+    other axes."""
     x = slice_bundle(b, s)
     orders, items = x.orders, x.items
     if axis in ITEM_AXES:
@@ -208,7 +219,15 @@ def bi_measures_by(b: FeatureBundle, axis: str = "customer_state", s: Slicers =
         items = items.drop(axis).join(orders.select("order_id", axis), "order_id")
     by_orders = orders.where(F.col(axis).isNotNull()).groupBy(axis).agg(*order_measures())
     by_items = items.where(F.col(axis).isNotNull()).groupBy(axis).agg(*item_measures(items))
-    return by_orders.join(by_items, axis, "left")
+    out, values = by_orders.join(by_items, axis, "left"), []
+    for dimension, frame, columns in _dimension_parts(x):
+        if CUTS.get(axis) != dimension:
+            values += _scalars(frame, columns)
+            continue
+        own = _category(frame) if axis == "category" else axis
+        per_value = frame.where(F.col(own).isNotNull()).groupBy(F.col(own).alias(axis)).agg(*columns)
+        out = out.join(per_value, axis, "left")
+    return out.select("*", *values)
 
 
 def bi_month_to_date(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> DataFrame:

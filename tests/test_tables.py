@@ -130,3 +130,14 @@ def test_views_are_planned_when_asked_for(spark):
     assert set(tables._built) == {"orders"}
     layers.drop_layers(spark)
     assert load_retail(spark, SF) is not tables
+
+
+@pytest.mark.parametrize(("axis", "slicer"), [("customer_state", "states"), ("category", "categories"), ("seller_id", "sellers")])
+def test_a_row_of_an_axis_is_what_its_slicer_gives(spark, axis, slicer):
+    marts = layers.mart_layer(spark, SF)
+    rows = {r[axis]: r.asDict() for r in measures.bi_measures_by(marts, axis).collect()}
+    value = sorted(rows)[1]
+    one = measures.bi_measures(marts, measures.Slicers(**{slicer: (value,)})).first().asDict()
+    got = rows[value]
+    assert set(got) - {axis} == set(one)
+    assert all(got[k] == pytest.approx(one[k]) for k in one if one[k] is not None)
