@@ -70,6 +70,12 @@ def script(word: str) -> str:
     return SCRIPT_STARTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
+def script_ranges(ws: list[str]) -> np.ndarray:
+    """The entry of SCRIPT_STARTS that each word's first letter falls into."""
+    first = np.fromiter((ord(w[0]) for w in ws), dtype=np.int64, count=len(ws))
+    return np.searchsorted(_STARTS, first, side="right") - 1
+
+
 def letters(text: str | None) -> list[str]:
     """The lower-cased words of a text. Numerals that the pattern lets through end a word."""
     found = _WORD.findall((text or "").lower())
@@ -123,12 +129,14 @@ class LanguageModel:
             place[used] = np.arange(len(used))
             out[first:stop] = np.add.reduceat(self.rows(used)[place[some]], (ends - sizes)[first:stop] - begin, axis=0)
             first = stop
-        for i, w in enumerate(ws):
-            lead = self.leads.get(script(w))
-            if lead is None:
-                out[i] = 0
-            else:
-                out[i] += lead
+        lead = np.zeros((len(SCRIPT_STARTS), len(self.names)), dtype=np.float32)
+        unknown = np.ones(len(SCRIPT_STARTS), dtype=bool)
+        for i, (_, name) in enumerate(SCRIPT_STARTS):
+            if name in self.leads:
+                lead[i], unknown[i] = self.leads[name], False
+        ranges = script_ranges(ws)
+        out += lead[ranges]
+        out[unknown[ranges]] = 0
         return out
 
     def spans(self, scores: np.ndarray) -> list[tuple[int, int, int]]:
@@ -155,21 +163,32 @@ def detour_pays(scores: np.ndarray, best: int) -> bool:
 
 
 def viterbi(scores: np.ndarray) -> np.ndarray:
-    """The labels with the greatest sum of scores less switching penalties."""
+    """The labels with the greatest sum of scores less switching penalties. A step touches a few
+    numbers only, for which plain lists are faster than arrays."""
     n, k = scores.shape
-    came = np.zeros((n, k), dtype=np.int32)
-    stay = np.arange(k)
-    value = scores[0].astype(np.float64)
-    for t in range(1, n):
-        top = int(value.argmax())
-        switch = value[top] - PENALTY
-        moved = switch > value
-        came[t] = np.where(moved, top, stay)
-        value = np.where(moved, switch, value) + scores[t]
+    stay = list(range(k))
+    came: list[list[int]] = []
+    rows = scores.tolist() if k <= 64 else (row.tolist() for row in scores)
+    value: list[float] = []
+    for row in rows:
+        if not value:
+            value = row
+            continue
+        best = max(value)
+        switch = best - PENALTY
+        if min(value) >= switch:
+            came.append(stay)
+            value = [v + r for v, r in zip(value, row, strict=True)]
+        else:
+            top = value.index(best)
+            came.append([top if switch > v else i for i, v in enumerate(value)])
+            value = [(switch if switch > v else v) + r for v, r in zip(value, row, strict=True)]
     out = np.zeros(n, dtype=np.int32)
-    out[-1] = value.argmax()
+    label = value.index(max(value))
+    out[-1] = label
     for t in range(n - 1, 0, -1):
-        out[t - 1] = came[t, out[t]]
+        label = came[t - 1][label]
+        out[t - 1] = label
     return out
 
 
@@ -210,8 +229,9 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Lang
                     weight = np.repeat(list(found.values()), [len(w) for w in ws])
                     total = np.bincount(trigrams(ws), weights=weight, minlength=BUCKETS).astype(np.int64)
                     grams[lang] = grams.get(lang, 0) + total
-                    for w, n in found.items():
-                        scripts[lang, script(w)] += n
+                    held = np.bincount(script_ranges(ws), weights=list(found.values()), minlength=len(SCRIPT_STARTS))
+                    for k in np.flatnonzero(held):
+                        scripts[lang, SCRIPT_STARTS[k][1]] += int(held[k])
                 if len(grams) * BUCKETS > 16 * CELLS:  # many languages: pass on what there is
                     yield from sums()
         yield from sums()
