@@ -69,6 +69,15 @@ def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of narrow keys (a few numbers each) that are broadcast at most.
+BROADCAST_ROWS = 500_000
+
+
+def few(rows: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
+    """Whether a written table is small enough to be broadcast."""
+    return rows.limit(bound + 1).count() <= bound
+
+
 def with_text_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id, text and ``_key``: rows are one document to an operator exactly if id and text
     are equal, so joins back on ``_key`` are right for repeated ids too."""

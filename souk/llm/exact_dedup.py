@@ -1,19 +1,24 @@
 """Exact dedup by progressive refinement: length, then prefix hash, then full hash.
 
 Two texts are equal if they are identical after deleting every space and control white space
-``[\\x20\\x09-\\x0D]``. Only narrow fingerprints are ever shuffled, never texts:
+``[\\x20\\x09-\\x0D]``. Narrow fingerprints are shuffled, not texts:
 
-1. length of the normalised text; rows whose length nobody shares are unique at once;
-2. of the rest, a hash of the first ``PREFIX`` normalised characters; rows alone with their
-   (length, prefix) are unique;
-3. of the rest, the SHA-256 of the whole normalised text decides.
+1. length of the normalised text and a hash of its first ``PREFIX`` characters, counted together:
+   rows that share neither with another row are unique at once;
+2. of the rest, the SHA-256 of the whole normalised text decides.
+
+The rows that survive the first step, and those that are dropped in the end, are marked where the
+texts are read: their keys are broadcast as long as they are at most ``BROADCAST_ROWS`` rows. Beyond
+that, all texts are hashed in the scan instead of the survivors only, and ``drop_exact_copies``
+takes dropped rows out by a sort-merge join, which moves the texts.
 
 Groups are counted with map-side partial sums and looked up again by a sort-merge join, which
 Spark splits where a key is hot; a group of copies is never gathered in one place.
 
 Defined results: null text counts as empty; all empty texts are equal. Null ids are ordinary
 rows that lose every tie. Of repeated rows (same id, same text) each gets an output row and at
-most one of them is kept. Extra columns are neither read nor touched.
+most one of them is kept. Very long texts are normalised and hashed whole. Extra columns are
+neither read nor touched.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import written
+from souk.llm.common import BROADCAST_ROWS, few, written
 
 #: The deleted characters, in code point order.
 SPACES = "\t\n\x0b\x0c\r "
@@ -50,17 +55,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def _shared(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of ``df`` whose ``keys`` occur more than once."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return df.join(counts, keys, "inner")
-
-
 def surviving_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key) of rows that share length and prefix hash with another row."""
     rows = written(fingerprints(docs, id_col, text_col), "exact-fingerprints")
-    same_length = _shared(rows, ["norm_len"])
-    return _shared(same_length, ["norm_len", "prefix"]).select("doc_id", "text_key").distinct()
+    counts = rows.groupBy("norm_len", "prefix").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return written(rows.join(counts, ["norm_len", "prefix"]).select("doc_id", "text_key").distinct(), "exact-survivors")
 
 
 def row_verdicts(
@@ -76,19 +75,21 @@ def row_verdicts(
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("_text")
     )
     survivors = surviving_rows(docs, id_col, text_col)
+    points, sha = F.char_length("_text").alias("points"), full_hash(normalised(F.col("_text")))
 
-    def marked(rows: DataFrame) -> DataFrame:
-        a, b = rows.alias("a"), survivors.withColumn("_in", F.lit(True)).alias("b")
+    def marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        a, b = rows.alias("a"), keys.withColumn("_in", F.lit(True)).alias("b")
         on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
         on = on & (F.col("a.text_key") == F.col("b.text_key"))
         return a.join(b, on, "left").select("a.*", F.col("_in").isNotNull().alias("survives"))
 
-    points, sha = F.char_length("_text").alias("points"), full_hash(normalised(F.col("_text")))
-    if hash_all:
+    if hash_all or not few(survivors, BROADCAST_ROWS):
         # Every text is hashed in the scan; only the hash takes part in the shuffle.
-        rows = marked(source.select("doc_id", "text_key", points, sha.alias("sha")))
+        rows = marked(source.select("doc_id", "text_key", points, sha.alias("sha")), survivors)
+        if not hash_all:
+            rows = rows.withColumn("sha", F.when(F.col("survives"), F.col("sha")))
     else:
-        rows = marked(source).select(
+        rows = marked(source, F.broadcast(survivors)).select(
             "doc_id", "text_key", points, "survives", F.when(F.col("survives"), sha).alias("sha")
         )
     # Repeated rows are one row with a count from here on.
@@ -148,13 +149,14 @@ def exact_dedup(
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all its columns, without the rows that ``exact_dedup`` does not keep. Of
     repeated keeper rows that differ in other columns an arbitrary one stays."""
-    keepers = row_verdicts(docs, id_col, text_col).where("is_keeper").select(
-        F.col("doc_id").alias("_kid"), F.col("text_key").alias("_kkey"), F.col("copies").alias("_copies")
-    )
+    verdicts = row_verdicts(docs, id_col, text_col).where("not is_keeper or copies > 1")
+    # Most rows are no copies of others and pass where they are read.
+    apart = verdicts.select(F.col("doc_id").alias("_kid"), F.col("text_key").alias("_kkey"), "is_keeper")
+    apart = written(apart, "exact-apart")
+    keys = F.broadcast(apart) if few(apart, BROADCAST_ROWS) else apart
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(text).alias("_key"))
     on = F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_key") == F.col("_kkey"))
-    kept = keyed.join(keepers, on)
-    once = kept.where("_copies = 1").select("_row.*")
-    repeated = kept.where("_copies > 1").groupBy("_id", "_key").agg(F.first("_row").alias("_row"))
-    return once.unionByName(repeated.select("_row.*"))
+    plain = keyed.join(keys, on, "left_anti").select("_row")
+    repeated = keyed.join(keys.where("is_keeper"), on, "left_semi").groupBy("_id", "_key").agg(F.first("_row").alias("_row"))
+    return plain.unionByName(repeated.select("_row")).select("_row.*")

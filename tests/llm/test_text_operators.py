@@ -444,3 +444,14 @@ def test_quality_odd_cases(odd, empty):
     kept = quality.good_documents(odd)
     assert kept.columns == odd.columns
     assert quality.good_documents(empty).count() == 0
+
+
+@pytest.mark.parametrize("bound", [exact_dedup.BROADCAST_ROWS, 0])
+def test_exact_dedup_shuffles_no_texts(spark, monkeypatch, odd, bound):
+    """With and beyond the broadcast, the same rows stay; texts move in neither verdict plan."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", bound)
+    kept = exact_dedup.drop_exact_copies(odd)
+    want = [v for v in brute.exact_groups(texts(odd)) if v[3]]
+    assert kept.columns == odd.columns and order(r.doc_id for r in kept.collect()) == order(v[0] for v in want)
+    docs = common.read_table(spark, SF, "documents")
+    assert exact_dedup.drop_exact_copies(docs).count() == sum(v[3] for v in brute.exact_groups(texts(docs)))
