@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import map_rows, words, written
+from souk.llm.common import few, map_rows, words, written
 from souk.llm.components import components
 
 SHINGLE = 5
@@ -397,6 +397,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     verdict = classified(docs, id_col, text_col).where("class_id is not null")
     keys = verdict.groupBy("key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     apart = written(keys.where("not kept or n > 1"), "near-apart")
+    apart = F.broadcast(apart) if few(apart) else apart
     text = F.col(text_col).cast("string")
     inner = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col(id_col), text).alias("key"))
     # Most documents are in neither list and pass as they are.
