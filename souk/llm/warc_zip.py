@@ -280,12 +280,15 @@ def with_types(pages: DataFrame, id_col: str, url_col: str, body_col: str) -> Da
     payload = F.coalesce(F.encode(F.col(body_col).cast("string"), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    shared = rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest")
-    shared = shared.agg(F.max("id").alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1 and holder is not null")
+    large = F.octet_length("payload") >= MIN_REVISIT
+    shared = rows.where(large).groupBy("digest").agg(F.max("id").alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1 and holder is not null")
     shared = written(shared.select("digest", "holder"), "warc-shared")
-    joined = rows.join(shared, "digest", "left")
+    # Empty and small payloads are never shared, however often one occurs: they stay where they are.
+    joined = rows.where(large).join(shared, "digest", "left")
     refers = F.when(~F.coalesce(F.col("id") == F.col("holder"), F.col("holder").isNull()), F.col("holder"))
-    return joined.select("id", "url", "payload", "digest", refers.alias("refers_to"))
+    names = ("id", "url", "payload", "digest")
+    small = rows.where(~large).select(*names, F.lit(None).cast(rows.schema["id"].dataType).alias("refers_to"))
+    return joined.select(*names, refers.alias("refers_to")).unionByName(small)
 
 
 def write_packages(typed: DataFrame, folder: str) -> DataFrame:
