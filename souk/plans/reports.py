@@ -125,15 +125,12 @@ def customer_analytics(t: RetailTables, person_key: str = "customer_unique_id")
 FIRST_YEAR, WORD_MONTHS, MONTH_WORDS = 1970, 60, 24
 
 
-def _month_words(ts: str) -> list[Column]:
-    """The month of ``ts`` as a bit in one of the words, 0 in all others."""
+def _month_index(ts: str) -> Column:
+    """The number of a time's month, from 0 in January 1970."""
     index = (F.year(ts) - FIRST_YEAR) * 12 + F.month(ts) - 1
     beyond = F.concat(F.lit("cohort months run from 1970 to 2089, not to "), F.col(ts).cast("string"))
     held = index.between(0, MONTH_WORDS * WORD_MONTHS - 1) | index.isNull()
-    place = F.when(held, index).otherwise(F.raise_error(beyond).cast("int"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(WORD_MONTHS)))
-    word = F.floor(place / WORD_MONTHS)
-    return [F.when(word == i, bit).otherwise(F.lit(0).cast("bigint")) for i in range(MONTH_WORDS)]
+    return F.when(held, index).otherwise(F.raise_error(beyond).cast("int"))
 
 
 def _month_of(index: Column) -> Column:
@@ -151,22 +148,21 @@ def cohort_activity(t: RetailTables, statuses=ACTIVE_STATUSES) -> DataFrame:
     time give one row without a month.
     """
     words = [f"w{i}" for i in range(MONTH_WORDS)]
+    starts = [i * WORD_MONTHS for i in range(MONTH_WORDS)]
+    ends = [start + WORD_MONTHS - 1 for start in starts]
 
     def merged(df: DataFrame, key: str) -> DataFrame:
-        return df.groupBy(key).agg(*[F.bit_or(w).alias(w) for w in words], F.max("undated").alias("undated"))
+        return df.groupBy(key).agg(*[F.expr(f"bit_or({w}) AS {w}") for w in words], F.max("undated").alias("undated"))
 
     ts = "order_purchase_timestamp"
-    orders = active_orders(t.orders, statuses).select(
-        "customer_id", F.col(ts).isNull().alias("undated"),
-        *[c.alias(w) for c, w in zip(_month_words(ts), words, strict=True)],
-    )
+    orders = active_orders(t.orders, statuses).select("customer_id", _month_index(ts).alias("m"))
+    # The month as a bit in one of the words, 0 in all others.
+    bit = "CASE WHEN m BETWEEN {0} AND {1} THEN shiftleft(1L, m - {0}) ELSE 0L END AS {2}"
+    orders = orders.selectExpr("customer_id", "m IS NULL AS undated", *map(bit.format, starts, ends, words))
     people = t.customers.select("customer_id", "customer_unique_id")
     sets = merged(merged(orders, "customer_id").join(people, "customer_id"), "customer_unique_id")
-    lowest = [
-        F.when(F.col(w) != 0, i * WORD_MONTHS + F.bit_count(F.col(w).bitwiseAND(-F.col(w)) - 1))
-        for i, w in enumerate(words)
-    ]
-    sets = sets.withColumn("cohort", F.least(*lowest))
+    lowest = "CASE WHEN {1} <> 0 THEN {0} + bit_count(({1} & -{1}) - 1) END"
+    sets = sets.withColumn("cohort", F.expr(f"least({', '.join(map(lowest.format, starts, words))})"))
     bits = F.posexplode(F.array(*words)).alias("word", "bits")
     used = sets.select("customer_unique_id", "cohort", bits).where("bits <> 0")
     set_ = F.filter(
