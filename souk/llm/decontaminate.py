@@ -18,7 +18,7 @@ shuffled at all; with more, each block's finds are joined back to them.
 
 Defined results: null and empty texts have no words and no hits; items without words are never
 found; repeated rows are judged one by one; items with a null id count as hits, but not in
-``n_items`` and the digest; extra columns are not touched.
+``n_items`` and the digest; very long texts are searched whole; extra columns are not touched.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from souk.llm.common import map_rows, words, written
 WINDOW = 10
 #: Most bytes of item texts in one broadcast block.
 BLOCK_BYTES = 4 << 20
+ADDED = ("n_words", "n_hit", "hit_spans", "found_items", "_found", "_key", "_spans", "_items")
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
@@ -136,8 +137,10 @@ def find_contamination(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``hit_spans`` (array of [start, end) word ranges)
-    and ``found_items`` (distinct ids as strings, sorted) added, which must not be columns yet."""
+    and ``found_items`` (distinct ids as strings, sorted) added. Columns of these names that
+    ``docs`` has already give way to the new ones."""
     spark = docs.sparkSession
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED and c != text_col])
     blocks = item_blocks(items, item_id, item_text, block_bytes)
     prepare = lambda block: _prepared(spark, docs, block, item_id, item_text, text_col, window)
     if len(blocks) == 1:

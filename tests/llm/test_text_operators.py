@@ -455,3 +455,12 @@ def test_exact_dedup_shuffles_no_texts(spark, monkeypatch, odd, bound):
     assert kept.columns == odd.columns and order(r.doc_id for r in kept.collect()) == order(v[0] for v in want)
     docs = common.read_table(spark, SF, "documents")
     assert exact_dedup.drop_exact_copies(docs).count() == sum(v[3] for v in brute.exact_groups(texts(docs)))
+
+
+def test_contamination_columns_give_way(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = spark.createDataFrame([(1, f"x {item} y", "old", "old")], "doc_id long, text string, n_words string, found_items string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for block in (decontaminate.BLOCK_BYTES, 8):
+        [r] = decontaminate.find_contamination(docs, items, block_bytes=block).collect()
+        assert (r.doc_id, r.n_words, r.n_hit, r.found_items) == (1, 12, 10, ["7"])
