@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -100,11 +101,38 @@ def release_memory() -> None:
 SLICE_ROWS = 1024
 
 
+#: Rows in a batch that Spark hands to Python workers, where the session leaves Spark's default. Whole
+#: texts take a lot of memory beside the executor's heap, in Arrow buffers and in the workers.
+BATCH_ROWS = 2000
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+def text_udf(fn, schema: T.DataType | str):
+    """A pandas UDF over texts or other large values: small batches, and a worker gives back what
+    earlier batches took before it begins with the next."""
+    small_batches(SparkSession.active())
+
+    @functools.wraps(fn)
+    def run(*columns):
+        release_memory()
+        return fn(*columns)
+
+    return F.pandas_udf(run, schema)
+
+
 def map_rows(df: DataFrame, fn, schema: T.StructType | str) -> DataFrame:
     """``mapInPandas`` over batches; ``fn`` gets a frame and returns a frame. Batches are
     bounded by Spark in rows and bytes, so memory does not grow with a partition."""
 
+    small_batches(df.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_memory()
         try:
             for batch in batches:
                 for at in range(0, len(batch), SLICE_ROWS):

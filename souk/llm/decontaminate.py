@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm.common import map_rows, words, written
+from souk.llm.common import map_rows, text_udf, words, written
 
 WINDOW = 10
 #: Most bytes of item texts in one broadcast block.
@@ -123,7 +123,7 @@ def _judged(docs: DataFrame, text_col: str, index) -> DataFrame:
         return pd.DataFrame(out, columns=["n_words", "n_hit", "hit_spans", "found_items"])
 
     schema = "n_words long, n_hit long, hit_spans array<array<long>>, found_items array<string>"
-    judged = F.pandas_udf(judge, schema)(F.col(text_col).cast("string"))
+    judged = text_udf(judge, schema)(F.col(text_col).cast("string"))
     return docs.withColumn("_found", judged).select("*", "_found.*").drop("_found")
 
 
@@ -171,7 +171,7 @@ def find_contamination(
         return pd.DataFrame(out, columns=["n_words", "n_hit", "hit_spans", "found_items"])
 
     schema = "n_words long, n_hit long, hit_spans array<array<long>>, found_items array<string>"
-    settled = F.pandas_udf(settle, schema)(F.col(text_col).cast("string"), "_spans", "_items")
+    settled = text_udf(settle, schema)(F.col(text_col).cast("string"), "_spans", "_items")
     joined = docs.withColumn("_key", key).join(merged, "_key", "left")
     return joined.withColumn("_found", settled).select(*docs.columns, "_found.*")
 

@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.llm.common import small_batches, text_udf
+
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 10_000
 #: Numbers that a worker scores at once, about.
@@ -236,6 +238,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Lang
                     yield from sums()
         yield from sums()
 
+    small_batches(docs.sparkSession)
     counted = rows.mapInPandas(count, "lang int, script string, bucket int, n long")
     total = counted.groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
     grams = total.where("bucket >= 0").select("lang", "bucket", "n").toPandas()  # those that occur
@@ -295,7 +298,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         return pd.DataFrame({"lang_pred": [x for x, *_ in out], "score": [s for _, s, _ in out], "spans": spans})
 
     schema = "lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>"
-    predicted = F.pandas_udf(predict, schema)(F.col(text_col).cast("string"))
+    predicted = text_udf(predict, schema)(F.col(text_col).cast("string"))
     own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "spans", "_p")]
     return docs.select(*[F.col(f"`{c}`") for c in own], predicted.alias("_p")).select(*[f"`{c}`" for c in own], "_p.*")
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import map_rows, with_text_key, words, written
+from souk.llm.common import map_rows, text_udf, with_text_key, words, written
 from souk.llm.license_texts import WHOLE_NOTICES
 
 FUZZY_FROM = 8
@@ -242,5 +242,5 @@ def scan_licenses(
         "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, places array<struct<start: long, end: long, label: string, base: boolean, similarity: double>>"
     )
-    judged = F.pandas_udf(judge, schema)("_text", "spans")
+    judged = text_udf(judge, schema)("_text", "spans")
     return joined.withColumn("_j", judged).select(F.col("_id").alias("doc_id"), "_j.*")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import map_rows, with_text_key, words, written
+from souk.llm.common import map_rows, text_udf, with_text_key, words, written
 
 MIN_WORDS = 10
 #: Polynomial hashing of runs of lines: modulus and base.
@@ -249,5 +249,5 @@ def dedup_lines(
         return pd.DataFrame(out, columns=["n_lines", "n_removed", "removed", "removed_words", "clean_text"])
 
     schema = "n_lines long, n_removed long, removed array<int>, removed_words long, clean_text string"
-    cleaned = F.pandas_udf(clean, schema)("_text", "links")
+    cleaned = text_udf(clean, schema)("_text", "links")
     return joined.withColumn("_c", cleaned).select(F.col("_id").alias("doc_id"), "_c.*")

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import few, map_rows, words, written
+from souk.llm.common import few, map_rows, text_udf, words, written
 from souk.llm.components import components
 
 SHINGLE = 5
@@ -229,7 +229,7 @@ def verified(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame
 
     left, right = table.toDF("a", "cells_a"), table.toDF("b", "cells_b")
     joined = pairs.join(left, "a").join(right, "b")
-    test = F.pandas_udf(linked, "boolean")
+    test = text_udf(linked, "boolean")
     return written(joined.where(test("cells_a", "cells_b")).select("a", "b"), "near-links")
 
 
@@ -292,7 +292,7 @@ def _beside_pivots(rows: DataFrame, table: DataFrame, labels: DataFrame, similar
             ]
         )
 
-    added = F.pandas_udf(beside, "array<long>")("cells", "pivot_cells")
+    added = text_udf(beside, "array<long>")("cells", "pivot_cells")
     apart = (F.col("cls") != F.col("pivot_cls")).alias("apart")
     met = met.select("node", "n", "cls", "pivot", "n_pivot", apart, added.alias("added"))
     common = F.col("n") - F.size("added")

@@ -7,7 +7,8 @@ lengths share a sequence) with a multiplicity each:
 * a sequence starts with the longest unpacked length and is filled greedily with the longest
   one that fits;
 * if a gap is left, its smallest document is taken out when two unpacked documents fit the
-  expanded gap more tightly, and the tightest two go in;
+  expanded gap at least twice as tightly, and the tightest two go in (a smaller gain is not worth
+  two short documents);
 * the pattern is repeated for as long as its lengths last.
 
 Each repetition run uses up a length, so the plan has a few patterns per length at most; it
@@ -215,7 +216,7 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
         if gap and len(pattern) > 1:
             smallest = pattern[-1]
             a, b = _tightest_two(left, gap + smallest)
-            if a + b > smallest:
+            if a and 2 * (gap + smallest - a - b) <= gap:
                 pattern[-1:] = [a, b]
                 left[[smallest, a, b]] += np.array([1, 0, 0])
                 left[a] -= 1

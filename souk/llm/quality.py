@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import map_rows
+from souk.llm.common import map_rows, text_udf
 
 #: Bound of the training sample, in documents.
 TRAIN_ROWS = 10_000
@@ -326,7 +326,7 @@ def scored(docs: DataFrame, model: QualityModel, text_col: str = "text", name: s
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([shared.value.score(t) for t in texts], dtype=float)
 
-    return docs.withColumn(name, F.pandas_udf(score, "double")(F.col(text_col).cast("string")))
+    return docs.withColumn(name, text_udf(score, "double")(F.col(text_col).cast("string")))
 
 
 def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
