@@ -11,7 +11,8 @@ K ln K + 2K darts are enumerated per document (those earlier than that number di
 document's weight); a document with an empty coordinate is thrown again up to twice the time.
 Two signatures agree in a coordinate with probability equal to the weighted Jaccard similarity.
 
-Joining. Equal word sequences are one node, known by a hash of the sequence. Nodes sharing a band of ``ROWS`` coordinates meet in
+Joining. Equal word sequences are one node, known by the key (of id and text) of the document that
+stands for them. Nodes sharing a band of ``ROWS`` coordinates meet in
 a bucket. Large buckets are never expanded into pairs. A bucket's smallest document, its pivot, is
 compared with the others, and verified links merge classes. In buckets that still hold several
 classes, a prefix filter on what documents have beside the pivot (see ``_beside_pivots``) makes
@@ -26,7 +27,7 @@ ones with less.
 Defined results: documents without words (null, empty) are alone. A document of one to four
 words is one shingle. Repeated rows are copies of each other. An id may name several texts; each is
 a document of its own, and within a class the smallest id stays (of several texts of that id, the
-one whose hash is smallest). Classes of different texts of one id share its number but not their
+one whose key is smallest). Classes of different texts of one id share its number but not their
 members. Rows with a null id take no part: class null, kept. Extra columns are not touched. Very
 long texts are compared whole; a task holds one cell of eight bytes per word.
 """
@@ -201,19 +202,15 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _cells_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, cells) of the documents that ``nodes`` (node, key) names."""
+    """(node, cells) of the documents that ``nodes`` names by their keys."""
 
     def cut(batch: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for node, text in zip(batch["node"], batch["_text"], strict=True):
-            ws = words(text)
-            if hashlib.blake2b(b" ".join(ws), digest_size=16).digest() == node:  # not only the key
-                out.append((node, cells(ws).tobytes()))
-        return pd.DataFrame(out, columns=["node", "cells"])
+        made = [cells(words(t)).tobytes() for t in batch["_text"]]
+        return pd.DataFrame({"node": batch["node"], "cells": made})
 
-    rows = _texts(docs, id_col, text_col).select("key", "_text").join(nodes, "key")
+    rows = _texts(docs, id_col, text_col).select(F.col("key").alias("node"), "_text").join(nodes, "node", "left_semi")
     rows = rows.groupBy("node").agg(F.first("_text").alias("_text"))
-    return map_rows(rows, cut, "node binary, cells binary")
+    return map_rows(rows, cut, "node long, cells binary")
 
 
 def verified(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
@@ -352,21 +349,20 @@ def classified(
     rows = written(signed(docs, id_col, text_col), "near-signed")
     able = rows.where("doc_id is not null and n_words > 0")
     # The document that stands for a word sequence.
-    nodes = able.groupBy(F.col("print").alias("node")).agg(F.min(F.struct("doc_id", "key")).alias("own"))
-    nodes = written(nodes.select("node", F.col("own.doc_id").alias("own_id"), F.col("own.key").alias("own_key")), "near-nodes")
-    stands = ((F.col("doc_id") == F.col("own_id")) & (F.col("key") == F.col("own_key"))).alias("stands")
+    nodes = able.groupBy("print").agg(F.min(F.struct("doc_id", "key")).alias("own"))
+    nodes = written(nodes.select("print", F.col("own.doc_id").alias("own_id"), F.col("own.key").alias("node")), "near-nodes")
+    stands = ((F.col("doc_id") == F.col("own_id")) & (F.col("key") == F.col("node"))).alias("stands")
     n = F.greatest(F.col("n_words") - SHINGLE + 1, F.lit(1)).alias("n")
-    member = able.withColumnRenamed("print", "node").join(nodes, "node")
+    member = able.join(nodes, "print")
     member = member.select("doc_id", "key", "node", "own_id", n, stands, F.when(stands, F.col("bands")).alias("bands"))
     member = written(member, "near-members")
     in_band = member.where("bands is not null").select(F.explode("bands").alias("band"), "node", "n")
     several = in_band.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     buckets = written(in_band.join(several.select("band"), "band").distinct(), "near-buckets")
     meeting = written(buckets.select("node").distinct(), "near-meeting")
-    named = meeting.join(nodes, "node").select("node", F.col("own_key").alias("key"))
-    table = written(_cells_of(docs, named, id_col, text_col), "near-cells")
+    table = written(_cells_of(docs, meeting, id_col, text_col), "near-cells")
     labels = _merged(buckets, table, meeting.withColumn("cls", F.col("node")), similarity)
-    best = labels.join(nodes, "node").groupBy("cls").agg(F.min(F.struct("own_id", "node")).alias("best"))
+    best = labels.join(nodes.select("node", "own_id"), "node").groupBy("cls").agg(F.min(F.struct("own_id", "node")).alias("best"))
     merged = labels.join(best, "cls").select(
         "node", "cls", F.col("best.own_id").alias("first_id"), F.col("best.node").alias("best")
     )
