@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from souk.plans import cleaning, eda, kpis, layers, measures, quality, reconcile, reports, sources_eda
 from souk.plans.stats import stats_of
-from souk.session import scratch_path
+from souk.session import scratch_path, small_tasks
 from souk.sources import io, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +70,9 @@ def _csv_query(table: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"csv-{table}")
         raw = layers.raw_layer(spark, sf_dir)[table]
-        return cleaning.clean_table(table, io.csv_round_trip(raw, path, table in REPEATED_KEYS))
+        back = io.csv_round_trip(raw, path, table in REPEATED_KEYS)
+        with small_tasks(spark):
+            return cleaning.clean_table(table, back)
 
     return build
 

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from souk.operators import clean as op
 from souk.plans import cleaning, marts
 from souk.sources import io
 
@@ -203,3 +204,47 @@ def test_profit_margin_without_cost_reads_as_missing(spark):
     items = spark.createDataFrame([(1.0,)], "revenue double")
     row = kpis.profit_margin(SimpleNamespace(fact_order_items=items)).first()
     assert row.value is None and row.note
+
+
+def test_exports_of_one_position_become_several_files_in_source_order(spark, tmp_dir):
+    rows = [(f"r{i % 4000}", f"o{i % 4000}", str(i // 4000 + 1), i // 4000) for i in range(8000)]
+    raw = spark.createDataFrame(rows, "review_id string, order_id string, review_score string, source_row_order long")
+    for keep_order in (False, True):
+        path = os.path.join(tmp_dir, f"export-{keep_order}")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            back = io.csv_round_trip(raw, path, keep_order)
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        sizes = [n for (n,) in back.groupBy(F.input_file_name()).count().select("count").collect()]
+        assert len(sizes) > 2 and max(sizes) < 3000  # two positions used to make two files
+        kept = op.dedupe_first(back, ["review_id"], ["source_row_order"])
+        assert kept.count() == 4000 and {r.review_score for r in kept.collect()} == {"1"}
+
+
+def test_export_files_hold_limited_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(io, "EXPORT_ROWS", 50)
+    raw = spark.range(1000).selectExpr("CAST(id AS STRING) AS order_id", "0L AS source_row_order")
+    back = io.csv_round_trip(raw, os.path.join(tmp_dir, "export"))
+    assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) <= 50
+    places = [r.order_id for r in back.orderBy("source_row_order").collect()]
+    assert places == sorted(map(str, range(1000)))  # files follow each other by name
+
+
+def test_layers_are_built_in_small_tasks(spark):
+    from souk.plans.layers import Layer
+
+    key, seen = "spark.sql.files.maxPartitionBytes", []
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+
+    def build():
+        seen.append(size(spark.conf.get(key)))
+        return spark.range(3)
+
+    before = spark.conf.get(key)
+    for name in ("a", "b"):
+        Layer(spark, "/nowhere", "small", {name: build})[name]
+        assert spark.conf.get(key) == before
+        spark.conf.set(key, before := "2m")  # a smaller setting of the session stays
+    spark.conf.unset(key)
+    assert seen == [16 << 20, 2 << 20]
