@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from souk.plans import cleaning, eda, marts, quality
 from souk.plans.stats import TableStats, observed
-from souk.session import written
+from souk.session import small_tasks, written
 from souk.sources.fixtures import LazyTables, RetailTables, forget_retail, load_retail
 from souk.sources.raw import raw_from_retail
 
@@ -41,6 +41,7 @@ class Layer(Mapping):
         keys: Mapping[str, Sequence[str]] | None = None,
     ):
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        self._spark = spark
         self._done = _TABLES.setdefault(key, {})
         self._stats = _STATS.setdefault(key, {})
         self._layer = layer
@@ -51,12 +52,13 @@ class Layer(Mapping):
         build = self._builders[name]
         label = f"{self._layer}-{name}"
         if label not in self._done:
-            df, month = build(), MONTHLY.get(label)
-            # Rows of one month meet in few tasks; a large month is split again by size.
-            df = df.hint("rebalance", month) if month else df
-            counted, figures = observed(df, self._keys.get(name, ()))
-            self._done[label] = written(counted, label, month)
-            self._stats[label] = figures()
+            with small_tasks(self._spark):
+                df, month = build(), MONTHLY.get(label)
+                # Rows of one month meet in few tasks; a large month is split again by size.
+                df = df.hint("rebalance", month) if month else df
+                counted, figures = observed(df, self._keys.get(name, ()))
+                self._done[label] = written(counted, label, month)
+                self._stats[label] = figures()
         return self._done[label]
 
     def stats(self, name: str) -> TableStats:
