@@ -201,11 +201,18 @@ def _first_rows(df: DataFrame, spec: Table) -> DataFrame:
     return op.dedupe_first(df, spec.keys, order) if spec.keys else df
 
 
-def clean_table(name: str, raw: DataFrame, strategy: str = "mode", legacy_zip: bool = False) -> DataFrame:
+def clean_table(
+    name: str,
+    raw: DataFrame,
+    strategy: str = "mode",
+    legacy_zip: bool = False,
+    spread: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """One raw table cleaned by its specification. Writes the table of values to be counted
     (see ``op.value_counts``) when it is called; the rest is lazy. ``strategy="constant"`` fills
     texts with their defaults instead of the most frequent value; ``legacy_zip`` strips the zeros
-    that zip codes lose when an export is read with inferred types."""
+    that zip codes lose when an export is read with inferred types. ``spread`` deals the rows out
+    before duplicates go."""
     spec = SPECS[name]
     df = parsed(raw, spec, legacy_zip)
     if spec.dedupe_first:
@@ -218,7 +225,7 @@ def clean_table(name: str, raw: DataFrame, strategy: str = "mode", legacy_zip: b
     if spec.not_null:
         df = op.drop_null_keys(df, spec.not_null)
     if not spec.dedupe_first:
-        df = _first_rows(df, spec)
+        df = _first_rows(spread(df) if spread else df, spec)
     df = df.withColumns({c: half_even_long(c) for c in whole}) if whole else df
     df = spec.finish(df) if spec.finish else df
     return df.drop(ORDER_COL)

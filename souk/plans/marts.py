@@ -50,30 +50,26 @@ def zero_if_null(c: Column) -> Column:
 
 # ----------------------------------------------------------------------------- order-grain parts
 def order_item_summary(order_items: DataFrame) -> DataFrame:
-    """Order grain: item counts and sums, distinct products and sellers. Items are first summed by
-    (order, product, seller), with map-side sums; what follows counts those rows, so no task
-    gathers the products of a large order."""
-    number = "decimal(38,4)"
-    lines = order_items.groupBy("order_id", "product_id", "seller_id").agg(
-        F.count("order_item_id").alias("items"),
-        F.sum(F.col("price").cast(SUM_TYPE)).cast(number).alias("price"),
-        F.count("price").alias("prices"),
-        F.sum(F.col("freight_value").cast(SUM_TYPE)).cast(number).alias("freight"),
+    """Order grain: item counts and sums, distinct products and sellers. Sums have map-side sums
+    and distinct pairs are counted, so no task gathers the products of a large order; of items
+    that lie in buckets by order nothing is shuffled."""
+
+    def distinct(column: str, name: str) -> DataFrame:
+        pairs = order_items.select("order_id", column).where(F.col(column).isNotNull()).distinct()
+        return pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias(name))
+
+    price = F.sum(F.col("price").cast(SUM_TYPE)).cast("double")
+    sums = order_items.groupBy("order_id").agg(
+        F.count("order_item_id").alias("total_items"),
+        price.alias("gross_item_value"),
+        F.sum(F.col("freight_value").cast(SUM_TYPE)).cast("double").alias("gross_freight_value"),
+        F.try_divide(price, F.count("price").cast("double")).alias("average_item_price"),
     )
-    by_product = lines.groupBy("order_id", "product_id").agg(
-        *[F.sum(c).cast(number if c in ("price", "freight") else "bigint").alias(c) for c in ("items", "price", "prices", "freight")]
-    )
-    per_order = by_product.groupBy("order_id").agg(
-        F.sum("items").alias("total_items"),
-        F.count("product_id").alias("unique_products"),
-        F.sum("price").cast("double").alias("gross_item_value"),
-        F.sum("freight").cast("double").alias("gross_freight_value"),
-        F.try_divide(F.sum("price").cast("double"), F.sum("prices").cast("double")).alias("average_item_price"),
-    )
-    sellers = lines.select("order_id", "seller_id").where("seller_id IS NOT NULL").distinct()
-    sellers = sellers.groupBy("order_id").agg(F.count(F.lit(1)).alias("unique_sellers"))
-    return per_order.join(sellers, "order_id", "left").select(
-        "order_id", "total_items", "unique_products", F.coalesce("unique_sellers", F.lit(0)).alias("unique_sellers"),
+    counted = sums.join(distinct("product_id", "unique_products"), "order_id", "left")
+    counted = counted.join(distinct("seller_id", "unique_sellers"), "order_id", "left")
+    return counted.select(
+        "order_id", "total_items", F.coalesce("unique_products", F.lit(0)).alias("unique_products"),
+        F.coalesce("unique_sellers", F.lit(0)).alias("unique_sellers"),
         "gross_item_value", "gross_freight_value", "average_item_price",
     )
 
@@ -169,14 +165,18 @@ ORDER_DERIVED = (
 )
 
 
-def order_base(orders, order_items, payments, reviews) -> DataFrame:
-    """One row per order with its item, payment and review sums and all that depends on the
-    order alone."""
-    df = (
+def order_sums(orders, order_items, payments, reviews) -> DataFrame:
+    """One row per order with its item, payment and review sums."""
+    return (
         orders.join(order_item_summary(order_items), "order_id", "left")
         .join(payment_summary(payments), "order_id", "left")
         .join(review_summary(reviews), "order_id", "left")
     )
+
+
+def with_order_columns(df: DataFrame) -> DataFrame:
+    """All that depends on the order row alone; a month that is there stays, so that filters on it
+    reach stored months."""
     ts = F.col("order_purchase_timestamp")
     delay = days_between("order_estimated_delivery_date", "order_delivered_customer_date")
     return df.withColumns({
@@ -185,7 +185,7 @@ def order_base(orders, order_items, payments, reviews) -> DataFrame:
         "approval_time_hours": hours_between("order_purchase_timestamp", "order_approved_at"),
         "delivery_delay_days": delay,
         "late_deliveries": delay > 0,
-        "order_month": month_key(ts),
+        "order_month": F.col("order_month") if "order_month" in df.columns else month_key(ts),
         "month": F.month(ts).cast("bigint"),
         "quarter": F.quarter(ts).cast("bigint"),
         "year": F.year(ts).cast("bigint"),
@@ -194,25 +194,38 @@ def order_base(orders, order_items, payments, reviews) -> DataFrame:
     })
 
 
-def fact_orders_from(base: DataFrame, customers: DataFrame, monthly: DataFrame) -> DataFrame:
-    """The order rows with their customer's history and their month's revenue. Months are few
-    rows and joined on the month key: a window over months would sort the fact table."""
-    revenue = F.coalesce("item_total", F.lit(0)).cast("double")
+def order_base(orders, order_items, payments, reviews) -> DataFrame:
+    """``order_sums`` with all that depends on the order alone."""
+    return with_order_columns(order_sums(orders, order_items, payments, reviews))
+
+
+def with_customer_columns(df: DataFrame) -> DataFrame:
+    """The order's columns, and what they and its customer's sums give."""
+    by_customer, revenue = F.col("total_orders"), F.col("customer_revenue")
+    df = with_order_columns(df)
+    return df.withColumns({
+        "average_order_value_customer": F.when(by_customer > 0, revenue / by_customer),
+        "total_orders_by_customer": by_customer,
+        "average_order_value": F.when(by_customer > 0, revenue / by_customer).otherwise(F.col("order_value")),
+    })
+
+
+def fact_orders_from(base: DataFrame, customers: DataFrame, monthly: DataFrame, by_month: bool = False) -> DataFrame:
+    """The order rows (``order_sums``) with their customer's history and their month's revenue.
+    Months are few rows and joined on the month key: a window over months would sort the fact
+    table. With ``by_month`` rows of a month meet in few tasks (a large month is split again by
+    size). Columns that follow from others come last, so no shuffle carries them."""
     context = customers.select(
         "customer_id", "first_order_date", "last_order_date", "total_orders", "customer_span_days",
-        revenue.alias("customer_revenue"),
-        F.when(F.col("total_orders") > 0, revenue / F.col("total_orders")).alias("average_order_value_customer"),
-        F.col("total_orders").alias("total_orders_by_customer"),
+        F.coalesce("item_total", F.lit(0)).cast("double").alias("customer_revenue"),
     )
     months = monthly.where(F.col("order_month").isNotNull()).select("order_month", "monthly_revenue")
-    df = base.join(context, "customer_id", "left").join(F.broadcast(months), "order_month", "left")
-    by_customer = F.col("total_orders_by_customer")
-    df = df.withColumn(
-        "average_order_value",
-        F.when(by_customer > 0, F.col("customer_revenue") / by_customer).otherwise(F.col("order_value")),
-    )
+    df = base.drop(*ORDER_DERIVED).join(context, "customer_id", "left")
+    df = df.withColumn("order_month", month_key("order_purchase_timestamp"))
+    df = df.hint("rebalance", "order_month") if by_month else df
     first = [c for c in (*base.columns, *context.columns[1:]) if c not in ORDER_DERIVED]
-    return df.select(*first, *ORDER_DERIVED)
+    df = with_customer_columns(df.join(F.broadcast(months), "order_month", "left"))
+    return df.select(*first, "average_order_value_customer", "total_orders_by_customer", *ORDER_DERIVED)
 
 
 def build_fact_orders(orders, order_items, payments, reviews) -> DataFrame:
@@ -220,23 +233,39 @@ def build_fact_orders(orders, order_items, payments, reviews) -> DataFrame:
     return fact_orders_from(base, customer_base(base), build_monthly_revenue(base))
 
 
+def with_item_columns(df: DataFrame) -> DataFrame:
+    """All that depends on the item row alone."""
+    price, freight, total = F.col("price"), F.col("freight_value"), F.col("item_total_value")
+    df = df.withColumn("item_total_value", zero_if_null(price) + zero_if_null(freight))
+    df = df.withColumns({
+        "freight_share": F.when(total != 0, freight / total),
+        "high_freight_flag": F.coalesce(freight > price, F.lit(False)),
+        "revenue": total,
+        "weekend_order": is_weekend("order_purchase_timestamp"),
+    })
+    return df.withColumn("profit_margin", profit_margin(df))
+
+
+#: Columns of fact_order_items that its other columns give.
+ITEM_DERIVED = (
+    "item_total_value", "freight_share", "high_freight_flag", "revenue", "weekend_order", "profit_margin",
+)
+
+
 def fact_order_items_from(order_items, orders, product_base, dim_sellers) -> DataFrame:
-    """Item rows with their order, their product's features and their seller's sums."""
-    price, freight = F.col("price"), F.col("freight_value")
-    df = order_items.withColumn("item_total_value", zero_if_null(price) + zero_if_null(freight))
-    df = df.withColumn(
-        "freight_share", F.when(F.col("item_total_value") != 0, freight / F.col("item_total_value"))
-    ).withColumn("high_freight_flag", F.coalesce(freight > price, F.lit(False)))
+    """Item rows with their order, their product's features and their seller's sums. Columns that
+    follow from others come last, so no shuffle carries them."""
     order_part = orders.select("order_id", "customer_id", "order_purchase_timestamp", "order_status")
     df = (
-        df.join(order_part, "order_id", "left")
+        order_items.join(order_part, "order_id", "left")
         .join(product_base, "product_id", "left")
         .join(dim_sellers, "seller_id", "left")
     )
-    df = df.withColumn("revenue", F.col("item_total_value")).withColumn(
-        "weekend_order", is_weekend("order_purchase_timestamp")
-    )
-    return df.withColumn("profit_margin", profit_margin(df))
+    own = ["seller_id", "product_id", "order_id"]
+    own += [c for c in order_items.columns if c not in own]
+    rest = [c for c in df.columns if c not in own]
+    early, late = ITEM_DERIVED[:3], ITEM_DERIVED[3:]
+    return with_item_columns(df).select(*own, *early, *rest, *late)
 
 
 def dim_customers_from(customers: DataFrame, base: DataFrame) -> DataFrame:

@@ -72,7 +72,9 @@ class Slice:
     sellers: DataFrame
 
 
-def slice_bundle(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> Slice:
+def slice_bundle(b: FeatureBundle, s: Slicers = DEFAULT_VIEW, items_of_orders: bool = True) -> Slice:
+    """The marts under ``s``; without ``items_of_orders`` the caller joins the items to the orders."""
+
     def chosen(df: DataFrame, column: str, values: Sequence[str] | None) -> DataFrame:
         return df.where(F.col(column).isin(*values)) if values else df
 
@@ -109,7 +111,7 @@ def slice_bundle(b: FeatureBundle, s: Slicers = DEFAULT_VIEW) -> Slice:
         orders = orders.join(customers.select("customer_id"), "customer_id", "left_semi")
     if s.categories or s.sellers:
         orders = orders.join(items.select("order_id"), "order_id", "left_semi")
-    if s != Slicers(status_mode="all"):
+    if items_of_orders and s != Slicers(status_mode="all"):
         items = items.join(orders.select("order_id"), "order_id", "left_semi")
     return Slice(orders, items, customers, products, sellers)
 
@@ -205,7 +207,8 @@ def bi_measures_by(b: FeatureBundle, axis: str = "customer_state", s: Slicers =
     slicer on that value: an order counts for every category or seller that it has an item of, and
     a dimension is cut by its own attributes only, so its measures are the same in every row of
     other axes."""
-    x = slice_bundle(b, s)
+    # Axes of orders join the items to the slice's orders, so these need not be picked out before.
+    x = slice_bundle(b, s, items_of_orders=axis in ITEM_AXES)
     orders, items = x.orders, x.items
     if axis in ITEM_AXES:
         items = items.withColumn(axis, F.col(_category(items))) if axis == "category" else items

@@ -220,6 +220,11 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     return LazyTables({n: (lambda n=n: spark.read.parquet(f"{folder}/{n}.parquet")) for n in DRIVER_TABLES})
 
 
+def file_bytes(table: DataFrame) -> int:
+    """The size of the files that a plain scan reads."""
+    return int(table._jdf.queryExecution().analyzed().stats().sizeInBytes())
+
+
 #: Which driver tables each retail view is built from, and how.
 VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "orders": (orders_view, ("orders",)),
