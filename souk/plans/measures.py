@@ -87,31 +87,43 @@ def slice_bundle(b: FeatureBundle, s: Slicers = DEFAULT_VIEW, items_of_orders: b
         products = chosen(products, _category(products), s.categories)
     items = chosen(items, "seller_id", s.sellers)
 
-    orders = chosen(b.fact_orders, "order_status", s.statuses)
-    if s.status_mode == "exclude_cancelled":
-        orders = orders.where(F.col("order_status") != "canceled")
-    elif s.status_mode == "delivered":
-        orders = orders.where(F.col("order_status") == "delivered")
-    elif s.status_mode != "all":
-        raise ValueError(f"unknown status mode {s.status_mode!r}")
-    orders = chosen(orders, "dominant_payment_type", s.payment_types)
-    bought = F.col("order_purchase_timestamp")
-    if "order_month" in orders.columns:
-        # The months of the range, so that only their folders are read.
-        month = F.col("order_month")
-        orders = orders.where(month >= s.date_from[:7]) if s.date_from else orders
-        orders = orders.where(month <= s.date_to[:7]) if s.date_to else orders
-    if s.date_from:
-        orders = orders.where(bought >= F.lit(s.date_from).cast("timestamp_ntz"))
-    if s.date_to:
-        orders = orders.where(bought < F.lit(s.date_to).cast("timestamp_ntz"))
+    def filtered(df: DataFrame) -> DataFrame:
+        """By the order's status and time."""
+        df = chosen(df, "order_status", s.statuses)
+        if s.status_mode == "exclude_cancelled":
+            df = df.where(F.col("order_status") != "canceled")
+        elif s.status_mode == "delivered":
+            df = df.where(F.col("order_status") == "delivered")
+        elif s.status_mode != "all":
+            raise ValueError(f"unknown status mode {s.status_mode!r}")
+        bought = F.col("order_purchase_timestamp")
+        if "order_month" in df.columns:
+            # The months of the range, so that only their folders are read.
+            month = F.col("order_month")
+            df = df.where(month >= s.date_from[:7]) if s.date_from else df
+            df = df.where(month <= s.date_to[:7]) if s.date_to else df
+        if s.date_from:
+            df = df.where(bought >= F.lit(s.date_from).cast("timestamp_ntz"))
+        if s.date_to:
+            df = df.where(bought < F.lit(s.date_to).cast("timestamp_ntz"))
+        return df
+
+    orders = chosen(filtered(b.fact_orders), "dominant_payment_type", s.payment_types)
     if s.delivery_status:
         orders = orders.where(_delivery_status() == s.delivery_status)
     if s.states or s.cities or s.customer_segment:
         orders = orders.join(customers.select("customer_id"), "customer_id", "left_semi")
     if s.categories or s.sellers:
         orders = orders.join(items.select("order_id"), "order_id", "left_semi")
-    if items_of_orders and s != Slicers(status_mode="all"):
+    by_status_or_time = s.status_mode != "all" or s.statuses or s.date_from or s.date_to
+    by_others = s.payment_types or s.delivery_status or s.states or s.cities or s.customer_segment
+    carried = {"order_status", "order_purchase_timestamp"} <= set(items.columns)
+    if not items_of_orders or s == Slicers(status_mode="all"):
+        pass
+    elif carried and by_status_or_time and not by_others:
+        # Items carry their order's status and time: no join finds them.
+        items = filtered(items)
+    else:
         items = items.join(orders.select("order_id"), "order_id", "left_semi")
     return Slice(orders, items, customers, products, sellers)
 
@@ -212,7 +224,9 @@ def bi_measures_by(b: FeatureBundle, axis: str = "customer_state", s: Slicers =
     orders, items = x.orders, x.items
     if axis in ITEM_AXES:
         items = items.withColumn(axis, F.col(_category(items))) if axis == "category" else items
-        pairs = items.select("order_id", axis).where(F.col(axis).isNotNull()).distinct()
+        # Pairs meet the slice's orders before they are made distinct: one shuffle serves both.
+        pairs = items.select("order_id", axis).where(F.col(axis).isNotNull())
+        pairs = pairs.join(orders.select("order_id"), "order_id", "left_semi").distinct()
         orders = orders.join(pairs, "order_id")
     else:
         if axis in CUSTOMER_AXES:

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from souk.plans import layers, marts
+from souk.plans import layers, marts, measures
 from souk.session import INITIAL_PARTITIONS, small_tasks, written
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +72,17 @@ def test_shuffles_start_from_the_size_of_the_input(spark):
     assert spark.conf.get(INITIAL_PARTITIONS, None) == before
     with small_tasks(spark, 2):
         assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+
+
+@pytest.mark.parametrize("s", [
+    measures.DEFAULT_VIEW, measures.Slicers(status_mode="delivered", date_from="1995-03-15", date_to="1997-07-02"),
+    measures.Slicers(sellers=("1", "2", "3"), statuses=("shipped",), status_mode="all"),
+])
+def test_items_of_a_status_or_time_need_no_join(spark, s):
+    m = layers.mart_layer(spark, SF)
+    x = measures.slice_bundle(m, s)
+    assert "Join" not in plan_of(x.items)
+    items = m.fact_order_items
+    items = items.where(F.col("seller_id").isin(*s.sellers)) if s.sellers else items
+    want = items.join(x.orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
+    assert x.items.exceptAll(want).isEmpty() and want.exceptAll(x.items).isEmpty() and not want.isEmpty()
