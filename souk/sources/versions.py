@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from souk.session import SHUFFLES_GO, settings
+
 VERSION = "version"
 #: What Spark names the folder of a null partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -78,15 +80,17 @@ def manifest(spark: SparkSession, table: str) -> dict | None:
     return json.loads(files.read(f"_manifests/{number:08d}.json")) | {"number": number} if number else None
 
 
-def _write(df: DataFrame, table: str, partition_by: str | None) -> tuple[str, list[str]]:
+def _write(df: DataFrame, table: str, partition_by: str | None, gathered: bool = False) -> tuple[str, list[str]]:
     """The new version's name and its folders, relative to the table."""
     version = f"{VERSION}={uuid.uuid4().hex[:12]}"
     target = f"{table.rstrip('/')}/{version}"
-    if partition_by is None:
-        df.write.parquet(target)
-        return version, [version]
-    # Rows of one value meet in few tasks; a large one is split again by size.
-    df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(target)
+    with settings(df.sparkSession, SHUFFLES_GO):
+        if partition_by is None:
+            df.write.parquet(target)
+            return version, [version]
+        # Rows of one value meet in few tasks; a large one is split again by size.
+        df = df if gathered else df.hint("rebalance", partition_by)
+        df.write.partitionBy(partition_by).parquet(target)
     names = _Files(df.sparkSession, table).names(version)
     return version, [f"{version}/{n}" for n in names if n.startswith(f"{partition_by}=")]
 
@@ -95,14 +99,17 @@ def _record(df: DataFrame, folders: list[str], partition_by: str | None) -> dict
     return {"folders": sorted(folders), "partition_by": partition_by, "schema": df.schema.json()}
 
 
-def publish(df: DataFrame, table: str, partition_by: str | None = None, overwrite: bool = True) -> bool:
+def publish(
+    df: DataFrame, table: str, partition_by: str | None = None, overwrite: bool = True, gathered: bool = False
+) -> bool:
     """Writes ``df`` as the table's new version. With ``overwrite=False`` a published table is left
-    as it is; remains of a write that was never published do not count. Returns whether it wrote."""
+    as it is; remains of a write that was never published do not count. ``gathered`` rows come from
+    files of one partition value each and are not shuffled again. Returns whether it wrote."""
     files = _Files(df.sparkSession, table)
     number = _latest(files)
     if number and not overwrite:
         return False
-    _, folders = _write(df, table, partition_by)
+    _, folders = _write(df, table, partition_by, gathered)
     files.publish(f"_manifests/{number + 1:08d}.json", json.dumps(_record(df, folders, partition_by)))
     return True
 
@@ -112,9 +119,10 @@ def _folder(column: str, value: str | None) -> str:
     return f"{column}={NULL_FOLDER if value is None else quote(value, safe='-_. ~')}"
 
 
-def refresh(df: DataFrame, table: str, values: Collection[str | None]) -> list[str]:
+def refresh(df: DataFrame, table: str, values: Collection[str | None], gathered: bool = False) -> list[str]:
     """Writes the rows of ``df`` whose partition value is among ``values`` and puts them in place of
-    the table's folders of these values; all other folders stay. Returns the folders written."""
+    the table's folders of these values; all other folders stay. ``gathered`` as in ``publish``.
+    Returns the folders written."""
     spark = df.sparkSession
     old = manifest(spark, table)
     if old is None or old["partition_by"] is None:
@@ -124,7 +132,7 @@ def refresh(df: DataFrame, table: str, values: Collection[str | None]) -> list[s
     chosen = F.col(column).isin(*given) if given else F.lit(False)
     if None in values:
         chosen = chosen | F.col(column).isNull()
-    _, folders = _write(df.where(chosen), table, column)
+    _, folders = _write(df.where(chosen), table, column, gathered)
     gone = {_folder(column, v) for v in values}
     kept = [f for f in old["folders"] if f.rsplit("/", 1)[-1] not in gone]
     record = _record(df, kept + folders, column)

@@ -86,3 +86,19 @@ def test_items_of_a_status_or_time_need_no_join(spark, s):
     items = items.where(F.col("seller_id").isin(*s.sellers)) if s.sellers else items
     want = items.join(x.orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
     assert x.items.exceptAll(want).isEmpty() and want.exceptAll(x.items).isEmpty() and not want.isEmpty()
+
+
+def test_rows_that_lie_by_month_are_published_without_a_shuffle(spark, tmp_dir):
+    from souk.sources import versions
+
+    orders = layers.mart_layer(spark, SF).fact_orders
+    ends, tracker = [], spark.sparkContext.statusTracker()
+    for gathered in (True, False):
+        spark.sparkContext.setJobGroup(f"publish-{gathered}", "publish")
+        versions.publish(orders, f"{tmp_dir}/{gathered}", "order_month", gathered=gathered)
+        jobs = tracker.getJobIdsForGroup(f"publish-{gathered}")
+        ends.append(sum(len(tracker.getJobInfo(j).stageIds) for j in jobs))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert ends[0] < ends[1]
+    a, b = (versions.read_published(spark, f"{tmp_dir}/{g}") for g in (True, False))
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count() == orders.count()
