@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from souk.plans import cleaning, eda, kpis, layers, measures, quality, reconcile, reports, sources_eda
 from souk.plans.stats import stats_of
-from souk.session import scratch_path, small_tasks
+from souk.session import scratch_path, small_tasks, written
 from souk.sources import io, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,18 @@ def _on_marts(fn) -> Query:
     return lambda spark, sf_dir: fn(layers.mart_layer(spark, sf_dir))
 
 
+def _written_on_marts(fn) -> Query:
+    """A small result of large joins, evaluated as layers are: in small tasks, with shuffles that
+    start from the size of the input and go with the write."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = layers.mart_layer(spark, sf_dir)
+        with small_tasks(spark, m.parts):
+            return written(fn(m), "result")
+
+    return build
+
+
 def _on_marts_and_clean(fn) -> Query:
     return lambda spark, sf_dir: fn(layers.mart_layer(spark, sf_dir), layers.cleaned_layer(spark, sf_dir))
 
@@ -189,7 +201,7 @@ for _name, _axis in (
     ("bi_measures_by_payment_type", "dominant_payment_type"),
     ("bi_measures_by_delivery_status", "delivery_status"),
 ):
-    register(_name, _on_marts(lambda b, a=_axis: measures.bi_measures_by(b, a)))
+    register(_name, _written_on_marts(lambda b, a=_axis: measures.bi_measures_by(b, a)))
 register("bi_measures_sliced", _on_marts(lambda b: measures.bi_measures_by(
     b, "customer_state",
     measures.Slicers(date_from="1996-01-01", date_to="2000-01-01",
@@ -201,7 +213,8 @@ register("bi_month_over_month", _on_marts(measures.bi_month_over_month))
 
 # --------------------------------------------------------------------- dashboard data sets
 register("ds_cohort_matrix", _report(measures.ds_cohort_matrix))
-for _name in ("ds_repeat_share", "ds_category_delay", "ds_category_share", "ds_seller_scorecard",
+register("ds_category_delay", lambda spark, d: measures.by_revenue(_written_on_marts(measures.ds_category_delay)(spark, d)))
+for _name in ("ds_repeat_share", "ds_category_share", "ds_seller_scorecard",
               "ds_seller_geography", "ds_delivery_trend", "ds_late_rate_by_state", "ds_weekday_month_heatmap",
               "ds_growth_waterfall", "ds_exceptions", "ds_state_matrix", "ds_state_leaders", "ds_drilldown_rollup"):
     register(_name, _on_marts(getattr(measures, _name)))

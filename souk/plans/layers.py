@@ -42,7 +42,7 @@ DERIVED = {
 #: by order then shuffles none of them.
 BY_ORDER = ("orders", "order_items", "order_payments")
 #: Bytes of input (files) for each bucket and for each shuffle partition of a layer's jobs.
-PART_BYTES = 8 * 1024 * 1024
+PART_BYTES = 4 * 1024 * 1024
 #: An order with more than this share of a table's rows would make one bucket a long task: such a
 #: table is not bucketed, and sums by order are first taken where its rows lie.
 HOT_SHARE = 0.01

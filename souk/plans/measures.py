@@ -354,7 +354,11 @@ def ds_category_delay(b: FeatureBundle) -> DataFrame:
             _avg4(F.col("late_deliveries").cast("double")).alias("late_delivery_rate"),
         )
     )
-    return revenue.join(delay, "category", "left").orderBy(F.col("revenue").desc_nulls_last(), "category")
+    return by_revenue(revenue.join(delay, "category", "left"))
+
+
+def by_revenue(categories: DataFrame) -> DataFrame:
+    return categories.orderBy(F.col("revenue").desc_nulls_last(), "category")
 
 
 def ds_category_share(b: FeatureBundle) -> DataFrame:
